@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import clean, fact as factop, joins, rollups, scd
+from ..operators import clean, fact as factop, joins, quality, rollups, rules, scd
 from ..sources.tables import Tables
 from . import fixtures as fx
 
@@ -167,6 +167,80 @@ def distinct_suppliers(t: Tables) -> DataFrame:
     return rollups.distinct_suppliers(dim_product_after(t), LOAD_DATE)
 
 
+def category_rules(t: Tables) -> DataFrame:
+    return rules.apply_category_rules(dim_product_after(t), fx.category_rules(t.spark), LOAD_DATE)
+
+
+def supplier_enrich(t: Tables) -> DataFrame:
+    return rules.enrich_from_suppliers(dim_product_after(t), fx.supplier_feed(t), LOAD_DATE)
+
+
+def staging_metrics(t: Tables) -> DataFrame:
+    return quality.staging_metrics(staged(t))
+
+
+def row_count_gate(t: Tables) -> DataFrame:
+    return quality.row_count_gate(pending(t), fact(t))
+
+
+def day_ratio_gate(t: Tables) -> DataFrame:
+    return quality.day_ratio_gate(fact(t))
+
+
+def audit_counts(t: Tables) -> DataFrame:
+    return quality.audit_counts(category_rollup(t))
+
+
+DQ_DATE_COLUMNS = {"FACT_DAILY_SALES": "transaction_date", "FACT_REGIONAL_SUMMARY": "summary_date"}
+
+
+def _dq_tables(t: Tables) -> dict[str, DataFrame]:
+    f = fact(t)
+    return {"FACT_DAILY_SALES": f, "FACT_REGIONAL_SUMMARY": rollups.regional_summary(f),
+            "DIM_PRODUCT": fx.dim_product(t), "DIM_STORE": fx.dim_store(t)}
+
+
+def dq_results(t: Tables) -> DataFrame:
+    rules_df = quality.rules_frame(t.spark, fx.dq_rule_rows())
+    return quality.run_checks(quality.load_rules(rules_df, "RETAIL"), _dq_tables(t), DQ_DATE_COLUMNS)
+
+
+def dq_referential(t: Tables) -> DataFrame:
+    rules_df = quality.rules_frame(t.spark, fx.dq_referential_rows())
+    return quality.run_checks(quality.load_rules(rules_df, "RETAIL"), _dq_tables(t), DQ_DATE_COLUMNS)
+
+
+def dq_summary(t: Tables) -> DataFrame:
+    return quality.dq_summary(dq_results(t))
+
+
+def audit_pk(t: Tables) -> DataFrame:
+    return quality.constraint_audit({
+        "stg_sales": (staged(t), "transaction_id"),
+        "dim_product": (dim_product_after(t), "dim_product_key"),
+        "dim_customer": (scd2_customer(t), "dim_customer_key")})
+
+
+def audit_fk(t: Tables) -> DataFrame:
+    f, s = fact(t), staged(t)
+    dp, dc, ds = fx.dim_product(t), fx.dim_customer(t), fx.dim_store(t)
+    return quality.foreign_key_audit([
+        ("fact_daily_sales", f, "dim_product_key", "dim_product", dp, "dim_product_key"),
+        ("fact_daily_sales", f, "dim_customer_key", "dim_customer", dc, "dim_customer_key"),
+        ("fact_daily_sales", f, "dim_store_key", "dim_store", ds, "dim_store_key"),
+        ("stg_sales", s, "product_id", "dim_product", joins.current(dp), "product_id"),
+        ("stg_sales", s, "customer_id", "dim_customer", joins.current(dc), "customer_id")])
+
+
+def entry(t: Tables) -> DataFrame:
+    from .pipeline import daily_load
+    run = daily_load(staged=staged(t), stg_product=fx.stg_product(t), dim_product=fx.dim_product(t),
+                     stg_customer=fx.stg_customer(t), dim_customer=fx.dim_customer(t),
+                     dim_store=fx.dim_store(t), supplier_feed=fx.supplier_feed(t),
+                     category_rules=fx.category_rules(t.spark), load_date=LOAD_DATE)
+    return run.summary
+
+
 CHECKS = {
     "scan_txn_day_region": scan_txn_day_region,
     "dim_product_current": dim_product_current,
@@ -193,6 +267,18 @@ CHECKS = {
     "scd2_customer": scd2_customer,
     "purge_expired": purge_expired,
     "distinct_suppliers": distinct_suppliers,
+    "category_rules": category_rules,
+    "supplier_enrich": supplier_enrich,
+    "staging_metrics": staging_metrics,
+    "row_count_gate": row_count_gate,
+    "day_ratio_gate": day_ratio_gate,
+    "audit_counts": audit_counts,
+    "dq_results": dq_results,
+    "dq_referential": dq_referential,
+    "dq_summary": dq_summary,
+    "audit_pk": audit_pk,
+    "audit_fk": audit_fk,
+    "entry": entry,
 }
 
 

@@ -238,3 +238,45 @@ def stg_customer_prev(t: Tables) -> DataFrame:
         F.lit(None).cast("string").alias("phone"), "region_code", "loyalty_tier",
         "lifetime_value", F.lit(None).cast("date").alias("registration_date"),
         F.lit(None).cast("timestamp_ntz").alias("last_purchase_date"), "load_date")
+
+
+# ---------------------------------------------------------------- rule tables
+# Config rows (a handful), not data: the queries that use them read whole tables.
+CATEGORY_RULE_ROWS = [
+    # category_code, rule_name, col_target, rule_expr, is_active, execution_order
+    ("PROMO", "promo_list_price", "list_price", "round(list_price * 0.90, 4)", "Y", 1),
+    ("PROMO", "promo_name", "product_name", "'PROMO ' || product_name", "Y", 2),
+    ("ECONOMY", "economy_cost", "cost_price", "round(cost_price * 0.95, 4)", "Y", 1),
+    ("ECONOMY", "economy_broken", "cost_price", "no_such_column * 2", "Y", 2),
+    ("LARGE", "large_inactive", "list_price", "list_price * 100", "N", 1),
+    ("SMALL", "small_subcategory", "subcategory_code", "subcategory_code || '-S'", "Y", 1),
+    ("STANDARD", "standard_bad_target", "dim_product_key", "0", "Y", 1),
+]
+
+
+def category_rules(spark) -> DataFrame:
+    return spark.createDataFrame(
+        CATEGORY_RULE_ROWS,
+        "category_code string, rule_name string, col_target string, rule_expr string, "
+        "is_active string, execution_order int")
+
+
+# DQ rules of the checked run: the built-in three, a generic metric, a broken
+# rule and referential rules (by expression and by parent key).
+def dq_rule_rows() -> list[tuple]:
+    from ..operators.quality import BUILTIN_RULES
+    return list(BUILTIN_RULES) + [
+        (4, "ZERO_PRICE_LINES", "FACT_DAILY_SALES", "GENERIC", "count_if(unit_price = 0)", 5.0, "WARNING"),
+        (5, "BROKEN_RULE", "FACT_DAILY_SALES", "RANGE_CHECK", "no_such_column > 0", 0.0, "WARNING"),
+        (6, "SUMMARY_HAS_REVENUE", "FACT_REGIONAL_SUMMARY", "RANGE_CHECK", "total_revenue > 0", 0.0, "WARNING"),
+    ]
+
+
+def dq_referential_rows() -> list[tuple]:
+    return [
+        (11, "FACT_STORE_KEY_SET", "FACT_DAILY_SALES", "REFERENTIAL_CHECK", "dim_store_key", 50.0, "WARNING"),
+        (12, "FACT_PRODUCT_FK", "FACT_DAILY_SALES", "REFERENTIAL_CHECK", "dim_product_key", 0.0, "CRITICAL",
+         "DIM_PRODUCT", "dim_product_key"),
+        (13, "FACT_STORE_FK", "FACT_DAILY_SALES", "REFERENTIAL_CHECK", "dim_store_key", 10.0, "WARNING",
+         "DIM_STORE", "dim_store_key"),
+    ]

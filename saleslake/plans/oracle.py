@@ -124,7 +124,53 @@ SELECT (SELECT max(dim_product_key) FROM dim_product) + row_number() OVER (ORDER
        p.cost_price, p.list_price, DATE '1998-01-01', DATE '9999-12-31', 'Y',
        COALESCE((SELECT max(v.version_num) FROM dim_product v WHERE v.product_id = p.product_id), 0) + 1,
        p.tax_class_code
-FROM prod_cls p WHERE p.change_class IN ('NEW', 'CHANGED'))
+FROM prod_cls p WHERE p.change_class IN ('NEW', 'CHANGED')),
+cust_stage AS (
+SELECT customer_id, customer_code, concat(coalesce(first_name, ''), ' ', coalesce(last_name, '')) AS full_name,
+       email, region_code, loyalty_tier
+FROM stg_customer WHERE load_date = DATE '1998-01-01' AND customer_id IS NOT NULL),
+cust_cls AS (
+SELECT s.*, CASE WHEN c.customer_id IS NULL THEN 'NEW'
+            WHEN COALESCE(c.full_name, 'X') <> COALESCE(s.full_name, 'X')
+              OR COALESCE(c.email, 'X') <> COALESCE(s.email, 'X')
+              OR COALESCE(c.loyalty_tier, 'X') <> COALESCE(s.loyalty_tier, 'X') THEN 'CHANGED'
+            ELSE 'SAME' END AS change_class
+FROM cust_stage s LEFT JOIN (SELECT * FROM dim_customer WHERE is_current = 'Y') c ON c.customer_id = s.customer_id),
+dim_customer_after AS (
+  SELECT * FROM dim_customer
+  WHERE NOT (is_current = 'Y' AND customer_id IN (SELECT customer_id FROM cust_cls WHERE change_class = 'CHANGED'))
+  UNION ALL
+  SELECT d.dim_customer_key, d.customer_id, d.customer_code, d.full_name, d.email, d.region_code, d.loyalty_tier,
+         d.valid_from, DATE '1997-12-31', 'N', d.version_num
+  FROM dim_customer d JOIN cust_cls c ON c.customer_id = d.customer_id AND c.change_class = 'CHANGED'
+  WHERE d.is_current = 'Y'
+  UNION ALL
+  SELECT (SELECT max(dim_customer_key) FROM dim_customer) + row_number() OVER (ORDER BY c.customer_id),
+         c.customer_id, c.customer_code, c.full_name, c.email, c.region_code, c.loyalty_tier,
+         DATE '1998-01-01', DATE '9999-12-31', 'Y',
+         COALESCE((SELECT max(v.version_num) FROM dim_customer v WHERE v.customer_id = c.customer_id), 0) + 1
+  FROM cust_cls c WHERE c.change_class IN ('NEW', 'CHANGED')),
+rollup AS (
+SELECT region_code, transaction_date AS summary_date, category_code, fiscal_year, fiscal_month,
+       CAST(COUNT(*) AS BIGINT) AS total_transactions,
+       CAST(SUM(quantity) AS DOUBLE) AS total_quantity,
+       CAST(SUM(gross_amount) AS DOUBLE) AS total_gross_revenue,
+       CAST(SUM(net_amount) AS DOUBLE) AS total_net_revenue,
+       CAST(SUM(discount_amt) AS DOUBLE) AS total_discount_amount,
+       CAST(COUNT(DISTINCT customer_id) AS BIGINT) AS distinct_customers,
+       CAST(COUNT(DISTINCT product_id) AS BIGINT) AS distinct_products,
+       CAST(COUNT(DISTINCT store_id) AS BIGINT) AS distinct_stores,
+       CAST(SUM(net_amount) AS DOUBLE) / CAST(greatest(COUNT(*), 1) AS DOUBLE) AS avg_basket_value
+FROM joined GROUP BY region_code, transaction_date, category_code, fiscal_year, fiscal_month),
+summary AS (
+SELECT region_code, transaction_date AS summary_date, CAST(COUNT(*) AS BIGINT) AS total_transactions,
+       SUM(quantity) AS total_quantity, SUM(net_amount) AS total_revenue,
+       CAST(COUNT(DISTINCT dim_customer_key) AS BIGINT) AS distinct_customers,
+       CAST(COUNT(DISTINCT dim_product_key) AS BIGINT) AS distinct_products,
+       CAST(SUM(net_amount) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_basket_size
+FROM fact GROUP BY region_code, transaction_date),
+fact_counts AS (
+SELECT region_code, transaction_date, CAST(COUNT(*) AS BIGINT) AS row_count FROM fact GROUP BY region_code, transaction_date)
 """
 
 PREFIX = "WITH " + FIXTURE_CTES.strip() + ",\n" + DERIVED_CTES.strip() + "\n"
@@ -324,9 +370,6 @@ FROM {src}
 """
 CHECK_SQL["scd2_product"] = _DIM_PRODUCT_OUT.format(src="dim_product_after")
 
-CHECK_SQL["scd2_customer"] = """
-WITH_CUST AS NOTHING
-"""
 
 CHECK_SQL["purge_expired"] = _DIM_PRODUCT_OUT.format(
     src="dim_product WHERE NOT (is_current = 'N' AND valid_to < DATE '1998-01-01' - INTERVAL 730 DAY)")
@@ -339,37 +382,10 @@ WHERE is_current = 'Y' AND valid_from = DATE '1998-01-01' AND supplier_id IS NOT
 CHECK_SQL["scd2_customer"] = """
 SELECT dim_customer_key, customer_id, customer_code, full_name, email, region_code, loyalty_tier,
        valid_from, valid_to, is_current, CAST(version_num AS BIGINT) AS version_num
-FROM (
-  SELECT * FROM dim_customer
-  WHERE NOT (is_current = 'Y' AND customer_id IN (SELECT customer_id FROM cust_cls WHERE change_class = 'CHANGED'))
-  UNION ALL
-  SELECT d.dim_customer_key, d.customer_id, d.customer_code, d.full_name, d.email, d.region_code, d.loyalty_tier,
-         d.valid_from, DATE '1997-12-31', 'N', d.version_num
-  FROM dim_customer d JOIN cust_cls c ON c.customer_id = d.customer_id AND c.change_class = 'CHANGED'
-  WHERE d.is_current = 'Y'
-  UNION ALL
-  SELECT (SELECT max(dim_customer_key) FROM dim_customer) + row_number() OVER (ORDER BY c.customer_id),
-         c.customer_id, c.customer_code, c.full_name, c.email, c.region_code, c.loyalty_tier,
-         DATE '1998-01-01', DATE '9999-12-31', 'Y',
-         COALESCE((SELECT max(v.version_num) FROM dim_customer v WHERE v.customer_id = c.customer_id), 0) + 1
-  FROM cust_cls c WHERE c.change_class IN ('NEW', 'CHANGED')) x
+FROM dim_customer_after
 """
 
-EXTRA_CTES = {
-    "scd2_customer": """,
-cust_stage AS (
-SELECT customer_id, customer_code, concat(coalesce(first_name, ''), ' ', coalesce(last_name, '')) AS full_name,
-       email, region_code, loyalty_tier
-FROM stg_customer WHERE load_date = DATE '1998-01-01' AND customer_id IS NOT NULL),
-cust_cls AS (
-SELECT s.*, CASE WHEN c.customer_id IS NULL THEN 'NEW'
-            WHEN COALESCE(c.full_name, 'X') <> COALESCE(s.full_name, 'X')
-              OR COALESCE(c.email, 'X') <> COALESCE(s.email, 'X')
-              OR COALESCE(c.loyalty_tier, 'X') <> COALESCE(s.loyalty_tier, 'X') THEN 'CHANGED'
-            ELSE 'SAME' END AS change_class
-FROM cust_stage s LEFT JOIN (SELECT * FROM dim_customer WHERE is_current = 'Y') c ON c.customer_id = s.customer_id)
-""",
-}
+EXTRA_CTES: dict[str, str] = {}
 
 
 def check_sql(name: str) -> str:
@@ -385,3 +401,193 @@ def split_final(sql: str) -> tuple[str, str]:
             break
     final = CHECK_SQL[name].strip()
     return sql[: len(sql) - len(final)].rstrip(), final
+
+_HIT = "is_current = 'Y' AND valid_from = DATE '1998-01-01'"
+CHECK_SQL["category_rules"] = f"""
+SELECT dim_product_key, product_id, product_code,
+       CASE WHEN category_code = 'PROMO' AND {_HIT} THEN 'PROMO ' || product_name ELSE product_name END AS product_name,
+       category_code,
+       CASE WHEN category_code = 'SMALL' AND {_HIT} THEN subcategory_code || '-S' ELSE subcategory_code END
+         AS subcategory_code,
+       supplier_id,
+       CAST(CASE WHEN category_code = 'ECONOMY' AND {_HIT} THEN CAST(ROUND(cost_price * 0.95, 4) AS DECIMAL(12,4))
+                 ELSE cost_price END AS DOUBLE) AS cost_price,
+       CAST(CASE WHEN category_code = 'PROMO' AND {_HIT} THEN CAST(ROUND(list_price * 0.90, 4) AS DECIMAL(12,4))
+                 ELSE list_price END AS DOUBLE) AS list_price,
+       valid_from, valid_to, is_current, CAST(version_num AS BIGINT) AS version_num, tax_class_code
+FROM dim_product_after
+"""
+
+CHECK_SQL["supplier_enrich"] = """
+SELECT d.dim_product_key, d.product_id, d.product_code, d.product_name, d.category_code, d.subcategory_code,
+       d.supplier_id,
+       CAST(CASE WHEN l.product_id IS NOT NULL THEN l.cost_price ELSE d.cost_price END AS DOUBLE) AS cost_price,
+       CAST(CASE WHEN l.product_id IS NOT NULL THEN l.list_price ELSE d.list_price END AS DOUBLE) AS list_price,
+       d.valid_from, d.valid_to, d.is_current, CAST(d.version_num AS BIGINT) AS version_num, d.tax_class_code
+FROM dim_product_after d
+LEFT JOIN (
+  SELECT product_id, supplier_id, list_price, cost_price FROM (
+    SELECT f.*, row_number() OVER (PARTITION BY f.product_id, f.supplier_id
+                                   ORDER BY f.effective_date DESC, f.list_price DESC, f.cost_price DESC) AS rn
+    FROM supplier_feed f
+    WHERE f.effective_date <= DATE '1998-01-01'
+      AND f.supplier_id IN (SELECT supplier_id FROM dim_product_after
+                            WHERE is_current = 'Y' AND valid_from = DATE '1998-01-01' AND supplier_id IS NOT NULL)) x
+  WHERE rn = 1) l
+  ON l.product_id = d.product_id AND l.supplier_id = d.supplier_id AND d.is_current = 'Y'
+"""
+
+CHECK_SQL["staging_metrics"] = """
+SELECT transaction_date, region_code, metric, value FROM (
+  SELECT transaction_date, region_code,
+         CAST(COUNT(*) AS BIGINT) AS TOTAL_ROWS,
+         CAST(count_if(product_id IS NULL) AS BIGINT) AS NULL_PRODUCT_ID,
+         CAST(count_if(customer_id IS NULL) AS BIGINT) AS NULL_CUSTOMER_ID,
+         CAST(count_if(unit_price = 0) AS BIGINT) AS ZERO_AMOUNT_ROWS,
+         CAST(COUNT(DISTINCT store_id) AS BIGINT) AS DISTINCT_STORES,
+         CAST(COUNT(DISTINCT product_id) AS BIGINT) AS DISTINCT_PRODUCTS
+  FROM staged GROUP BY transaction_date, region_code) m
+UNPIVOT (value FOR metric IN (TOTAL_ROWS, NULL_PRODUCT_ID, NULL_CUSTOMER_ID, ZERO_AMOUNT_ROWS,
+                              DISTINCT_STORES, DISTINCT_PRODUCTS))
+"""
+
+CHECK_SQL["row_count_gate"] = """
+SELECT COALESCE(s.transaction_date, f.transaction_date) AS transaction_date,
+       COALESCE(s.region_code, f.region_code) AS region_code,
+       CAST(COALESCE(s.n, 0) AS BIGINT) AS staged_rows, CAST(COALESCE(f.row_count, 0) AS BIGINT) AS fact_rows,
+       CASE WHEN COALESCE(s.n, 0) = 0 THEN 'EMPTY_NOOP' WHEN COALESCE(s.n, 0) < 100 THEN 'BELOW_MINIMUM'
+            ELSE 'OK' END AS staging_gate,
+       CASE WHEN COALESCE(f.row_count, 0) = 0 THEN 'FACT_EMPTY' ELSE 'FACT_LOADED' END AS fact_gate
+FROM (SELECT transaction_date, region_code, COUNT(*) AS n FROM pending GROUP BY transaction_date, region_code) s
+FULL OUTER JOIN fact_counts f ON f.transaction_date = s.transaction_date AND f.region_code = s.region_code
+"""
+
+CHECK_SQL["day_ratio_gate"] = """
+SELECT c.region_code, c.transaction_date, c.row_count, p.row_count AS prev_row_count,
+       CAST(c.row_count AS DOUBLE) / CAST(p.row_count AS DOUBLE) AS day_ratio,
+       CASE WHEN c.row_count >= 100 AND (p.row_count IS NULL OR c.row_count >= p.row_count * 0.80)
+            THEN 'Y' ELSE 'N' END AS gate_passed
+FROM fact_counts c LEFT JOIN fact_counts p
+  ON p.region_code = c.region_code AND p.transaction_date + 1 = c.transaction_date
+"""
+
+CHECK_SQL["audit_counts"] = """
+SELECT region_code, summary_date, CAST(COUNT(*) AS BIGINT) AS rollup_rows FROM rollup GROUP BY region_code, summary_date
+"""
+
+
+def _pct_sql(failed: str, total: str) -> str:
+    return (f"COALESCE(CAST(((2 * ({failed}) * 1000000 + ({total})) // NULLIF(2 * ({total}), 0)) AS DOUBLE) "
+            f"/ 10000.0, 0.0)")
+
+
+def _dq_row(rule_id, name, table, rtype, date_col, src, total, failed, pct, thr, severity):
+    eff = f"COALESCE(NULLIF(CAST({thr} AS DOUBLE), 0.0), 0.01)"
+    return f"""
+SELECT CAST({rule_id} AS BIGINT) AS rule_id, '{name}' AS rule_name, '{table}' AS target_table,
+       '{rtype}' AS rule_type, {date_col} AS check_date, CAST({total} AS BIGINT) AS total_rows,
+       CAST({failed} AS BIGINT) AS failed_rows, {pct} AS fail_pct, CAST({thr} AS DOUBLE) AS threshold_pct,
+       ({pct}) <= {eff} AS passed, CASE WHEN ({pct}) <= {eff} THEN 'PASS' ELSE 'FAIL' END AS status,
+       '{severity}' AS severity
+FROM {src} GROUP BY {date_col}"""
+
+
+_F, _S = "fact", "summary"
+_DQ = " UNION ALL ".join([
+    _dq_row(1, "NULL_PRODUCT_KEY", "FACT_DAILY_SALES", "NULL_CHECK", "transaction_date", _F, "COUNT(*)",
+            "COUNT(CASE WHEN dim_product_key IS NULL THEN 1 END)",
+            _pct_sql("COUNT(CASE WHEN dim_product_key IS NULL THEN 1 END)", "COUNT(*)"), "0.0", "CRITICAL"),
+    _dq_row(2, "NEGATIVE_NET_AMOUNT", "FACT_DAILY_SALES", "RANGE_CHECK", "transaction_date", _F, "COUNT(*)",
+            "count_if(NOT (net_amount >= 0))", _pct_sql("count_if(NOT (net_amount >= 0))", "COUNT(*)"),
+            "0.1", "WARNING"),
+    _dq_row(3, "REGIONAL_SUMMARY_PRESENT", "FACT_REGIONAL_SUMMARY", "THRESHOLD_COUNT", "summary_date", _S,
+            "COUNT(*)", "0", "0.0", "0.0", "CRITICAL"),
+    _dq_row(4, "ZERO_PRICE_LINES", "FACT_DAILY_SALES", "GENERIC", "transaction_date", _F, "COUNT(*)",
+            "count_if(unit_price = 0)", _pct_sql("count_if(unit_price = 0)", "COUNT(*)"), "5.0", "WARNING"),
+    _dq_row(6, "SUMMARY_HAS_REVENUE", "FACT_REGIONAL_SUMMARY", "RANGE_CHECK", "summary_date", _S, "COUNT(*)",
+            "count_if(NOT (total_revenue > 0))", _pct_sql("count_if(NOT (total_revenue > 0))", "COUNT(*)"),
+            "0.0", "WARNING"),
+]) + """ UNION ALL
+SELECT CAST(5 AS BIGINT), 'BROKEN_RULE', 'FACT_DAILY_SALES', 'RANGE_CHECK', CAST(NULL AS DATE), CAST(NULL AS BIGINT),
+       CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), CAST(0.0 AS DOUBLE), false, 'FAIL', 'ERROR'"""
+CHECK_SQL["dq_results"] = "SELECT * FROM (" + _DQ + ") dq"
+
+_FR = ("(SELECT f.*, (SELECT true FROM (SELECT DISTINCT dim_product_key FROM dim_product) p "
+       "WHERE p.dim_product_key = f.dim_product_key) AS ref12, "
+       "(SELECT true FROM (SELECT DISTINCT dim_store_key FROM dim_store) s "
+       "WHERE s.dim_store_key = f.dim_store_key) AS ref13 FROM fact f) fr")
+CHECK_SQL["dq_referential"] = "SELECT * FROM (" + " UNION ALL ".join([
+    _dq_row(11, "FACT_STORE_KEY_SET", "FACT_DAILY_SALES", "REFERENTIAL_CHECK", "transaction_date", _F,
+            "COUNT(*)", "count_if(dim_store_key IS NULL)", _pct_sql("count_if(dim_store_key IS NULL)", "COUNT(*)"),
+            "50.0", "WARNING"),
+    _dq_row(12, "FACT_PRODUCT_FK", "FACT_DAILY_SALES", "REFERENTIAL_CHECK", "transaction_date", _FR,
+            "COUNT(*)", "count_if(ref12 IS NULL)", _pct_sql("count_if(ref12 IS NULL)", "COUNT(*)"),
+            "0.0", "CRITICAL"),
+    _dq_row(13, "FACT_STORE_FK", "FACT_DAILY_SALES", "REFERENTIAL_CHECK", "transaction_date", _FR,
+            "COUNT(*)", "count_if(ref13 IS NULL)", _pct_sql("count_if(ref13 IS NULL)", "COUNT(*)"),
+            "10.0", "WARNING"),
+]) + ") dq"
+
+CHECK_SQL["dq_summary"] = """
+SELECT check_date, CAST(COUNT(*) AS BIGINT) AS total_rules, CAST(count_if(passed) AS BIGINT) AS passed_rules,
+       CAST(count_if(NOT passed AND severity = 'CRITICAL') AS BIGINT) AS critical_failures,
+       CAST(count_if(NOT passed AND severity <> 'CRITICAL') AS BIGINT) AS other_failures
+FROM (""" + _DQ + """) dq GROUP BY check_date
+"""
+
+
+def _audit_rows(table: str, src: str, pk: str, not_null: list[str], widths: dict[str, int]) -> str:
+    parts = [f"SELECT '{table}' AS table_name, 'NOT_NULL' AS constraint_type, '{c}' AS column_name, "
+             f"CAST(count_if({c} IS NULL) AS BIGINT) AS violation_rows FROM {src}" for c in not_null]
+    parts += [f"SELECT '{table}', 'WIDTH', '{c}', CAST(count_if(length({c}) > {w}) AS BIGINT) FROM {src}"
+              for c, w in widths.items()]
+    parts.append(f"SELECT '{table}', 'PK_UNIQUE', '{pk}', CAST(COALESCE(SUM(n), 0) AS BIGINT) FROM "
+                 f"(SELECT {pk}, COUNT(*) AS n FROM {src} GROUP BY {pk} HAVING COUNT(*) > 1) d")
+    return " UNION ALL ".join(parts)
+
+
+CHECK_SQL["audit_pk"] = "SELECT * FROM (" + " UNION ALL ".join([
+    _audit_rows("stg_sales", "staged", "transaction_id",
+                ["transaction_id", "customer_id", "product_id", "store_id", "transaction_date", "region_code"],
+                {"region_code": 10, "currency_code": 3, "payment_method": 20, "pos_terminal_id": 20,
+                 "source_file_name": 200, "etl_status": 20}),
+    _audit_rows("dim_product", "dim_product_after", "dim_product_key",
+                ["dim_product_key", "product_id", "valid_from"],
+                {"product_code": 20, "product_name": 200, "category_code": 10, "subcategory_code": 10}),
+    _audit_rows("dim_customer", "dim_customer_after", "dim_customer_key",
+                ["dim_customer_key", "customer_id", "valid_from"],
+                {"customer_code": 20, "full_name": 200, "email": 200, "region_code": 10, "loyalty_tier": 20}),
+]) + ") a"
+
+
+def _fk_row(table, src, fk, parent_name, parent_keys):
+    return (f"SELECT '{table}' AS table_name, '{fk}' AS column_name, '{parent_name}' AS parent_table, "
+            f"CAST(COUNT(*) AS BIGINT) AS orphan_rows FROM {src} c WHERE c.{fk} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM ({parent_keys}) p WHERE p.k = c.{fk})")
+
+
+CHECK_SQL["audit_fk"] = "SELECT * FROM (" + " UNION ALL ".join([
+    _fk_row("fact_daily_sales", "fact", "dim_product_key", "dim_product", "SELECT dim_product_key AS k FROM dim_product"),
+    _fk_row("fact_daily_sales", "fact", "dim_customer_key", "dim_customer",
+            "SELECT dim_customer_key AS k FROM dim_customer"),
+    _fk_row("fact_daily_sales", "fact", "dim_store_key", "dim_store", "SELECT dim_store_key AS k FROM dim_store"),
+    _fk_row("stg_sales", "staged", "product_id", "dim_product",
+            "SELECT product_id AS k FROM dim_product WHERE is_current = 'Y'"),
+    _fk_row("stg_sales", "staged", "customer_id", "dim_customer",
+            "SELECT customer_id AS k FROM dim_customer WHERE is_current = 'Y'"),
+]) + ") f"
+
+CHECK_SQL["entry"] = """
+SELECT region_code, transaction_date AS summary_date, CAST(COUNT(*) AS BIGINT) AS total_transactions,
+       CAST(SUM(quantity) AS DOUBLE) AS total_quantity,
+       CAST(SUM(CAST(ROUND(quantity * unit_price - discount_amt, 4) AS DECIMAL(16,4))) AS DOUBLE) AS total_revenue,
+       CAST(COUNT(DISTINCT dc.dim_customer_key) AS BIGINT) AS distinct_customers,
+       CAST(COUNT(DISTINCT dp.dim_product_key) AS BIGINT) AS distinct_products,
+       CAST(SUM(CAST(ROUND(quantity * unit_price - discount_amt, 4) AS DECIMAL(16,4))) AS DOUBLE)
+         / CAST(COUNT(*) AS DOUBLE) AS avg_basket_size
+FROM pending s
+JOIN (SELECT product_id, dim_product_key FROM dim_product_after WHERE is_current = 'Y') dp ON dp.product_id = s.product_id
+JOIN (SELECT customer_id, dim_customer_key FROM dim_customer_after WHERE is_current = 'Y') dc
+  ON dc.customer_id = s.customer_id
+GROUP BY region_code, transaction_date
+"""

@@ -75,3 +75,27 @@ OPERATORS: list[tuple[str, str, list[str] | None]] = [
 
 def key_of(op_id: str, check: str) -> str:
     return f"{op_id}_{check}".lower()
+
+OPERATORS += [
+    ("i5", "category_rules", None),
+    ("i6", "supplier_enrich", None),
+    ("d7", "staging_metrics", None),
+    ("g1", "staging_metrics", None),
+    ("d8", "row_count_gate", None),
+    ("d9", "day_ratio_gate", None),
+    ("a10", "audit_counts", None),
+    ("d10", "dq_results", None),
+    ("j1", "dq_results", None),
+    ("j2", "dq_results", None),
+    ("j4", "dq_results", None),
+    ("j5", "dq_results", None),
+    ("j6", "dq_results", None),
+    ("j7", "dq_results", None),
+    ("a15", "dq_results", ["rule_id", "rule_name", "target_table", "rule_type", "severity", "check_date"]),
+    ("f1", "dq_results", ["rule_id", "rule_name", "check_date", "status"]),
+    ("j3", "dq_referential", None),
+    ("j8", "dq_summary", None),
+    ("i12", "audit_pk", None),
+    ("i12", "audit_fk", None),
+    ("i10", "entry", None),
+]
