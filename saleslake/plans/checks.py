@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import clean, fact as factop, joins, quality, rollups, rules, scd
+from ..session import scratch_path
+from ..sources import store
 from ..sources.tables import Tables
 from . import fixtures as fx
 
@@ -241,6 +243,68 @@ def entry(t: Tables) -> DataFrame:
     return run.summary
 
 
+# ---------------------------------------------------------------- sink round trips
+def _schema_for(df: DataFrame, partition_by: tuple[str, ...]) -> T.StructType:
+    data = [f for f in df.schema.fields if f.name not in partition_by]
+    parts = [df.schema[c] for c in partition_by]
+    return T.StructType(data + parts)
+
+
+def _roundtrip_delimited(t: Tables, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(t.spark, name)
+    store.write_delimited(df, path)
+    return store.read_delimited(t.spark, path, _schema_for(df, ("transaction_date", "region_code")))
+
+
+def reject_sink(t: Tables) -> DataFrame:
+    """Rejects as '|' files per slice, read back."""
+    return _roundtrip_delimited(t, reject_sales(t), "rejects")
+
+
+def unmatched_sink(t: Tables) -> DataFrame:
+    """Unmatched transactions as '|' files per slice, read back."""
+    return _roundtrip_delimited(t, unmatched_product(t), "unmatched")
+
+
+def fact_append(t: Tables) -> DataFrame:
+    """The fact appended by slice (a rerun replaces slices: see tests)."""
+    path = scratch_path(t.spark, "fact")
+    f = fact(t)
+    store.append_fact(f, path)
+    return t.spark.read.schema(_schema_for(f, ("transaction_date", "region_code"))).parquet(path)
+
+
+def analytical_outputs(t: Tables) -> DataFrame:
+    """Rankings, segments and daily summary written; segments read back."""
+    base = scratch_path(t.spark, "analytics")
+    store.write_analytics(product_rankings(t), customer_segments(t), daily_summary(t), base)
+    return t.spark.read.parquet(f"{base}/customer_segments")
+
+
+def staging_reload(t: Tables) -> DataFrame:
+    """The extract loaded into slice-partitioned staging (reload of a slice
+    with LOADED rows: see tests)."""
+    path = scratch_path(t.spark, "staging")
+    s = staged(t)
+    store.reload_staging(t.spark, s, path)
+    return t.spark.read.schema(_schema_for(s, ("transaction_date", "region_code"))).parquet(path)
+
+
+def summary_refresh(t: Tables) -> DataFrame:
+    """The regional summary refreshed by slice."""
+    path = scratch_path(t.spark, "summary")
+    r = regional_summary(t)
+    store.refresh_summary(r, path)
+    return t.spark.read.schema(_schema_for(r, ("summary_date", "region_code"))).parquet(path)
+
+
+def dq_result_sink(t: Tables) -> DataFrame:
+    """DQ results appended to the results table, read back."""
+    path = scratch_path(t.spark, "dq_results")
+    store.write_dq_results(dq_results(t), path)
+    return t.spark.read.parquet(path)
+
+
 CHECKS = {
     "scan_txn_day_region": scan_txn_day_region,
     "dim_product_current": dim_product_current,
@@ -279,6 +343,13 @@ CHECKS = {
     "audit_pk": audit_pk,
     "audit_fk": audit_fk,
     "entry": entry,
+    "reject_sink": reject_sink,
+    "unmatched_sink": unmatched_sink,
+    "fact_append": fact_append,
+    "analytical_outputs": analytical_outputs,
+    "staging_reload": staging_reload,
+    "summary_refresh": summary_refresh,
+    "dq_result_sink": dq_result_sink,
 }
 
 

@@ -591,3 +591,13 @@ JOIN (SELECT customer_id, dim_customer_key FROM dim_customer_after WHERE is_curr
   ON dc.customer_id = s.customer_id
 GROUP BY region_code, transaction_date
 """
+
+# sink round trips read back what the base check computes
+CHECK_SQL["reject_sink"] = CHECK_SQL["reject_sales"]
+CHECK_SQL["unmatched_sink"] = CHECK_SQL["unmatched_product"]
+CHECK_SQL["fact_append"] = CHECK_SQL["fact_load"]
+CHECK_SQL["staging_reload"] = CHECK_SQL["extract_sales"]
+CHECK_SQL["summary_refresh"] = CHECK_SQL["regional_summary"]
+CHECK_SQL["dq_result_sink"] = CHECK_SQL["dq_results"]
+CHECK_SQL["analytical_outputs"] = """
+SELECT customer_id, clv_segment, churn_risk, region_code FROM (""" + CHECK_SQL["customer_segments"] + ") s"

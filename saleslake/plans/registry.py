@@ -99,3 +99,13 @@ OPERATORS += [
     ("i12", "audit_fk", None),
     ("i10", "entry", None),
 ]
+
+OPERATORS += [
+    ("a6", "reject_sink", None),
+    ("a7", "unmatched_sink", None),
+    ("a8", "fact_append", None),
+    ("a11", "analytical_outputs", None),
+    ("a12", "staging_reload", None),
+    ("a13", "summary_refresh", None),
+    ("a14", "dq_result_sink", None),
+]

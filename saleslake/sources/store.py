@@ -26,7 +26,12 @@ def _dynamic(df: DataFrame):
 
 def write_slices(df: DataFrame, path: str, partition_by=("transaction_date", "region_code"),
                  fmt: str = "parquet", **options) -> None:
-    """Write rows partitioned by slice; existing slices not in ``df`` stay."""
+    """Write rows partitioned by slice; existing slices not in ``df`` stay.
+
+    ``rebalance`` on the slice columns sends each slice to one writer task (one
+    file per slice instead of one per task and slice) while AQE still splits a
+    hot slice over several tasks and packs small slices together."""
+    df = df.hint("rebalance", *partition_by)
     w = _dynamic(df).mode("overwrite").partitionBy(*partition_by)
     for k, v in options.items():
         w = w.option(k, v)
