@@ -31,7 +31,7 @@ def _slice_filter(date_col: Column, region_col: Column, load_date, region,
 def extract_predicate(src: DataFrame, load_date=None, region=None) -> Column:
     """B2: date, region, status NOT IN (VOID, CANCELLED, TEST), qty > 0, price >= 0.
     A NULL status fails NOT IN, as in SQL."""
-    return (_slice_filter(F.col("txn_datetime").cast("date"), F.col("store_region_cd"),
+    return (_slice_filter(F.col("txn_datetime").cast("date"), C.normalise_region("store_region_cd"),
                           load_date, region)
             & ~F.col("txn_status_cd").isin(*S.EXCLUDED_STATUSES)
             & (F.col("sold_qty") > 0)

@@ -125,14 +125,14 @@ def run_checks(rules: list[dict], tables: dict[str, DataFrame], date_columns: di
         tname = rule["target_table"]
         base = tables.get(tname)
         if base is None:
-            errors.append(_error_row(rule, "unknown table"))
+            errors.append(_error_row(rule, "unknown table", load_date))
             continue
         plan = plans.setdefault(tname, _TablePlan(base, date_columns.get(tname)))
         ref_col = None
         if rule["rule_type"] == "REFERENTIAL_CHECK" and rule.get("parent_table"):
             parent = tables.get(rule["parent_table"])
             if parent is None:
-                errors.append(_error_row(rule, "unknown parent table"))
+                errors.append(_error_row(rule, "unknown parent table", load_date))
                 continue
             ref_col = f"_ref_{rule['rule_id']}"
             child_key, parent_key = rule["sql_fragment"], rule["parent_key"]
@@ -145,7 +145,7 @@ def run_checks(rules: list[dict], tables: dict[str, DataFrame], date_columns: di
             cols = _rule_columns(rule, ref_col)
             trial.agg(*[c.alias(f"_{i}") for i, c in enumerate(cols)]).schema   # analyse alone
         except Exception as e:  # noqa: BLE001 - isolate a broken rule
-            errors.append(_error_row(rule, str(e).splitlines()[0][:200]))
+            errors.append(_error_row(rule, str(e).splitlines()[0][:200], load_date))
             continue
         plan.frame = trial.drop(f"_pk_{rule['rule_id']}") if ref_col else trial
         plan.rules.append(rule)
@@ -197,8 +197,9 @@ def run_checks(rules: list[dict], tables: dict[str, DataFrame], date_columns: di
     return res
 
 
-def _error_row(rule: dict, _msg: str) -> tuple:
-    return (int(rule["rule_id"]), rule["rule_name"], rule["target_table"], rule["rule_type"], None,
+def _error_row(rule: dict, _msg: str, load_date: _dt.date | None = None) -> tuple:
+    """A rule that failed: severity ERROR, not passed (dated when one date is checked)."""
+    return (int(rule["rule_id"]), rule["rule_name"], rule["target_table"], rule["rule_type"], load_date,
             None, None, None, None if rule["threshold_pct"] is None else float(rule["threshold_pct"]),
             False, "FAIL", "ERROR")
 
