@@ -22,11 +22,17 @@ from ..session import ensure_checkpoint_dir
 _POS_BITS = 33  # monotonically_increasing_id = (partition index << 33) + position
 
 
-def _freeze(df: DataFrame) -> DataFrame:
+def freeze(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` with a reliable checkpoint (the cluster's shared
+    checkpoint folder): the lineage is cut and a lost executor never forces a
+    recomputation that could place rows differently."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+_freeze = freeze
+
+
 def next_key(df: DataFrame | None, key_col: str, start: int) -> int:
     """Sequence continuation: max(existing key) + 1, or ``start`` on an empty table."""
     if df is None:

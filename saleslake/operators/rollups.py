@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .keys import distributed_rank
+from .keys import distributed_rank, freeze
 
 
 def _avg(sum_col: str, count_col: str):
@@ -83,8 +83,9 @@ def product_rankings(fact: DataFrame) -> DataFrame:
     """D4 + E1 + E2 + E3.  rank / dense_rank by revenue (desc) inside region,
     year and month are computed by ``distributed_rank`` (no partition is held in
     one task); the share divides by the partition total from a grouped sum
-    joined back (one row per region-month)."""
-    perf = product_performance(fact)
+    joined back (one row per region-month).  The product aggregate is frozen
+    once, so the fact is scanned once for ranks, totals and the join back."""
+    perf = freeze(product_performance(fact))
     ranked = distributed_rank(perf, RANK_PARTITION, "total_revenue", descending=True,
                               rank_col="revenue_rank", dense_rank_col="revenue_dense_rank")
     totals = perf.groupBy(*RANK_PARTITION).agg(F.sum("total_revenue").alias("_part_total"))
