@@ -103,7 +103,10 @@ def distributed_rank(df: DataFrame, partition_by: list[str], order_col: str,
         *partition_by, "_pid",
         F.coalesce(F.sum("_rows_in").over(w_parts), F.lit(0)).alias("_rows_off"),
         F.coalesce(F.sum("_vals_in").over(w_parts), F.lit(0)).alias("_vals_off"))
-    ranks = (local.join(offsets, [*partition_by, "_pid"])
+    offs = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in [*partition_by, "_pid"]],
+                          "_rows_off", "_vals_off")
+    on = [local[c].eqNullSafe(offs[f"_o_{c}"]) for c in [*partition_by, "_pid"]]   # NULL groups rank too
+    ranks = (local.join(offs, on)
              .select(*partition_by, order_col,
                      (F.col("_rows_off") + F.col("_rows_before") + 1).cast("bigint").alias(rank_col),
                      (F.col("_vals_off") + F.col("_vals_before") + 1).cast("bigint").alias(dense_rank_col)))

@@ -18,6 +18,7 @@ def test_distributed_rank_matches_window_with_ties_and_hot_group(spark):
     rnd = random.Random(7)
     data = [("hot", rnd.choice([None, 0, 0, 1, 2, 3, 5, 8])) for _ in range(3000)]
     data += [(f"g{i % 17}", rnd.randint(0, 40)) for i in range(2000)]
+    data += [(None, rnd.randint(0, 5)) for _ in range(50)]          # a NULL group
     df = spark.createDataFrame(data, "g string, v int").repartition(9)
     got = distributed_rank(df, ["g"], "v", rank_col="r", dense_rank_col="dr")
     w = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())
