@@ -271,7 +271,7 @@ def fact_append(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "fact")
     f = fact(t)
     store.append_fact(f, path)
-    return t.spark.read.schema(_schema_for(f, ("transaction_date", "region_code"))).parquet(path)
+    return t.spark.read.schema(_schema_for(f, store.FACT_PARTITIONS)).parquet(path)
 
 
 def analytical_outputs(t: Tables) -> DataFrame:

@@ -49,9 +49,14 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType) -> Data
             .option("dateFormat", "yyyy-MM-dd").csv(path))
 
 
+FACT_PARTITIONS = ("transaction_date", "region_code", "load_batch_id")
+
+
 def append_fact(fact: DataFrame, path: str) -> None:
-    """Fact append, idempotent per (date, region) slice."""
-    write_slices(fact, path)
+    """Fact append, idempotent per (date, region, batch): a rerun of a batch
+    replaces that batch's rows, while facts of the same slice loaded by an
+    earlier batch (late arrivals) stay."""
+    write_slices(fact, path, FACT_PARTITIONS)
 
 
 def refresh_summary(summary: DataFrame, path: str) -> None:

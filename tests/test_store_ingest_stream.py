@@ -12,12 +12,14 @@ D1, D2 = dt.date(1998, 1, 1), dt.date(1998, 1, 2)
 
 
 def test_slice_writes_are_idempotent(spark, tmp_dir):
-    f = spark.createDataFrame([(1, D1, "ASIA"), (2, D1, "EUROPE"), (3, D2, "ASIA")],
-                              "v bigint, transaction_date date, region_code string")
+    f = spark.createDataFrame([(1, D1, "ASIA", 7), (2, D1, "EUROPE", 7), (3, D2, "ASIA", 7)],
+                              "v bigint, transaction_date date, region_code string, load_batch_id bigint")
     path = os.path.join(tmp_dir, "fact")
     store.append_fact(f, path)
-    store.append_fact(f.where("v = 1"), path)        # rerun of one slice
-    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+    store.append_fact(f.where("v = 1"), path)        # rerun of one slice of batch 7: nothing doubles
+    late = spark.createDataFrame([(4, D1, "ASIA", 8)], f.schema)
+    store.append_fact(late, path)                    # a later batch adds to the slice
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4]
 
 
 def test_staging_reload_keeps_loaded_rows(spark, tmp_dir):
