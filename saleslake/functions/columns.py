@@ -30,18 +30,18 @@ def nvl(c: Column | str, default) -> Column:
 
 
 def trim_to_null(c: Column | str) -> Column:
-    """Oracle stores '' as NULL: trim and turn empty strings into NULL."""
+    """The source database stores '' as NULL: trim and turn empty strings into NULL."""
     t = F.trim(col_(c))
     return F.when(t == "", F.lit(None)).otherwise(t)
 
 
 def oracle_concat(*parts: Column | str) -> Column:
-    """Oracle ``a || b``: a NULL part acts as ''."""
+    """Source-database ``a || b``: a NULL part acts as ''."""
     return F.concat(*[F.coalesce(col_(p), F.lit("")) for p in parts])
 
 
 def full_name(first: Column | str = "first_name", last: Column | str = "last_name") -> Column:
-    """FIRST || ' ' || LAST with Oracle NULL rules (keeps the stray space)."""
+    """FIRST || ' ' || LAST with the source database's NULL rules (keeps the stray space)."""
     return oracle_concat(first, F.lit(" "), last)
 
 

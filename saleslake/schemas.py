@@ -45,7 +45,7 @@ ETL_USER = "ETL_PROCESS"
 REGIONS = ("NORTH", "SOUTH", "EAST", "WEST")
 
 # ---------------------------------------------------------------------------
-# Schemas (Spark types for the Oracle columns of the warehouse)
+# Schemas (Spark types for the columns of the source warehouse)
 # ---------------------------------------------------------------------------
 MONEY = T.DecimalType(12, 4)
 QTY = T.DecimalType(8, 2)
