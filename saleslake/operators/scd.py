@@ -47,9 +47,18 @@ def change_class(staged: DataFrame, dim: DataFrame, natural_key: str,
     return j.select(natural_key, cls.alias("change_class"))
 
 
+def _audit(df: DataFrame, cols: list[str], target_types, values: dict) -> DataFrame:
+    """Fill the audit columns a dimension has (created/updated by and date)."""
+    for c, v in values.items():
+        if c in cols:
+            df = df.withColumn(c, F.lit(v).cast(target_types[c]))
+    return df
+
+
 def scd2_merge(dim: DataFrame, staged: DataFrame, *, natural_key: str, key_col: str,
                tracked: dict[str, bool], attrs: tuple[str, ...], load_date: _dt.date,
-               null_policy: str = "sentinel", key_start: int = S.KEY_START) -> DataFrame:
+               null_policy: str = "sentinel", key_start: int = S.KEY_START,
+               run_ts: _dt.datetime | None = None) -> DataFrame:
     """Generic SCD type 2 merge; returns the next snapshot of ``dim``.
 
     * staged key without a current version -> version 1 (or max+1 after history);
@@ -60,8 +69,13 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, natural_key: str, key_col:
     * unchanged, missing or untracked -> untouched.
 
     ``staged`` must hold one row per natural key (the staging primary key).
+    Audit columns present in ``dim`` (``created_by/created_date`` on inserted
+    rows, ``updated_by/updated_date`` on closed rows) take ``run_ts`` -- a
+    parameter, so reruns repeat exactly (default: midnight of ``load_date``).
     """
     cols = dim.columns
+    types = {f.name: f.dataType for f in dim.schema.fields}
+    ts = run_ts or _dt.datetime.combine(load_date, _dt.time())
     cur = dim.where(F.col("is_current") == "Y")
     hist = dim.where(F.col("is_current") != "Y")
     s = staged.select(natural_key, *[F.col(a).alias(f"_s_{a}") for a in attrs],
@@ -79,7 +93,8 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, natural_key: str, key_col:
     untouched = j.where(F.col("_has_cur") & ~F.col("_changed")).select(*cols)
     closed = (j.where(F.col("_changed") & ~F.col("_same_day"))
               .withColumn("valid_to", F.date_sub(F.lit(load_date), 1))
-              .withColumn("is_current", F.lit("N")).select(*cols))
+              .withColumn("is_current", F.lit("N")))
+    closed = _audit(closed, cols, types, {"updated_by": S.ETL_USER, "updated_date": ts}).select(*cols)
     # C11: highest version per natural key, over all versions (one small aggregate)
     maxv = dim.groupBy(natural_key).agg(F.max("version_num").alias("_maxv"))
     ins = (j.where(F.col("_new") | F.col("_changed"))
@@ -94,7 +109,9 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, natural_key: str, key_col:
            .withColumn("is_current", F.lit("Y")))
     start = next_key(dim, key_col, key_start)
     ins = assign_dense_keys(ins, key_col, [F.col(natural_key).asc_nulls_first()], start)
-    ins = ins.select(*[F.col(c).cast(dim.schema[c].dataType) for c in cols])
+    ins = _audit(ins, cols, types, {"created_by": S.ETL_USER, "created_date": ts, "updated_by": None,
+                                    "updated_date": None})
+    ins = ins.select(*[(F.col(c) if c in ins.columns else F.lit(None)).cast(types[c]).alias(c) for c in cols])
     return hist.select(*cols).unionByName(untouched).unionByName(closed).unionByName(ins)
 
 

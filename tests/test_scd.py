@@ -120,3 +120,17 @@ def test_mark_loaded_and_purge(spark):
                                  dim_row(3, 1, "a", "1", ver=3)], DIM)
     kept = sorted(r.dim_product_key for r in scd.purge_expired(dim, D1, 730).collect())
     assert kept == [2, 3]
+
+
+def test_audit_columns_filled_when_present(spark):
+    dim = spark.createDataFrame([dim_row(1000, 1, "a", "10")], DIM).withColumn(
+        "created_by", F.lit("INIT")).withColumn("created_date", F.lit(None).cast("timestamp")) \
+        .withColumn("updated_by", F.lit(None).cast("string")).withColumn("updated_date", F.lit(None).cast("timestamp"))
+    stg = spark.createDataFrame([stg_row(1, "a", "11"), stg_row(2, "b", "1")], STG)
+    ts = dt.datetime(1998, 1, 2, 2, 0)
+    out = scd.scd2_merge(dim, scd.staged_products(stg, D1), natural_key="product_id", key_col="dim_product_key",
+                         tracked=scd.PRODUCT_TRACKED, attrs=scd.PRODUCT_ATTRS, load_date=D1, run_ts=ts)
+    rows = {(r.product_id, r.version_num): r for r in out.collect()}
+    assert (rows[(1, 1)].updated_by, rows[(1, 1)].updated_date, rows[(1, 1)].created_by) == ("ETL_PROCESS", ts, "INIT")
+    assert (rows[(1, 2)].created_by, rows[(1, 2)].created_date, rows[(1, 2)].updated_by) == ("ETL_PROCESS", ts, None)
+    assert rows[(2, 1)].created_by == "ETL_PROCESS"
