@@ -1,0 +1,27 @@
+"""Analyse a user-supplied expression alone, quietly.
+
+Rules come as SQL text; a broken one must be isolated (reported, skipped)
+instead of failing the job.  PySpark logs every analysis error it raises at
+ERROR level; while a rule is being probed that is expected, so the two
+query-context loggers are muted for the duration of the probe only.
+"""
+
+from __future__ import annotations
+
+import logging
+from contextlib import contextmanager
+
+_LOGGERS = ("SQLQueryContextLogger", "DataFrameQueryContextLogger")
+
+
+@contextmanager
+def quiet_analysis_errors():
+    loggers = [logging.getLogger(n) for n in _LOGGERS]
+    before = [lg.disabled for lg in loggers]
+    for lg in loggers:
+        lg.disabled = True
+    try:
+        yield
+    finally:
+        for lg, b in zip(loggers, before):
+            lg.disabled = b

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ._probe import quiet_analysis_errors
 
 # --------------------------------------------------------------------------- J
 DQ_RULE_SCHEMA = T.StructType([
@@ -143,7 +144,8 @@ def run_checks(rules: list[dict], tables: dict[str, DataFrame], date_columns: di
             trial = plan.frame
         try:
             cols = _rule_columns(rule, ref_col)
-            trial.agg(*[c.alias(f"_{i}") for i, c in enumerate(cols)]).schema   # analyse alone
+            with quiet_analysis_errors():
+                trial.agg(*[c.alias(f"_{i}") for i, c in enumerate(cols)]).schema   # analyse alone
         except Exception as e:  # noqa: BLE001 - isolate a broken rule
             errors.append(_error_row(rule, str(e).splitlines()[0][:200], load_date))
             continue

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from ._probe import quiet_analysis_errors
+
 log = logging.getLogger(__name__)
 
 PROTECTED_COLUMNS = ("dim_product_key", "product_id", "valid_from", "valid_to", "is_current",
@@ -58,7 +60,8 @@ def apply_category_rules(dim: DataFrame, rules: DataFrame, load_date: _dt.date,
             continue
         try:
             expr = F.expr(expr_text).cast(dim.schema[target].dataType)
-            out.select(expr.alias("_probe")).schema  # analyse this rule alone
+            with quiet_analysis_errors():
+                out.select(expr.alias("_probe")).schema  # analyse this rule alone
         except (AnalysisException, Exception) as e:  # noqa: BLE001 - parse errors too
             _note(outcomes, r, False, f"skipped: {str(e).splitlines()[0][:200]}")
             continue
