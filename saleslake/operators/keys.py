@@ -41,16 +41,18 @@ def next_key(df: DataFrame | None, key_col: str, start: int) -> int:
     return start if m is None else max(int(m) + 1, start)
 
 
-def assign_dense_keys(df: DataFrame, key_col: str, order_by: list[Column | str],
+def assign_dense_keys(df: DataFrame, key_col: str, order_by: list[Column | str] | None,
                       start: int) -> DataFrame:
-    """Give every row a key ``start, start+1, ...`` following ``order_by``.
-
-    Keys are unique and dense.  With a total order (ties only between rows equal
-    in every column) the result is deterministic.  The partition counts that are
-    brought to the driver have one entry per partition: their size is bounded by
-    the partition count, not by the data.
+    """Give every row a key ``start, start+1, ...``.
+
+    Keys are unique and dense.  With ``order_by`` they follow that order (a
+    range-partitioned sort); with a total order (ties only between rows equal in
+    every column) the keyed result is deterministic.  Without ``order_by`` rows
+    are numbered where they are -- no shuffle, no sort -- which is all a
+    sequence needs.  The partition counts brought to the driver have one entry
+    per partition: bounded by the partition count, not by the data.
     """
-    ordered = _freeze(df.orderBy(*order_by))
+    ordered = _freeze(df.orderBy(*order_by) if order_by else df)
     rid = F.monotonically_increasing_id()
     tagged = ordered.withColumn("_rid", rid)
     counts = (tagged.groupBy(F.shiftrightunsigned("_rid", _POS_BITS).alias("_pid"))

@@ -25,3 +25,9 @@ def test_distributed_rank_matches_window_with_ties_and_hot_group(spark):
     want = df.select("g", "v", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("dr"))
     assert sorted(map(tuple, got.select("g", "v", "r", "dr").collect()), key=str) == \
         sorted(map(tuple, want.collect()), key=str)
+
+
+def test_dense_keys_in_place_are_unique_and_dense(spark):
+    df = spark.range(0, 3000).repartition(7)
+    rows = assign_dense_keys(df, "k", None, 50).collect()
+    assert sorted(r.k for r in rows) == list(range(50, 3050))
