@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from saleslake.plans import fixtures as fx
-from saleslake.plans.run import Sources, Warehouse, bootstrap, run_daily
+from saleslake.plans.run import Sources, Warehouse, bootstrap, run_analytics, run_daily
 from saleslake.sources import store
 from saleslake.sources.tables import Tables
 
@@ -40,3 +40,12 @@ def test_daily_run_is_idempotent(spark, tmp_dir):
     # summary equals the fact it was built from
     tot = spark.read.parquet(wh.fact_daily_sales).agg(F.count(F.lit(1))).first()[0]
     assert spark.read.parquet(wh.regional_summary).agg(F.sum("total_transactions")).first()[0] == tot
+    assert first["fact_rows"] + first["dropped_rows"] == first["staged_rows"]
+    assert first["rejected_rows"] >= 0
+    # analytics of the day, and the empty-day exit
+    assert run_analytics(spark, wh, day) == {"skipped": False}
+    seg = spark.read.parquet(wh.analytics + "/customer_segments")
+    assert seg.columns == ["customer_id", "clv_segment", "churn_risk", "region_code"] and seg.count() > 0
+    ranks = spark.read.parquet(wh.analytics + "/product_rankings")
+    assert ranks.where("revenue_rank < 1").count() == 0 and ranks.count() > 0
+    assert run_analytics(spark, wh, dt.date(1990, 1, 1))["skipped"] is True
