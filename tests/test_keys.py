@@ -31,3 +31,9 @@ def test_dense_keys_in_place_are_unique_and_dense(spark):
     df = spark.range(0, 3000).repartition(7)
     rows = assign_dense_keys(df, "k", None, 50).collect()
     assert sorted(r.k for r in rows) == list(range(50, 3050))
+
+
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], "g string, v int")
+    assert distributed_rank(empty, ["g"], "v").count() == 0
+    assert assign_dense_keys(empty, "k", [F.col("v")], 1).count() == 0

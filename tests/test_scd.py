@@ -134,3 +134,11 @@ def test_audit_columns_filled_when_present(spark):
     assert (rows[(1, 1)].updated_by, rows[(1, 1)].updated_date, rows[(1, 1)].created_by) == ("ETL_PROCESS", ts, "INIT")
     assert (rows[(1, 2)].created_by, rows[(1, 2)].created_date, rows[(1, 2)].updated_by) == ("ETL_PROCESS", ts, None)
     assert rows[(2, 1)].created_by == "ETL_PROCESS"
+
+
+def test_first_load_into_empty_dimension(spark):
+    dim = spark.createDataFrame([], DIM)
+    stg = spark.createDataFrame([stg_row(2, "b", "1"), stg_row(1, "a", "2")], STG)
+    out = sorted(scd.load_dim_product(dim, stg, D1).collect(), key=lambda r: r.product_id)
+    assert [(r.dim_product_key, r.product_id, r.version_num, r.is_current) for r in out] == \
+        [(1000, 1, 1, "Y"), (1001, 2, 1, "Y")]

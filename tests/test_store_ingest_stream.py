@@ -3,7 +3,6 @@ import os
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from saleslake.sources import ingest, store
 from saleslake.streaming import incremental
