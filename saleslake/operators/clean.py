@@ -77,7 +77,7 @@ def scan_transactions(src: DataFrame, load_date=None, region=None,
     """A2 + B4: the graph's own parameterised scan of the source: date, region,
     ``status = COMPLETED``, quantity > 0 -> ``stg_sales_record`` (13 fields)."""
     d = F.col("txn_datetime").cast("date")
-    pred = (_slice_filter(d, F.col("store_region_cd"), load_date, region)
+    pred = (_slice_filter(d, C.normalise_region("store_region_cd"), load_date, region)
             & (F.col("txn_status_cd") == status) & (F.col("sold_qty") > 0))
     return src.where(pred).select(
         F.col("txn_id").alias("transaction_id"),

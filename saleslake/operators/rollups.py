@@ -13,6 +13,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..functions import columns as C
 from .keys import distributed_rank, freeze
 
@@ -121,7 +122,7 @@ def daily_summary(fact: DataFrame, ytd_by_year: bool = False) -> DataFrame:
 
 
 def customer_segments(stg_customer: DataFrame, ytd: DataFrame, load_date: _dt.date,
-                      staleness_days: int = 7) -> DataFrame:
+                      staleness_days: int = S.STALENESS_DAYS) -> DataFrame:
     """B16 + B17 + B23 + C8: value segment and churn risk of recently staged
     customers, beside their year-to-date spend."""
     recent = stg_customer.where(F.col("load_date") >= F.date_sub(F.lit(load_date), staleness_days))
