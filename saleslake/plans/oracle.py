@@ -601,3 +601,4 @@ CHECK_SQL["summary_refresh"] = CHECK_SQL["regional_summary"]
 CHECK_SQL["dq_result_sink"] = CHECK_SQL["dq_results"]
 CHECK_SQL["analytical_outputs"] = """
 SELECT customer_id, clv_segment, churn_risk, region_code FROM (""" + CHECK_SQL["customer_segments"] + ") s"
+CHECK_SQL["incremental_load"] = CHECK_SQL["fact_load"]

@@ -109,3 +109,8 @@ OPERATORS += [
     ("a13", "summary_refresh", None),
     ("a14", "dq_result_sink", None),
 ]
+
+OPERATORS += [
+    ("b18", "scd2_customer", ["customer_id", "full_name", "is_current", "version_num"]),
+    ("k1", "incremental_load", None),
+]

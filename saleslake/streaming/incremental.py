@@ -39,19 +39,22 @@ def incremental_load(spark: SparkSession, landing_dir: str, schema: T.StructType
     return len(batches)
 
 
-def fact_and_summary(fact_path: str, summary_path: str, fact_of: Callable[[DataFrame], DataFrame]):
+def fact_and_summary(fact_path: str, summary_path: str | None, fact_of: Callable[[DataFrame], DataFrame]):
     """A batch function: staged rows -> fact rows -> touched summary slices.
 
     * the batch's facts go to ``fact_path/batch_epoch=<epoch>`` (dynamic
       overwrite): a replayed epoch rewrites its own folder, nothing doubles;
     * the regional summary of every (date, region) the batch touched is
       recomputed from the whole fact table and refreshed by slice, so a slice
-      whose rows arrive over several files is always complete.
+      whose rows arrive over several files is always complete (skipped when
+      ``summary_path`` is None).
     """
     def process(batch: DataFrame, epoch: int) -> None:
         facts = fact_of(batch).withColumn("batch_epoch", F.lit(epoch).cast("bigint"))
         facts.write.option("partitionOverwriteMode", "dynamic").mode("overwrite") \
             .partitionBy("batch_epoch").parquet(fact_path)
+        if summary_path is None:
+            return
         spark = batch.sparkSession
         touched = (spark.read.parquet(fact_path).where(F.col("batch_epoch") == epoch)
                    .select("transaction_date", "region_code").distinct())
