@@ -35,7 +35,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that is always
-    used.  Only when nothing is set (local tests) a private folder is created.
+    used.  Only in local mode with nothing set (tests) a private folder is
+    created; on a cluster a missing setting is an error, never a silent
+    machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,7 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="saleslake-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by all executors "
+                               "(HDFS/object store) for reliable checkpoints")
+        configured = tempfile.mkdtemp(prefix="saleslake-ckpt-")   # local mode (tests) only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
