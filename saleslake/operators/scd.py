@@ -76,8 +76,9 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, natural_key: str, key_col:
     cols = dim.columns
     types = {f.name: f.dataType for f in dim.schema.fields}
     ts = run_ts or _dt.datetime.combine(load_date, _dt.time())
-    cur = dim.where(F.col("is_current") == "Y")
-    hist = dim.where(F.col("is_current") != "Y")
+    is_cur = F.coalesce(F.col("is_current") == "Y", F.lit(False))
+    cur = dim.where(is_cur)
+    hist = dim.where(~is_cur)                      # every other row, NULL flags included
     s = staged.select(natural_key, *[F.col(a).alias(f"_s_{a}") for a in attrs],
                       F.lit(True).alias("_staged"))
     # one full outer join: current versions x staged rows
@@ -99,7 +100,8 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, natural_key: str, key_col:
     maxv = dim.groupBy(natural_key).agg(F.max("version_num").alias("_maxv"))
     ins = (j.where(F.col("_new") | F.col("_changed"))
            .select(natural_key, *[F.col(f"_s_{a}").alias(a) for a in attrs],
-                   F.col("_same_day"), F.col("version_num").alias("_cur_version"))
+                   F.col("_same_day"), F.col("version_num").alias("_cur_version"),
+                   F.col(key_col).alias("_cur_key"))
            .join(maxv, natural_key, "left")
            .withColumn("version_num",
                        F.when(F.col("_same_day"), F.col("_cur_version"))
@@ -107,8 +109,13 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, natural_key: str, key_col:
            .withColumn("valid_from", F.lit(load_date))
            .withColumn("valid_to", F.lit(S.HIGH_DATE))
            .withColumn("is_current", F.lit("Y")))
+    # a same-day replacement keeps its key (facts of the day may already use it);
+    # every other inserted version draws the next keys of the sequence
     start = next_key(dim, key_col, key_start)
-    ins = assign_dense_keys(ins, key_col, [F.col(natural_key).asc_nulls_first()], start)
+    fresh = assign_dense_keys(ins.where(~F.col("_same_day")), key_col,
+                              [F.col(natural_key).asc_nulls_first()], start)
+    replaced = ins.where(F.col("_same_day")).withColumn(key_col, F.col("_cur_key"))
+    ins = fresh.unionByName(replaced)
     ins = _audit(ins, cols, types, {"created_by": S.ETL_USER, "created_date": ts, "updated_by": None,
                                     "updated_date": None})
     ins = ins.select(*[(F.col(c) if c in ins.columns else F.lit(None)).cast(types[c]).alias(c) for c in cols])

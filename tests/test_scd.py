@@ -82,6 +82,8 @@ def test_same_day_second_change_replaces_version(spark):
     rows = sorted(second.collect(), key=lambda r: r.version_num)
     assert [(r.version_num, r.is_current, str(r.list_price)) for r in rows] == \
         [(1, "N", "10.0000"), (2, "Y", "12.0000")]
+    first_key = first.where("is_current = 'Y'").first().dim_product_key
+    assert rows[1].dim_product_key == first_key          # replaced in place: same key
     _invariants(second)
 
 
@@ -142,3 +144,9 @@ def test_first_load_into_empty_dimension(spark):
     out = sorted(scd.load_dim_product(dim, stg, D1).collect(), key=lambda r: r.product_id)
     assert [(r.dim_product_key, r.product_id, r.version_num, r.is_current) for r in out] == \
         [(1000, 1, 1, "Y"), (1001, 2, 1, "Y")]
+
+
+def test_null_current_flag_rows_are_kept(spark):
+    dim = spark.createDataFrame([dim_row(1000, 1, "a", "10"), dim_row(999, 1, "z", "9", cur=None)], DIM)
+    out = scd.load_dim_product(dim, spark.createDataFrame([stg_row(1, "a", "10")], STG), D1)
+    assert sorted(r.dim_product_key for r in out.collect()) == [999, 1000]
