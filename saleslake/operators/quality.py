@@ -282,6 +282,19 @@ def day_ratio_gate(fact: DataFrame, min_rows: int = S.MIN_ROWS_PER_SLICE,
                     F.when(ok, "Y").otherwise("N").alias("gate_passed"))
 
 
+def source_availability(src_sales: DataFrame, load_date: _dt.date | None = None) -> DataFrame:
+    """D8 pre-check: source rows per business day (one day when ``load_date``
+    is given).  A day with no row is reported with 0 rows and not available."""
+    d = F.col("txn_datetime").cast("date")
+    src = src_sales if load_date is None else src_sales.where(d == F.lit(load_date))
+    counts = src.groupBy(d.alias("business_date")).agg(F.count(F.lit(1)).cast("bigint").alias("source_rows"))
+    if load_date is not None:   # the requested day appears even when the source has nothing for it
+        day = src_sales.sparkSession.createDataFrame([(load_date,)], "business_date date")
+        counts = day.join(counts, "business_date", "left").select(
+            "business_date", F.coalesce("source_rows", F.lit(0)).cast("bigint").alias("source_rows"))
+    return counts.withColumn("available", F.when(F.col("source_rows") > 0, "Y").otherwise("N"))
+
+
 def audit_counts(rollup: DataFrame) -> DataFrame:
     """A10: rollup rows written per region and day (the audit log's count)."""
     return (rollup.groupBy("region_code", "summary_date")

@@ -185,6 +185,10 @@ def row_count_gate(t: Tables) -> DataFrame:
     return quality.row_count_gate(pending(t), fact(t))
 
 
+def source_availability(t: Tables) -> DataFrame:
+    return quality.source_availability(fx.sales_txn(t))
+
+
 def day_ratio_gate(t: Tables) -> DataFrame:
     return quality.day_ratio_gate(fact(t))
 
@@ -375,6 +379,7 @@ CHECKS = {
     "summary_refresh": summary_refresh,
     "dq_result_sink": dq_result_sink,
     "incremental_load": incremental_load,
+    "source_availability": source_availability,
 }
 
 

@@ -602,3 +602,8 @@ CHECK_SQL["dq_result_sink"] = CHECK_SQL["dq_results"]
 CHECK_SQL["analytical_outputs"] = """
 SELECT customer_id, clv_segment, churn_risk, region_code FROM (""" + CHECK_SQL["customer_segments"] + ") s"
 CHECK_SQL["incremental_load"] = CHECK_SQL["fact_load"]
+CHECK_SQL["source_availability"] = """
+SELECT CAST(txn_datetime AS DATE) AS business_date, CAST(COUNT(*) AS BIGINT) AS source_rows,
+       CASE WHEN COUNT(*) > 0 THEN 'Y' ELSE 'N' END AS available
+FROM sales_txn GROUP BY CAST(txn_datetime AS DATE)
+"""

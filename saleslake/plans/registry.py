@@ -114,3 +114,7 @@ OPERATORS += [
     ("b18", "scd2_customer", ["customer_id", "full_name", "is_current", "version_num"]),
     ("k1", "incremental_load", None),
 ]
+
+OPERATORS += [
+    ("d8", "source_availability", None),
+]

@@ -64,6 +64,10 @@ def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.d
     bid = batch_id if batch_id is not None else int(load_date.strftime("%Y%m%d"))
     run_ts = run_ts or _dt.datetime.combine(load_date + _dt.timedelta(days=1), _dt.time(2, 0))
 
+    # 0. pre-check (D8): no source rows for the day -> a successful no-op (batch mode)
+    if quality.source_availability(src.sales_txn, load_date).first()["available"] != "Y":
+        return {"batch_id": bid, "skipped": True, "reason": "no source rows for the load date"}
+
     # 1. extract the slice into staging (A12: PENDING replaced, LOADED kept)
     store.reload_staging(spark, clean.extract_sales(src.sales_txn, load_date, region, bid), wh.stg_sales)
 

@@ -49,3 +49,5 @@ def test_daily_run_is_idempotent(spark, tmp_dir):
     ranks = spark.read.parquet(wh.analytics + "/product_rankings")
     assert ranks.where("revenue_rank < 1").count() == 0 and ranks.count() > 0
     assert run_analytics(spark, wh, dt.date(1990, 1, 1))["skipped"] is True
+    # pre-check: a day without source rows is a no-op
+    assert run_daily(spark, wh, src, dt.date(1990, 1, 1))["skipped"] is True

@@ -44,7 +44,7 @@ IMPL = {
     "D1": "operators/rollups.py `regional_summary`", "D2": "operators/rollups.py `category_rollup`",
     "D3": "operators/rollups.py `category_rollup`", "D4": "operators/rollups.py `product_performance`",
     "D5": "operators/rollups.py `daily_summary`", "D6": "operators/joins.py `ytd_spend`",
-    "D7": "operators/quality.py `staging_metrics`", "D8": "operators/quality.py `row_count_gate`; plans/run.py",
+    "D7": "operators/quality.py `staging_metrics`", "D8": "operators/quality.py `row_count_gate`, `source_availability`; plans/run.py",
     "D9": "operators/quality.py `day_ratio_gate`", "D10": "operators/quality.py `_rule_columns` (`count_if`)",
     "D11": "operators/rollups.py `distinct_suppliers`",
     "E1": "operators/keys.py `distributed_rank`", "E2": "operators/keys.py `distributed_rank`",
