@@ -33,7 +33,7 @@ def extract_predicate(src: DataFrame, load_date=None, region=None) -> Column:
     A NULL status fails NOT IN, as in SQL."""
     return (_slice_filter(F.col("txn_datetime").cast("date"), C.normalise_region("store_region_cd"),
                           load_date, region)
-            & ~F.col("txn_status_cd").isin(*S.EXCLUDED_STATUSES)
+            & ~C.trim_to_null("txn_status_cd").isin(*S.EXCLUDED_STATUSES)
             & (F.col("sold_qty") > 0)
             & (F.col("unit_sell_price") >= 0))
 
@@ -42,6 +42,10 @@ def extract_sales(src: DataFrame, load_date: _dt.date | None = None, region: str
                   batch_id: int | None = None) -> DataFrame:
     """B1 + B2 + B3 + B20: source transactions -> staging rows (PENDING).
 
+    Text columns are trimmed and blank text becomes NULL (the source database
+    stores '' as NULL), so a blank currency defaults to GBP and a blank status
+    fails NOT IN like a NULL one.
+
     With ``load_date=None`` every day is extracted as its own slice: load date,
     batch id (yyyymmdd) and source tag are taken per slice.  The region code is
     normalised once here (upper/trim), so every later step compares clean codes.
@@ -61,9 +65,9 @@ def extract_sales(src: DataFrame, load_date: _dt.date | None = None, region: str
                 C.nvl("disc_amount", F.lit(0).cast("decimal(12,4)")).alias("discount_amt"),
                 C.discount_pct("disc_amount", "unit_sell_price").alias("discount_pct"),
                 region_code.alias("region_code"),
-                C.nvl("currency", S.DEFAULT_CURRENCY).alias("currency_code"),
-                F.col("payment_type_cd").alias("payment_method"),
-                F.col("terminal_ref").alias("pos_terminal_id"),
+                C.nvl(C.trim_to_null("currency"), S.DEFAULT_CURRENCY).alias("currency_code"),
+                C.trim_to_null("payment_type_cd").alias("payment_method"),
+                C.trim_to_null("terminal_ref").alias("pos_terminal_id"),
                 slice_date.alias("load_date"),
                 (F.lit(batch_id).cast("bigint") if batch_id is not None
                  else C.batch_id_of(slice_date)).alias("load_batch_id"),
@@ -78,7 +82,7 @@ def scan_transactions(src: DataFrame, load_date=None, region=None,
     ``status = COMPLETED``, quantity > 0 -> ``stg_sales_record`` (13 fields)."""
     d = F.col("txn_datetime").cast("date")
     pred = (_slice_filter(d, C.normalise_region("store_region_cd"), load_date, region)
-            & (F.col("txn_status_cd") == status) & (F.col("sold_qty") > 0))
+            & (C.trim_to_null("txn_status_cd") == status) & (F.col("sold_qty") > 0))
     return src.where(pred).select(
         F.col("txn_id").alias("transaction_id"),
         F.col("cust_id").alias("customer_id"),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.columns import trim_to_null
 
 LOOKUP_COLUMNS = ("product_id", "product_code", "product_name", "category_code",
                   "subcategory_code", "list_price", "is_current", "valid_from", "valid_to")
@@ -85,11 +86,11 @@ def customer_source(src_customer: DataFrame, loyalty: DataFrame, buyers: DataFra
             .join(loyalty, "cust_id", "left")
             .select(
                 F.col("cust_id").alias("customer_id"),
-                F.col("cust_ref_cd").alias("customer_code"),
-                F.col("first_nm").alias("first_name"),
-                F.col("last_nm").alias("last_name"),
-                F.lower("email_addr").alias("email"),
-                F.col("mobile_phone").alias("phone"),
+                trim_to_null("cust_ref_cd").alias("customer_code"),
+                trim_to_null("first_nm").alias("first_name"),
+                trim_to_null("last_nm").alias("last_name"),
+                F.lower(trim_to_null("email_addr")).alias("email"),
+                trim_to_null("mobile_phone").alias("phone"),
                 F.col("home_region_cd").alias("region_code"),
                 F.coalesce(F.col("tier_cd"), F.lit(S.DEFAULT_LOYALTY_TIER)).alias("loyalty_tier"),
                 F.col("lifetime_spend").alias("lifetime_value"),

@@ -20,14 +20,14 @@ SELECT txn_id AS transaction_id, cust_id AS customer_id, prod_id AS product_id,
                  // (2 * CAST(unit_sell_price * 10000 AS BIGINT)) AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(5,2))
             ELSE CAST(0 AS DECIMAL(5,2)) END AS discount_pct,
        upper(trim(store_region_cd)) AS region_code,
-       COALESCE(currency, 'GBP') AS currency_code,
-       payment_type_cd AS payment_method, terminal_ref AS pos_terminal_id,
+       COALESCE(NULLIF(trim(currency), ''), 'GBP') AS currency_code,
+       NULLIF(trim(payment_type_cd), '') AS payment_method, NULLIF(trim(terminal_ref), '') AS pos_terminal_id,
        CAST(txn_datetime AS DATE) AS load_date,
        CAST(strftime(CAST(txn_datetime AS DATE), '%Y%m%d') AS BIGINT) AS load_batch_id,
        upper(trim(store_region_cd)) || '_txn_' || strftime(CAST(txn_datetime AS DATE), '%Y-%m-%d') AS source_file_name,
        'PENDING' AS etl_status
 FROM sales_txn
-WHERE txn_status_cd NOT IN ('VOID', 'CANCELLED', 'TEST') AND sold_qty > 0 AND unit_sell_price >= 0),
+WHERE NULLIF(trim(txn_status_cd), '') NOT IN ('VOID', 'CANCELLED', 'TEST') AND sold_qty > 0 AND unit_sell_price >= 0),
 pending AS (SELECT * FROM staged WHERE etl_status = 'PENDING'),
 valid AS (SELECT * FROM pending WHERE COALESCE(quantity > 0 AND unit_price > 0 AND product_id IS NOT NULL, false)),
 rejects AS (SELECT * FROM pending WHERE NOT COALESCE(quantity > 0 AND unit_price > 0 AND product_id IS NOT NULL, false)),
@@ -73,8 +73,10 @@ buyers AS (
 SELECT cust_id, max(txn_datetime) AS last_purchase_date FROM sales_txn
 WHERE CAST(txn_datetime AS DATE) <= DATE '1998-01-01' GROUP BY cust_id),
 cust_src AS (
-SELECT c.cust_id AS customer_id, c.cust_ref_cd AS customer_code, c.first_nm AS first_name, c.last_nm AS last_name,
-       lower(c.email_addr) AS email, c.mobile_phone AS phone, c.home_region_cd AS region_code,
+SELECT c.cust_id AS customer_id, NULLIF(trim(c.cust_ref_cd), '') AS customer_code,
+       NULLIF(trim(c.first_nm), '') AS first_name, NULLIF(trim(c.last_nm), '') AS last_name,
+       lower(NULLIF(trim(c.email_addr), '')) AS email, NULLIF(trim(c.mobile_phone), '') AS phone,
+       c.home_region_cd AS region_code,
        COALESCE(lp.tier_cd, 'STANDARD') AS loyalty_tier, lp.lifetime_spend AS lifetime_value,
        c.reg_date AS registration_date, b.last_purchase_date, DATE '1998-01-01' AS load_date
 FROM src_customer c JOIN buyers b ON b.cust_id = c.cust_id LEFT JOIN loyalty_profile lp ON lp.cust_id = c.cust_id),
@@ -187,7 +189,7 @@ SELECT txn_id AS transaction_id, cust_id AS customer_id, prod_id AS product_id,
             ELSE CAST(0 AS DECIMAL(5,2)) END AS DOUBLE) AS discount_pct,
        store_region_cd AS region_code, currency AS currency_code, payment_type_cd AS payment_method,
        CAST(strftime(CAST(txn_datetime AS DATE), '%Y%m%d') AS BIGINT) AS load_batch_id
-FROM sales_txn WHERE txn_status_cd = 'COMPLETED' AND sold_qty > 0
+FROM sales_txn WHERE NULLIF(trim(txn_status_cd), '') = 'COMPLETED' AND sold_qty > 0
 """
 
 CHECK_SQL["dim_product_current"] = """

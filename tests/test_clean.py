@@ -20,7 +20,7 @@ def row(i, status="COMPLETED", qty="1", price="10", disc="1", region=" asia ", p
 
 def test_extract_filters_and_defaults(spark):
     rows = [row(1), row(2, status="VOID"), row(3, status=None), row(4, qty="0"), row(5, price="-1"),
-            row(6, price="0", disc=None), row(7, status="TEST")]
+            row(6, price="0", disc=None), row(7, status="TEST"), row(8, status="  "), row(9, status=" VOID ")]
     out = {r.transaction_id: r for r in clean.extract_sales(src(spark, rows)).collect()}
     assert sorted(out) == [1, 6]
     r = out[1]
