@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..operators import clean, fact as factop, joins, quality, rollups, rules, scd
 from ..operators.keys import freeze, next_key
-from ..sources import store
+from ..sources import ingest, store
 
 
 @dataclass
@@ -58,6 +58,34 @@ def bootstrap(spark: SparkSession, wh: Warehouse, *, dim_product: DataFrame, dim
         store.write_snapshot(spark, df, table)
 
 
+def load_product_master(spark: SparkSession, wh: Warehouse, csv_path: str, load_date: _dt.date,
+                        max_rejected: int = S.MAX_REJECTED_ROWS) -> dict:
+    """A4 + A5: the day's product master file -> ``stg_product`` slice of the
+    load date (rerun-safe), bad lines kept under ``errors/product_master``.
+    Fails above ``max_rejected`` bad rows; warns when fewer rows were staged
+    than the file holds."""
+    res = ingest.ingest_product_csv(spark, csv_path, load_date, max_rejected)
+    store.write_slices(res.good, wh.stg_product, ("load_date",))
+    if res.bad_rows:
+        res.bad.write.mode("overwrite").text(
+            os.path.join(wh.errors, "product_master", f"load_date={load_date.isoformat()}"))
+    staged = spark.read.parquet(wh.stg_product).where(F.col("load_date") == F.lit(load_date)).count()
+    return {**ingest.reconcile_file(spark, csv_path, staged), "bad_rows": res.bad_rows}
+
+
+def staged_products_of(spark: SparkSession, wh: Warehouse, load_date: _dt.date) -> DataFrame:
+    """The product master slice of a load date (partition-pruned read)."""
+    return spark.read.parquet(wh.stg_product).where(F.col("load_date") == F.lit(load_date))
+
+
+def purge_dimension(spark: SparkSession, table: str, as_of: _dt.date,
+                    retention_days: int = S.RETENTION_DAYS) -> int:
+    """I7 on a stored dimension: the next snapshot without the closed versions
+    that ended before ``as_of - retention_days``.  Returns the new version."""
+    return store.write_snapshot(spark, scd.purge_expired(store.read_snapshot(spark, table), as_of,
+                                                         retention_days), table)
+
+
 def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.date,
               region: str | None = None, batch_id: int | None = None,
               run_ts: _dt.datetime | None = None) -> dict:

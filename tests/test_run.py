@@ -51,3 +51,27 @@ def test_daily_run_is_idempotent(spark, tmp_dir):
     assert run_analytics(spark, wh, dt.date(1990, 1, 1))["skipped"] is True
     # pre-check: a day without source rows is a no-op
     assert run_daily(spark, wh, src, dt.date(1990, 1, 1))["skipped"] is True
+
+
+def test_product_master_load_and_purge(spark, tmp_dir):
+    import os
+    from saleslake.plans.run import load_product_master, purge_dimension, staged_products_of
+    wh = Warehouse(tmp_dir)
+    p = os.path.join(tmp_dir, "product_master_19980101.csv")
+    with open(p, "w") as fh:
+        fh.write("product_id,product_code,product_name,category_code,subcategory_code,supplier_id,cost_price,"
+                 "list_price,tax_class_code,weight_kg,is_active,effective_date,expiry_date\n"
+                 "1,P1,Ball,TOYS,T1,3,1.5,2.5,,0.2,Y,1998-01-01,\n"
+                 "2,P2,Bat,TOYS,T1,3,1.5,2.5,,0.2,Y,1998-01-01,\n"
+                 "x,P3,Bad,TOYS,T1,3,1,2,,1,Y,1998-01-01,\n")
+    d = dt.date(1998, 1, 1)
+    rep = load_product_master(spark, wh, p, d)
+    assert rep == {"file_rows": 3, "staged_rows": 2, "short": True, "bad_rows": 1}
+    assert load_product_master(spark, wh, p, d)["staged_rows"] == 2          # rerun replaces the slice
+    assert staged_products_of(spark, wh, d).count() == 2
+    t = Tables(spark, SF)
+    store.write_snapshot(spark, fx.dim_product(t), wh.dim_product)
+    before = store.read_snapshot(spark, wh.dim_product).count()
+    assert purge_dimension(spark, wh.dim_product, d) == 2
+    after = store.read_snapshot(spark, wh.dim_product)
+    assert after.where("is_current = 'N'").count() == 0 and after.count() < before
