@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,18 +25,53 @@ def _dynamic(df: DataFrame):
     return df.write.option("partitionOverwriteMode", "dynamic")
 
 
+# AQE packs shuffle partitions up to at least this size (default 1 MB) before a
+# slice write.  A slice write costs per file as well as per byte, so many small
+# slices need more than one or two writer tasks; at scale the advisory size
+# (hundreds of MB) governs and this floor has no effect.
+_WRITE_MIN_PARTITION = "64k"
+
+
+@contextmanager
+def _write_partition_floor(spark: SparkSession):
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, _WRITE_MIN_PARTITION)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything exists at ``path`` (a file-system metadata call on the driver)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
 def write_slices(df: DataFrame, path: str, partition_by=("transaction_date", "region_code"),
                  fmt: str = "parquet", **options) -> None:
     """Write rows partitioned by slice; existing slices not in ``df`` stay.
 
     ``rebalance`` on the slice columns sends each slice to one writer task (one
     file per slice instead of one per task and slice) while AQE still splits a
-    hot slice over several tasks and packs small slices together."""
+    hot slice over several tasks and packs small slices together.
+
+    A table that does not exist yet is written with a plain append: there is no
+    slice to keep, and dynamic overwrite would only add a staging folder and one
+    rename per slice (a copy per file on object stores) to a first backfill."""
+    spark = df.sparkSession
     df = df.hint("rebalance", *partition_by)
-    w = _dynamic(df).mode("overwrite").partitionBy(*partition_by)
+    w = (df.write.mode("append") if not path_exists(spark, path)
+         else _dynamic(df).mode("overwrite"))
+    w = w.partitionBy(*partition_by)
     for k, v in options.items():
         w = w.option(k, v)
-    w.format(fmt).save(path)
+    with _write_partition_floor(spark):
+        w.format(fmt).save(path)
 
 
 def write_delimited(df: DataFrame, path: str, partition_by=("transaction_date", "region_code")) -> None:
