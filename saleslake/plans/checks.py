@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..operators import clean, fact as factop, joins, quality, rollups, rules, scd
 from ..session import scratch_path
-from ..sources import store
+from ..sources import ingest, store
 from ..sources.tables import Tables
 from . import fixtures as fx
 
@@ -309,6 +309,28 @@ def dq_result_sink(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+def _product_master_csv(t: Tables) -> tuple[str, ingest.CsvIngest]:
+    """The product master written as CSV part files (one header each) under
+    the shared scratch folder, then parsed by the A4 reader."""
+    path = scratch_path(t.spark, "product_master")
+    (fx.product_master_file(t).write.option("header", "true")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+     .csv(path))
+    return path, ingest.parse_product_csv(t.spark, path, LOAD_DATE)
+
+
+def product_master_csv(t: Tables) -> DataFrame:
+    """A4: the good rows of the product master file (bad lines go to their own
+    channel; the 50-row limit is reported by ``product_file_reconcile``)."""
+    return _product_master_csv(t)[1].good
+
+
+def product_file_reconcile(t: Tables) -> DataFrame:
+    """A5: file lines against rows staged and rejected."""
+    path, res = _product_master_csv(t)
+    return ingest.reconciliation(t.spark, path, res)
+
+
 def incremental_load(t: Tables) -> DataFrame:
     """K1: staged rows arrive in two drops (before / from the load date) in a
     landing folder; each ``availableNow`` run consumes only new files and
@@ -371,6 +393,8 @@ CHECKS = {
     "audit_pk": audit_pk,
     "audit_fk": audit_fk,
     "entry": entry,
+    "product_master_csv": product_master_csv,
+    "product_file_reconcile": product_file_reconcile,
     "reject_sink": reject_sink,
     "unmatched_sink": unmatched_sink,
     "fact_append": fact_append,

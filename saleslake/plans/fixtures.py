@@ -109,6 +109,30 @@ def stg_product(t: Tables, load_date: _dt.date = LOAD_DATE) -> DataFrame:
     )
 
 
+def product_master_file(t: Tables, load_date: _dt.date = LOAD_DATE) -> DataFrame:
+    """The product master as the CSV rows a supplier would send (every part,
+    all values as text, columns in file order): the staged product of
+    ``stg_product`` with an unparseable product id every 499th product (a bad
+    row), a padded name every 19th and a blank active flag every 23rd."""
+    sp = stg_product(t, load_date)
+    pid = F.col("product_id").cast("string")
+    return sp.select(
+        F.when(F.col("product_id") % 499 == 0, F.concat(F.lit("x"), pid)).otherwise(pid).alias("product_id"),
+        "product_code",
+        F.when(F.col("product_id") % 19 == 0, F.concat(F.lit("  "), "product_name", F.lit(" ")))
+         .otherwise(F.col("product_name")).alias("product_name"),
+        "category_code", "subcategory_code",
+        F.col("supplier_id").cast("string").alias("supplier_id"),
+        F.col("cost_price").cast("string").alias("cost_price"),
+        F.col("list_price").cast("string").alias("list_price"),
+        "tax_class_code",
+        F.lit(None).cast("string").alias("weight_kg"),
+        F.when(F.col("product_id") % 23 == 0, F.lit(" ")).otherwise(F.col("is_active")).alias("is_active"),
+        F.lit(load_date.isoformat()).alias("effective_date"),
+        F.lit(None).cast("string").alias("expiry_date"),
+    )
+
+
 def dim_product(t: Tables) -> DataFrame:
     """Product dimension before the load: every 11th product missing, every 5th
     has a closed version 1 and an open version 2."""

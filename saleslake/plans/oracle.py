@@ -609,3 +609,20 @@ SELECT CAST(txn_datetime AS DATE) AS business_date, CAST(COUNT(*) AS BIGINT) AS
        CASE WHEN COUNT(*) > 0 THEN 'Y' ELSE 'N' END AS available
 FROM sales_txn GROUP BY CAST(txn_datetime AS DATE)
 """
+
+# A4 / A5: the product master file derived from part (see fixtures.product_master_file)
+CHECK_SQL["product_master_csv"] = """
+SELECT product_id, product_code, product_name, category_code, subcategory_code, supplier_id,
+       CAST(cost_price AS DOUBLE) AS cost_price, CAST(list_price AS DOUBLE) AS list_price, tax_class_code,
+       CAST(NULL AS DOUBLE) AS weight_kg,
+       CASE WHEN product_id % 23 = 0 THEN 'Y' ELSE is_active END AS is_active,
+       DATE '1998-01-01' AS effective_date, CAST(NULL AS DATE) AS expiry_date, DATE '1998-01-01' AS load_date
+FROM stg_product WHERE product_id % 499 <> 0
+"""
+CHECK_SQL["product_file_reconcile"] = """
+SELECT CAST(COUNT(*) AS BIGINT) AS file_rows, CAST(count_if(p_partkey % 499 <> 0) AS BIGINT) AS staged_rows,
+       CAST(count_if(p_partkey % 499 = 0) AS BIGINT) AS bad_rows,
+       CASE WHEN count_if(p_partkey % 499 <> 0) < COUNT(*) THEN 'Y' ELSE 'N' END AS short_load,
+       CASE WHEN count_if(p_partkey % 499 = 0) <= 50 THEN 'Y' ELSE 'N' END AS accepted
+FROM part
+"""

@@ -118,3 +118,8 @@ OPERATORS += [
 OPERATORS += [
     ("d8", "source_availability", None),
 ]
+
+OPERATORS += [
+    ("a4", "product_master_csv", None),
+    ("a5", "product_file_reconcile", None),
+]

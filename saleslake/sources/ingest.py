@@ -62,15 +62,14 @@ class CsvIngest:
     good_rows: int
 
 
-def ingest_product_csv(spark: SparkSession, path: str, load_date: _dt.date,
-                       max_rejected: int = S.MAX_REJECTED_ROWS) -> CsvIngest:
-    """A4: ``product_master_<yyyymmdd>.csv`` -> (good rows, bad lines).
+def parse_product_csv(spark: SparkSession, path: str, load_date: _dt.date) -> CsvIngest:
+    """A4: ``product_master_<yyyymmdd>.csv`` (a file or a folder of part files)
+    -> (good rows, bad lines) and their counts; no limit is applied here.
 
     Malformed rows (bad values, too few or too many fields) land in ``_bad``.
     The parsed frame is frozen with a reliable checkpoint first: Spark refuses
     a query on the corrupt-record column alone, and both outputs must come from
-    the same parse.  More than ``max_rejected`` bad rows fails the load; below
-    that the partial load is accepted.
+    the same parse.
     """
     ensure_checkpoint_dir(spark)
     schema = T.StructType(PRODUCT_CSV_SCHEMA.fields + [T.StructField("_bad", T.StringType())])
@@ -85,19 +84,45 @@ def ingest_product_csv(spark: SparkSession, path: str, load_date: _dt.date,
             .withColumn("load_date", F.lit(load_date)))
     counts = parsed.agg(F.count_if(F.col("_bad").isNotNull()).alias("b"),
                         F.count_if(F.col("_bad").isNull()).alias("g")).first()
-    if counts["b"] > max_rejected:
-        raise TooManyRejectedRows(f"{counts['b']} rejected rows > {max_rejected}")
-    if counts["b"]:
-        log.warning("%d product rows rejected", counts["b"])
     return CsvIngest(good, bad, int(counts["b"]), int(counts["g"]))
 
 
+def ingest_product_csv(spark: SparkSession, path: str, load_date: _dt.date,
+                       max_rejected: int = S.MAX_REJECTED_ROWS) -> CsvIngest:
+    """A4 with its limit: more than ``max_rejected`` bad rows fails the load;
+    below that the partial load is accepted."""
+    res = parse_product_csv(spark, path, load_date)
+    if res.bad_rows > max_rejected:
+        raise TooManyRejectedRows(f"{res.bad_rows} rejected rows > {max_rejected}")
+    if res.bad_rows:
+        log.warning("%d product rows rejected", res.bad_rows)
+    return res
+
+
+def _file_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Non-blank data lines of a CSV file or folder: one header line per file
+    is not a data line."""
+    return (spark.read.text(path).where(F.length(F.trim("value")) > 0)
+            .agg((F.count(F.lit(1)) - F.count_distinct(F.col("_metadata.file_path"))).alias("file_rows")))
+
+
 def reconcile_file(spark: SparkSession, path: str, staged_rows: int) -> dict:
-    """A5: data lines of the file (header excluded) against rows staged."""
-    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0).count() - 1
+    """A5: data lines of the file (headers excluded) against rows staged."""
+    lines = _file_rows(spark, path).first()["file_rows"]
     return {"file_rows": lines, "staged_rows": staged_rows, "short": staged_rows < lines}
 
 
+def reconciliation(spark: SparkSession, path: str, res: CsvIngest,
+                   max_rejected: int = S.MAX_REJECTED_ROWS) -> DataFrame:
+    """A5 as one row: file lines, staged and rejected rows, whether the load is
+    short of the file and whether its rejects are within the limit."""
+    return (_file_rows(spark, path)
+            .withColumn("staged_rows", F.lit(res.good_rows).cast("bigint"))
+            .withColumn("bad_rows", F.lit(res.bad_rows).cast("bigint"))
+            .withColumn("short_load", F.when(F.col("staged_rows") < F.col("file_rows"), "Y").otherwise("N"))
+            .withColumn("accepted", F.lit("Y" if res.bad_rows <= max_rejected else "N")))
+
+
 # ------------------------------------------------------------------ A16
 def region_table(spark: SparkSession, region: str | None, template: str, default: str) -> DataFrame:
     """A region may have its own table (``template`` with ``{region}``);

@@ -15,8 +15,8 @@ from saleslake.plans.registry import OPERATORS, key_of  # noqa: E402
 
 IMPL = {
     "A1": "sources/ingest.py `jdbc_options`, `read_query`", "A2": "operators/clean.py `scan_transactions`",
-    "A3": "operators/joins.py `product_lookup`", "A4": "sources/ingest.py `ingest_product_csv`",
-    "A5": "sources/ingest.py `reconcile_file`", "A6": "sources/store.py `write_delimited`",
+    "A3": "operators/joins.py `product_lookup`", "A4": "sources/ingest.py `parse_product_csv`, `ingest_product_csv`",
+    "A5": "sources/ingest.py `reconciliation`, `reconcile_file`", "A6": "sources/store.py `write_delimited`",
     "A7": "sources/store.py `write_delimited`", "A8": "sources/store.py `append_fact`",
     "A9": "operators/rollups.py `summary_column_mapping`", "A10": "operators/quality.py `audit_counts`",
     "A11": "sources/store.py `write_analytics`; plans/run.py `run_analytics`",
