@@ -121,7 +121,7 @@ def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.d
     # 4. fact load of the slice's PENDING rows (I9, I8 keys continue the sequence)
     staging = spark.read.parquet(wh.stg_sales)
     pend = freeze(clean.pending(staging, load_date, region))
-    existing_fact = spark.read.parquet(wh.fact_daily_sales) if _exists(spark, wh.fact_daily_sales) else None
+    existing_fact = spark.read.parquet(wh.fact_daily_sales) if store.table_exists(spark, wh.fact_daily_sales) else None
     start = next_key(existing_fact, "fact_sales_key", S.KEY_START)
     facts = factop.load_fact(pend, dp, dc, ds, key_start=start)
     fact_obs = Observation("fact_rows")                      # counted by the write itself
@@ -206,10 +206,3 @@ def _observed(obs: Observation, staged_rows: int, recount) -> int:
     except Exception:  # noqa: BLE001 - metric missing: count the written rows instead
         return int(recount())
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001
-        return False

@@ -107,7 +107,7 @@ def reload_staging(spark: SparkSession, new_rows: DataFrame, path: str) -> None:
     The kept rows are frozen with a reliable checkpoint before the slice folders
     are replaced, so the rewrite never reads files it is deleting.
     """
-    if _exists(spark, path):
+    if table_exists(spark, path):
         existing = spark.read.parquet(path)
         slices = new_rows.select("transaction_date", "region_code").distinct()
         loaded = (existing.where(F.col("etl_status") == S.LOADED)
@@ -136,7 +136,10 @@ def write_analytics(rankings: DataFrame, segments: DataFrame, daily: DataFrame,
     write_slices(daily, os.path.join(base, "daily_summary"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """A readable Parquet table at ``path`` (a missing folder is not probed)."""
+    if not path_exists(spark, path):
+        return False
     try:
         spark.read.parquet(path).schema
         return True
