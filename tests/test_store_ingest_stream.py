@@ -64,6 +64,23 @@ def test_csv_ingest_bad_rows_and_reconcile(spark, tmp_dir):
         ingest.ingest_product_csv(spark, p, D1, max_rejected=1)
 
 
+def test_reconciliation_over_part_files(spark, tmp_dir):
+    """A folder of part files, one header each: only data lines count, and the
+    reject limit is reported rather than raised."""
+    d = os.path.join(tmp_dir, "product_master")
+    os.makedirs(d)
+    _write_csv(os.path.join(d, "part-0.csv"), [HEADER, "1,P1,Ball,TOYS,T1,3,1.5,2.5,,0.2,Y,1998-01-01,",
+                                               "x,P2,Bad id,TOYS,T1,3,1,2,,1,Y,1998-01-01,"])
+    _write_csv(os.path.join(d, "part-1.csv"), [HEADER, "3,P3,  Kite ,TOYS,T1,3,1.5,2.5,,0.2, ,1998-01-01,", ""])
+    res = ingest.parse_product_csv(spark, d, D1)
+    assert (res.good_rows, res.bad_rows) == (2, 1)
+    kite = res.good.where("product_id = 3").first()
+    assert (kite.product_name, kite.is_active) == ("Kite", "Y")
+    r = ingest.reconciliation(spark, d, res, max_rejected=0).first()
+    assert (r.file_rows, r.staged_rows, r.bad_rows, r.short_load, r.accepted) == (3, 2, 1, "Y", "N")
+    assert ingest.reconcile_file(spark, d, res.good_rows)["file_rows"] == 3
+
+
 def test_jdbc_options_region_table_defaults(spark):
     o = ingest.jdbc_options("jdbc:x", "SELECT 1", partition_column="id", lower_bound=1, upper_bound=9,
                             num_partitions=4)
