@@ -9,7 +9,8 @@ Both use the same two-pass idea:
    cluster's checkpoint folder -- recomputation after a lost executor then sees
    the same rows in the same partitions;
 2. derive per-partition offsets from a tiny summary (one row per partition, or
-   per partition and group) and add each row's position inside its partition.
+   per partition and group), join them back and add each row's position inside
+   its partition.
 """
 
 from __future__ import annotations
@@ -49,27 +50,20 @@ def assign_dense_keys(df: DataFrame, key_col: str, order_by: list[Column | str]
     range-partitioned sort); with a total order (ties only between rows equal in
     every column) the keyed result is deterministic.  Without ``order_by`` rows
     are numbered where they are -- no shuffle, no sort -- which is all a
-    sequence needs.  The partition counts brought to the driver have one entry
-    per partition: bounded by the partition count, not by the data.
+    sequence needs.  The offsets table has one row per non-empty partition: its
+    size is bounded by the partition count, not by the data, so it is broadcast.
     """
     ordered = _freeze(df.orderBy(*order_by) if order_by else df)
-    rid = F.monotonically_increasing_id()
-    tagged = ordered.withColumn("_rid", rid)
-    counts = (tagged.groupBy(F.shiftrightunsigned("_rid", _POS_BITS).alias("_pid"))
-              .agg(F.count(F.lit(1)).alias("_n")).collect())
-    n_parts = ordered.rdd.getNumPartitions()
-    per_part = [0] * n_parts
-    for r in counts:
-        per_part[int(r["_pid"])] = int(r["_n"])
-    offsets, acc = [], 0
-    for n in per_part:
-        offsets.append(acc)
-        acc += n
-    offset_arr = F.array(*[F.lit(o).cast("bigint") for o in offsets]) if offsets else F.array()
-    pid = F.shiftrightunsigned("_rid", _POS_BITS)
+    tagged = (ordered.withColumn("_rid", F.monotonically_increasing_id())
+              .withColumn("_pid", F.shiftrightunsigned("_rid", _POS_BITS)))
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     pos = F.col("_rid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    key = F.lit(start).cast("bigint") + F.element_at(offset_arr, (pid + 1).cast("int")) + pos
-    return tagged.withColumn(key_col, key).drop("_rid")
+    key = F.lit(start).cast("bigint") + F.col("_off") + pos
+    return (tagged.join(F.broadcast(offsets), "_pid")
+            .withColumn(key_col, key.cast("bigint"))
+            .drop("_rid", "_pid", "_off"))
 
 
 def distributed_rank(df: DataFrame, partition_by: list[str], order_col: str,
