@@ -34,7 +34,9 @@ def main() -> None:
     print(f"Generated by `tools/plan_report.py` at `{sf}`. Counts are physical operators of the initial "
           "adaptive plan (`Exchange` = shuffle; `Scan ExistingRDD` = a reliable checkpoint being read). "
           "AQE can still turn a sort-merge join into a broadcast join, or coalesce partitions, once it has "
-          "measured a side.\n")
+          "measured a side. Queries that assign dense keys (SCD2 inserts, fact keys) carry a small offsets branch: "
+          "a count per partition of the frozen rows, a running sum over those few rows (one row per partition, "
+          "so the single-partition window is bounded by the partition count) and its broadcast back.\n")
     print("| query | " + " | ".join(n.replace("Scan ExistingRDD", "checkpoint read") for n in NODES) + " |")
     print("|---|" + "---|" * len(NODES))
     scans = {}
