@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from saleslake.operators import clean, rollups, scd
+from saleslake.operators import clean, joins, rollups, scd
 
 D1 = dt.date(1998, 1, 1)
 HIGH = dt.date(9999, 12, 31)
@@ -106,3 +106,29 @@ def test_split_and_summary_totals(spark, rows):
     ftot = fact.agg(F.count(F.lit(1)).alias("n"), F.sum("net_amount").alias("r")).first()
     assert (tot.n or 0) == ftot.n and tot.r == ftot.r
     assert summ.where(F.col("total_transactions") <= 0).count() == 0
+
+
+ENRICHED = ("transaction_id bigint, customer_id bigint, product_id bigint, store_id bigint, transaction_date date, "
+            "quantity decimal(8,2), unit_price decimal(12,4), discount_amt decimal(12,4), gross_amount decimal(20,6), "
+            "net_amount decimal(20,6), region_code string, currency_code string, basket_tier string, "
+            "fiscal_year int, fiscal_month int")
+
+
+@SLOW
+@given(st.lists(st.sampled_from([None, 1, 2, 3, 4]), max_size=25), dims_and_stage())
+def test_product_join_matched_plus_unmatched_is_input(spark, pids, dim_stage):
+    """The left join neither drops nor repeats a row (one current
+    version per product), and its unmatched port is exactly the rows without a
+    current product."""
+    dim_rows, _ = dim_stage
+    dim = spark.createDataFrame(dim_rows, DIM)
+    enriched = spark.createDataFrame(
+        [(i, 1, p, 1, D1, Decimal("1"), Decimal("1"), Decimal("0"), Decimal("1"), Decimal("1"), "ASIA", "GBP",
+          "BASIC", 1998, 1) for i, p in enumerate(pids)], ENRICHED)
+    current_ids = {r[1] for r in dim_rows if r[11] == "Y"}
+    joined = joins.join_product_left(enriched, dim).collect()
+    assert sorted(r.transaction_id for r in joined) == list(range(len(pids)))
+    unmatched = {r.transaction_id for r in joins.unmatched_product(enriched, dim).collect()}
+    assert unmatched == {i for i, p in enumerate(pids) if p not in current_ids}
+    defaulted = {r.transaction_id for r in joined if r.product_code == "UNKNOWN"}
+    assert defaulted == unmatched
