@@ -66,7 +66,8 @@ IMPL = {
 TESTS = {
     "A1": "test_store_ingest_stream::test_jdbc_options_region_table_defaults",
     "A4": "test_store_ingest_stream::test_csv_ingest_bad_rows_and_reconcile",
-    "A5": "test_store_ingest_stream::test_csv_ingest_bad_rows_and_reconcile",
+    "A5": "test_store_ingest_stream::test_csv_ingest_bad_rows_and_reconcile; "
+          "test_store_ingest_stream::test_reconciliation_over_part_files",
     "A8": "test_store_ingest_stream::test_slice_writes_are_idempotent",
     "A12": "test_store_ingest_stream::test_staging_reload_keeps_loaded_rows",
     "A16": "test_store_ingest_stream::test_jdbc_options_region_table_defaults",
@@ -83,6 +84,8 @@ TESTS = {
     "J6": "test_quality_rules", "J8": "test_quality_rules", "D7": "test_quality_rules::test_staging_metrics_and_gates",
     "D9": "test_quality_rules::test_staging_metrics_and_gates",
     "K1": "test_store_ingest_stream::test_incremental_load_consumes_each_file_once",
+    "C4": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
+    "C5": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
 }
 
 
