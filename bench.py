@@ -28,16 +28,25 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="saleslake-bench")
     spark.range(1000).selectExpr("sum(id)").collect()            # JVM warm-up
-    times = {}
+    times, failed = {}, []
     for name in HEADLINE:
         t0 = time.perf_counter()
-        df = checks.CHECKS[name](Tables(spark, sf_dir))
-        df.write.format("noop").mode("overwrite").save()
+        try:
+            df = checks.CHECKS[name](Tables(spark, sf_dir))
+            df.write.format("noop").mode("overwrite").save()
+        except Exception as e:  # noqa: BLE001 - a failing query is reported, not hidden behind a missing line
+            times[name] = None
+            failed.append(name)
+            print(f"{name}: FAILED {type(e).__name__}: {str(e)[:300]}", file=sys.stderr)
+            continue
         times[name] = round(time.perf_counter() - t0, 3)
         print(f"{name}: {times[name]}s", file=sys.stderr)
     m = re.search(r"sf([0-9.]+)", sf_dir.rstrip("/"))
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir}))
+    out = {"metric": "headline_queries_total", "value": round(sum(v for v in times.values() if v is not None), 3),
+           "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 
