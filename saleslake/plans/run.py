@@ -96,8 +96,9 @@ def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.d
     if quality.source_availability(src.sales_txn, load_date).first()["available"] != "Y":
         return {"batch_id": bid, "skipped": True, "reason": "no source rows for the load date"}
 
-    # 1. extract the slice into staging (A12: PENDING replaced, LOADED kept)
-    store.reload_staging(spark, clean.extract_sales(src.sales_txn, load_date, region, bid), wh.stg_sales)
+    # 1. extract the slice into staging (A12: PENDING replaced, LOADED kept; I11 defaults before the write)
+    store.reload_staging(spark, ingest.apply_defaults(clean.extract_sales(src.sales_txn, load_date, region, bid),
+                                                      "stg_sales"), wh.stg_sales)
 
     # 2. shared customer staging: upsert the day's buyers
     buyers = joins.sales_customers(src.sales_txn, load_date, load_date, region)
@@ -123,7 +124,7 @@ def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.d
     pend = freeze(clean.pending(staging, load_date, region))
     existing_fact = spark.read.parquet(wh.fact_daily_sales) if store.table_exists(spark, wh.fact_daily_sales) else None
     start = next_key(existing_fact, "fact_sales_key", S.KEY_START)
-    facts = factop.load_fact(pend, dp, dc, ds, key_start=start)
+    facts = ingest.apply_defaults(factop.load_fact(pend, dp, dc, ds, key_start=start), "fact")
     fact_obs = Observation("fact_rows")                      # counted by the write itself
     store.append_fact(facts.observe(fact_obs, F.count(F.lit(1)).alias("n")), wh.fact_daily_sales)
 

@@ -56,7 +56,7 @@ IMPL = {
     "I5": "operators/rules.py `apply_category_rules`", "I6": "operators/rules.py `enrich_from_suppliers`",
     "I7": "operators/scd.py `purge_expired`", "I8": "operators/keys.py `assign_dense_keys`",
     "I9": "operators/fact.py `load_fact`", "I10": "plans/pipeline.py `daily_load`; plans/run.py `run_daily`",
-    "I11": "sources/ingest.py `apply_defaults`", "I12": "operators/quality.py `constraint_audit`, `foreign_key_audit`",
+    "I11": "sources/ingest.py `apply_defaults` (plans/run.py: staging and fact writes)", "I12": "operators/quality.py `constraint_audit`, `foreign_key_audit`",
     "J1": "operators/quality.py `_rule_columns` NULL_CHECK", "J2": "operators/quality.py RANGE_CHECK",
     "J3": "operators/quality.py REFERENTIAL_CHECK", "J4": "operators/quality.py THRESHOLD_COUNT",
     "J5": "operators/quality.py generic", "J6": "operators/quality.py `run_checks`",
@@ -80,7 +80,7 @@ TESTS = {
     "I5": "test_quality_rules::test_category_rules_ordered_isolated_and_cross_category",
     "I6": "test_quality_rules::test_supplier_enrichment_latest_effective", "I7": "test_scd::test_mark_loaded_and_purge",
     "I8": "test_keys", "I10": "test_run::test_daily_run_is_idempotent",
-    "I11": "test_store_ingest_stream::test_jdbc_options_region_table_defaults",
+    "I11": "test_store_ingest_stream::test_jdbc_options_region_table_defaults; test_run::test_daily_run_is_idempotent",
     "J6": "test_quality_rules", "J8": "test_quality_rules", "D7": "test_quality_rules::test_staging_metrics_and_gates",
     "D9": "test_quality_rules::test_staging_metrics_and_gates",
     "K1": "test_store_ingest_stream::test_incremental_load_consumes_each_file_once",
