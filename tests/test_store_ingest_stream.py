@@ -21,6 +21,19 @@ def test_slice_writes_are_idempotent(spark, tmp_dir):
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4]
 
 
+def test_delimited_error_files_replace_a_rerun_slice(spark, tmp_dir):
+    """The first write creates the folder (plain append); a rerun of
+    one slice replaces only that slice's file, other slices stay."""
+    cols = "transaction_id bigint, reason string, transaction_date date, region_code string"
+    path = os.path.join(tmp_dir, "rejected")
+    first = spark.createDataFrame([(1, "INVALID_PRICE", D1, "ASIA"), (2, "INVALID_QUANTITY", D2, "ASIA")], cols)
+    store.write_delimited(first, path)
+    assert not store.table_exists(spark, os.path.join(tmp_dir, "nothing_here"))
+    store.write_delimited(spark.createDataFrame([(3, "MISSING_PRODUCT", D1, "ASIA")], cols), path)
+    back = store.read_delimited(spark, path, spark.createDataFrame([], "transaction_id bigint, reason string").schema)
+    assert sorted((r.transaction_id, r.transaction_date) for r in back.collect()) == [(2, D2), (3, D1)]
+
+
 def test_staging_reload_keeps_loaded_rows(spark, tmp_dir):
     cols = "transaction_id bigint, transaction_date date, region_code string, etl_status string"
     path = os.path.join(tmp_dir, "stg")

@@ -68,6 +68,8 @@ TESTS = {
     "A4": "test_store_ingest_stream::test_csv_ingest_bad_rows_and_reconcile",
     "A5": "test_store_ingest_stream::test_csv_ingest_bad_rows_and_reconcile; "
           "test_store_ingest_stream::test_reconciliation_over_part_files",
+    "A6": "test_store_ingest_stream::test_delimited_error_files_replace_a_rerun_slice",
+    "A7": "test_store_ingest_stream::test_delimited_error_files_replace_a_rerun_slice",
     "A8": "test_store_ingest_stream::test_slice_writes_are_idempotent",
     "A12": "test_store_ingest_stream::test_staging_reload_keeps_loaded_rows",
     "A16": "test_store_ingest_stream::test_jdbc_options_region_table_defaults",
