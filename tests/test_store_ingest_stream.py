@@ -34,6 +34,16 @@ def test_delimited_error_files_replace_a_rerun_slice(spark, tmp_dir):
     assert sorted((r.transaction_id, r.transaction_date) for r in back.collect()) == [(2, D2), (3, D1)]
 
 
+def test_summary_refresh_replaces_only_touched_slices(spark, tmp_dir):
+    """Delete + re-insert of a summary slice; untouched slices stay."""
+    cols = "summary_date date, region_code string, total_transactions bigint"
+    path = os.path.join(tmp_dir, "summary")
+    store.refresh_summary(spark.createDataFrame([(D1, "ASIA", 5), (D1, "EUROPE", 7), (D2, "ASIA", 9)], cols), path)
+    store.refresh_summary(spark.createDataFrame([(D1, "ASIA", 6)], cols), path)
+    got = sorted((r.summary_date, r.region_code, r.total_transactions) for r in spark.read.parquet(path).collect())
+    assert got == [(D1, "ASIA", 6), (D1, "EUROPE", 7), (D2, "ASIA", 9)]
+
+
 def test_staging_reload_keeps_loaded_rows(spark, tmp_dir):
     cols = "transaction_id bigint, transaction_date date, region_code string, etl_status string"
     path = os.path.join(tmp_dir, "stg")

@@ -72,6 +72,7 @@ TESTS = {
     "A7": "test_store_ingest_stream::test_delimited_error_files_replace_a_rerun_slice",
     "A8": "test_store_ingest_stream::test_slice_writes_are_idempotent",
     "A12": "test_store_ingest_stream::test_staging_reload_keeps_loaded_rows",
+    "A13": "test_store_ingest_stream::test_summary_refresh_replaces_only_touched_slices",
     "A16": "test_store_ingest_stream::test_jdbc_options_region_table_defaults",
     "B3": "test_functions", "B5": "test_clean::test_split_is_total; test_invariants",
     "B18": "test_functions::test_full_name_keeps_stray_space", "B11": "test_functions",
