@@ -44,6 +44,30 @@ def test_summary_refresh_replaces_only_touched_slices(spark, tmp_dir):
     assert got == [(D1, "ASIA", 6), (D1, "EUROPE", 7), (D2, "ASIA", 9)]
 
 
+def test_analytics_rerun_is_idempotent(spark, tmp_dir):
+    """Rankings and daily summary are slice writes (a rerun replaces its
+    slices), segments are overwritten whole with their four columns."""
+    rk = "fiscal_year int, fiscal_month int, region_code string, dim_product_key bigint, revenue_rank bigint"
+    sg = "customer_id bigint, clv_segment string, churn_risk string, region_code string, lifetime_value double"
+    dl = "transaction_date date, region_code string, daily_revenue double"
+    base = os.path.join(tmp_dir, "analytics")
+
+    def run(ranks, segs, days):
+        store.write_analytics(spark.createDataFrame(ranks, rk), spark.createDataFrame(segs, sg),
+                              spark.createDataFrame(days, dl), base)
+
+    run([(1998, 1, "ASIA", 10, 1), (1998, 2, "ASIA", 10, 1)], [(1, "HIGH_VALUE", "LOW", "ASIA", 9.0)],
+        [(D1, "ASIA", 5.0), (D2, "ASIA", 6.0)])
+    run([(1998, 1, "ASIA", 11, 1)], [(2, "LOW_VALUE", "HIGH", "ASIA", 1.0)], [(D1, "ASIA", 7.0)])
+    ranks = sorted((r.fiscal_month, r.dim_product_key) for r in spark.read.parquet(f"{base}/product_rankings").collect())
+    assert ranks == [(1, 11), (2, 10)]
+    segs = spark.read.parquet(f"{base}/customer_segments")
+    assert segs.columns == ["customer_id", "clv_segment", "churn_risk", "region_code"]
+    assert [r.customer_id for r in segs.collect()] == [2]
+    days = sorted((r.transaction_date, r.daily_revenue) for r in spark.read.parquet(f"{base}/daily_summary").collect())
+    assert days == [(D1, 7.0), (D2, 6.0)]
+
+
 def test_staging_reload_keeps_loaded_rows(spark, tmp_dir):
     cols = "transaction_id bigint, transaction_date date, region_code string, etl_status string"
     path = os.path.join(tmp_dir, "stg")

@@ -71,6 +71,7 @@ TESTS = {
     "A6": "test_store_ingest_stream::test_delimited_error_files_replace_a_rerun_slice",
     "A7": "test_store_ingest_stream::test_delimited_error_files_replace_a_rerun_slice",
     "A8": "test_store_ingest_stream::test_slice_writes_are_idempotent",
+    "A11": "test_store_ingest_stream::test_analytics_rerun_is_idempotent",
     "A12": "test_store_ingest_stream::test_staging_reload_keeps_loaded_rows",
     "A13": "test_store_ingest_stream::test_summary_refresh_replaces_only_touched_slices",
     "A16": "test_store_ingest_stream::test_jdbc_options_region_table_defaults",
