@@ -77,6 +77,11 @@ TESTS = {
     "A16": "test_store_ingest_stream::test_jdbc_options_region_table_defaults",
     "B3": "test_functions", "B5": "test_clean::test_split_is_total; test_invariants",
     "B18": "test_functions::test_full_name_keeps_stray_space", "B11": "test_functions",
+    "D4": "test_rollups::test_rank_shares_sum_to_100_per_region_month",
+    "D5": "test_rollups::test_daily_windows_running_total_and_previous_day",
+    "E3": "test_rollups::test_rank_shares_sum_to_100_per_region_month",
+    "E4": "test_rollups::test_daily_windows_running_total_and_previous_day",
+    "E5": "test_rollups::test_daily_windows_running_total_and_previous_day",
     "E1": "test_keys::test_distributed_rank_matches_window_with_ties_and_hot_group",
     "E2": "test_keys::test_distributed_rank_matches_window_with_ties_and_hot_group",
     "I1": "test_scd; test_invariants", "I2": "test_scd::test_customer_scd2_and_upsert",
