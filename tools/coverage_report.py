@@ -92,6 +92,30 @@ TESTS = {
     "I11": "test_store_ingest_stream::test_jdbc_options_region_table_defaults; test_run::test_daily_run_is_idempotent",
     "J6": "test_quality_rules", "J8": "test_quality_rules", "D7": "test_quality_rules::test_staging_metrics_and_gates",
     "D9": "test_quality_rules::test_staging_metrics_and_gates",
+    "B1": "test_clean::test_extract_filters_and_defaults",
+    "B2": "test_clean::test_extract_slice_parameters",
+    "B6": "test_clean::test_split_is_total",
+    "B9": "test_functions::test_tax_rounds_unrounded_net",
+    "B10": "test_functions::test_iso_week_at_year_end_and_quarter",
+    "B13": "test_functions::test_currency_label_and_basket_tier",
+    "B14": "test_functions::test_currency_label_and_basket_tier",
+    "B16": "test_functions::test_segments_and_churn",
+    "B17": "test_functions::test_segments_and_churn",
+    "B20": "test_clean::test_extract_filters_and_defaults",
+    "C9": "test_scd::test_customer_scd2_and_upsert",
+    "C10": "test_scd::test_customer_scd2_and_upsert",
+    "C11": "test_scd::test_new_changed_same_absent_and_inactive; test_invariants",
+    "C12": "test_scd::test_new_changed_same_absent_and_inactive; test_functions::test_sentinel_vs_null_safe",
+    "D1": "test_invariants::test_split_and_summary_totals",
+    "D8": "test_quality_rules::test_staging_metrics_and_gates",
+    "G1": "test_quality_rules::test_staging_metrics_and_gates",
+    "A15": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
+    "F1": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
+    "D10": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
+    "J1": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
+    "J2": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
+    "J4": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
+    "J7": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
     "K1": "test_store_ingest_stream::test_incremental_load_consumes_each_file_once",
     "C4": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
     "C5": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
