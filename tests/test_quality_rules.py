@@ -44,6 +44,25 @@ def test_dq_rules_one_scan_bad_rule_isolated_thresholds(spark):
     assert quality.dq_gate(res_d1, fail_on_critical=False) == 1
 
 
+def test_referential_and_generic_rules(spark):
+    """Without a parent table a NULL key fails; with one, a key missing from
+    the parent fails too (a NULL child key never matches).  A duplicated parent
+    key does not multiply fact rows.  J5: the fragment returns the failed count."""
+    f = fact(spark, [(D1, 1, Decimal("5")), (D1, 2, Decimal("0")), (D1, 7, Decimal("1")), (D1, None, Decimal("2"))])
+    dim = spark.createDataFrame([(1,), (2,), (2,)], "dim_product_key bigint")
+    rdf = quality.rules_frame(spark, [
+        (11, "KEY_SET", "FACT_DAILY_SALES", "REFERENTIAL_CHECK", "dim_product_key", 50.0, "WARNING"),
+        (12, "PRODUCT_FK", "FACT_DAILY_SALES", "REFERENTIAL_CHECK", "dim_product_key", 0.0, "CRITICAL",
+         "DIM_PRODUCT", "dim_product_key"),
+        (14, "ZERO_NET", "FACT_DAILY_SALES", "GENERIC", "count_if(net_amount = 0)", 30.0, "WARNING")])
+    res = {r.rule_id: r for r in quality.run_checks(
+        quality.load_rules(rdf, "RETAIL"), {"FACT_DAILY_SALES": f, "DIM_PRODUCT": dim},
+        {"FACT_DAILY_SALES": "transaction_date"}).collect()}
+    assert (res[11].total_rows, res[11].failed_rows, res[11].passed) == (4, 1, True)
+    assert (res[12].total_rows, res[12].failed_rows, res[12].fail_pct, res[12].status) == (4, 2, 50.0, "FAIL")
+    assert (res[14].failed_rows, res[14].fail_pct, res[14].passed) == (1, 25.0, True)
+
+
 def test_strict_threshold(spark):
     f = fact(spark, [(D1, 1, Decimal("5"))] * 9999 + [(D1, None, Decimal("5"))])
     rdf = quality.rules_frame(spark, quality.BUILTIN_RULES[:1])

@@ -116,6 +116,8 @@ TESTS = {
     "J2": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
     "J4": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
     "J7": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
+    "J3": "test_quality_rules::test_referential_and_generic_rules",
+    "J5": "test_quality_rules::test_referential_and_generic_rules",
     "K1": "test_store_ingest_stream::test_incremental_load_consumes_each_file_once",
     "C4": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
     "C5": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
