@@ -133,3 +133,19 @@ def test_staging_metrics_and_gates(spark):
         and g[D1 + dt.timedelta(days=2)] == "Y"
     rc = quality.row_count_gate(st.where("1 = 0"), f.where("1 = 0"))
     assert rc.count() == 0
+
+
+def test_constraint_and_foreign_key_audits(spark):
+    """Duplicated keys count every row of the duplicate group; NOT NULL and
+    declared widths count violating rows; a NULL foreign key is not an orphan."""
+    dim = spark.createDataFrame([(1, 10, "P1", D1), (1, 11, "P1", D1), (2, None, "X" * 21, D1), (3, 13, "P3", None)],
+                                "dim_product_key bigint, product_id bigint, product_code string, valid_from date")
+    got = {(r.constraint_type, r.column_name): r.violation_rows
+           for r in quality.constraint_audit({"dim_product": (dim, "dim_product_key")}).collect()}
+    assert got[("PK_UNIQUE", "dim_product_key")] == 2
+    assert (got[("NOT_NULL", "product_id")], got[("NOT_NULL", "valid_from")]) == (1, 1)
+    assert got[("WIDTH", "product_code")] == 1
+    child = spark.createDataFrame([(1,), (2,), (5,), (None,), (5,)], "dim_product_key bigint")
+    fk = quality.foreign_key_audit([("fact_daily_sales", child, "dim_product_key", "dim_product", dim,
+                                     "dim_product_key")]).first()
+    assert (fk.table_name, fk.parent_table, fk.orphan_rows) == ("fact_daily_sales", "dim_product", 2)

@@ -43,3 +43,21 @@ def test_rank_shares_sum_to_100_per_region_month(spark):
     asia = {x.dim_product_key: x for x in r.where("region_code = 'ASIA'").collect()}
     assert (asia[1].revenue_rank, asia[2].revenue_rank, asia[3].revenue_rank, asia[4].revenue_rank) == (1, 2, 2, 4)
     assert (asia[2].revenue_dense_rank, asia[4].revenue_dense_rank) == (2, 3)
+
+
+def test_category_rollup_exact_distincts_and_average(spark):
+    """D2 + D3: exact distinct counts per group (NULLs are not counted), the
+    average is net over transactions."""
+    cols = ("region_code string, transaction_date date, category_code string, fiscal_year int, fiscal_month int, "
+            "customer_id bigint, product_id bigint, store_id bigint, quantity decimal(8,2), "
+            "gross_amount decimal(20,6), net_amount decimal(20,6), discount_amt decimal(12,4)")
+    d = dt.date(1998, 1, 1)
+    rows = [("ASIA", d, "TOYS", 1998, 1, c, p, s, Decimal("1"), Decimal("10"), Decimal("9"), Decimal("1"))
+            for c, p, s in [(1, 1, 1), (1, 2, 1), (2, 2, 1), (None, 3, 2)]]
+    rows += [("ASIA", d, "FOOD", 1998, 1, 1, 9, 1, Decimal("2"), Decimal("4"), Decimal("4"), Decimal("0"))]
+    got = {r.category_code: r for r in rollups.category_rollup(spark.createDataFrame(rows, cols)).collect()}
+    toys = got["TOYS"]
+    assert (toys.total_transactions, toys.distinct_customers, toys.distinct_products, toys.distinct_stores) == \
+        (4, 2, 3, 2)
+    assert (float(toys.total_net_revenue), float(toys.total_gross_revenue), toys.avg_basket_value) == (36.0, 40.0, 9.0)
+    assert (got["FOOD"].distinct_customers, float(got["FOOD"].total_quantity)) == (1, 2.0)

@@ -118,6 +118,10 @@ TESTS = {
     "J7": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
     "J3": "test_quality_rules::test_referential_and_generic_rules",
     "J5": "test_quality_rules::test_referential_and_generic_rules",
+    "I12": "test_quality_rules::test_constraint_and_foreign_key_audits",
+    "D2": "test_rollups::test_category_rollup_exact_distincts_and_average",
+    "D3": "test_rollups::test_category_rollup_exact_distincts_and_average",
+    "B22": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
     "K1": "test_store_ingest_stream::test_incremental_load_consumes_each_file_once",
     "C4": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
     "C5": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
