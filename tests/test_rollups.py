@@ -61,3 +61,18 @@ def test_category_rollup_exact_distincts_and_average(spark):
         (4, 2, 3, 2)
     assert (float(toys.total_net_revenue), float(toys.total_gross_revenue), toys.avg_basket_value) == (36.0, 40.0, 9.0)
     assert (got["FOOD"].distinct_customers, float(got["FOOD"].total_quantity)) == (1, 2.0)
+
+
+def test_ytd_spend_sums_every_version_of_a_customer_within_the_year(spark):
+    """C8 + D6: facts keyed to an old and the current version of one customer
+    add up to that customer; rows outside the year do not count."""
+    from saleslake.operators import joins
+    fact = spark.createDataFrame(
+        [(dt.date(1998, 1, 5), 100, Decimal("10")), (dt.date(1998, 3, 1), 101, Decimal("5")),
+         (dt.date(1997, 12, 31), 101, Decimal("99")), (dt.date(1998, 2, 2), 200, Decimal("1"))],
+        "transaction_date date, dim_customer_key bigint, net_amount decimal(16,4)")
+    dim = spark.createDataFrame([(100, 1, "N"), (101, 1, "Y"), (200, 2, "Y")],
+                                "dim_customer_key bigint, customer_id bigint, is_current string")
+    got = {r.customer_id: (float(r.total_spend_ytd), r.txn_count_ytd)
+           for r in joins.ytd_spend(fact, dim, 1998).collect()}
+    assert got == {1: (15.0, 2), 2: (1.0, 1)}

@@ -122,6 +122,8 @@ TESTS = {
     "D2": "test_rollups::test_category_rollup_exact_distincts_and_average",
     "D3": "test_rollups::test_category_rollup_exact_distincts_and_average",
     "B22": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
+    "C8": "test_rollups::test_ytd_spend_sums_every_version_of_a_customer_within_the_year",
+    "D6": "test_rollups::test_ytd_spend_sums_every_version_of_a_customer_within_the_year",
     "K1": "test_store_ingest_stream::test_incremental_load_consumes_each_file_once",
     "C4": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
     "C5": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
