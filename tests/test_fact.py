@@ -34,3 +34,29 @@ def test_fact_inner_joins_product_and_customer_left_joins_store(spark):
         (200, 100, Decimal("10.0000"), Decimal("9.0000"), "GBP")
     dropped = {r.transaction_id: r.drop_reason for r in factop.dropped_by_dims(staged, dp, dc, ds).collect()}
     assert dropped == {2: "NO_CURRENT_CUSTOMER", 3: "NO_CURRENT_PRODUCT"}
+
+
+def test_sales_customers_and_customer_source(spark):
+    """C6 + E6: buyers in the window with their latest purchase (region matched
+    after trim and upper case); C7 + B19: trimmed, lower-cased e-mail, default
+    loyalty tier when the profile is missing, only buyers are staged."""
+    from saleslake.operators import joins
+    from saleslake import schemas as S
+    t0 = dt.datetime(1998, 1, 1, 9, 0)
+    sales = spark.createDataFrame(
+        [(1, t0, " asia "), (1, t0.replace(hour=18), "ASIA"), (2, t0, "EUROPE"), (3, t0 - dt.timedelta(days=1), "ASIA")],
+        "cust_id bigint, txn_datetime timestamp_ntz, store_region_cd string")
+    buyers = joins.sales_customers(sales, D1, D1, "ASIA")
+    got = {r.cust_id: r.last_purchase_date for r in buyers.collect()}
+    assert got == {1: t0.replace(hour=18)}
+    assert {r.cust_id for r in joins.sales_customers(sales, None, D1).collect()} == {1, 2, 3}
+    src = spark.createDataFrame(
+        [(1, " C1 ", "Ann", "  ", " Ann@X.COM ", "07", "ASIA", D1), (2, "C2", "Bo", "Do", "b@x", "07", "EUROPE", D1)],
+        "cust_id bigint, cust_ref_cd string, first_nm string, last_nm string, email_addr string, mobile_phone string, "
+        "home_region_cd string, reg_date date")
+    loyalty = spark.createDataFrame([], "cust_id bigint, tier_cd string, lifetime_spend decimal(14,2)")
+    rows = joins.customer_source(src, loyalty, buyers, D1).collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.customer_id, r.customer_code, r.last_name, r.email, r.loyalty_tier) == \
+        (1, "C1", None, "ann@x.com", S.DEFAULT_LOYALTY_TIER)
