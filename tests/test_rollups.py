@@ -76,3 +76,27 @@ def test_ytd_spend_sums_every_version_of_a_customer_within_the_year(spark):
     got = {r.customer_id: (float(r.total_spend_ytd), r.txn_count_ytd)
            for r in joins.ytd_spend(fact, dim, 1998).collect()}
     assert got == {1: (15.0, 2), 2: (1.0, 1)}
+
+
+def test_summary_mapping_audit_counts_and_cursor_suppliers(spark):
+    """Summary columns (revenue is net, gross beside it); A10: rollup rows
+    per region and day; D11: suppliers of current versions opened on the load
+    date, each once, NULL suppliers left out."""
+    from saleslake.operators import quality
+    cols = ("region_code string, transaction_date date, category_code string, fiscal_year int, fiscal_month int, "
+            "customer_id bigint, product_id bigint, store_id bigint, quantity decimal(8,2), "
+            "gross_amount decimal(20,6), net_amount decimal(20,6), discount_amt decimal(12,4)")
+    d = dt.date(1998, 1, 1)
+    rows = [("ASIA", d, cat, 1998, 1, 1, 1, 1, Decimal("1"), Decimal("10"), Decimal("8"), Decimal("2"))
+            for cat in ("TOYS", "FOOD")]
+    roll = rollups.category_rollup(spark.createDataFrame(rows, cols))
+    m = rollups.summary_column_mapping(roll)
+    assert "total_discount_amount" not in m.columns and "distinct_stores" not in m.columns
+    r = m.where("category_code = 'TOYS'").first()
+    assert (float(r.total_revenue), float(r.gross_revenue), r.avg_basket_size) == (8.0, 10.0, 8.0)
+    a = quality.audit_counts(roll).first()
+    assert (a.region_code, a.summary_date, a.rollup_rows) == ("ASIA", d, 2)
+    dim = spark.createDataFrame(
+        [(1, 7, "Y", d), (2, 7, "Y", d), (3, 8, "N", d), (4, 9, "Y", dt.date(1997, 1, 1)), (5, None, "Y", d)],
+        "product_id bigint, supplier_id bigint, is_current string, valid_from date")
+    assert [x.supplier_id for x in rollups.distinct_suppliers(dim, d).collect()] == [7]

@@ -136,6 +136,9 @@ TESTS = {
     "E6": "test_fact::test_sales_customers_and_customer_source",
     "B19": "test_fact::test_sales_customers_and_customer_source",
     "B12": "test_clean::test_extract_filters_and_defaults",
+    "A9": "test_rollups::test_summary_mapping_audit_counts_and_cursor_suppliers",
+    "A10": "test_rollups::test_summary_mapping_audit_counts_and_cursor_suppliers",
+    "D11": "test_rollups::test_summary_mapping_audit_counts_and_cursor_suppliers",
     "K1": "test_store_ingest_stream::test_incremental_load_consumes_each_file_once",
     "C4": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
     "C5": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
