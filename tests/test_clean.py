@@ -52,3 +52,23 @@ def test_split_is_total(spark):
                                     dt.datetime(1998, 1, 2)).collect()}
     assert reasons[2] == "INVALID_QUANTITY" and reasons[3] == "INVALID_PRICE"
     assert reasons[5] == "INVALID_QUANTITY; INVALID_PRICE; MISSING_PRODUCT"
+
+
+def test_scan_transactions_slice_status_and_lookup_pruning(spark):
+    """A2 + B4: the graph's scan keeps COMPLETED rows with quantity > 0 of one
+    slice (region matched after trim/upper case; the raw region is carried);
+    A3: the product lookup keeps current versions and only its lookup columns."""
+    from saleslake.operators import joins
+    rows = [row(1), row(2, status="VOID"), row(3, qty="0"), row(4, region="EUROPE"), row(5, status=" COMPLETED ")]
+    got = {r.transaction_id: r for r in clean.scan_transactions(src(spark, rows), dt.date(1998, 1, 1), "ASIA",
+                                                                batch_id=7).collect()}
+    assert sorted(got) == [1, 5]
+    assert (got[1].region_code, got[1].load_batch_id, got[1].discount_pct) == (" asia ", 7, Decimal("10.00"))
+    assert clean.scan_transactions(src(spark, rows), dt.date(1998, 1, 2), "ASIA").count() == 0
+    dim = spark.createDataFrame(
+        [(1, "P1", "a", "C", "S", Decimal("1"), "Y", dt.date(1998, 1, 1), dt.date(9999, 12, 31), 99),
+         (1, "P1", "old", "C", "S", Decimal("1"), "N", dt.date(1990, 1, 1), dt.date(1997, 12, 31), 98)],
+        "product_id bigint, product_code string, product_name string, category_code string, subcategory_code string, "
+        "list_price decimal(12,4), is_current string, valid_from date, valid_to date, cost_price int")
+    lk = joins.product_lookup(dim)
+    assert lk.columns == list(joins.LOOKUP_COLUMNS) and [r.product_name for r in lk.collect()] == ["a"]

@@ -139,6 +139,9 @@ TESTS = {
     "A9": "test_rollups::test_summary_mapping_audit_counts_and_cursor_suppliers",
     "A10": "test_rollups::test_summary_mapping_audit_counts_and_cursor_suppliers",
     "D11": "test_rollups::test_summary_mapping_audit_counts_and_cursor_suppliers",
+    "A2": "test_clean::test_scan_transactions_slice_status_and_lookup_pruning",
+    "B4": "test_clean::test_scan_transactions_slice_status_and_lookup_pruning",
+    "A3": "test_clean::test_scan_transactions_slice_status_and_lookup_pruning",
     "K1": "test_store_ingest_stream::test_incremental_load_consumes_each_file_once",
     "C4": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
     "C5": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
