@@ -100,3 +100,36 @@ def test_summary_mapping_audit_counts_and_cursor_suppliers(spark):
         [(1, 7, "Y", d), (2, 7, "Y", d), (3, 8, "N", d), (4, 9, "Y", dt.date(1997, 1, 1)), (5, None, "Y", d)],
         "product_id bigint, supplier_id bigint, is_current string, valid_from date")
     assert [x.supplier_id for x in rollups.distinct_suppliers(dim, d).collect()] == [7]
+
+
+def test_customer_segments_and_dq_result_append(spark, tmp_dir):
+    """Only customers staged within the staleness window, YTD spend beside
+    them (NULL when none); B15: NVL; A14: DQ results are appended per run."""
+    import os
+    from saleslake import schemas as S
+    from saleslake.functions import columns as C
+    from saleslake.sources import store
+    d = dt.date(1998, 1, 1)
+    old = d - dt.timedelta(days=S.STALENESS_DAYS + 1)
+    stg = spark.createDataFrame(
+        [(1, "C1", "ASIA", "GOLD", Decimal("900"), d, d), (2, "C2", "ASIA", "STANDARD", Decimal("5"), d, d),
+         (3, "C3", "ASIA", "GOLD", Decimal("900"), old, old)],
+        "customer_id bigint, customer_code string, region_code string, loyalty_tier string, "
+        "lifetime_value decimal(14,2), last_purchase_date date, load_date date")
+    ytd = spark.createDataFrame([(1, Decimal("12.5"), 2)], "customer_id bigint, total_spend_ytd decimal(20,4), "
+                                                         "txn_count_ytd bigint")
+    seg = {r.customer_id: r for r in rollups.customer_segments(stg, ytd, d).collect()}
+    assert sorted(seg) == [1, 2]
+    assert (float(seg[1].total_spend_ytd), seg[2].total_spend_ytd) == (12.5, None)
+    want = {r.customer_id: (r.s, r.c) for r in stg.select(
+        "customer_id", C.value_segment("lifetime_value").alias("s"),
+        C.churn_risk("last_purchase_date", d).alias("c")).collect()}
+    assert all((seg[k].clv_segment, seg[k].churn_risk) == want[k] for k in seg)
+    nv = spark.createDataFrame([(None,), (Decimal("3"),)], "x decimal(12,4)").select(
+        C.nvl("x", F.lit(0).cast("decimal(12,4)")).alias("x")).collect()
+    assert sorted(r.x for r in nv) == [Decimal("0"), Decimal("3")]
+    path = os.path.join(tmp_dir, "dq")
+    res = spark.createDataFrame([(1, "R")], "rule_id bigint, rule_name string")
+    store.write_dq_results(res, path)
+    store.write_dq_results(res, path)
+    assert spark.read.parquet(path).count() == 2

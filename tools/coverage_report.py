@@ -142,6 +142,9 @@ TESTS = {
     "A2": "test_clean::test_scan_transactions_slice_status_and_lookup_pruning",
     "B4": "test_clean::test_scan_transactions_slice_status_and_lookup_pruning",
     "A3": "test_clean::test_scan_transactions_slice_status_and_lookup_pruning",
+    "A14": "test_rollups::test_customer_segments_and_dq_result_append",
+    "B15": "test_rollups::test_customer_segments_and_dq_result_append",
+    "B23": "test_rollups::test_customer_segments_and_dq_result_append",
     "K1": "test_store_ingest_stream::test_incremental_load_consumes_each_file_once",
     "C4": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
     "C5": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
