@@ -68,6 +68,21 @@ def test_analytics_rerun_is_idempotent(spark, tmp_dir):
     assert days == [(D1, 7.0), (D2, 6.0)]
 
 
+def test_slice_write_restores_the_session_setting(spark, tmp_dir):
+    """The writer-task floor is set only for the duration of a slice write."""
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key)
+    f = spark.createDataFrame([(1, D1, "ASIA")], "v bigint, transaction_date date, region_code string")
+    store.write_slices(f, os.path.join(tmp_dir, "a"))
+    assert spark.conf.get(key) == before
+    spark.conf.set(key, "2m")
+    try:
+        store.write_slices(f, os.path.join(tmp_dir, "b"))
+        assert spark.conf.get(key) == "2m"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_staging_reload_keeps_loaded_rows(spark, tmp_dir):
     cols = "transaction_id bigint, transaction_date date, region_code string, etl_status string"
     path = os.path.join(tmp_dir, "stg")
