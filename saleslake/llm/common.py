@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,3 +49,18 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     for df in frames[1:]:
         out = out.unionByName(df)
     return out
+
+
+#: Words whose hashes a task remembers; beyond it starts anew.
+WORDS_HELD = 500_000
+
+
+class WordHashes(dict):
+    """Word (str or bytes) -> 64-bit hash, remembered up to a bound."""
+
+    def __missing__(self, word) -> int:
+        if len(self) >= WORDS_HELD:
+            self.clear()
+        raw = word.encode("utf-8", "surrogatepass") if isinstance(word, str) else word
+        self[word] = h = xxhash.xxh3_64_intdigest(raw)
+        return h

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslake.llm.common import crc_mod, fresh, text_of
+from saleslake.llm.common import WordHashes, crc_mod, fresh, text_of
 
 BITS = 20
 SAMPLE_ROWS = 16_000
@@ -30,18 +30,6 @@ FOLDS = 5
 WORD = re.compile(r"\w+")
 #: Odd 64-bit factors that mix the hashes of a pair's words.
 MIX_PAIR, MIX_SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-WORDS_HELD = 500_000
-
-
-class WordHashes(dict):
-    """Word -> 64-bit hash, remembered up to a bound."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= WORDS_HELD:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return h
-
 
 def features(text: str | None, hashes: WordHashes, bits: int = BITS) -> np.ndarray:
     """The different hashed features of a text, sorted."""
