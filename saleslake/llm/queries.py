@@ -7,9 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from saleslake.llm import decontaminate, exact_dedup, licenses, lm, packing, simhash, toxicity, url_filter
+from saleslake.llm import decontaminate, exact_dedup, html_blocks, licenses, lm, packing, pii, simhash, toxicity, url_filter
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Key of the registered query; a production run passes its own secret.
+PII_KEY = b"key of the registered query"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +46,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(_table(spark, sf_dir, "documents"), PII_KEY)
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -54,8 +64,8 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_exact_dedup, op2_licenses, op3_simhash, op4_url_filter, op5_decontaminate, op6_packing, op9_toxicity,
-        op10_lm_score)}
+        op1_exact_dedup, op2_licenses, op3_simhash, op4_url_filter, op5_decontaminate, op6_packing, op7_pii, op8_html_text,
+        op9_toxicity, op10_lm_score)}
 
 OP1_SQL = r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]+', ' ', 'g') AS norm FROM documents)
