@@ -153,11 +153,12 @@ class Model:
         self.bits, self.seg_log, self.heavy, self.heavy_counts = bits, seg_log, heavy, heavy_counts
         self.tokens, self.words, self.mu = tokens, words, mu
 
-    def open(self) -> None:
-        self.filter = LogBloom(np.frombuffer(self.bits, np.uint8), self.seg_log)
+    def filter(self) -> LogBloom:
+        return LogBloom(np.frombuffer(self.bits, np.uint8), self.seg_log)
 
     def score(self, texts, hashes: WordHashes) -> Iterator[tuple]:
         """For each text: tokens, frequent tokens, their sum of log10(count + 1), model's log10 probability, other tokens."""
+        bloom = self.filter()
         tokens, sizes = token_hashes(texts, hashes)
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         kinds, of = np.unique(tokens, return_inverse=True)
@@ -165,12 +166,12 @@ class Model:
         is_heavy = self.heavy[at] == kinds if len(self.heavy) else np.zeros(len(kinds), bool)
         log_count = np.zeros(len(kinds))
         log_count[is_heavy] = np.log10(self.heavy_counts[at[is_heavy]] + 1.0)
-        about = count_of(self.filter.levels(scramble(kinds)))
+        about = count_of(bloom.levels(scramble(kinds)))
         alone = (about + 1) / (self.tokens + self.words + 1)
         prev = before(tokens, sizes)
         prev_about = np.concatenate(([0.0], about[of][:-1]))
-        prev_about[starts] = count_of(self.filter.levels(scramble(np.array([END], np.uint64))))[0]
-        pair = np.minimum(count_of(self.filter.levels(pair_hashes(prev, tokens))), np.minimum(prev_about, about[of]))
+        prev_about[starts] = count_of(bloom.levels(scramble(np.array([END], np.uint64))))[0]
+        pair = np.minimum(count_of(bloom.levels(pair_hashes(prev, tokens))), np.minimum(prev_about, about[of]))
         log_p = np.log10((pair + self.mu * alone[of]) / (prev_about + self.mu))
         heavy_of = is_heavy[of]
         sums = [np.add.reduceat(x, starts) for x in (heavy_of.astype(np.int64), log_count[of], log_p)]
@@ -221,13 +222,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     out = crc_mod(id_col, folds) == held_out
     model, rare = train(docs.where(~out).select(text_of(text_col).alias("text")), heavy_words, max_bits, mu)
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(vars(model))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"),
                        out.alias("held_out"), text_of(text_col).alias("text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, model = WordHashes(), shared.value
-        model.open()
+        hashes, model = WordHashes(), Model(**shared.value)
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS):
                 some = batch.slice(low, ROWS)
