@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -76,6 +76,17 @@ def extract_sales(src: DataFrame, load_date: _dt.date | None = None, region: str
             ))
 
 
+def split_duplicates(staged: DataFrame, key: tuple[str, ...] = ("transaction_id", "transaction_date", "region_code"),
+                     ) -> tuple[DataFrame, DataFrame]:
+    """Enforce the staging key: (one row per transaction of a slice, the other rows).
+
+    Of rows that share a key the first in the order of all columns stays, so
+    reruns choose alike.  The windows hold one transaction each."""
+    order = [F.col(c).asc_nulls_first() for c in staged.columns if c not in key]
+    nth = staged.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    return nth.where("_nth = 1").drop("_nth"), nth.where("_nth > 1").drop("_nth")
+
+
 def scan_transactions(src: DataFrame, load_date=None, region=None,
                       status: str = S.COMPLETED, batch_id: int | None = None) -> DataFrame:
     """A2 + B4: the graph's own parameterised scan of the source: date, region,

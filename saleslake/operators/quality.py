@@ -9,15 +9,18 @@ metric.
 from __future__ import annotations
 
 import datetime as _dt
+import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ._probe import quiet_analysis_errors
+from .keys import freeze
 
 # --------------------------------------------------------------------------- J
 DQ_RULE_SCHEMA = T.StructType([
@@ -70,11 +73,14 @@ def rules_frame(spark: SparkSession, rows: list[tuple], domain: str = "RETAIL")
 
 
 def load_rules(rules: DataFrame, domain: str) -> list[dict]:
-    """A15 + F1: active rules of a domain in execution order.  Rule rows are few
+    """A15 + F1 + J7: active rules of a domain in execution order; the built-in
+    ones where there are none, so that no run checks nothing.  Rule rows are few
     and are collected to build one plan per table."""
-    rows = (rules.where((F.col("domain") == domain) & (F.col("is_active") == "Y"))
-            .orderBy("execution_order", "rule_id").collect())
-    return [r.asDict() for r in rows]
+    def active(frame: DataFrame) -> list[dict]:
+        rows = (frame.where((F.col("domain") == domain) & (F.col("is_active") == "Y"))
+                .orderBy("execution_order", "rule_id").collect())
+        return [r.asDict() for r in rows]
+    return active(rules) or active(rules_frame(rules.sparkSession, BUILTIN_RULES, domain))
 
 
 @dataclass
@@ -109,25 +115,91 @@ def _rule_columns(rule: dict, ref_col: str | None) -> tuple[Column, Column, Colu
     return total.cast("bigint"), failed, _pct(failed, total)
 
 
+#: A fragment with a query of its own.
+SUBQUERY = re.compile(r"\bselect\b", re.I)
+
+
+def _metrics(plan: _TablePlan, rules: list[dict], load_date: _dt.date | None) -> DataFrame:
+    """check_date and the measures of the rules, from one aggregate over the table."""
+    f = plan.frame
+    if load_date is not None and plan.date_col:
+        f = f.where(F.col(plan.date_col) == F.lit(load_date))
+    structs = []
+    for rule in rules:
+        ref_col = f"_ref_{rule['rule_id']}" if (rule["rule_type"] == "REFERENTIAL_CHECK"
+                                                and rule.get("parent_table")) else None
+        total, failed, pct = _rule_columns(rule, ref_col)
+        structs.append(F.struct(F.lit(rule["rule_id"]).cast("bigint").alias("rule_id"),
+                                total.alias("total_rows"), failed.alias("failed_rows"),
+                                pct.alias("fail_pct")))
+    if load_date is None and plan.date_col:
+        agg = f.groupBy(F.col(plan.date_col).alias("check_date")).agg(F.array(*structs).alias("_m"))
+    else:
+        agg = f.agg(F.array(*structs).alias("_m")).withColumn("check_date", F.lit(load_date).cast("date"))
+    return agg.select("check_date", F.inline("_m"))
+
+
+def _subquery_metrics(spark: SparkSession, rule: dict, tables: dict[str, DataFrame], date_col: str | None,
+                      load_date: _dt.date | None) -> DataFrame:
+    """The measures of one rule whose fragment queries other tables: it is
+    evaluated for each row first (J2: true passes, J3: NULL fails), or as a
+    whole for the rule types that count."""
+    mine = [name for name in tables if not spark.catalog.tableExists(name)]
+    for name in mine:
+        tables[name].createOrReplaceTempView(name)
+    try:
+        kind, frag, table = rule["rule_type"], rule["sql_fragment"], rule["target_table"]
+        if kind in ("RANGE_CHECK", "REFERENTIAL_CHECK"):
+            rows = spark.sql(f"SELECT *, ({frag}) AS _probe FROM {table}")
+            fails = F.col("_probe").isNull() if kind == "REFERENTIAL_CHECK" else ~F.col("_probe")
+            plan = _TablePlan(rows.withColumn("_fails", fails), date_col)
+            return _metrics(plan, [rule | {"rule_type": "GENERIC", "sql_fragment": "count_if(_fails)", "parent_table": None}],
+                            load_date)
+        of_day = f"WHERE {date_col} = DATE '{load_date}'" if date_col and load_date else ""
+        counted = spark.sql(f"SELECT COUNT(1) AS n, CAST(({frag}) AS BIGINT) AS m FROM {table} {of_day}")
+        metric = kind == "THRESHOLD_COUNT"
+        return counted.select(F.lit(load_date).cast("date").alias("check_date"), F.lit(rule["rule_id"]).cast("bigint").alias("rule_id"),
+                              F.col("m" if metric else "n").alias("total_rows"),
+                              (F.lit(0).cast("bigint") if metric else F.col("m")).alias("failed_rows"),
+                              (F.lit(0.0) if metric else _pct(F.col("m"), F.col("n"))).alias("fail_pct"))
+    finally:
+        for name in mine:
+            spark.catalog.dropTempView(name)
+
+
 def run_checks(rules: list[dict], tables: dict[str, DataFrame], date_columns: dict[str, str],
                load_date: _dt.date | None = None, strict_threshold: bool = False) -> DataFrame:
     """Evaluate every rule; one aggregate per target table.
 
     ``load_date=None`` checks every date of each table (grouped by its date
     column, defect 11: each table names its own date column).  A rule that does
-    not analyse becomes an ERROR row (not passed) and the others continue.
+    not analyse, or that fails while it runs, becomes an ERROR row (not passed)
+    and the others continue: the rules of a table run together, and one by one
+    only if that fails.  A fragment that holds a subquery runs apart, with the
+    tables under their names (J3).
     ``passed = fail_pct <= threshold``, where a threshold of 0 or NULL means
     0.01 unless ``strict_threshold``.
     """
     spark = next(iter(tables.values())).sparkSession
     plans: dict[str, _TablePlan] = {}
     errors: list[tuple] = []
+    parts: list[DataFrame] = []
+
+    def attempt(rule: dict, make: Callable[[], DataFrame]) -> None:
+        try:
+            parts.append(freeze(make()))
+        except PySparkException as e:
+            errors.append(_error_row(rule, str(e).splitlines()[0][:200], load_date))
+
     for rule in rules:
         tname = rule["target_table"]
         base = tables.get(tname)
         if base is None:
             errors.append(_error_row(rule, "unknown table", load_date))
             continue
+        if SUBQUERY.search(rule["sql_fragment"]):
+            attempt(rule, lambda r=rule: _subquery_metrics(spark, r, tables, date_columns.get(r["target_table"]), load_date))
+            continue
         plan = plans.setdefault(tname, _TablePlan(base, date_columns.get(tname)))
         ref_col = None
         if rule["rule_type"] == "REFERENTIAL_CHECK" and rule.get("parent_table"):
@@ -144,35 +216,21 @@ def run_checks(rules: list[dict], tables: dict[str, DataFrame], date_columns: di
             trial = plan.frame
         try:
             cols = _rule_columns(rule, ref_col)
-            with quiet_analysis_errors():
-                trial.agg(*[c.alias(f"_{i}") for i, c in enumerate(cols)]).schema   # analyse alone
-        except Exception as e:  # noqa: BLE001 - isolate a broken rule
+            trial.agg(*[c.alias(f"_{i}") for i, c in enumerate(cols)]).schema   # analyse alone
+        except PySparkException as e:
             errors.append(_error_row(rule, str(e).splitlines()[0][:200], load_date))
             continue
         plan.frame = trial.drop(f"_pk_{rule['rule_id']}") if ref_col else trial
         plan.rules.append(rule)
 
-    parts = []
-    for tname, plan in plans.items():
+    for plan in plans.values():
         if not plan.rules:
             continue
-        f = plan.frame
-        if load_date is not None and plan.date_col:
-            f = f.where(F.col(plan.date_col) == F.lit(load_date))
-        structs = []
-        for rule in plan.rules:
-            ref_col = f"_ref_{rule['rule_id']}" if (rule["rule_type"] == "REFERENTIAL_CHECK"
-                                                    and rule.get("parent_table")) else None
-            total, failed, pct = _rule_columns(rule, ref_col)
-            structs.append(F.struct(F.lit(rule["rule_id"]).cast("bigint").alias("rule_id"),
-                                    total.alias("total_rows"), failed.alias("failed_rows"),
-                                    pct.alias("fail_pct")))
-        if load_date is None and plan.date_col:
-            agg = f.groupBy(F.col(plan.date_col).alias("check_date")).agg(F.array(*structs).alias("_m"))
-        else:
-            agg = f.agg(F.array(*structs).alias("_m")).withColumn(
-                "check_date", F.lit(load_date).cast("date"))
-        parts.append(agg.select("check_date", F.inline("_m")))
+        try:
+            parts.append(freeze(_metrics(plan, plan.rules, load_date)))
+        except PySparkException:
+            for rule in plan.rules:
+                attempt(rule, lambda r=rule, p=plan: _metrics(p, [r], load_date))
     meta = spark.createDataFrame(
         [(int(r["rule_id"]), r["rule_name"], r["target_table"], r["rule_type"],
           None if r["threshold_pct"] is None else float(r["threshold_pct"]), r["severity"] or "WARNING")
@@ -253,7 +311,8 @@ def row_count_gate(pending: DataFrame, fact: DataFrame, min_rows: int = S.MIN_RO
     script), empty batch = no-op, and whether the fact got rows."""
     st = pending.groupBy("transaction_date", "region_code").agg(F.count(F.lit(1)).alias("staged_rows"))
     fc = fact.groupBy("transaction_date", "region_code").agg(F.count(F.lit(1)).alias("fact_rows"))
-    j = st.join(fc, ["transaction_date", "region_code"], "full")
+    j = st.unionByName(fc, allowMissingColumns=True).groupBy("transaction_date", "region_code").agg(
+        F.sum("staged_rows").alias("staged_rows"), F.sum("fact_rows").alias("fact_rows"))   # NULL regions meet too
     staged_rows = F.coalesce(F.col("staged_rows"), F.lit(0)).cast("bigint")
     fact_rows = F.coalesce(F.col("fact_rows"), F.lit(0)).cast("bigint")
     return j.select(
@@ -267,12 +326,12 @@ def day_ratio_gate(fact: DataFrame, min_rows: int = S.MIN_ROWS_PER_SLICE,
                    min_ratio: Decimal = S.MIN_DAY_RATIO) -> DataFrame:
     """Each region-day's fact count against the previous day's.  Passes
     with at least ``min_rows`` rows and at least ``min_ratio`` of the previous
-    day (no previous day: ratio not applied).  The self-join is on the daily
-    counts (one row per region-day), never on the facts."""
+    day (no previous day: ratio not applied).  The window runs over the daily
+    counts: one row per region and calendar day."""
     counts = fact.groupBy("region_code", "transaction_date").agg(F.count(F.lit(1)).alias("row_count"))
-    prev = counts.select("region_code", F.date_add("transaction_date", 1).alias("transaction_date"),
-                         F.col("row_count").alias("prev_row_count"))
-    j = counts.join(prev, ["region_code", "transaction_date"], "left")
+    days = Window.partitionBy("region_code").orderBy("transaction_date")
+    follows = F.lag("transaction_date").over(days) == F.date_sub("transaction_date", 1)
+    j = counts.withColumn("prev_row_count", F.when(follows, F.lag("row_count").over(days)))
     ratio_ok = F.col("prev_row_count").isNull() | (F.col("row_count") >= F.col("prev_row_count") * F.lit(min_ratio))
     ok = (F.col("row_count") >= min_rows) & ratio_ok
     return j.select("region_code", "transaction_date", F.col("row_count").cast("bigint"),
@@ -308,6 +367,7 @@ def constraint_audit(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     and widths, one grouped count for the primary key."""
     parts = []
     for name, (df, pk) in tables.items():
+        df = freeze(df)                            # two aggregates, one evaluation
         checks = []
         for c in S.NOT_NULL.get(name, ()):
             if c in df.columns:

@@ -89,8 +89,10 @@ def product_rankings(fact: DataFrame) -> DataFrame:
     perf = freeze(product_performance(fact))
     ranked = distributed_rank(perf, RANK_PARTITION, "total_revenue", descending=True,
                               rank_col="revenue_rank", dense_rank_col="revenue_dense_rank")
-    totals = perf.groupBy(*RANK_PARTITION).agg(F.sum("total_revenue").alias("_part_total"))
-    return (ranked.join(totals, RANK_PARTITION)
+    totals = perf.groupBy(*[F.col(c).alias(f"_t_{c}") for c in RANK_PARTITION]).agg(
+        F.sum("total_revenue").alias("_part_total"))
+    same = [ranked[c].eqNullSafe(totals[f"_t_{c}"]) for c in RANK_PARTITION]      # NULL regions rank too
+    return (ranked.join(totals, same).drop(*[f"_t_{c}" for c in RANK_PARTITION])
             .withColumn("revenue_pct_share",
                         F.try_divide(F.col("total_revenue").cast("double"),
                                      F.col("_part_total").cast("double")) * 100)

@@ -14,11 +14,11 @@ import datetime as _dt
 import logging
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from ._probe import quiet_analysis_errors
+from .keys import freeze
 
 log = logging.getLogger(__name__)
 
@@ -46,27 +46,26 @@ def apply_category_rules(dim: DataFrame, rules: DataFrame, load_date: _dt.date,
 
     A rule whose target is not an updatable column of the dimension, or whose
     expression does not analyse against it (unknown column, bad syntax, wrong
-    type), is skipped with a warning and the rest continue -- each is analysed
-    alone before any job runs.  Run-time failures cannot be isolated per
-    expression in one projection; rule authors use ``try_*`` forms for those.
+    type), is skipped with a warning and the rest continue; so is a rule that
+    fails while it runs: each is evaluated on the rows it would change (the
+    versions of one category and day) before it is applied.
     A category with no rules is left as it is.
     """
-    out = dim
+    out = freeze(dim)
     allowed = [c for c in dim.columns if c not in PROTECTED_COLUMNS]
     for r in active_rules(rules).collect():
         target, expr_text = r["col_target"], r["rule_expr"]
         if target not in allowed:
             _note(outcomes, r, False, f"target column {target!r} not updatable")
             continue
+        hit = ((F.col("category_code") == F.lit(r["category_code"])) & (F.col("is_current") == "Y")
+               & (F.col("valid_from") == F.lit(load_date)))
         try:
             expr = F.expr(expr_text).cast(dim.schema[target].dataType)
-            with quiet_analysis_errors():
-                out.select(expr.alias("_probe")).schema  # analyse this rule alone
-        except (AnalysisException, Exception) as e:  # noqa: BLE001 - parse errors too
+            out.where(hit).agg(F.bit_xor(F.xxhash64(expr))).collect()   # this rule alone
+        except PySparkException as e:
             _note(outcomes, r, False, f"skipped: {str(e).splitlines()[0][:200]}")
             continue
-        hit = ((F.col("category_code") == F.lit(r["category_code"])) & (F.col("is_current") == "Y")
-               & (F.col("valid_from") == F.lit(load_date)))
         out = out.withColumn(target, F.when(F.coalesce(hit, F.lit(False)), expr).otherwise(F.col(target)))
         _note(outcomes, r, True, "applied")
     return out

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import columns as C
-from .keys import assign_dense_keys, next_key
+from .keys import assign_dense_keys, freeze, next_key
 
 SCD_COLUMNS = ("valid_from", "valid_to", "is_current", "version_num")
 
@@ -29,6 +29,10 @@ CUSTOMER_TRACKED = {"full_name": False, "email": False, "loyalty_tier": False}
 CUSTOMER_ATTRS = ("customer_code", "full_name", "email", "region_code", "loyalty_tier")
 
 
+class RepeatedKey(ValueError):
+    """A staged natural key occurs more than once."""
+
+
 def _differs(tracked: dict[str, bool], null_policy: str) -> Column:
     test = C.sentinel_differs if null_policy == "sentinel" else C.null_safe_differs
     parts = [test(F.col(f"_c_{c}"), F.col(f"_s_{c}"), numeric) for c, numeric in tracked.items()]
@@ -68,11 +72,15 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, natural_key: str, key_col:
       is replaced instead, so no interval ends before it starts;
     * unchanged, missing or untracked -> untouched.
 
-    ``staged`` must hold one row per natural key (the staging primary key).
+    ``staged`` must hold one row per natural key (the staging primary key); a
+    repeated key ends the merge, as it would open two current versions.
     Audit columns present in ``dim`` (``created_by/created_date`` on inserted
     rows, ``updated_by/updated_date`` on closed rows) take ``run_ts`` -- a
     parameter, so reruns repeat exactly (default: midnight of ``load_date``).
     """
+    repeated = staged.groupBy(natural_key).count().where("count > 1").first()
+    if repeated is not None:
+        raise RepeatedKey(f"{natural_key} {repeated[natural_key]!r} is staged {repeated['count']} times")
     cols = dim.columns
     types = {f.name: f.dataType for f in dim.schema.fields}
     ts = run_ts or _dt.datetime.combine(load_date, _dt.time())
@@ -89,7 +97,7 @@ def scd2_merge(dim: DataFrame, staged: DataFrame, *, natural_key: str, key_col:
     is_new = F.col("_has_cur").isNull()
     same_day = F.coalesce(F.col("valid_from") == F.lit(load_date), F.lit(False))
     j = j.withColumn("_changed", changed).withColumn("_new", is_new).withColumn("_same_day", same_day)
-    j = j.persist()
+    j = freeze(j)
 
     untouched = j.where(F.col("_has_cur") & ~F.col("_changed")).select(*cols)
     closed = (j.where(F.col("_changed") & ~F.col("_same_day"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from ..operators import clean, fact as factop, joins, quality, rollups, rules, s
 from ..session import scratch_path
 from ..sources import ingest, store
 from ..sources.tables import Tables
-from . import fixtures as fx
+from . import fixtures as fx, pipeline
 
 LOAD_DATE = fx.LOAD_DATE
 RUN_TS = _dt.datetime(1998, 1, 2, 2, 0, 0)   # fixed run timestamp: reruns repeat exactly
@@ -239,8 +239,7 @@ def audit_fk(t: Tables) -> DataFrame:
 
 
 def entry(t: Tables) -> DataFrame:
-    from .pipeline import daily_load
-    run = daily_load(staged=staged(t), stg_product=fx.stg_product(t), dim_product=fx.dim_product(t),
+    run = pipeline.daily_load(staged=staged(t), stg_product=fx.stg_product(t), dim_product=fx.dim_product(t),
                      stg_customer=fx.stg_customer(t), dim_customer=fx.dim_customer(t),
                      dim_store=fx.dim_store(t), supplier_feed=fx.supplier_feed(t),
                      category_rules=fx.category_rules(t.spark), load_date=LOAD_DATE)
@@ -305,7 +304,7 @@ def summary_refresh(t: Tables) -> DataFrame:
 def dq_result_sink(t: Tables) -> DataFrame:
     """DQ results appended to the results table, read back."""
     path = scratch_path(t.spark, "dq_results")
-    store.write_dq_results(dq_results(t), path)
+    store.write_dq_results(dq_results(t), path, RUN_TS.date())
     return t.spark.read.parquet(path)
 
 
@@ -331,19 +330,19 @@ def product_file_reconcile(t: Tables) -> DataFrame:
     return ingest.reconciliation(t.spark, path, res)
 
 
-def incremental_load(t: Tables) -> DataFrame:
+def _incremental(t: Tables, summary: bool) -> DataFrame:
     """K1: staged rows arrive in two drops (before / from the load date) in a
     landing folder; each ``availableNow`` run consumes only new files and
     loads their facts per micro-batch; a third run finds nothing.  Returns the
-    facts read back (they must equal the batch fact load)."""
+    summary or the facts read back."""
     from ..streaming import incremental as inc
     spark = t.spark
     base = scratch_path(spark, "incremental")
     landing, ckpt, fact_path = f"{base}/landing", f"{base}/checkpoint", f"{base}/fact"
     s = staged(t)
     dp, dc, ds = fx.dim_product(t), fx.dim_customer(t), fx.dim_store(t)
-    process = inc.fact_and_summary(fact_path, None,
-                                   lambda b: factop.load_fact(clean.pending(b), dp, dc, ds))
+    process = inc.fact_and_summary(fact_path, f"{base}/summary" if summary else None,
+                                   lambda b: pipeline.load_facts(clean.pending(b), dp, dc, ds).fact)
     runs = []
     for drop in (s.where(F.col("transaction_date") < F.lit(LOAD_DATE)),
                  s.where(F.col("transaction_date") >= F.lit(LOAD_DATE))):
@@ -352,7 +351,97 @@ def incremental_load(t: Tables) -> DataFrame:
     runs.append(inc.incremental_load(spark, landing, s.schema, ckpt, process))
     if runs != [1, 1, 0]:
         raise RuntimeError(f"incremental load consumed files more than once: batches per run {runs}")
-    return spark.read.parquet(fact_path).select(*factop.FACT_COLUMNS)
+    return spark.read.parquet(f"{base}/summary") if summary else spark.read.parquet(fact_path).select(*factop.FACT_COLUMNS)
+
+
+def incremental_load(t: Tables) -> DataFrame:
+    """K1: the facts of the incremental load (they must equal the batch fact load)."""
+    return _incremental(t, False)
+
+
+def incremental_summary(t: Tables) -> DataFrame:
+    """K1 + I10: the summary slices kept by the micro-batches."""
+    return _incremental(t, True)
+
+
+# ---------------------------------------------------------------- the store-backed job
+def late() -> Column:
+    """Whether a sale of the load date arrives after the day's first run (by key rule)."""
+    return F.col("txn_id") % 5 == 2
+
+
+def _daily_runs(t: Tables):
+    """``run_daily`` of the load date three times: without its late rows, with
+    them, and again unchanged.  The sources are the whole tables."""
+    from . import run
+    spark, sales = t.spark, fx.sales_txn(t)
+    wh = run.Warehouse(scratch_path(spark, "warehouse"))
+    run.bootstrap(spark, wh, dim_product=fx.dim_product(t), dim_customer=fx.dim_customer(t),
+                  dim_store=fx.dim_store(t), stg_customer=fx.stg_customer_prev(t))
+    of_day = F.col("txn_datetime").cast("date") == F.lit(LOAD_DATE)
+    first = sales.where(~(of_day & late()))
+    reports = []
+    for sales_txn in (first, sales, sales):
+        src = run.Sources(sales_txn, fx.src_customer(t), fx.loyalty_profile(t), fx.stg_product(t))
+        reports.append(run.run_daily(spark, wh, src, LOAD_DATE, run_ts=RUN_TS))
+    if any(r.get("skipped") for r in reports):
+        return None
+    if reports[2]["staged_rows"] or len({r["batch_id"] for r in reports}) != 3:
+        raise RuntimeError(f"a rerun of an unchanged day must load nothing under its own id: {reports}")
+    return wh
+
+
+def daily_runs_fact(t: Tables) -> DataFrame:
+    """I9 + A8 by the job: the facts of the load date after late rows and a rerun."""
+    wh = _daily_runs(t)
+    facts = fact(t).limit(0) if wh is None else t.spark.read.parquet(wh.fact_daily_sales)
+    return facts.select(
+        "transaction_date", "region_code", "quantity", "unit_price", "discount_amt", "gross_amount", "net_amount",
+        "tax_amount", "fiscal_year", "fiscal_month", "fiscal_week", "currency_code", "load_date")
+
+
+def daily_runs_slices(t: Tables) -> DataFrame:
+    """D1, D2, A6, A7, A12 and I4 by the job: rows and totals of every output of the load date's slices."""
+    spark, wh = t.spark, _daily_runs(t)
+    if wh is None:
+        return spark.createDataFrame([], "output string, region_code string, n_rows bigint, total double")
+    n = F.count(F.lit(1)).cast("bigint").alias("n_rows")
+    by = lambda df, name, total: df.groupBy("region_code").agg(n, F.sum(total).cast("double").alias("total")).select(
+        F.lit(name).alias("output"), "region_code", "n_rows", "total")
+    zero = F.lit(0).cast("double")
+    errors = lambda name: spark.read.schema("transaction_id string, transaction_date date, region_code string").option(
+        "sep", "|").csv(f"{wh.errors}/{name}")
+    staged_rows = spark.read.parquet(wh.stg_sales)
+    parts = [by(spark.read.parquet(wh.regional_summary), "summary", F.col("total_revenue")),
+             by(spark.read.parquet(wh.category_rollup), "rollup", F.col("total_net_revenue")),
+             by(spark.read.parquet(wh.category_summary), "category_summary", F.col("total_transactions")),
+             by(staged_rows.where("etl_status = 'LOADED'"), "staging", F.col("quantity")),
+             by(errors("rejected"), "rejected", zero), by(errors("unmatched_product"), "unmatched", zero)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def emptied_slice(t: Tables) -> DataFrame:
+    """A12, A13, A6 by the store: the load date's slices are written, then again
+    for a source in which one region's sales are void; its old rows are gone."""
+    spark, base = t.spark, scratch_path(t.spark, "emptied")
+    day = staged(t).where(F.col("transaction_date") == F.lit(LOAD_DATE))
+    for rows in (day, day.where("region_code <> 'ASIA'")):
+        store.reload_staging(spark, rows, f"{base}/staging", LOAD_DATE)
+        store.refresh_summary(rollups.regional_summary(factop.load_fact(rows, fx.dim_product(t), fx.dim_customer(t), fx.dim_store(t))),
+                              f"{base}/summary", store.slice_predicate("summary_date", LOAD_DATE, None))
+        store.write_delimited(clean.reject_records(clean.split_valid(rows)[1], RUN_TS), f"{base}/rejected",
+                              covers=store.slice_predicate("transaction_date", LOAD_DATE, None))
+    n = F.count(F.lit(1)).cast("bigint").alias("n_rows")
+    count = lambda df, name: df.groupBy("region_code").agg(n).select(F.lit(name).alias("output"), "region_code", "n_rows")
+    slim = "transaction_id string, transaction_date date, region_code string"
+    rejected = (spark.read.schema(slim).option("sep", "|").csv(f"{base}/rejected") if store.path_exists(spark, f"{base}/rejected")
+                else spark.createDataFrame([], slim))
+    left = [store.read_table(spark, f"{base}/{name}") for name in ("staging", "summary")]
+    staging, summary = (rejected.limit(0) if df is None else df for df in left)
+    return count(staging, "staging").unionByName(count(summary, "summary")).unionByName(count(rejected, "rejected"))
 
 
 CHECKS = {
@@ -403,6 +492,10 @@ CHECKS = {
     "summary_refresh": summary_refresh,
     "dq_result_sink": dq_result_sink,
     "incremental_load": incremental_load,
+    "incremental_summary": incremental_summary,
+    "daily_runs_fact": daily_runs_fact,
+    "daily_runs_slices": daily_runs_slices,
+    "emptied_slice": emptied_slice,
     "source_availability": source_availability,
 }
 

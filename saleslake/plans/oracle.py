@@ -175,7 +175,7 @@ fact_counts AS (
 SELECT region_code, transaction_date, CAST(COUNT(*) AS BIGINT) AS row_count FROM fact GROUP BY region_code, transaction_date)
 """
 
-PREFIX = "WITH " + FIXTURE_CTES.strip() + ",\n" + DERIVED_CTES.strip() + "\n"
+PREFIX = "WITH " + FIXTURE_CTES.strip() + ",\n" + DERIVED_CTES.strip()
 
 CHECK_SQL: dict[str, str] = {}
 
@@ -600,7 +600,7 @@ CHECK_SQL["unmatched_sink"] = CHECK_SQL["unmatched_product"]
 CHECK_SQL["fact_append"] = CHECK_SQL["fact_load"]
 CHECK_SQL["staging_reload"] = CHECK_SQL["extract_sales"]
 CHECK_SQL["summary_refresh"] = CHECK_SQL["regional_summary"]
-CHECK_SQL["dq_result_sink"] = CHECK_SQL["dq_results"]
+CHECK_SQL["dq_result_sink"] = "SELECT q.*, DATE '1998-01-02' AS run_date FROM (" + CHECK_SQL["dq_results"] + ") q"
 CHECK_SQL["analytical_outputs"] = """
 SELECT customer_id, clv_segment, churn_risk, region_code FROM (""" + CHECK_SQL["customer_segments"] + ") s"
 CHECK_SQL["incremental_load"] = CHECK_SQL["fact_load"]
@@ -610,6 +610,63 @@ SELECT CAST(txn_datetime AS DATE) AS business_date, CAST(COUNT(*) AS BIGINT) AS
 FROM sales_txn GROUP BY CAST(txn_datetime AS DATE)
 """
 
+CHECK_SQL["incremental_summary"] = CHECK_SQL["regional_summary"]
+
+# The store-backed job over the load date: a repeated transaction id is staged once (first in the order of all columns)
+DAY_CTES = """
+day_rows AS (
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY transaction_id, transaction_date, region_code ORDER BY customer_id NULLS FIRST,
+           product_id NULLS FIRST, store_id NULLS FIRST, quantity NULLS FIRST, unit_price NULLS FIRST, discount_amt NULLS FIRST,
+           discount_pct NULLS FIRST, currency_code NULLS FIRST, payment_method NULLS FIRST, pos_terminal_id NULLS FIRST) AS nth
+  FROM staged WHERE transaction_date = DATE '1998-01-01') r WHERE nth = 1),
+day_fact AS (
+SELECT s.*, CAST(ROUND(quantity * unit_price, 4) AS DECIMAL(16,4)) AS gross_amount,
+       CAST(ROUND(quantity * unit_price - discount_amt, 4) AS DECIMAL(16,4)) AS net_amount,
+       CAST(ROUND((quantity * unit_price - discount_amt) * CAST(0.20 AS DECIMAL(3,2)), 4) AS DECIMAL(12,4)) AS tax_amount
+FROM day_rows s WHERE product_id IN (SELECT product_id FROM dim_product_after WHERE is_current = 'Y')
+  AND customer_id IN (SELECT customer_id FROM dim_customer UNION SELECT cust_id FROM src_customer)),
+day_valid AS (SELECT * FROM day_rows WHERE COALESCE(quantity > 0 AND unit_price > 0 AND product_id IS NOT NULL, false)),
+day_joined AS (
+SELECT v.*, quantity * unit_price - discount_amt AS net_amount, d.product_id AS found,
+       COALESCE(d.category_code, 'UNCATEGORISED') AS category_code
+FROM day_valid v LEFT JOIN (SELECT product_id, category_code FROM dim_product_after WHERE is_current = 'Y') d USING (product_id)),
+day_rollup AS (
+SELECT region_code, category_code, COUNT(*) AS n, SUM(net_amount) AS net FROM day_joined GROUP BY region_code, category_code)
+"""
+
+EXTRA_CTES["daily_runs_fact"] = EXTRA_CTES["daily_runs_slices"] = ",\n" + DAY_CTES.strip()
+
+CHECK_SQL["daily_runs_fact"] = """
+SELECT transaction_date, region_code, CAST(quantity AS DOUBLE) AS quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+       CAST(discount_amt AS DOUBLE) AS discount_amt, CAST(gross_amount AS DOUBLE) AS gross_amount,
+       CAST(net_amount AS DOUBLE) AS net_amount, CAST(tax_amount AS DOUBLE) AS tax_amount,
+       CAST(1998 AS BIGINT) AS fiscal_year, CAST(1 AS BIGINT) AS fiscal_month, CAST(1 AS BIGINT) AS fiscal_week,
+       currency_code, load_date
+FROM day_fact
+"""
+
+CHECK_SQL["daily_runs_slices"] = """
+SELECT 'summary' AS output, region_code, CAST(1 AS BIGINT) AS n_rows, CAST(SUM(net_amount) AS DOUBLE) AS total
+FROM day_fact GROUP BY region_code
+UNION ALL SELECT 'rollup', region_code, CAST(COUNT(*) AS BIGINT), CAST(SUM(net) AS DOUBLE) FROM day_rollup GROUP BY region_code
+UNION ALL SELECT 'category_summary', region_code, CAST(COUNT(*) AS BIGINT), CAST(SUM(n) AS DOUBLE) FROM day_rollup GROUP BY region_code
+UNION ALL SELECT 'staging', region_code, CAST(COUNT(*) AS BIGINT), CAST(SUM(quantity) AS DOUBLE) FROM day_rows GROUP BY region_code
+UNION ALL SELECT 'rejected', region_code, CAST(COUNT(*) AS BIGINT), CAST(0 AS DOUBLE) FROM day_rows
+          WHERE NOT COALESCE(quantity > 0 AND unit_price > 0 AND product_id IS NOT NULL, false) GROUP BY region_code
+UNION ALL SELECT 'unmatched', region_code, CAST(COUNT(*) AS BIGINT), CAST(0 AS DOUBLE) FROM day_joined
+          WHERE found IS NULL GROUP BY region_code
+"""
+
+CHECK_SQL["emptied_slice"] = """
+SELECT 'staging' AS output, region_code, CAST(COUNT(*) AS BIGINT) AS n_rows FROM staged
+WHERE transaction_date = DATE '1998-01-01' AND region_code <> 'ASIA' GROUP BY region_code
+UNION ALL SELECT 'summary', region_code, CAST(1 AS BIGINT) FROM fact
+WHERE transaction_date = DATE '1998-01-01' AND region_code <> 'ASIA' GROUP BY region_code
+UNION ALL SELECT 'rejected', region_code, CAST(COUNT(*) AS BIGINT) FROM rejects
+WHERE transaction_date = DATE '1998-01-01' AND region_code <> 'ASIA' GROUP BY region_code
+"""
+
 # A4 / A5: the product master file derived from part (see fixtures.product_master_file)
 CHECK_SQL["product_master_csv"] = """
 SELECT product_id, product_code, product_name, category_code, subcategory_code, supplier_id,

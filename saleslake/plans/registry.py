@@ -123,3 +123,10 @@ OPERATORS += [
     ("a4", "product_master_csv", None),
     ("a5", "product_file_reconcile", None),
 ]
+
+OPERATORS += [
+    ("k1", "incremental_summary", None),
+    ("i9", "daily_runs_fact", None),
+    ("i10", "daily_runs_slices", None),
+    ("a13", "emptied_slice", None),
+]

@@ -1,17 +1,22 @@
 """Store-backed daily run: the job a scheduler starts once per load date
-(products first, then customers, then facts; defect 23).  Every write is
-idempotent, so a rerun of the same day changes nothing and a failed run can
-simply be started again.
+(products first, then customers, then facts; defect 23).  Every run takes a new
+batch id; a run that died keeps its id when it is started again and completes it.
+Late rows of a day are added by the next run of that day: their facts come beside
+the earlier ones, and rollup, rejects, unmatched rows and summary are made again
+from every row of the slice.  A rerun of an unchanged day changes nothing.
 
 Layout under ``root``::
 
     stg_sales/                 slices  (transaction_date, region_code)
-    stg_customer/, dim_*/      snapshots  v=<n> + _current
+    stg_customer/, dim_*/      snapshots  v=<n>-<id> + _versions
+    batches/                   started and finished runs, first free fact key
     fact_daily_sales/          slices  (transaction_date, region_code, load_batch_id)
     regional_summary/          slices  (summary_date, region_code)
     category_rollup/           slices  (summary_date, region_code)
+    category_summary/          slices  (summary_date, region_code), the rollup under the summary's column names
     errors/rejected, errors/unmatched_product   '|' files per slice
-    dq_results/                appended
+    errors/duplicate_sales     slices of staged rows whose transaction id was staged already
+    dq_results/, audit/        slices  (load_batch_id)
 """
 
 from __future__ import annotations
@@ -24,9 +29,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..operators import clean, fact as factop, joins, quality, rollups, rules, scd
+from ..operators import clean, joins, quality, rollups, scd
 from ..operators.keys import freeze, next_key
 from ..sources import ingest, store
+from . import pipeline
 
 
 @dataclass
@@ -88,17 +94,21 @@ def purge_dimension(spark: SparkSession, table: str, as_of: _dt.date,
 
 def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.date,
               region: str | None = None, batch_id: int | None = None,
-              run_ts: _dt.datetime | None = None) -> dict:
-    bid = batch_id if batch_id is not None else int(load_date.strftime("%Y%m%d"))
+              run_ts: _dt.datetime | None = None, fail_on_critical: bool = False) -> dict:
     run_ts = run_ts or _dt.datetime.combine(load_date + _dt.timedelta(days=1), _dt.time(2, 0))
 
     # 0. pre-check (D8): no source rows for the day -> a successful no-op (batch mode)
     if quality.source_availability(src.sales_txn, load_date).first()["available"] != "Y":
-        return {"batch_id": bid, "skipped": True, "reason": "no source rows for the load date"}
+        return {"batch_id": batch_id, "skipped": True, "reason": "no source rows for the load date"}
+    bid = batch_id if batch_id is not None else store.open_batch(spark, wh.batches, load_date, region)
 
-    # 1. extract the slice into staging (A12: PENDING replaced, LOADED kept; I11 defaults before the write)
-    store.reload_staging(spark, ingest.apply_defaults(clean.extract_sales(src.sales_txn, load_date, region, bid),
-                                                      "stg_sales"), wh.stg_sales)
+    # 1. extract the slice into staging (A12: PENDING replaced, LOADED kept; I11 defaults before the write);
+    #    a transaction id staged twice breaks the staging key: one row stays, the others are set aside
+    extract = freeze(ingest.apply_defaults(clean.extract_sales(src.sales_txn, load_date, region, bid), "stg_sales"))
+    unique, doubles = clean.split_duplicates(extract)
+    store.reload_staging(spark, unique, wh.stg_sales, load_date, region)
+    store.replace_slices(doubles, wh.errors + "/duplicate_sales",
+                         store.slice_predicate("transaction_date", load_date, region))
 
     # 2. shared customer staging: upsert the day's buyers
     buyers = joins.sales_customers(src.sales_txn, load_date, load_date, region)
@@ -107,71 +117,84 @@ def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.d
                          wh.stg_customer)
 
     # 3. dimensions: product SCD2 -> supplier prices -> category rules; customer SCD2
-    dp = scd.load_dim_product(store.read_snapshot(spark, wh.dim_product), src.stg_product, load_date)
-    if src.supplier_feed is not None:
-        dp = rules.enrich_from_suppliers(dp, src.supplier_feed, load_date)
-    if src.category_rules is not None:
-        dp = rules.apply_category_rules(dp, src.category_rules, load_date)
+    dp, dc = pipeline.load_dimensions(
+        dim_product=store.read_snapshot(spark, wh.dim_product), stg_product=src.stg_product,
+        dim_customer=store.read_snapshot(spark, wh.dim_customer), stg_customer=store.read_snapshot(spark, wh.stg_customer),
+        supplier_feed=src.supplier_feed, category_rules=src.category_rules, load_date=load_date, region=region)
     store.write_snapshot(spark, dp, wh.dim_product)
-    dc = scd.load_dim_customer(store.read_snapshot(spark, wh.dim_customer),
-                               store.read_snapshot(spark, wh.stg_customer), load_date, region)
     store.write_snapshot(spark, dc, wh.dim_customer)
     dp, dc = store.read_snapshot(spark, wh.dim_product), store.read_snapshot(spark, wh.dim_customer)
     ds = store.read_snapshot(spark, wh.dim_store)
 
-    # 4. fact load of the slice's PENDING rows (I9, I8 keys continue the sequence)
+    # 4. fact load of the slice's PENDING rows (I9); keys go on after the last finished run (I8).  Facts that an
+    #    unfinished attempt of this batch has written are read by their partition only
     staging = spark.read.parquet(wh.stg_sales)
-    pend = freeze(clean.pending(staging, load_date, region))
-    existing_fact = spark.read.parquet(wh.fact_daily_sales) if store.table_exists(spark, wh.fact_daily_sales) else None
-    start = next_key(existing_fact, "fact_sales_key", S.KEY_START)
-    facts = ingest.apply_defaults(factop.load_fact(pend, dp, dc, ds, key_start=start), "fact")
-    fact_obs = Observation("fact_rows")                      # counted by the write itself
-    store.append_fact(facts.observe(fact_obs, F.count(F.lit(1)).alias("n")), wh.fact_daily_sales)
-
-    # 5. the graph's outputs: rejects, unmatched products, category rollup
-    valid, rejects = clean.split_valid(pend)
-    rej_obs = Observation("rejected_rows")
-    store.write_delimited(clean.reject_records(rejects, run_ts).observe(rej_obs, F.count(F.lit(1)).alias("n")),
-                          wh.errors + "/rejected")
-    enriched = clean.enrich_sales(valid)
-    store.write_delimited(joins.unmatched_product(enriched, dp), wh.errors + "/unmatched_product")
-    store.write_slices(rollups.category_rollup(joins.join_product_left(enriched, dp)), wh.category_rollup,
-                       ("summary_date", "region_code"))
-
-    # 6. status flip of the whole slice, also rows the dimension joins dropped (I4)
-    slice_rows = staging.where(F.col("transaction_date") == F.lit(load_date))
-    if region is not None:
-        slice_rows = slice_rows.where(F.col("region_code") == F.lit(region))
-    store.write_slices(freeze(scd.mark_loaded(slice_rows, bid, load_date, region)), wh.stg_sales)
-
-    # 7. regional summary of the touched slices, from every batch in the fact
-    fact_tbl = spark.read.parquet(wh.fact_daily_sales).where(F.col("transaction_date") == F.lit(load_date))
-    if region is not None:
-        fact_tbl = fact_tbl.where(F.col("region_code") == F.lit(region))
-    store.refresh_summary(rollups.regional_summary(fact_tbl), wh.regional_summary)
-
-    # 8. data quality of the day (J), appended
-    rule_rows = quality.load_rules(src.dq_rules if src.dq_rules is not None
-                                   else quality.rules_frame(spark, quality.BUILTIN_RULES), "RETAIL")
-    summary_tbl = spark.read.parquet(wh.regional_summary)
-    dq = quality.run_checks(rule_rows, {"FACT_DAILY_SALES": fact_tbl, "FACT_REGIONAL_SUMMARY": summary_tbl},
-                            {"FACT_DAILY_SALES": "transaction_date", "FACT_REGIONAL_SUMMARY": "summary_date"},
-                            load_date=load_date)
-    dq = freeze(dq.withColumn("load_batch_id", F.lit(bid).cast("bigint")))
-    store.write_dq_results(dq, wh.dq_results)
-
-    # 9. counts of the run (D8): observed by the writes; the staged count is a
-    #    count over the frozen (checkpointed) slice
+    day = freeze(staging.where(store.slice_predicate("transaction_date", load_date, region)))
+    pend = freeze(day.where(F.col("etl_status") == S.PENDING))
+    start = store.next_fact_key(spark, wh.batches, S.KEY_START)
+    existing = store.read_table(spark, wh.fact_daily_sales)
+    if existing is not None:
+        start = next_key(existing.where((F.col("transaction_date") == F.lit(load_date)) & (F.col("load_batch_id") == bid)),
+                         "fact_sales_key", start)
+    loaded = pipeline.load_facts(pend, dp, dc, ds, start)
+    store.append_fact(ingest.apply_defaults(loaded.fact, "fact").withColumn("load_batch_id", F.lit(bid).cast("bigint")),
+                      wh.fact_daily_sales)
     staged_rows = pend.count()
-    fact_rows = _observed(fact_obs, staged_rows,
+    fact_rows = _observed(loaded.fact_rows, staged_rows,
                           lambda: spark.read.parquet(wh.fact_daily_sales).where(
                               (F.col("transaction_date") == F.lit(load_date)) & (F.col("load_batch_id") == bid)).count())
-    rejected = _observed(rej_obs, staged_rows, lambda: rejects.count())
+
+    # 5. the graph's outputs of whole slices, from every staged row of them: rejects, unmatched products,
+    #    category rollup and its form for the summary table
+    out = pipeline.slice_outputs(day, dp, run_ts)
+    rejects = freeze(out.rejects)
+    store.write_delimited(rejects, wh.errors + "/rejected", covers=store.slice_predicate("transaction_date", load_date, region))
+    store.write_delimited(out.unmatched, wh.errors + "/unmatched_product",
+                          covers=store.slice_predicate("transaction_date", load_date, region))
+    summary_slices = store.slice_predicate("summary_date", load_date, region)
+    keys = ("summary_date", "region_code")
+    rollup = freeze(out.rollup)
+    store.replace_slices(rollup, wh.category_rollup, summary_slices, keys)
+    store.replace_slices(rollups.summary_column_mapping(rollup), wh.category_summary, summary_slices, keys)
+
+    # 6. status flip of the whole slice, also rows the dimension joins dropped (I4)
+    store.write_slices(scd.mark_loaded(day, bid, load_date, region), wh.stg_sales)
+
+    # 7. regional summary of the slices, from every batch in the fact
+    fact_tbl = spark.read.parquet(wh.fact_daily_sales).where(store.slice_predicate("transaction_date", load_date, region))
+    store.refresh_summary(rollups.regional_summary(fact_tbl), wh.regional_summary, summary_slices)
+
+    # 8. audit of the run: rollup rows (A10), constraint violations of the slice (I12), the ratio to the day before
+    audit = quality.audit_counts(rollup).select(
+        F.lit("ROLLUP_ROWS").alias("audit"), "region_code", F.lit(None).cast("string").alias("subject"),
+        F.col("rollup_rows").alias("value"))
+    broken = quality.constraint_audit({"stg_sales": (day, "transaction_id")})
+    audit = audit.unionByName(broken.select(
+        F.concat(F.lit("VIOLATION_"), "constraint_type").alias("audit"), F.lit(None).cast("string").alias("region_code"),
+        F.col("column_name").alias("subject"), F.col("violation_rows").alias("value")))
+    two_days = spark.read.parquet(wh.fact_daily_sales).where(
+        F.col("transaction_date").between(F.lit(load_date - _dt.timedelta(days=1)), F.lit(load_date)))
+    gate = freeze(quality.day_ratio_gate(two_days).where(F.col("transaction_date") == F.lit(load_date)))
+    audit = audit.unionByName(gate.where("gate_passed = 'N'").select(
+        F.lit("DAY_GATE_FAILED").alias("audit"), "region_code", F.lit(None).cast("string").alias("subject"),
+        F.col("row_count").alias("value")))
+    store.write_slices(audit.withColumn("run_date", F.lit(run_ts.date())).withColumn("load_batch_id", F.lit(bid).cast("bigint")),
+                       wh.audit, ("load_batch_id",))
+
+    # 9. data quality of the day (J), a slice per batch
+    rules_df = src.dq_rules if src.dq_rules is not None else quality.rules_frame(spark, quality.BUILTIN_RULES)
+    dq = freeze(quality.run_checks(quality.load_rules(rules_df, "RETAIL"),
+                                   {"FACT_DAILY_SALES": fact_tbl, "FACT_REGIONAL_SUMMARY": spark.read.parquet(wh.regional_summary)},
+                                   {"FACT_DAILY_SALES": "transaction_date", "FACT_REGIONAL_SUMMARY": "summary_date"},
+                                   load_date=load_date))
+    store.write_dq_results(dq, wh.dq_results, run_ts.date(), bid)
+    store.close_batch(spark, wh.batches, bid, start + fact_rows)
     return {"batch_id": bid, "staged_rows": staged_rows, "fact_rows": fact_rows,
-            "rejected_rows": rejected,
+            "rejected_rows": rejects.count(), "duplicate_rows": doubles.count(),
             "dropped_rows": staged_rows - fact_rows,
             "below_minimum": staged_rows < S.MIN_ROWS_PER_SLICE,
-            "critical_dq_failures": quality.dq_gate(dq, fail_on_critical=False)}
+            "day_gate_failures": gate.where("gate_passed = 'N'").count(),
+            "critical_dq_failures": quality.dq_gate(dq, fail_on_critical)}
 
 
 def run_analytics(spark: SparkSession, wh: Warehouse, load_date: _dt.date,

@@ -8,7 +8,7 @@ import datetime as _dt
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,7 +66,9 @@ def parse_product_csv(spark: SparkSession, path: str, load_date: _dt.date) -> Cs
     """A4: ``product_master_<yyyymmdd>.csv`` (a file or a folder of part files)
     -> (good rows, bad lines) and their counts; no limit is applied here.
 
-    Malformed rows (bad values, too few or too many fields) land in ``_bad``.
+    Malformed rows (bad values, too few or too many fields) land in ``_bad``, and
+    so do rows that break the staging key: without a product id, or with one that
+    an earlier line has.
     The parsed frame is frozen with a reliable checkpoint first: Spark refuses
     a query on the corrupt-record column alone, and both outputs must come from
     the same parse.
@@ -75,7 +77,13 @@ def parse_product_csv(spark: SparkSession, path: str, load_date: _dt.date) -> Cs
     schema = T.StructType(PRODUCT_CSV_SCHEMA.fields + [T.StructField("_bad", T.StringType())])
     parsed = (spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", "_bad").option("dateFormat", "yyyy-MM-dd")
-              .csv(path)).checkpoint(eager=True)
+              .csv(path).withColumn("_line", F.monotonically_increasing_id())).checkpoint(eager=True)
+    names = [f.name for f in PRODUCT_CSV_SCHEMA.fields]
+    nth = F.row_number().over(Window.partitionBy("_bad", "product_id").orderBy("_line"))   # one product's lines
+    text = F.to_csv(F.struct(*[F.col(n).cast("string").alias(n) for n in names]))
+    broken = F.col("_bad").isNull() & (F.col("product_id").isNull() | (F.col("_nth") > 1))
+    keyed = parsed.where("_bad is null").withColumn("_nth", nth).withColumn("_bad", F.when(broken, text)).drop("_nth")
+    parsed = keyed.unionByName(parsed.where("_bad is not null")).drop("_line").checkpoint(eager=True)
     bad = parsed.where(F.col("_bad").isNotNull()).select(F.col("_bad").alias("raw_line"))
     good = (parsed.where(F.col("_bad").isNull()).drop("_bad")
             .select(*[trim_to_null(f.name).alias(f.name) if isinstance(f.dataType, T.StringType)

@@ -3,53 +3,39 @@
 * slice tables (staging, fact, summaries) are partitioned by
   ``(transaction_date | summary_date, region_code)`` and written with
   ``partitionOverwriteMode=dynamic``: rerunning a slice replaces exactly that
-  slice, which makes every append idempotent (A8, A12, A13);
-* dimensions are whole-table snapshots written to ``<table>/v=<n>`` followed
-  by a one-row pointer ``<table>/_current`` (written by Spark, so it works on
-  any shared file system); readers read the version the pointer names.
+  slice, which makes every append idempotent (A8, A12, A13); a write that names
+  its slices also empties those that got no rows;
+* dimensions are whole-table snapshots, each in a folder of its own, committed
+  by one record ``<table>/_versions/<n>`` that is created once; readers read
+  the folder the last record names.
 """
 
 from __future__ import annotations
 
+import json
 import os
-from contextlib import contextmanager
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-
-
-def _dynamic(df: DataFrame):
-    return df.write.option("partitionOverwriteMode", "dynamic")
-
-
-# AQE packs shuffle partitions up to at least this size (default 1 MB) before a
-# slice write.  A slice write costs per file as well as per byte, so many small
-# slices need more than one or two writer tasks; at scale the advisory size
-# (hundreds of MB) governs and this floor has no effect.
-_WRITE_MIN_PARTITION = "64k"
-
-
-@contextmanager
-def _write_partition_floor(spark: SparkSession):
-    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, _WRITE_MIN_PARTITION)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+from ..operators.keys import freeze
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether anything exists at ``path`` (a file-system metadata call on the driver)."""
+    jpath, fs = _fs(spark, path)
+    return fs.exists(jpath)
+
+
+def _fs(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def write_slices(df: DataFrame, path: str, partition_by=("transaction_date", "region_code"),
@@ -60,24 +46,61 @@ def write_slices(df: DataFrame, path: str, partition_by=("transaction_date", "re
     file per slice instead of one per task and slice) while AQE still splits a
     hot slice over several tasks and packs small slices together.
 
-    A table that does not exist yet is written with a plain append: there is no
-    slice to keep, and dynamic overwrite would only add a staging folder and one
-    rename per slice (a copy per file on object stores) to a first backfill."""
-    spark = df.sparkSession
-    df = df.hint("rebalance", *partition_by)
-    w = (df.write.mode("append") if not path_exists(spark, path)
-         else _dynamic(df).mode("overwrite"))
-    w = w.partitionBy(*partition_by)
+    While the table has no data there is no slice to replace, and a plain append
+    gives the same result without one rename per slice (a copy per file on object
+    stores): a first backfill writes every day at once."""
+    first = not _has_slices(df.sparkSession, path)
+    w = df.hint("rebalance", *partition_by).write.mode("append" if first else "overwrite")
+    w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     for k, v in options.items():
         w = w.option(k, v)
-    with _write_partition_floor(spark):
-        w.format(fmt).save(path)
+    w.format(fmt).save(path)
 
 
-def write_delimited(df: DataFrame, path: str, partition_by=("transaction_date", "region_code")) -> None:
-    """A6 / A7: '|'-delimited error files, one folder per slice."""
-    write_slices(df, path, partition_by, fmt="csv", sep="|", header="false",
-                 timestampFormat="yyyy-MM-dd HH:mm:ss", dateFormat="yyyy-MM-dd")
+def _has_slices(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder holds a slice (a folder ``column=value``)."""
+    jpath, fs = _fs(spark, path)
+    return fs.exists(jpath) and any("=" in f.getPath().getName() for f in fs.listStatus(jpath))
+
+
+def replace_slices(df: DataFrame, path: str, covers: Column, partition_by=("transaction_date", "region_code"),
+                   fmt: str = "parquet", read: Callable[[SparkSession, str], DataFrame] | None = None, **options) -> None:
+    """Delete-then-insert: afterwards the slices that ``covers`` (a predicate on
+    the slice columns) selects hold exactly the rows of ``df``, also where ``df``
+    has none.  ``df`` must lie within ``covers``.
+
+    Only slice keys and the files of emptied slices come to the driver.  The new
+    slices are written first, so a reader never finds fewer slices than before
+    and after; a run that dies in between is mended by its rerun.
+    """
+    spark = df.sparkSession
+    df = freeze(df)
+    write_slices(df, path, partition_by, fmt, **options)
+    table = read(spark, path) if read else read_table(spark, path)
+    if table is None:
+        return
+    kept = df.select(*[F.col(c).alias(f"_k_{c}") for c in partition_by]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in partition_by]
+    stale = (table.where(covers).select(*partition_by, F.col("_metadata.file_path").alias("_file")).distinct()
+             .join(kept, same, "left_anti").select("_file").distinct().collect())
+    for row in stale:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["_file"]))
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, False)
+
+
+def write_delimited(df: DataFrame, path: str, partition_by=("transaction_date", "region_code"),
+                    covers: Column | None = None) -> None:
+    """A6 / A7: '|'-delimited error files, one folder per slice.  With ``covers``
+    the slices it selects are replaced, emptied ones included."""
+    options = {"sep": "|", "header": "false", "timestampFormat": "yyyy-MM-dd HH:mm:ss", "dateFormat": "yyyy-MM-dd"}
+    if covers is None:
+        write_slices(df, path, partition_by, fmt="csv", **options)
+        return
+    slices = T.StructType([df.schema[c] for c in partition_by])
+    first = T.StructField("_first", T.StringType())
+    read = lambda spark, at: (spark.read.schema(T.StructType([first, *slices.fields])).option("sep", "|").csv(at)
+                              if path_exists(spark, at) else None)
+    replace_slices(df, path, covers, partition_by, "csv", read, **options)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -95,35 +118,60 @@ def append_fact(fact: DataFrame, path: str) -> None:
     write_slices(fact, path, FACT_PARTITIONS)
 
 
-def refresh_summary(summary: DataFrame, path: str) -> None:
-    """Delete + re-insert of the summary slices = dynamic overwrite."""
-    write_slices(summary, path, ("summary_date", "region_code"))
+def slice_predicate(date_col: str, load_date, region: str | None) -> Column:
+    """The slices of a day (of one region, or of all)."""
+    covers = F.col(date_col) == F.lit(load_date)
+    return covers if region is None else covers & (F.col("region_code") == F.lit(region))
 
 
-def reload_staging(spark: SparkSession, new_rows: DataFrame, path: str) -> None:
-    """Replace the PENDING rows of each slice in ``new_rows`` and keep its
-    LOADED rows; a transaction already LOADED is not staged again (defect 18).
+def refresh_summary(summary: DataFrame, path: str, covers: Column | None = None) -> None:
+    """Delete + re-insert of the summary slices.  With ``covers`` a slice
+    that no longer has rows loses its old summary."""
+    if covers is None:
+        write_slices(summary, path, ("summary_date", "region_code"))
+    else:
+        replace_slices(summary, path, covers, ("summary_date", "region_code"))
 
-    The kept rows are frozen with a reliable checkpoint before the slice folders
-    are replaced, so the rewrite never reads files it is deleting.
+
+def reload_staging(spark: SparkSession, new_rows: DataFrame, path: str, load_date=None,
+                   region: str | None = None) -> None:
+    """Replace the PENDING rows of each slice and keep its LOADED rows; a
+    transaction already LOADED is not staged again (defect 18).
+
+    The slices are those of ``load_date`` and ``region`` (a slice whose extract
+    came out empty loses its PENDING rows too) or, without a date, those present
+    in ``new_rows``.  Both inputs are frozen before slice folders are replaced,
+    so the extract is evaluated once and the rewrite never reads files it is
+    deleting.
     """
-    if table_exists(spark, path):
-        existing = spark.read.parquet(path)
-        slices = new_rows.select("transaction_date", "region_code").distinct()
-        loaded = (existing.where(F.col("etl_status") == S.LOADED)
-                  .join(slices, ["transaction_date", "region_code"], "left_semi"))
-        loaded = loaded.select(*new_rows.columns).checkpoint(eager=True)
+    new_rows = freeze(new_rows)
+    existing = read_table(spark, path)
+    out = new_rows
+    if existing is not None:
+        loaded = existing.where(F.col("etl_status") == S.LOADED)
+        if load_date is not None:
+            loaded = loaded.where(slice_predicate("transaction_date", load_date, region))
+        else:
+            slices = new_rows.select("transaction_date", "region_code").distinct()
+            loaded = loaded.join(slices, ["transaction_date", "region_code"], "left_semi")
+        loaded = freeze(loaded.select(*new_rows.columns))
         fresh = new_rows.join(loaded.select("transaction_id", "transaction_date", "region_code"),
                               ["transaction_id", "transaction_date", "region_code"], "left_anti")
         out = loaded.unionByName(fresh)
+    if load_date is None:
+        write_slices(out, path)
     else:
-        out = new_rows
-    write_slices(out, path)
+        replace_slices(out, path, slice_predicate("transaction_date", load_date, region))
 
 
-def write_dq_results(results: DataFrame, path: str) -> None:
-    """Append one row per rule and run."""
-    results.write.mode("append").parquet(path)
+def write_dq_results(results: DataFrame, path: str, run_date=None, batch_id: int | None = None) -> None:
+    """One row per rule and run, with the date of the run.  Results of a
+    batch are a slice of their own: a retry of the batch replaces them."""
+    results = results.withColumn("run_date", F.lit(run_date).cast("date"))
+    if batch_id is None:
+        results.write.mode("append").parquet(path)
+    else:
+        write_slices(results.withColumn("load_batch_id", F.lit(batch_id).cast("bigint")), path, ("load_batch_id",))
 
 
 def write_analytics(rankings: DataFrame, segments: DataFrame, daily: DataFrame, base: str) -> None:
@@ -136,42 +184,133 @@ def write_analytics(rankings: DataFrame, segments: DataFrame, daily: DataFrame,
     write_slices(daily, os.path.join(base, "daily_summary"))
 
 
+NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None where there is none yet (no folder,
+    or a folder without data files).  Any other failure is raised: a table that
+    can't be read is not a missing one."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in NO_TABLE:
+            return None
+        raise
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """A readable Parquet table at ``path`` (a missing folder is not probed)."""
-    if not path_exists(spark, path):
-        return False
+    """A Parquet table with data files at ``path``."""
+    return read_table(spark, path) is not None
+
+
+# ---------------------------------------------------------------- records
+# A record is one small file ``<folder>/<number>`` that is created or not created
+# as a whole: the file system refuses a second creation, so two jobs can't both
+# take a number, and a reader finds either the earlier or the new one.
+
+def _records(spark: SparkSession, folder: str) -> list[int]:
+    jpath, fs = _fs(spark, folder)
+    if not fs.exists(jpath):
+        return []
+    return sorted(int(n) for n in (f.getPath().getName() for f in fs.listStatus(jpath)) if n.isdigit())
+
+
+def _create_record(spark: SparkSession, folder: str, number: int, value: dict) -> bool:
+    """Create record ``number``; False if another job has it."""
+    jpath, fs = _fs(spark, os.path.join(folder, str(number)))
     try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+        out = fs.create(jpath, False)
+    except Py4JJavaError as e:
+        if "exist" in str(e.java_exception).lower():
+            return False
+        raise
+    out.write(bytearray(json.dumps(value).encode()))
+    out.close()
+    return True
+
+
+def _read_record(spark: SparkSession, folder: str, number: int) -> dict:
+    jpath, fs = _fs(spark, os.path.join(folder, str(number)))
+    stream = fs.open(jpath)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+# ---------------------------------------------------------------- batches
+def open_batch(spark: SparkSession, root: str, load_date, region: str | None) -> int:
+    """The id of a run: the next of a stored sequence, or that of an unfinished
+    earlier run of the same day and region, which this run completes."""
+    started, done = os.path.join(root, "started"), os.path.join(root, "done")
+    what = {"load_date": str(load_date), "region": region}
+    finished = set(_records(spark, done))
+    for n in _records(spark, started):
+        if n not in finished and _read_record(spark, started, n) == what:
+            return n
+    while True:
+        n = max(_records(spark, started), default=0) + 1
+        if _create_record(spark, started, n, what):
+            return n
+
+
+def close_batch(spark: SparkSession, root: str, batch_id: int, next_key: int) -> None:
+    """Record a finished run and the first fact key that is free after it."""
+    _create_record(spark, os.path.join(root, "done"), batch_id, {"next_key": next_key})
+
+
+def next_fact_key(spark: SparkSession, root: str, start: int) -> int:
+    """The first free fact key after all finished runs (no scan of the fact)."""
+    done = os.path.join(root, "done")
+    return max([start, *(_read_record(spark, done, n)["next_key"] for n in _records(spark, done)[-50:])])
 
 
 # ---------------------------------------------------------------- snapshots
-_POINTER = T.StructType([T.StructField("version", T.LongType())])
+KEPT_VERSIONS = 3
 
 
 def current_version(spark: SparkSession, table: str) -> int | None:
-    try:
-        row = spark.read.schema(_POINTER).json(os.path.join(table, "_current")).first()
-    except Exception:  # noqa: BLE001
-        return None
-    return None if row is None else int(row["version"])
+    return max(_records(spark, os.path.join(table, "_versions")), default=None)
 
 
 def read_snapshot(spark: SparkSession, table: str) -> DataFrame:
     v = current_version(spark, table)
     if v is None:
         raise FileNotFoundError(f"no snapshot in {table}")
-    return spark.read.parquet(os.path.join(table, f"v={v}"))
+    return spark.read.parquet(_version_folder(spark, table, v))
+
+
+def _version_folder(spark: SparkSession, table: str, v: int) -> str:
+    return os.path.join(table, _read_record(spark, os.path.join(table, "_versions"), v)["folder"])
+
+
+def _content(df: DataFrame) -> tuple:
+    """Rows and an order-free hash of them."""
+    cols = sorted(df.columns)
+    return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*cols).cast("decimal(20,0)"))).first())
 
 
 def write_snapshot(spark: SparkSession, df: DataFrame, table: str) -> int:
-    """Write the next version of a whole table, then switch the pointer.  The
-    new version may be computed from the current one: that folder is not
-    touched."""
-    v = (current_version(spark, table) or 0) + 1
-    df.write.mode("overwrite").parquet(os.path.join(table, f"v={v}"))
-    spark.createDataFrame([(v,)], _POINTER).coalesce(1).write.mode("overwrite").json(
-        os.path.join(table, "_current"))
-    return v
+    """Write the next version of a whole table, then commit it; returns the
+    current version.  The new version may be computed from the current one: that
+    folder is not touched.  A version equal to the current one is not committed
+    (a rerun of an unchanged day changes nothing).  If another job has committed
+    meanwhile, the write fails instead of losing that job's version.  The
+    ``KEPT_VERSIONS`` last versions stay readable."""
+    versions = os.path.join(table, "_versions")
+    before = current_version(spark, table)
+    folder = f"v={(before or 0) + 1}-{uuid.uuid4().hex[:8]}"
+    path = os.path.join(table, folder)
+    df.write.parquet(path)
+    jpath, fs = _fs(spark, path)
+    if before is not None and _content(read_snapshot(spark, table)) == _content(spark.read.schema(df.schema).parquet(path)):
+        fs.delete(jpath, True)
+        return before
+    if not _create_record(spark, versions, (before or 0) + 1, {"folder": folder}):
+        fs.delete(jpath, True)
+        raise RuntimeError(f"another job has committed a version of {table}; run again")
+    for old in _records(spark, versions)[:-KEPT_VERSIONS]:
+        fs.delete(_fs(spark, _version_folder(spark, table, old))[0], True)
+        fs.delete(_fs(spark, os.path.join(versions, str(old)))[0], False)
+    return (before or 0) + 1

@@ -149,3 +149,49 @@ def test_constraint_and_foreign_key_audits(spark):
     fk = quality.foreign_key_audit([("fact_daily_sales", child, "dim_product_key", "dim_product", dim,
                                      "dim_product_key")]).first()
     assert (fk.table_name, fk.parent_table, fk.orphan_rows) == ("fact_daily_sales", "dim_product", 2)
+
+
+def test_run_time_failures_subqueries_and_fallback(spark):
+    """A rule that fails while it runs is an ERROR row, the others go on; J3: a fragment may hold a
+    subquery; J7: without active rules the built-in ones run."""
+    f = fact(spark, [(D1, 1, Decimal("5")), (D1, 2, Decimal("0")), (D1, 7, Decimal("1"))])
+    dim = spark.createDataFrame([(1,), (2,)], "dim_product_key bigint")
+    rdf = quality.rules_frame(spark, [
+        (1, "DIVIDES", "FACT_DAILY_SALES", "RANGE_CHECK", "1 / net_amount > 0", 0.0, "WARNING"),
+        (2, "POSITIVE", "FACT_DAILY_SALES", "RANGE_CHECK", "net_amount >= 0", 0.0, "WARNING"),
+        (3, "IN_DIM", "FACT_DAILY_SALES", "REFERENTIAL_CHECK",
+         "SELECT max(d.dim_product_key) FROM DIM_PRODUCT d WHERE d.dim_product_key = FACT_DAILY_SALES.dim_product_key", 0.0, "CRITICAL"),
+        (4, "BAD_QUERY", "FACT_DAILY_SALES", "REFERENTIAL_CHECK", "SELECT x FROM NOWHERE", 0.0, "CRITICAL")])
+    tables = {"FACT_DAILY_SALES": f, "DIM_PRODUCT": dim}
+    res = {r.rule_id: r for r in quality.run_checks(quality.load_rules(rdf, "RETAIL"), tables,
+                                                    {"FACT_DAILY_SALES": "transaction_date"}, load_date=D1).collect()}
+    assert (res[1].severity, res[1].passed, res[4].severity) == ("ERROR", False, "ERROR")
+    assert (res[2].total_rows, res[2].status) == (3, "PASS")
+    assert (res[3].total_rows, res[3].failed_rows, res[3].status) == (3, 1, "FAIL")
+    assert [r["rule_name"] for r in quality.load_rules(rdf, "NO_SUCH_DOMAIN")] == [r[1] for r in quality.BUILTIN_RULES]
+
+
+def test_category_rule_that_fails_while_it_runs_is_skipped(spark):
+    dim = spark.createDataFrame([(1, "A", Decimal("0"), D1, "Y")],
+                                "dim_product_key bigint, category_code string, list_price decimal(12,4), valid_from date, is_current string")
+    rl = spark.createDataFrame([("A", "inverse", "list_price", "1 / list_price", "Y", 1), ("A", "plus", "list_price", "list_price + 1", "Y", 2)],
+                               "category_code string, rule_name string, col_target string, rule_expr string, is_active string, execution_order int")
+    notes = []
+    assert rules.apply_category_rules(dim, rl, D1, notes).first().list_price == Decimal("1.0000")
+    assert [(n.rule_name, n.applied) for n in notes] == [("inverse", False), ("plus", True)]
+
+
+def test_null_regions_are_kept(spark):
+    """Groups without a region rank and count like any other."""
+    from saleslake.operators import rollups
+    cols = ("region_code string, dim_product_key bigint, fiscal_year int, fiscal_month int, net_amount decimal(16,4), "
+            "quantity decimal(8,2), transaction_date date")
+    f = spark.createDataFrame([(r, k, 1998, 1, Decimal(k), Decimal(1), D1) for r, k in
+                               ((None, 1), (None, 2), (None, 3), ("ASIA", 4), ("ASIA", 5))], cols)
+    ranks = rollups.product_rankings(f).collect()
+    assert sorted((r.region_code or "", r.revenue_rank) for r in ranks) == [("", 1), ("", 2), ("", 3), ("ASIA", 1), ("ASIA", 2)]
+    gate = quality.row_count_gate(f, f, min_rows=3).collect()
+    assert sorted((r.region_code or "", r.staged_rows, r.fact_rows, r.staging_gate) for r in gate) == [
+        ("", 3, 3, "OK"), ("ASIA", 2, 2, "BELOW_MINIMUM")]
+    empty = quality.row_count_gate(f.where("region_code = 'ASIA'"), f, min_rows=3).where("region_code is null").first()
+    assert (empty.staging_gate, empty.fact_gate) == ("EMPTY_NOOP", "FACT_LOADED")

@@ -75,3 +75,30 @@ def test_product_master_load_and_purge(spark, tmp_dir):
     assert purge_dimension(spark, wh.dim_product, d) == 2
     after = store.read_snapshot(spark, wh.dim_product)
     assert after.where("is_current = 'N'").count() == 0 and after.count() < before
+
+
+def test_late_rows_and_repeated_keys(spark, tmp_dir):
+    """Late rows of a day are added, nothing is lost; a repeated staged key ends the dimension load."""
+    import pytest
+    from saleslake.operators import scd
+    t = Tables(spark, SF)
+    sales = fx.sales_txn(t)
+    day = (sales.groupBy(F.col("txn_datetime").cast("date").alias("d")).count()
+           .orderBy(F.desc("count"), "d").first()["d"])
+    wh = Warehouse(tmp_dir)
+    bootstrap(spark, wh, dim_product=fx.dim_product(t), dim_customer=fx.dim_customer(t),
+              dim_store=fx.dim_store(t), stg_customer=fx.stg_customer_prev(t))
+    late = (F.col("txn_datetime").cast("date") == F.lit(day)) & (F.col("txn_id") % 3 == 0)
+    reports = [run_daily(spark, wh, Sources(s, fx.src_customer(t), fx.loyalty_profile(t), fx.stg_product(t, day)), day)
+               for s in (sales.where(~late), sales)]
+    assert reports[0]["batch_id"] != reports[1]["batch_id"] and reports[1]["staged_rows"] > 0
+    total = sum(r["fact_rows"] for r in reports)
+    assert spark.read.parquet(wh.fact_daily_sales).count() == total
+    assert spark.read.parquet(wh.regional_summary).agg(F.sum("total_transactions")).first()[0] == total
+    staged = spark.read.parquet(wh.stg_sales)
+    assert staged.count() == sum(r["staged_rows"] for r in reports)
+    rollup = spark.read.parquet(wh.category_rollup).agg(F.sum("total_transactions")).first()[0]
+    assert rollup == staged.where("unit_price > 0 and product_id is not null").count()
+    with pytest.raises(scd.RepeatedKey):
+        twice = fx.stg_product(t, day).unionByName(fx.stg_product(t, day).where("product_id = 1"))
+        scd.load_dim_product(fx.dim_product(t), twice, day)

@@ -68,19 +68,52 @@ def test_analytics_rerun_is_idempotent(spark, tmp_dir):
     assert days == [(D1, 7.0), (D2, 6.0)]
 
 
-def test_slice_write_restores_the_session_setting(spark, tmp_dir):
-    """The writer-task floor is set only for the duration of a slice write."""
-    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    before = spark.conf.get(key)
-    f = spark.createDataFrame([(1, D1, "ASIA")], "v bigint, transaction_date date, region_code string")
-    store.write_slices(f, os.path.join(tmp_dir, "a"))
-    assert spark.conf.get(key) == before
-    spark.conf.set(key, "2m")
-    try:
-        store.write_slices(f, os.path.join(tmp_dir, "b"))
-        assert spark.conf.get(key) == "2m"
-    finally:
-        spark.conf.unset(key)
+def test_replace_slices_empties_what_it_covers(spark, tmp_dir):
+    """A slice without new rows loses its old ones; slices outside stay."""
+    cols = "summary_date date, region_code string, total_transactions bigint"
+    path = os.path.join(tmp_dir, "summary")
+    day = store.slice_predicate("summary_date", D1, None)
+    store.refresh_summary(spark.createDataFrame([(D1, "A B%", 5), (D1, None, 7)], cols), path, day)
+    store.refresh_summary(spark.createDataFrame([(D2, "ASIA", 9)], cols), path, store.slice_predicate("summary_date", D2, None))
+    store.refresh_summary(spark.createDataFrame([(D1, None, 8)], cols), path, day)
+    got = sorted(((str(r.summary_date), r.region_code, r.total_transactions) for r in spark.read.parquet(path).collect()), key=str)
+    assert got == [("1998-01-01", None, 8), ("1998-01-02", "ASIA", 9)]
+    store.refresh_summary(spark.createDataFrame([], cols), path, day)
+    assert [r.total_transactions for r in spark.read.parquet(path).collect()] == [9]
+    rejects = spark.createDataFrame([(1, "INVALID_PRICE", D1, "ASIA")], "transaction_id bigint, reason string, transaction_date date, region_code string")
+    bad = os.path.join(tmp_dir, "rejected")
+    covers = store.slice_predicate("transaction_date", D1, None)
+    store.write_delimited(rejects, bad, covers=covers)
+    assert store.read_delimited(spark, bad, rejects.select("transaction_id", "reason").schema).count() == 1
+    store.write_delimited(rejects.limit(0), bad, covers=covers)
+    assert store.read_delimited(spark, bad, rejects.schema).count() == 0
+
+
+def test_unreadable_table_is_not_a_missing_one(spark, tmp_dir):
+    assert store.read_table(spark, os.path.join(tmp_dir, "none")) is None
+    broken = os.path.join(tmp_dir, "broken")
+    os.makedirs(broken)
+    with open(os.path.join(broken, "part-0.parquet"), "w") as fh:
+        fh.write("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        store.table_exists(spark, broken)
+
+
+def test_batches_and_commits(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "batches")
+    assert store.open_batch(spark, root, D1, None) == 1
+    assert store.open_batch(spark, root, D1, None) == 1            # unfinished: the retry keeps its id
+    assert store.open_batch(spark, root, D1, "ASIA") == 2
+    store.close_batch(spark, root, 1, 1040)
+    assert store.open_batch(spark, root, D1, None) == 3
+    assert store.next_fact_key(spark, root, 1000) == 1040
+    t = os.path.join(tmp_dir, "dim")
+    assert store.write_snapshot(spark, spark.range(3), t) == 1
+    assert store.write_snapshot(spark, spark.range(3), t) == 1     # unchanged: no new version
+    for n in range(2, 6):
+        assert store.write_snapshot(spark, spark.range(n + 2), t) == n
+    assert len([f for f in os.listdir(t) if f.startswith("v=")]) == store.KEPT_VERSIONS
+    assert not store._create_record(spark, os.path.join(t, "_versions"), 5, {})   # another job's commit
 
 
 def test_staging_reload_keeps_loaded_rows(spark, tmp_dir):
@@ -111,6 +144,17 @@ HEADER = ("product_id,product_code,product_name,category_code,subcategory_code,s
           "list_price,tax_class_code,weight_kg,is_active,effective_date,expiry_date")
 
 
+def test_product_csv_enforces_the_staging_key(spark, tmp_dir):
+    """A4: a repeated or missing product id goes to the bad channel."""
+    p = os.path.join(tmp_dir, "product_master_19980101.csv")
+    _write_csv(p, [HEADER, "1,P1,Ball,TOYS,T1,3,1.5,2.5,,0.2,Y,1998-01-01,", "1,P1,Ball again,TOYS,T1,3,1.5,2.5,,0.2,Y,1998-01-01,",
+                   ",P9,None,TOYS,T1,3,1.5,2.5,,0.2,Y,1998-01-01,", "2,P2,Bat,TOYS,T1,3,1.5,2.5,,0.2,Y,1998-01-01,"])
+    res = ingest.ingest_product_csv(spark, p, D1)
+    assert (res.good_rows, res.bad_rows) == (2, 2)
+    assert sorted((r.product_id, r.product_name) for r in res.good.collect()) == [(1, "Ball"), (2, "Bat")]
+    assert any("Ball again" in r.raw_line for r in res.bad.collect())
+
+
 def test_csv_ingest_bad_rows_and_reconcile(spark, tmp_dir):
     p = os.path.join(tmp_dir, "product_master_19980101.csv")
     _write_csv(p, [HEADER, "1,P1,Ball,TOYS,T1,3,1.5,2.5,,0.2,Y,1998-01-01,",
