@@ -124,10 +124,8 @@ def fixed_places(kind: str, form: str) -> set[int]:
 
 
 def surrogate(kind: str, form: str, key: bytes, turn: int = 0) -> str:
-    """The replacement of a canonical form; ``turn`` more permutations after the first resolve collisions."""
-    for _ in range(turn + 1):
-        form = _surrogate(kind, form, key)
-    return form
+    """The replacement of a canonical form; each ``turn`` is another permutation, taken where the one before collides."""
+    return _surrogate(kind, form, key if not turn else hashlib.blake2b(bytes([turn]), key=key[:64]).digest())
 
 
 def _surrogate(kind: str, form: str, key: bytes) -> str:
