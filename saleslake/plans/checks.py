@@ -181,8 +181,12 @@ def staging_metrics(t: Tables) -> DataFrame:
     return quality.staging_metrics(staged(t))
 
 
+#: Minimum rows of a slice in the checks: the fixture's slices are small, and every branch of the gates must occur.
+GATE_ROWS = 5
+
+
 def row_count_gate(t: Tables) -> DataFrame:
-    return quality.row_count_gate(pending(t), fact(t))
+    return quality.row_count_gate(pending(t), fact(t), GATE_ROWS)
 
 
 def source_availability(t: Tables) -> DataFrame:
@@ -190,7 +194,7 @@ def source_availability(t: Tables) -> DataFrame:
 
 
 def day_ratio_gate(t: Tables) -> DataFrame:
-    return quality.day_ratio_gate(fact(t))
+    return quality.day_ratio_gate(fact(t), GATE_ROWS)
 
 
 def audit_counts(t: Tables) -> DataFrame:

@@ -457,7 +457,7 @@ CHECK_SQL["row_count_gate"] = """
 SELECT COALESCE(s.transaction_date, f.transaction_date) AS transaction_date,
        COALESCE(s.region_code, f.region_code) AS region_code,
        CAST(COALESCE(s.n, 0) AS BIGINT) AS staged_rows, CAST(COALESCE(f.row_count, 0) AS BIGINT) AS fact_rows,
-       CASE WHEN COALESCE(s.n, 0) = 0 THEN 'EMPTY_NOOP' WHEN COALESCE(s.n, 0) < 100 THEN 'BELOW_MINIMUM'
+       CASE WHEN COALESCE(s.n, 0) = 0 THEN 'EMPTY_NOOP' WHEN COALESCE(s.n, 0) < 5 THEN 'BELOW_MINIMUM'
             ELSE 'OK' END AS staging_gate,
        CASE WHEN COALESCE(f.row_count, 0) = 0 THEN 'FACT_EMPTY' ELSE 'FACT_LOADED' END AS fact_gate
 FROM (SELECT transaction_date, region_code, COUNT(*) AS n FROM pending GROUP BY transaction_date, region_code) s
@@ -467,7 +467,7 @@ FULL OUTER JOIN fact_counts f ON f.transaction_date = s.transaction_date AND f.r
 CHECK_SQL["day_ratio_gate"] = """
 SELECT c.region_code, c.transaction_date, c.row_count, p.row_count AS prev_row_count,
        CAST(c.row_count AS DOUBLE) / CAST(p.row_count AS DOUBLE) AS day_ratio,
-       CASE WHEN c.row_count >= 100 AND (p.row_count IS NULL OR c.row_count >= p.row_count * 0.80)
+       CASE WHEN c.row_count >= 5 AND (p.row_count IS NULL OR c.row_count >= p.row_count * 0.80)
             THEN 'Y' ELSE 'N' END AS gate_passed
 FROM fact_counts c LEFT JOIN fact_counts p
   ON p.region_code = c.region_code AND p.transaction_date + 1 = c.transaction_date

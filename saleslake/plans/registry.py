@@ -32,7 +32,8 @@ OPERATORS: list[tuple[str, str, list[str] | None]] = [
     ("b9", "fact_load", ["dim_product_key", "dim_customer_key", "transaction_date", "net_amount", "tax_amount"]),
     ("b10", "fact_load", ["dim_product_key", "dim_customer_key", "transaction_date", "fiscal_year",
                           "fiscal_month", "fiscal_week"]),
-    ("b21", "fact_load", None),
+    ("b21", "fact_load", ["dim_product_key", "dim_customer_key", "dim_store_key", "transaction_date", "region_code",
+                          "load_date", "load_batch_id"]),
     ("c1", "fact_load", ["dim_product_key", "transaction_date", "region_code", "quantity", "unit_price"]),
     ("c2", "fact_load", ["dim_customer_key", "transaction_date", "region_code", "quantity", "unit_price"]),
     ("c3", "fact_load", ["dim_store_key", "transaction_date", "region_code", "quantity", "unit_price"]),
@@ -57,7 +58,7 @@ OPERATORS: list[tuple[str, str, list[str] | None]] = [
     ("c7", "customer_upsert", ["customer_id", "loyalty_tier", "lifetime_value"]),
     ("e6", "customer_upsert", ["customer_id", "last_purchase_date"]),
     ("c8", "customer_ytd_spend", None),
-    ("d6", "customer_ytd_spend", None),
+    ("d6", "customer_ytd_spend", ["customer_id", "txn_count_ytd"]),
     ("b16", "customer_segments", ["customer_id", "lifetime_value", "clv_segment"]),
     ("b17", "customer_segments", ["customer_id", "last_purchase_date", "churn_risk"]),
     ("b23", "customer_segments", None),
@@ -84,7 +85,7 @@ OPERATORS += [
     ("d8", "row_count_gate", None),
     ("d9", "day_ratio_gate", None),
     ("a10", "audit_counts", None),
-    ("d10", "dq_results", None),
+    ("d10", "dq_results", ["rule_id", "check_date", "total_rows", "failed_rows", "fail_pct"]),
     ("j1", "dq_results", None),
     ("j2", "dq_results", None),
     ("j4", "dq_results", None),
@@ -130,3 +131,13 @@ OPERATORS += [
     ("i10", "daily_runs_slices", None),
     ("a13", "emptied_slice", None),
 ]
+
+#: Operators that share a check and differ in the rows they answer for (a predicate both engines read).
+ROWS = {
+    "g1": "metric IN ('DISTINCT_STORES', 'DISTINCT_PRODUCTS')",
+    "j1": "rule_type = 'NULL_CHECK'",
+    "j2": "rule_type = 'RANGE_CHECK'",
+    "j4": "rule_type = 'THRESHOLD_COUNT'",
+    "j5": "rule_type = 'GENERIC'",
+    "j7": "rule_id <= 3",
+}
