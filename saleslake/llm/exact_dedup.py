@@ -48,6 +48,9 @@ def _stream_state(spark: SparkSession, path: str, schema, files_per_trigger: int
         epochs.append(f"{out}/{epoch}")
 
     store = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+             # many small stores: no disk space ahead of need, and only changes are uploaded
+             "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+             "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
              "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
              "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256"}
     before = {k: spark.conf.get(k, None) for k in store}
