@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import sys
+from collections.abc import Callable, Iterable
+from types import ModuleType
 
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -64,3 +66,11 @@ class WordHashes(dict):
         raw = word.encode("utf-8", "surrogatepass") if isinstance(word, str) else word
         self[word] = h = xxhash.xxh3_64_intdigest(raw)
         return h
+
+
+def per_process(key: str, make: Callable):
+    """What a Python worker keeps from task to task: the value under ``key``, made on first use."""
+    kept = sys.modules.setdefault("saleslake_llm_kept", ModuleType("saleslake_llm_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

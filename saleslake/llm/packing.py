@@ -16,53 +16,102 @@ table gives no rows; ties go to combinations with the longer lengths; further co
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from saleslake.llm.common import text_of, written
+from saleslake.llm.common import per_process, text_of, written
 
 END_ID = 2
-#: Words whose ids a task remembers; beyond it starts anew.
+#: Words whose ids a Python worker remembers; rarer ones are encoded again with each group of texts.
 WORDS_HELD = 300_000
+#: Texts that are encoded together.
+TEXTS = 256
+
+
+#: A space between other white space, where the tokenizer's cuts depend on what stands around.
+CROWDED = re.compile(r"  |\s \s| $")
+#: What every crowded text has, and which is quick to look for.
+MAYBE_CROWDED = re.compile(r" (?:\s|$)")
 
 
 class WordTokenizer:
-    """Ids as little-endian 32-bit numbers, word by word.
+    """The ids that ``tokenizers`` gives with the file at ``path``, as little-endian 32-bit numbers, word by word.
 
-    A byte-level tokenizer never joins what stands before a space with the space and a following non-space, so
-    a text's ids are those of its parts cut there, and common parts are encoded once.
+    A byte-level tokenizer that cuts by the usual pattern never joins what stands before a single space with that space
+    and what follows, so a text's ids are those of its parts cut there, and common parts are encoded once.  New
+    parts are encoded by ``tiktoken`` from the same file's vocabulary, which is some times faster; should the two
+    disagree on a probe (another kind of file), ``tokenizers`` encodes all.
     """
 
+    PROBE = "It's a test, isn't it?  Ünïcödé 123 words\n\n and\tmore \u4f60\u597d we'll see -- (end) "
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark deals out the work
-        self.tokenizer, self.held = Tokenizer.from_file(path), {}
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        self.special = [t.content for t in added]
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        # plain ids of a call are those of add_special_tokens=False
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        if "  " in text or text.endswith(" ") or any(s in text for s in self.special):
-            return self._encode([text])[0]
-        first, *words = text.split(" ")
-        words = [first, *(" " + w for w in words)] if first else [" " + w for w in words]
-        try:
-            return b"".join(map(self.held.__getitem__, words))
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in self.held]
-            if len(self.held) + len(new) > WORDS_HELD:
-                self.held, new = {}, list(dict.fromkeys(words))
-            self.held.update(zip(new, self._encode(new)))
-            return b"".join(map(self.held.__getitem__, words))
+        self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.held: dict[str, bytes] = {}                    # word -> ids of a space and the word
+        shown = {c: b for b, c in byte_characters().items()}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        raw = {bytes(shown[c] for c in t): i for t, i in vocabulary.items() if all(c in shown for c in t) and t not in self.special}
+        self.fast = None
+        if sorted(raw.values()) == list(range(len(raw))) and len(raw) >= 256:
+            fast = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=raw, special_tokens={})
+            if fast.encode_ordinary(self.PROBE) == self.tokenizer.encode(self.PROBE, add_special_tokens=False).ids:
+                self.fast = fast
+                self.spaced = np.zeros(len(raw), bool)
+                self.spaced[[i for t, i in raw.items() if t[:1] == b" "]] = True
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word_ids(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of a space and the word."""
+        out: dict[str, bytes] = {}
+        plain = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()] if self.fast else []
+        if plain:                                           # one call: a token that begins with a space begins a word
+            ids = np.array(self.fast.encode_ordinary(" " + " ".join(plain)), "<u4")
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) == len(plain):
+                raw, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
+                out = {w: raw[a:b] for w, a, b in zip(plain, (4 * starts).tolist(), ends)}
+        rest = [w for w in words if w not in out]
+        return out | dict(zip(rest, self._ids([" " + w for w in rest])))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text.  Crowded texts and those that hold a special token are encoded whole."""
+        whole = [i for i, t in enumerate(texts) if MAYBE_CROWDED.search(t) and CROWDED.search(t) or any(s in t for s in self.special)]
+        out: list[bytes] = [b""] * len(texts)
+        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
+            out[i] = ids
+        apart = set(whole)
+        words = {i: t.split(" ") for i, t in enumerate(texts) if i not in apart}
+        firsts = self._ids([w.pop(0) for w in words.values()])      # no space before it
+        new = list(set().union(*words.values()).difference(self.held))
+        self.held |= self._word_ids(new)
+        for first, (i, w) in zip(firsts, words.items()):
+            out[i] = first + b"".join(map(self.held.__getitem__, w))
+        for w in new[: max(0, len(self.held) - WORDS_HELD)]:
+            del self.held[w]
+        return out
+
+
+def byte_characters() -> dict[int, str]:
+    """The character by which a byte-level vocabulary shows each byte: printable Latin-1 as it is, the others in
+    order from U+0100."""
+    as_is = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(as_is)]
+    return {b: chr(b) for b in as_is} | {b: chr(0x100 + n) for n, b in enumerate(others)}
 
 
 def cut(n: int, size: int) -> list[tuple[int, int]]:
@@ -133,12 +182,13 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     end = np.array([END_ID], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, made = WordTokenizer(tokenizer), np.zeros(size + 1, np.int64)
+        words = per_process(f"tokenizer {tokenizer}", lambda: WordTokenizer(tokenizer))
+        made = np.zeros(size + 1, np.int64)
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                some, rows = batch.slice(low, 256), []
-                for n, text in enumerate(some.column(2)):
-                    ids = words.encode(text.as_py()) + end
+            for low in range(0, batch.num_rows, TEXTS):
+                some, rows = batch.slice(low, TEXTS), []
+                for n, ids in enumerate(words.encode(some.column(2).to_pylist())):
+                    ids += end
                     for i, (at, length) in enumerate(cut(len(ids) // 4, size)):
                         own = ids[4 * at: 4 * (at + length)]
                         rows.append((n, i, at, length, own, zlib.crc32(own), made[length]))
