@@ -89,7 +89,8 @@ def forest(members: np.ndarray, max_bits: int) -> Iterator[tuple[int, int]]:
     while len(left) > 1:
         root, left, queue = left[0], left[1:], [left[0]]
         while queue and len(left):
-            near = np.bitwise_count(left ^ queue.pop()) <= max_bits
+            # as unsigned words: of a signed number, numpy counts the bits of the absolute value
+            near = np.bitwise_count((left ^ queue.pop()).view(np.uint64)) <= max_bits
             for m in left[near]:
                 yield int(m), int(root)
             queue.extend(left[near])

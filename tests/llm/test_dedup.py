@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,3 +166,17 @@ def test_connected_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 90: 90, 100: 90, 60: 60, 61: 60}
     empty = connected_components(spark.createDataFrame([], T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])))
     assert empty.collect() == []
+
+
+@pytest.mark.parametrize("low", [1, 0b101, 0b10101 << 20])
+def test_links_over_the_sign_bit(spark, low):
+    """Pairs that differ in bit 63 and in others, alone in their group, link on both ways of linking."""
+    start = 0x1234_5678_9ABC_DEF0
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    pair = [signed(start), signed(start ^ low ^ 1 << 63)]
+    fps = spark.createDataFrame([(v,) for v in pair], "fp long")
+    for most in (2048, 1):
+        found = {frozenset(r) for r in simhash.links(fps, most=most).collect()}
+        assert found == {frozenset(pair)}
+    top = np.array([signed(start), signed(start ^ 0b11111 << 59)], np.int64)
+    assert list(simhash.forest(top, 4)) == []               # five bits apart, all at the top
