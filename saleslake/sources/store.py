@@ -263,7 +263,15 @@ def close_batch(spark: SparkSession, root: str, batch_id: int, next_key: int) ->
 def next_fact_key(spark: SparkSession, root: str, start: int) -> int:
     """The first free fact key after all finished runs (no scan of the fact)."""
     done = os.path.join(root, "done")
-    return max([start, *(_read_record(spark, done, n)["next_key"] for n in _records(spark, done)[-50:])])
+    finished = len(_records(spark, done))
+    if not finished:
+        return start
+    # every record: a run that died keeps its old id, so the largest key need not stand in the last ones
+    keys = spark.read.schema("next_key long").option("mode", "FAILFAST").json(done)
+    n, largest = keys.agg(F.count("next_key"), F.max("next_key")).first()
+    if n < finished:
+        raise RuntimeError(f"{finished - n} unreadable records in {done}")
+    return max(start, largest)
 
 
 # ---------------------------------------------------------------- snapshots

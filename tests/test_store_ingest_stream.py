@@ -218,3 +218,12 @@ def test_incremental_load_consumes_each_file_once(spark, tmp_dir):
     assert incremental.incremental_load(spark, landing, st, ckpt, process) == 1
     s = spark.read.parquet(summ_path).first()
     assert (s.total_transactions, float(s.total_revenue), s.distinct_customers) == (3, 16.0, 3)
+
+
+def test_next_fact_key_after_an_old_run_ends_late(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "late")
+    assert store.next_fact_key(spark, root, 1000) == 1000
+    for n in range(2, 60):
+        store.close_batch(spark, root, n, 1000 + n)
+    store.close_batch(spark, root, 1, 9000)                         # it kept its old id
+    assert store.next_fact_key(spark, root, 1000) == 9000
