@@ -1,6 +1,6 @@
 """Operator 2 (native): licence scans by canonical digest lookup.
 
-A text is made canonical: A-Z lower-cased, typographic quotes and dashes made plain, copyright lines dropped, equivalent
+A text is made canonical: A-Z lower-cased, typographic quotes and dashes made plain, copyright statements dropped, equivalent
 spellings unified, punctuation and white space one space.  The SHA-256 of the whole canonical text, and of every line taken
 as a text of its own (only lines as long as some known text are hashed), is hash-joined to the digests of the known
 licences.  The known texts are a fixed table of the code, so that side may be broadcast.
@@ -22,8 +22,13 @@ from saleslake.llm.license_texts import NAMES, NOTICES, SPELLINGS, TEXTS
 
 #: Typographic quotes, dashes and the no-break space, and what they become.
 PLAIN = ("‘’“”–— ", "''\"\"-- ")
-#: A line that only states a copyright (its end of line stays).
+#: The SQL twin's expression: any line that begins like a copyright statement, wrapped sentences too.
 COPYRIGHT = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: A line that states a copyright (a sign, a year or 'by' follows) or only reserves all rights; its end of line stays.
+STATEMENT = (r"(?m)^[^a-z0-9\n]*(?:©[^\n]*|(?:copyright|\(c\))[^a-z0-9\n]*(?:©|\(c\)|copyright\b|by\b|[<\[{](?:year|yyyy)|(?:19|20)[0-9]{2}\b)[^\n]*"
+             r"|all rights reserved[^a-z0-9\n]*)$")
+#: A paragraph of one line that begins with the word: a statement without a year.
+STATEMENT_ALONE = r"(\A|\n[^a-z0-9\n]*\n)[^a-z0-9\n]*copyright\b[^\n]*(?=\n[^a-z0-9\n]*(?:\n|\z)|\z)"
 #: ASCII punctuation, control characters and blanks other than the line feed.
 MARKS = r"[\x00-\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -31,7 +36,7 @@ MARKS = r"[\x00-\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 def canonical_lines(text: Column) -> Column:
     """The canonical text, its lines still apart."""
     out = F.translate(text, string.ascii_uppercase + PLAIN[0], string.ascii_lowercase + PLAIN[1])
-    out = F.regexp_replace(out, COPYRIGHT, "")
+    out = F.regexp_replace(F.regexp_replace(out, STATEMENT, ""), STATEMENT_ALONE, "$1")
     for old, new in SPELLINGS:
         out = F.replace(out, F.lit(old), F.lit(new))
     return F.regexp_replace(out, MARKS, " ")

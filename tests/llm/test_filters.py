@@ -1,14 +1,16 @@
 """Operators 2, 4, 5 and 9."""
 
 import random
+import textwrap
 import zlib
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from saleslake.llm import decontaminate, licenses, toxicity, url_filter
-from saleslake.llm.license_texts import ISC, MIT
+from saleslake.llm.license_texts import ISC, MIT, TEXTS
 
 DOCS = "doc_id long, text string"
 
@@ -170,3 +172,24 @@ def test_toxicity_without_labels_or_rows(spark):
     got = toxicity.toxicity(df, lab.limit(0)).collect()
     assert {(round(r.score, 6), r.predicted) for r in got} == {(0.1, 0)}
     assert toxicity.toxicity(df.limit(0), lab).collect() == []
+
+
+def test_licenses_wherever_they_are_wrapped(spark):
+    """Each whole text is recognised on one line and at any width, with a statement before it; a wrapped sentence is no statement."""
+    rows, want = [], []
+    for license_id, text in TEXTS:
+        paragraphs = text.split("\n")
+        for n, width in enumerate((40, 60, 68, 72, 76, 79, 80, 100, 10_000)):
+            for head in ("", "Copyright (c) 2020 A. Person\n\n", "Copyright A. Person and others\n\n", "(C) 1999-2001 by B\nAll rights reserved.\n"):
+                rows.append((len(rows), head + "\n".join(textwrap.fill(p, width) for p in paragraphs)))
+                want.append(license_id)
+        rows.append((len(rows), " ".join(text.split())))
+        want.append(license_id)
+    # the usual wraps
+    rows += [(len(rows), MIT.replace("\n", " ").replace("AUTHORS OR COPYRIGHT", "AUTHORS OR\nCOPYRIGHT")),
+             (len(rows) + 1, ISC.replace("\n", " ").replace("above copyright notice", "above\ncopyright notice"))]
+    got = {r.doc_id: r.license_id for r in licenses.scan_licenses(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [got[i] for i, _ in rows] == [*want, "MIT", "ISC"]
+    kept = "(c) You must retain all notices\ncopyright law applies to it"
+    df = spark.createDataFrame([(kept,)], "t string")
+    assert df.select(licenses.canonical(licenses.canonical_lines(F.col("t")))).first()[0] == "c you must retain all notices copyright law applies to it"
