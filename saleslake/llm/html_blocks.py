@@ -36,6 +36,12 @@ INLINE = set("a abbr b bdi bdo cite code data del dfn em font i ins kbd label ma
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
 SILENT = set("script style head noscript template svg textarea select iframe object".split())
+#: Those of them whose content is raw text: up to the end tag, else up to the page's end.
+RAW = set("script style textarea iframe".split())
+#: Elements that may stand in a head; any other, or text, ends it.
+IN_HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
+#: Elements that end an open element of SILENT whose end tag is missing.
+BREAKS = set("body article main section nav header footer aside h1 h2 h3 h4 h5 h6 p div table ul ol dl blockquote pre form".split())
 #: Path elements (tags, .classes, #ids) of boilerplate, and of content.
 BOILERPLATE = set("nav header footer aside form button menu dialog .nav .navbar .menu .header .masthead .footer .sidebar .notice "
                   ".cookie .banner .alert .ad .ads .advert .sponsored .promo .comment .comments .share .related .breadcrumb "
@@ -79,11 +85,23 @@ def blocks(page: str | None) -> list[tuple[tuple, str, int]]:
     path: list[tuple[str, ...]] = []
     text: list[str] = []
     linked, at, page = 0, 0, page or ""
+    ended: dict[str, set[int]] = {}
+
+    def has_end(tag: str, start: int) -> bool:
+        """The element that starts there has an end tag of its own."""
+        if tag not in ended:
+            ended[tag], opened = set(), []
+            for m in re.finditer(rf"<(/?){tag}(?=[\s/>])", page, re.I):
+                if not m[1]:
+                    opened.append(m.start())
+                elif opened:
+                    ended[tag].add(opened.pop())
+        return start in ended[tag]
 
     def flush() -> None:
         nonlocal linked
         joined = " ".join("".join(text).split())
-        if joined:
+        if joined and not any(e[0] in SILENT for e in path):
             out.append((tuple(e for e in path if e[0] not in INLINE or e[0] == "a"), joined, min(linked, len(joined))))
         text.clear()
         linked = 0
@@ -91,6 +109,8 @@ def blocks(page: str | None) -> list[tuple[tuple, str, int]]:
     def add(raw: str) -> None:
         nonlocal linked
         if raw:
+            if path and path[-1][0] == "head" and raw.strip():
+                path.pop()
             piece = entities.unescape(raw) if "&" in raw else raw
             text.append(piece)
             if any(e[0] == "a" for e in path):
@@ -109,7 +129,18 @@ def blocks(page: str | None) -> list[tuple[tuple, str, int]]:
                 if path[i][0] == tag:
                     del path[i:]
                     break
-        elif tag in SILENT:
+                if path[i][0] in SILENT and path[i][0] != "head" and path[i][1]:
+                    break                                   # a stray end tag within it
+            continue
+        for i, e in enumerate(path):
+            if e[0] == "head" and (tag == "body" or i == len(path) - 1 and tag not in IN_HEAD) or \
+                    e[0] in SILENT and tag in BREAKS and not e[1]:
+                del path[i:]
+                break
+        if tag in SILENT and tag not in RAW:
+            if not m[3].endswith("/"):
+                path.append((tag, has_end(tag, m.start())))
+        elif tag in RAW:
             if not m[3].endswith("/"):
                 end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)

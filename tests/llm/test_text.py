@@ -145,3 +145,16 @@ def test_extract(spark):
         assert r.n_chars == len(r.text)
         assert r.text == (pages[r.page_id][1] if r.page_id < 900 else "")
     assert html_blocks.extract(df.limit(0)).collect() == []
+
+
+def test_blocks_after_silent_elements_without_end_tag():
+    read = lambda h: [text for _, text, _ in html_blocks.blocks(h)]
+    assert read("<html><head><title>x</title><body><article>one<p>two</article>") == ["one", "two"]
+    assert read("<head><title>x</title><meta charset=a><article>one</article>") == ["one"]
+    assert read("<head><title>x</title>one<p>two") == ["one", "two"]
+    for tag in ("select", "object", "noscript", "svg", "template"):
+        assert read(f"<div>a<{tag}><b>no</b></div><p>one</p><p>two</p>") == ["a", "one", "two"], tag
+        assert read(f"<body><{tag}><i>no</i><article>one</article>") == ["one"], tag
+        assert read(f"<p>a<{tag}><p>no</div></p></{tag}>b</p>") == ["a", "b"], tag
+    assert read("<head><script>a</script></head><body>one<script>no") == ["one"]
+    assert read("<div><select><option>no</div>one<select><option>no</select>two")[-1:] == ["two"]
