@@ -28,7 +28,8 @@ from saleslake.llm.common import text_of, written
 
 # ---- fixed values -------------------------------------------------------------------------------------------------
 #: Kinds of characters that are replaced within their kind; all others stay.
-ALPHABETS = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ"]
+ALPHABETS = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ",
+             "àáâãäåæèéêëìíîïòóôõöøùúûü", "çðñýþ", "йъь"]
 FEMALE = ("Alice Amelia Anna Barbara Catherine Charlotte Claire Diana Elena Elizabeth Emily Emma Eva Grace Hannah Helen Irene Julia "
           "Karen Laura Linda Lisa Maria Martha Mary Monica Nina Olivia Patricia Paula Rachel Rebecca Rosa Sarah Sofia Susan "
           "Teresa Ursula Vera Victoria").split()
@@ -58,6 +59,8 @@ PATTERNS = [
 FIRST = "|".join(sorted((n for g in (FEMALE, MALE, FEMALE_CYRILLIC, MALE_CYRILLIC) for n in g), key=len, reverse=True))
 PERSON = re.compile(rf"\b(?:(?:{'|'.join(TITLES)})\.? (?P<titled>{NAME}(?: {NAME}){{0,2}})|(?P<named>(?:{FIRST})(?: {NAME}){{1,2}}))")
 DIGIT = re.compile(r"\d")
+#: From this round on, the replacement of an e-mail address that still collides gets longer.
+WIDEN = 4
 
 
 def canonical(kind: str, found: str) -> str:
@@ -95,16 +98,30 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
 
 def permuted(number: int, size: int, key: bytes, tweak: str) -> int:
     """A keyed permutation of range(size): Feistel rounds over two halves, walked until inside the range."""
+    return _walked(number, size, key, tweak, range(8))
+
+
+def unpermuted(number: int, size: int, key: bytes, tweak: str) -> int:
+    """The inverse of ``permuted``: the rounds backwards, the halves exchanged."""
+    return _walked(number, size, key, tweak, range(7, -1, -1))
+
+
+def _walked(number: int, size: int, key: bytes, tweak: str, turns: range) -> int:
     if size <= 1:
         return number
     half = max(1, (size - 1).bit_length() + 1 >> 1)
     mask = (1 << half) - 1
+    back = turns[0] > 0
     while True:
         left, right = number >> half, number & mask
-        for turn in range(8):
+        if back:
+            left, right = right, left
+        for turn in turns:
             word = f"{tweak}|{turn}|{right}".encode()
             bits = int.from_bytes(hashlib.blake2b(word, key=key[:64], digest_size=min(64, half // 8 + 8)).digest(), "big")
             left, right = right, left ^ bits & mask
+        if back:
+            left, right = right, left
         number = left << half | right
         if number < size:
             return number
@@ -125,6 +142,8 @@ def fixed_places(kind: str, form: str) -> set[int]:
 
 def surrogate(kind: str, form: str, key: bytes, turn: int = 0) -> str:
     """The replacement of a canonical form; each ``turn`` is another permutation, taken where the one before collides."""
+    if kind == "email" and turn >= WIDEN:                   # a small shape may be fully used: a longer one has room
+        form = "ba" * (turn - WIDEN + 1) + form
     return _surrogate(kind, form, key if not turn else hashlib.blake2b(bytes([turn]), key=key[:64]).digest())
 
 
@@ -146,7 +165,10 @@ def _surrogate(kind: str, form: str, key: bytes) -> str:
             letters = ALPHABETS[alphabet]
             number, size = number * len(letters) + letters.index(c.lower()), size * len(letters)
             shape.append((alphabet, c.isupper()))
-    number = permuted(number, size, key, f"{kind}|{shape}")
+    tweak = f"{kind}|{shape}"
+    # a name becomes the next in a keyed order: one to one, and never the name itself
+    number = unpermuted((permuted(number, size, key, tweak) + 1) % size, size, key, tweak) if kind == "name" else \
+        permuted(number, size, key, tweak)
     out: list[str] = []
     for s in reversed(shape):
         if isinstance(s, str):
@@ -168,7 +190,7 @@ def written_like(kind: str, mention: str, form: str) -> str:
         return "".join(reversed(out))
     if kind == "first name":
         return form.upper() if mention.isupper() and len(mention) > 1 else form.capitalize() if mention[:1].isupper() else form
-    return "".join(f.upper() if m.isupper() else f for m, f in zip(mention, form))
+    return "".join(f.upper() if m.isupper() else f for m, f in zip(mention, form)) + form[len(mention):]
 
 
 def rewrite(text: str, key: bytes, turns: dict[tuple[str, str], int]) -> tuple[str, int]:

@@ -158,3 +158,26 @@ def test_blocks_after_silent_elements_without_end_tag():
         assert read(f"<p>a<{tag}><p>no</div></p></{tag}>b</p>") == ["a", "b"], tag
     assert read("<head><script>a</script></head><body>one<script>no") == ["one"]
     assert read("<div><select><option>no</div>one<select><option>no</select>two")[-1:] == ["two"]
+
+
+def test_every_name_changes_one_to_one():
+    """No letter of a name is left without an alphabet; a shape whose forms are all used has no fixed point and no meeting."""
+    for name in ("öö", "éü", "øå", "þa", "йй", "ъя", "ça", "ñý"):
+        assert pii.surrogate("name", name, KEY) != name
+    for first, second in (("aeiou", "bcdfghjklmnpqrstvwxyz"), ("йъь", "йъь")):
+        forms = {a + b for a in first for b in second}
+        for key in (KEY, b"a", b"b", b"c"):
+            new = {f: pii.surrogate("name", f, key) for f in forms}
+            assert set(new.values()) == forms and all(f != n for f, n in new.items())
+
+
+def test_inverse_permutation():
+    for size in (1, 2, 7, 105, 1000):
+        assert all(pii.unpermuted(pii.permuted(i, size, KEY, "x"), size, KEY, "x") == i for i in range(size))
+
+
+def test_addresses_of_a_full_shape_get_longer():
+    forms = {f"{a}@{b}.de" for a in "aeiou" for b in "bcdfghjklmnpqrstvwxyz"}
+    new = {pii.surrogate("email", f, KEY, pii.WIDEN) for f in forms}
+    assert len(new) == len(forms) and not new & forms
+    assert pii.written_like("email", "A@b.de", min(new)).lower() == min(new)
