@@ -61,6 +61,26 @@ TEXTS = [
     ("BSD-3-Clause", f"{BSD_HEAD}\n{BSD_THIRD}\n{BSD_TAIL}"),
 ]
 
+#: Licence id, SHA-256 and length of the canonical form of further whole texts and standard headers.
+DIGESTS = [
+    ("Apache-2.0", "04e64e0427d80fdde16fa8415931bf2c09bc943f13ec322a09df188bf23a3543", 9886),  # whole
+    ("Apache-2.0", "119e2da0e9ec849d113a40405b338c1bbbd2ef9194c22bf2740fa4e195411c40", 8870),  # without appendix
+    ("Apache-2.0", "824065d72ca31b7c727341396be4cf76f464b15d9bef680a3638007ce92a009f", 8842),  # without appendix and end line
+    ("Apache-2.0", "7a46cf4a5d56898d746584f4fe57bdf571d600a8f39d21063431d88929f803c7", 501),  # header
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f", 6692),  # whole
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821", 17117),  # whole
+    ("GPL-2.0", "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34", 14483),  # without appendix
+    ("GPL-2.0", "3606e919f92e4862a5628788f284c07f5a0ca41b819f88414d7e825dca4facc4", 657),  # header
+    ("GPL-3.0", "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a", 33406),  # whole
+    ("GPL-3.0", "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636", 30968),  # without appendix
+    ("GPL-3.0", "b1165b3a9c3ac2638585a8adb6e0c10814b7d97627160747134355b2690ff5af", 589),  # header
+    ("LGPL-3.0", "d55f73055e58bb45ba8eca26bfe5f3b91426e2cfede6a66456ef0a7b34ed1ae9", 610),  # header
+    ("AGPL-3.0", "c0ad612dff09f3a46d284cd6326222f812128e76a7a058c916379ff339c394ba", 610),  # header
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be", 7104),  # whole
+    ("MPL-2.0", "6fedd8db6adb0e102fc0f69b9e1501d2edaf25940e34910831cab46f9f5d4e4d", 14342),  # whole
+    ("MPL-2.0", "acb0bece3dc447740b87a4db23e0d425157552e4a33f273241a94444c2368900", 184),  # header
+]
+
 #: Licence id, its name in notices.
 NAMES = [
     ("Apache-2.0", "the Apache License, Version 2.0"),

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleslake.llm.common import text_of
-from saleslake.llm.license_texts import NAMES, NOTICES, SPELLINGS, TEXTS
+from saleslake.llm.license_texts import DIGESTS, NAMES, NOTICES, SPELLINGS, TEXTS
 
 #: Typographic quotes, dashes and the no-break space, and what they become.
 PLAIN = ("‘’“”–— ", "''\"\"-- ")
@@ -52,12 +52,15 @@ def known_texts() -> list[tuple[str, str]]:
 
 
 def known_digests(spark, texts: list[tuple[str, str]] | None = None) -> DataFrame:
-    """digest, license_id, size: one row per known canonical text."""
+    """digest, license_id, size: one row per known canonical text, those of DIGESTS included unless ``texts`` are given."""
     rows = F.array(*[F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in texts or known_texts()])
     table = spark.range(1).select(F.explode(rows).alias("r")).select("r.*")
     table = table.withColumn("canonical", canonical(canonical_lines(F.col("text")))).where("canonical <> ''")
-    return table.groupBy(F.sha2("canonical", 256).alias("digest")).agg(
-        F.min("license_id").alias("license_id"), F.max(F.length("canonical")).alias("size"))
+    rows = table.select(F.sha2("canonical", 256).alias("digest"), "license_id", F.length("canonical").alias("size"))
+    if texts is None:
+        more = F.array(*[F.struct(F.lit(d).alias("digest"), F.lit(i).alias("license_id"), F.lit(n).alias("size")) for i, d, n in DIGESTS])
+        rows = rows.unionByName(spark.range(1).select(F.explode(more).alias("r")).select("r.*"))
+    return rows.groupBy("digest").agg(F.min("license_id").alias("license_id"), F.max("size").alias("size"))
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

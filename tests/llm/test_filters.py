@@ -1,5 +1,6 @@
 """Operators 2, 4, 5 and 9."""
 
+import os
 import random
 import textwrap
 import zlib
@@ -193,3 +194,31 @@ def test_licenses_wherever_they_are_wrapped(spark):
     kept = "(c) You must retain all notices\ncopyright law applies to it"
     df = spark.createDataFrame([(kept,)], "t string")
     assert df.select(licenses.canonical(licenses.canonical_lines(F.col("t")))).first()[0] == "c you must retain all notices copyright law applies to it"
+
+
+APACHE_HEADER = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    https://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_whole_texts_and_headers_of_long_licenses(spark):
+    rows = [(0, APACHE_HEADER.replace("https:", "http:")), (1, "Copyright 2020 A. Person\n\n" + " ".join(APACHE_HEADER.split())),
+            (2, APACHE_HEADER + " More.")]
+    want = {0: "Apache-2.0", 1: "Apache-2.0", 2: None}
+    folder = "/usr/share/common-licenses/"
+    for name, license_id in (("Apache-2.0", "Apache-2.0"), ("CC0-1.0", "CC0-1.0"), ("GPL-2", "GPL-2.0"), ("GPL-3", "GPL-3.0"),
+                             ("LGPL-3", "LGPL-3.0"), ("MPL-2.0", "MPL-2.0")):
+        if os.path.exists(folder + name):
+            with open(folder + name, encoding="utf-8") as f:
+                want[len(rows)] = license_id
+                rows.append((len(rows), f.read()))
+    got = {r.doc_id: r.license_id for r in licenses.scan_licenses(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == want
