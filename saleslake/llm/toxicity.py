@@ -78,6 +78,13 @@ def fit(rows: list[tuple[str, int, float]], bits: int = BITS, epochs: int = 3) -
         yield int(i), float(every[i])
 
 
+def class_weights(counts: dict[int, int], took: dict[int, int]) -> list[float]:
+    """Weights of the sampled clean and toxic rows that restore the classes' true shares, however rare toxic ones are."""
+    if not took[0] or not took[1]:
+        return [1.0, 1.0]
+    return [max(1.0, counts[0] / took[0] * took[1] / counts[1]), 1.0]
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           sample_rows: int = SAMPLE_ROWS, bits: int = BITS, folds: int = FOLDS) -> dict[int, float]:
     """Non-zero weights by coordinate, learnt from at most ``sample_rows`` labelled rows outside the held-out fold.
@@ -91,9 +98,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     took = {y: min(counts.get(y, 0), most[y]) for y in most}
     if not took[0] + took[1]:
         return {}
-    weight = [1.0, 1.0]
-    if took[0] and took[1]:
-        weight[0] = min(8.0, max(1.0, counts[0] / took[0] * took[1] / counts[1]))
+    weight = class_weights(counts, took)
     order = F.xxhash64("id")
     sample = marked.where("label = 1").orderBy(order, "id").limit(most[1]).unionByName(
         marked.where("label = 0").orderBy(order, "id").limit(most[0]))

@@ -222,3 +222,12 @@ def test_whole_texts_and_headers_of_long_licenses(spark):
                 rows.append((len(rows), f.read()))
     got = {r.doc_id: r.license_id for r in licenses.scan_licenses(spark.createDataFrame(rows, DOCS)).collect()}
     assert got == want
+
+
+def test_class_weights_restore_rare_shares():
+    for toxic in (0.3, 0.1, 0.03, 0.001):
+        counts = {1: round(10_000_000 * toxic), 0: round(10_000_000 * (1 - toxic))}
+        took = {1: min(counts[1], 16_000 // 3), 0: 16_000 - 16_000 // 3}
+        clean, one = toxicity.class_weights(counts, took)
+        assert abs(took[0] * clean / (took[1] * one) / (counts[0] / counts[1]) - 1) < 1e-9
+    assert toxicity.class_weights({0: 5}, {0: 5, 1: 0}) == [1.0, 1.0]
