@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from saleslake.llm import decontaminate, exact_dedup, html_blocks, licenses, lm, packing, pii, simhash, toxicity, url_filter
+from saleslake.llm import (decontaminate, drift_clusters, exact_dedup, filter_audit, html_blocks, jaccard_join, licenses, lm, packing, pii,
+                           simhash, toxicity, url_filter)
+from saleslake.llm.queries_sql import OP11_SQL, OP12_SQL, OP13_SQL
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Key of the registered query; a production run passes its own secret.
@@ -62,10 +64,22 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift_clusters.centroid_clusters(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2, dim=64)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), shingle=5, similarity=(80, 100))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_exact_dedup, op2_licenses, op3_simhash, op4_url_filter, op5_decontaminate, op6_packing, op7_pii, op8_html_text,
-        op9_toxicity, op10_lm_score)}
+        op9_toxicity, op10_lm_score, op11_clusters, op12_filter_audit, op13_jaccard)}
 
 OP1_SQL = r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]+', ' ', 'g') AS norm FROM documents)
@@ -122,4 +136,5 @@ SELECT h.page_id, h.host, h.path, f.rule, coalesce(f.verdict, 'allow') AS verdic
 FROM hosts h LEFT JOIN fits f ON h.page_id IS NOT DISTINCT FROM f.page_id AND h.host = f.host AND h.path = f.path AND f.nth = 1
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_licenses": _op2_sql(), "op4_url_filter": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_exact_dedup": OP1_SQL, "op2_licenses": _op2_sql(), "op4_url_filter": OP4_SQL,
+                              "op11_clusters": OP11_SQL, "op12_filter_audit": OP12_SQL, "op13_jaccard": OP13_SQL}
