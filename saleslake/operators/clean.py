@@ -28,18 +28,53 @@ def _slice_filter(date_col: Column, region_col: Column, load_date, region,
     return cond
 
 
-def extract_predicate(src: DataFrame, load_date=None, region=None) -> Column:
+def business_day(src: DataFrame, first=None, last=None, col: str = "txn_datetime") -> Column:
+    """``first <= day <= last`` (None: open) as a range of the timestamp itself, which reaches the scan as pushed filters."""
+    kind, cond = src.schema[col].dataType, F.lit(True)
+    if first is not None:
+        cond = cond & (F.col(col) >= F.lit(first).cast(kind))
+    if last is not None:
+        cond = cond & (F.col(col) < F.lit(last + _dt.timedelta(days=1)).cast(kind))
+    return cond
+
+
+#: Spellings of region codes that are pushed at most.
+MOST_SPELLINGS = 1000
+
+
+def region_spellings(src: DataFrame, col: str = "store_region_cd") -> dict[str, list[str]] | None:
+    """Normalised region -> the spellings it has in ``src`` (one pass over one column, a few rows come back); None if there
+    are more than MOST_SPELLINGS, so that nothing is pushed.  Found once per load and passed to its scans."""
+    found = src.select(F.col(col).alias("raw"), C.normalise_region(col).alias("region")).where("region is not null").distinct()
+    rows = found.limit(MOST_SPELLINGS + 1).collect()
+    if len(rows) > MOST_SPELLINGS:
+        return None
+    out: dict[str, list[str]] = {}
+    for r in rows:
+        out.setdefault(r["region"], []).append(r["raw"])
+    return out
+
+
+def in_region(region: str | None, spellings: dict[str, list[str]] | None = None, col: str = "store_region_cd") -> Column:
+    """Rows whose normalised code is ``region`` (None: all).  With the spellings of the source an IN filter on the raw
+    column stands beside the exact test and reaches the scan."""
+    if region is None:
+        return F.lit(True)
+    exact = C.normalise_region(col) == F.lit(region)
+    return exact if spellings is None else F.col(col).isin(sorted(spellings.get(region, []))) & exact
+
+
+def extract_predicate(src: DataFrame, load_date=None, region=None, spellings: dict[str, list[str]] | None = None) -> Column:
     """B2: date, region, status NOT IN (VOID, CANCELLED, TEST), qty > 0, price >= 0.
     A NULL status fails NOT IN, as in SQL."""
-    return (_slice_filter(F.col("txn_datetime").cast("date"), C.normalise_region("store_region_cd"),
-                          load_date, region)
+    return (business_day(src, load_date, load_date) & in_region(region, spellings)
             & ~C.trim_to_null("txn_status_cd").isin(*S.EXCLUDED_STATUSES)
             & (F.col("sold_qty") > 0)
             & (F.col("unit_sell_price") >= 0))
 
 
 def extract_sales(src: DataFrame, load_date: _dt.date | None = None, region: str | None = None,
-                  batch_id: int | None = None) -> DataFrame:
+                  batch_id: int | None = None, spellings: dict[str, list[str]] | None = None) -> DataFrame:
     """B1 + B2 + B3 + B20: source transactions -> staging rows (PENDING).
 
     Text columns are trimmed and blank text becomes NULL (the source database
@@ -53,7 +88,7 @@ def extract_sales(src: DataFrame, load_date: _dt.date | None = None, region: str
     staged_date = F.col("txn_datetime").cast("date")
     slice_date = F.lit(load_date) if load_date is not None else staged_date
     region_code = C.normalise_region("store_region_cd")
-    return (src.where(extract_predicate(src, load_date, region))
+    return (src.where(extract_predicate(src, load_date, region, spellings))
             .select(
                 F.col("txn_id").alias("transaction_id"),
                 F.col("cust_id").alias("customer_id"),
@@ -88,11 +123,12 @@ def split_duplicates(staged: DataFrame, key: tuple[str, ...] = ("transaction_id"
 
 
 def scan_transactions(src: DataFrame, load_date=None, region=None,
-                      status: str = S.COMPLETED, batch_id: int | None = None) -> DataFrame:
+                      status: str = S.COMPLETED, batch_id: int | None = None,
+                      spellings: dict[str, list[str]] | None = None) -> DataFrame:
     """A2 + B4: the graph's own parameterised scan of the source: date, region,
     ``status = COMPLETED``, quantity > 0 -> ``stg_sales_record`` (13 fields)."""
     d = F.col("txn_datetime").cast("date")
-    pred = (_slice_filter(d, C.normalise_region("store_region_cd"), load_date, region)
+    pred = (business_day(src, load_date, load_date) & in_region(region, spellings)
             & (C.trim_to_null("txn_status_cd") == status) & (F.col("sold_qty") > 0))
     return src.where(pred).select(
         F.col("txn_id").alias("transaction_id"),

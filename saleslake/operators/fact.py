@@ -37,11 +37,11 @@ def fact_rows(keyed: DataFrame, tax_rate: Decimal = S.TAX_RATE) -> DataFrame:
 
 def load_fact(pending: DataFrame, dim_product: DataFrame, dim_customer: DataFrame,
               dim_store: DataFrame, tax_rate: Decimal = S.TAX_RATE,
-              key_start: int | None = None) -> DataFrame:
+              key_start: int | None = None, heavy=None) -> DataFrame:
     """Pending staged rows -> fact rows at the current dimension keys.
     With ``key_start`` the rows also get dense ``fact_sales_key`` values (I8),
     numbered in place (no sort of the day's facts)."""
-    facts = fact_rows(dimension_keys(pending, dim_product, dim_customer, dim_store), tax_rate)
+    facts = fact_rows(dimension_keys(pending, dim_product, dim_customer, dim_store, heavy), tax_rate)
     if key_start is None:
         return facts
     return assign_fact_keys(facts, key_start, ordered=False)
@@ -58,10 +58,10 @@ def assign_fact_keys(facts: DataFrame, key_start: int, ordered: bool = True) ->
 
 
 def dropped_by_dims(pending: DataFrame, dim_product: DataFrame, dim_customer: DataFrame,
-                    dim_store: DataFrame) -> DataFrame:
+                    dim_store: DataFrame, heavy=None) -> DataFrame:
     """I4 report: staged rows marked LOADED although no fact row was written,
     because product or customer had no current version."""
-    k = dimension_keys(pending, dim_product, dim_customer, dim_store)
+    k = dimension_keys(pending, dim_product, dim_customer, dim_store, heavy)
     reason = F.concat_ws("; ",
                          F.when(F.col("dim_product_key").isNull(), F.lit("NO_CURRENT_PRODUCT")),
                          F.when(F.col("dim_customer_key").isNull(), F.lit("NO_CURRENT_CUSTOMER")))

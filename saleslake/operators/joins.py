@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.columns import trim_to_null
+from .clean import business_day, in_region
+from . import skew
 
 LOOKUP_COLUMNS = ("product_id", "product_code", "product_name", "category_code",
                   "subcategory_code", "list_price", "is_current", "valid_from", "valid_to")
@@ -30,11 +32,30 @@ def product_lookup(dim_product: DataFrame) -> DataFrame:
     return current(dim_product).select(*LOOKUP_COLUMNS)
 
 
-def join_product_left(enriched: DataFrame, dim_product: DataFrame) -> DataFrame:
+#: The staged keys that the dimension joins use, with the heavy values of each (``skew.heavy_keys``).
+Heavy = dict[str, skew.Heavy]
+
+
+def heavy_dimension_keys(staged: DataFrame) -> Heavy:
+    """The products and customers that hold so many staged rows that a join has to deal them over several tasks; one
+    pass over two columns, meant for stored rows."""
+    keys = ("product_id", "customer_id")
+    return dict(zip(keys, skew.heavy_keys(staged, *[[k] for k in keys])))
+
+
+def _lookup(rows: DataFrame, dim: DataFrame, key: str, how: str, heavy: Heavy | None) -> DataFrame:
+    """Join with one dimension row per key: plain (AQE picks the strategy and splits skew), or with the heavy
+    values known, which also deals rows without a key evenly."""
+    if heavy is None:
+        return rows.join(dim, key, how)
+    return skew.heavy_hitter_join(rows, dim, [key], how, spread=["transaction_id"], heavy=heavy[key])
+
+
+def join_product_left(enriched: DataFrame, dim_product: DataFrame, heavy: Heavy | None = None) -> DataFrame:
     """C4 + B22: left-outer product enrichment with defaults for a missing product."""
     lk = product_lookup(dim_product).select(
         "product_id", *[F.col(c).alias(f"_dp_{c}") for c in S.MISSING_PRODUCT_DEFAULTS])
-    j = enriched.join(lk, "product_id", "left")
+    j = _lookup(enriched, lk, "product_id", "left", heavy)
     filled = [F.coalesce(F.col(f"_dp_{c}"), F.lit(d)).alias(c) for c, d in S.MISSING_PRODUCT_DEFAULTS.items()]
     return j.select(
         "transaction_id", "customer_id", "product_id", *filled, "store_id", "transaction_date",
@@ -42,39 +63,31 @@ def join_product_left(enriched: DataFrame, dim_product: DataFrame) -> DataFrame:
         "currency_code", "basket_tier", "fiscal_year", "fiscal_month")
 
 
-def unmatched_product(enriched: DataFrame, dim_product: DataFrame) -> DataFrame:
+def unmatched_product(enriched: DataFrame, dim_product: DataFrame, heavy: Heavy | None = None) -> DataFrame:
     """Rows with no current product (the join's unmatched port)."""
-    return enriched.join(current(dim_product).select("product_id"), "product_id", "left_anti")
+    return _lookup(enriched, current(dim_product).select("product_id"), "product_id", "left_anti", heavy)
 
 
 def dimension_keys(staged: DataFrame, dim_product: DataFrame, dim_customer: DataFrame,
-                   dim_store: DataFrame) -> DataFrame:
+                   dim_store: DataFrame, heavy: Heavy | None = None) -> DataFrame:
     """C1-C3 as one left-joined frame: current product, customer and store keys
     beside each staged row (NULL where no current version exists).  The fact is
     the rows with both product and customer keys (C1, C2 are inner joins; the
     optimizer turns left join + not-null filter into an inner join), the rows
-    dropped by those joins are the rest (I4)."""
+    dropped by those joins are the rest (I4).  ``heavy``: ``heavy_dimension_keys`` of the rows."""
     dp = current(dim_product).select("product_id", "dim_product_key")
     dc = current(dim_customer).select("customer_id", "dim_customer_key")
     ds = current(dim_store).select("store_id", "dim_store_key")
-    return (staged.join(dp, "product_id", "left")
-            .join(dc, "customer_id", "left")
-            .join(ds, "store_id", "left"))
+    keyed = _lookup(_lookup(staged, dp, "product_id", "left", heavy), dc, "customer_id", "left", heavy)
+    return keyed.join(ds, "store_id", "left")
 
 
 def sales_customers(src_sales: DataFrame, date_from: _dt.date | None, date_to: _dt.date | None,
-                    region: str | None = None) -> DataFrame:
+                    region: str | None = None, spellings: dict[str, list[str]] | None = None) -> DataFrame:
     """C6 + E6: customers with sales in the window, with their latest purchase.
     The partition max of the reference collapses to a grouped max (one row per
     customer, partial aggregation first)."""
-    d = F.col("txn_datetime").cast("date")
-    cond = F.lit(True)
-    if date_from is not None:
-        cond = cond & (d >= F.lit(date_from))
-    if date_to is not None:
-        cond = cond & (d <= F.lit(date_to))
-    if region is not None:
-        cond = cond & (F.upper(F.trim("store_region_cd")) == F.lit(region))
+    cond = business_day(src_sales, date_from, date_to) & in_region(region, spellings)
     return (src_sales.where(cond).groupBy("cust_id")
             .agg(F.max("txn_datetime").alias("last_purchase_date")))
 

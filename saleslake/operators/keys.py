@@ -68,7 +68,7 @@ def assign_dense_keys(df: DataFrame, key_col: str, order_by: list[Column | str]
 
 def distributed_rank(df: DataFrame, partition_by: list[str], order_col: str,
                      descending: bool = True, rank_col: str = "rank",
-                     dense_rank_col: str = "dense_rank") -> DataFrame:
+                     dense_rank_col: str = "dense_rank", total_col: str | None = None) -> DataFrame:
     """``rank()`` and ``dense_rank()`` over ``partition_by`` ordered by one
     column, without holding any group in one task.
 
@@ -79,10 +79,12 @@ def distributed_rank(df: DataFrame, partition_by: list[str], order_col: str,
       ranked locally, and the counts of earlier partitions of the same group
       (at most one row per partition) are added;
     * the ranks join back to the rows on (group, value).
+
+    ``total_col``: also the sum of ``order_col`` over the group, carried along with the chunks' counts.
     """
     v = F.col(order_col)
     ordv = v.desc_nulls_last() if descending else v.asc_nulls_first()
-    vals = df.groupBy(*partition_by, order_col).agg(F.count(F.lit(1)).alias("_n"))
+    vals = df.groupBy(*partition_by, order_col).agg(F.count(F.lit(1)).alias("_n"), F.sum(order_col).alias("_sum"))
     ordered = _freeze(vals.repartitionByRange(*[F.col(c) for c in partition_by], ordv)
                       .sortWithinPartitions(*partition_by, ordv)
                       .withColumn("_pid", F.spark_partition_id()))
@@ -93,20 +95,22 @@ def distributed_rank(df: DataFrame, partition_by: list[str], order_col: str,
                    F.lit(0)).alias("_rows_before"),
         (F.row_number().over(w_local) - 1).alias("_vals_before"))
     stats = ordered.groupBy(*partition_by, "_pid").agg(
-        F.sum("_n").alias("_rows_in"), F.count(F.lit(1)).alias("_vals_in"))
+        F.sum("_n").alias("_rows_in"), F.count(F.lit(1)).alias("_vals_in"), F.sum("_sum").alias("_sum_in"))
     w_parts = Window.partitionBy(*partition_by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.select(
         *partition_by, "_pid",
         F.coalesce(F.sum("_rows_in").over(w_parts), F.lit(0)).alias("_rows_off"),
-        F.coalesce(F.sum("_vals_in").over(w_parts), F.lit(0)).alias("_vals_off"))
+        F.coalesce(F.sum("_vals_in").over(w_parts), F.lit(0)).alias("_vals_off"),
+        F.sum("_sum_in").over(Window.partitionBy(*partition_by)).alias("_total"))
     offs = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in [*partition_by, "_pid"]],
-                          "_rows_off", "_vals_off")
+                          "_rows_off", "_vals_off", "_total")
     on = [local[c].eqNullSafe(offs[f"_o_{c}"]) for c in [*partition_by, "_pid"]]   # NULL groups rank too
     ranks = (local.join(offs, on)
              .select(*partition_by, order_col,
                      (F.col("_rows_off") + F.col("_rows_before") + 1).cast("bigint").alias(rank_col),
-                     (F.col("_vals_off") + F.col("_vals_before") + 1).cast("bigint").alias(dense_rank_col)))
+                     (F.col("_vals_off") + F.col("_vals_before") + 1).cast("bigint").alias(dense_rank_col), "_total"))
     keys = [*partition_by, order_col]
-    r = ranks.select(*[F.col(c).alias(f"_r_{c}") for c in keys], rank_col, dense_rank_col)
+    r = ranks.select(*[F.col(c).alias(f"_r_{c}") for c in keys], rank_col, dense_rank_col,
+                     *([F.col("_total").alias(total_col)] if total_col else []))
     cond = [df[c].eqNullSafe(r[f"_r_{c}"]) for c in keys]   # NULL values rank too
     return df.join(r, cond).drop(*[f"_r_{c}" for c in keys])

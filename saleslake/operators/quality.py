@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from decimal import Decimal
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from .keys import freeze
+from .states import grouped_with_distincts
 
 # --------------------------------------------------------------------------- J
 DQ_RULE_SCHEMA = T.StructType([
@@ -143,12 +145,15 @@ def _subquery_metrics(spark: SparkSession, rule: dict, tables: dict[str, DataFra
                       load_date: _dt.date | None) -> DataFrame:
     """The measures of one rule whose fragment queries other tables: it is
     evaluated for each row first (J2: true passes, J3: NULL fails), or as a
-    whole for the rule types that count."""
-    mine = [name for name in tables if not spark.catalog.tableExists(name)]
-    for name in mine:
-        tables[name].createOrReplaceTempView(name)
+    whole for the rule types that count.  The tables are the frames given, under view names of their own."""
+    private = {name.lower(): f"dq_{uuid.uuid4().hex}_{i}" for i, name in enumerate(tables)}
+    for name, df in tables.items():
+        df.createOrReplaceTempView(private[name.lower()])
+    # table names outside quoted text become those of the views, whatever else the catalog has
+    names = re.compile("'(?:[^']|'')*'|" + "|".join(rf"\b{re.escape(n)}\b" for n in sorted(private, key=len, reverse=True)), re.I)
+    renamed = lambda sql: names.sub(lambda m: private.get(m[0].lower(), m[0]), sql)
     try:
-        kind, frag, table = rule["rule_type"], rule["sql_fragment"], rule["target_table"]
+        kind, frag, table = rule["rule_type"], renamed(rule["sql_fragment"]), private[rule["target_table"].lower()]
         if kind in ("RANGE_CHECK", "REFERENTIAL_CHECK"):
             rows = spark.sql(f"SELECT *, ({frag}) AS _probe FROM {table}")
             fails = F.col("_probe").isNull() if kind == "REFERENTIAL_CHECK" else ~F.col("_probe")
@@ -163,8 +168,8 @@ def _subquery_metrics(spark: SparkSession, rule: dict, tables: dict[str, DataFra
                               (F.lit(0).cast("bigint") if metric else F.col("m")).alias("failed_rows"),
                               (F.lit(0.0) if metric else _pct(F.col("m"), F.col("n"))).alias("fail_pct"))
     finally:
-        for name in mine:
-            spark.catalog.dropTempView(name)
+        for view in private.values():
+            spark.catalog.dropTempView(view)
 
 
 def run_checks(rules: list[dict], tables: dict[str, DataFrame], date_columns: dict[str, str],
@@ -291,15 +296,14 @@ STAGING_METRICS = ("TOTAL_ROWS", "NULL_PRODUCT_ID", "NULL_CUSTOMER_ID", "ZERO_AM
 
 
 def staging_metrics(staged: DataFrame) -> DataFrame:
-    """D7 + G1: the six staging metrics per (date, region) slice from one scan
-    and one aggregate, stacked into (metric, value) rows."""
-    agg = staged.groupBy("transaction_date", "region_code").agg(
+    """D7 + G1: the six staging metrics per (date, region) slice from the
+    stacked aggregates of ``grouped_with_distincts``, as (metric, value) rows."""
+    agg = grouped_with_distincts(staged, ["transaction_date", "region_code"], [
         F.count(F.lit(1)).alias("TOTAL_ROWS"),
         F.count_if(F.col("product_id").isNull()).alias("NULL_PRODUCT_ID"),
         F.count_if(F.col("customer_id").isNull()).alias("NULL_CUSTOMER_ID"),
-        F.count_if(F.col("unit_price") == 0).alias("ZERO_AMOUNT_ROWS"),
-        F.countDistinct("store_id").alias("DISTINCT_STORES"),
-        F.countDistinct("product_id").alias("DISTINCT_PRODUCTS"))
+        F.count_if(F.col("unit_price") == 0).alias("ZERO_AMOUNT_ROWS")],
+        {"DISTINCT_STORES": "store_id", "DISTINCT_PRODUCTS": "product_id"})
     rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("bigint").alias("value"))
                      for m in STAGING_METRICS])
     return agg.select("transaction_date", "region_code", F.inline(rows))
@@ -328,7 +332,11 @@ def day_ratio_gate(fact: DataFrame, min_rows: int = S.MIN_ROWS_PER_SLICE,
     with at least ``min_rows`` rows and at least ``min_ratio`` of the previous
     day (no previous day: ratio not applied).  The window runs over the daily
     counts: one row per region and calendar day."""
-    counts = fact.groupBy("region_code", "transaction_date").agg(F.count(F.lit(1)).alias("row_count"))
+    return ratio_gate(fact.groupBy("region_code", "transaction_date").agg(F.count(F.lit(1)).alias("row_count")), min_rows, min_ratio)
+
+
+def ratio_gate(counts: DataFrame, min_rows: int = S.MIN_ROWS_PER_SLICE, min_ratio: Decimal = S.MIN_DAY_RATIO) -> DataFrame:
+    """D9 from the row counts (region_code, transaction_date, row_count) of the slices."""
     days = Window.partitionBy("region_code").orderBy("transaction_date")
     follows = F.lag("transaction_date").over(days) == F.date_sub("transaction_date", 1)
     j = counts.withColumn("prev_row_count", F.when(follows, F.lag("row_count").over(days)))
@@ -363,11 +371,10 @@ def audit_counts(rollup: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- I12
 def constraint_audit(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """I12 (keys, NOT NULL, widths): one row per (table, constraint, column)
-    with the number of violating rows.  Per table one aggregate for NOT NULL
-    and widths, one grouped count for the primary key."""
+    with the number of violating rows.  Each table is read once: an aggregate by
+    the primary key carries the NOT NULL and width counts on to the total."""
     parts = []
     for name, (df, pk) in tables.items():
-        df = freeze(df)                            # two aggregates, one evaluation
         checks = []
         for c in S.NOT_NULL.get(name, ()):
             if c in df.columns:
@@ -375,15 +382,13 @@ def constraint_audit(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
         for c, w in S.DECLARED_WIDTHS.get(name, {}).items():
             if c in df.columns:
                 checks.append(("WIDTH", c, F.count_if(F.length(F.col(c)) > w)))
-        if checks:
-            arr = F.array(*[F.struct(F.lit(k).alias("constraint_type"), F.lit(c).alias("column_name"),
-                                     e.cast("bigint").alias("violation_rows")) for k, c, e in checks])
-            parts.append(df.agg(arr.alias("_a")).select(F.lit(name).alias("table_name"), F.inline("_a")))
-        dup = (df.groupBy(pk).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-               .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violation_rows"))
-               .select(F.lit(name).alias("table_name"), F.lit("PK_UNIQUE").alias("constraint_type"),
-                       F.lit(pk).alias("column_name"), "violation_rows"))
-        parts.append(dup)
+        by_key = df.groupBy(pk).agg(F.count(F.lit(1)).alias("_n"), *[e.alias(f"_v{i}") for i, (_, _, e) in enumerate(checks)])
+        total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+        sums = [("PK_UNIQUE", pk, total(F.when(F.col("_n") > 1, F.col("_n")))),
+                *[(k, c, total(F.col(f"_v{i}"))) for i, (k, c, _) in enumerate(checks)]]
+        arr = F.array(*[F.struct(F.lit(k).alias("constraint_type"), F.lit(c).alias("column_name"), e.alias("violation_rows"))
+                        for k, c, e in sums])
+        parts.append(by_key.agg(arr.alias("_a")).select(F.lit(name).alias("table_name"), F.inline("_a")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import columns as C
 from .keys import distributed_rank, freeze
+from .states import grouped_with_distincts
 
 
 def _avg(sum_col: str, count_col: str):
@@ -24,12 +25,12 @@ def _avg(sum_col: str, count_col: str):
 
 def regional_summary(fact: DataFrame) -> DataFrame:
     """Per region and day (TOTAL_REVENUE = sum of net, defect 3)."""
-    return (fact.groupBy("region_code", F.col("transaction_date").alias("summary_date"))
-            .agg(F.count(F.lit(1)).alias("total_transactions"),
+    return (grouped_with_distincts(
+                fact, ["region_code", F.col("transaction_date").alias("summary_date")],
+                [F.count(F.lit(1)).alias("total_transactions"),
                  F.sum("quantity").alias("total_quantity"),
-                 F.sum("net_amount").alias("total_revenue"),
-                 F.countDistinct("dim_customer_key").alias("distinct_customers"),
-                 F.countDistinct("dim_product_key").alias("distinct_products"))
+                 F.sum("net_amount").alias("total_revenue")],
+                {"distinct_customers": "dim_customer_key", "distinct_products": "dim_product_key"})
             .withColumn("avg_basket_size", _avg("total_revenue", "total_transactions")))
 
 
@@ -40,16 +41,15 @@ def category_rollup(joined: DataFrame, approx_distinct: bool = False) -> DataFra
     """D2 + D3: the graph's rollup by region, day, category, fiscal year, month.
     Distinct counts are exact (the reference's intent); ``approx_distinct`` uses
     HyperLogLog sketches instead for very large slices."""
-    dc = (lambda c: F.approx_count_distinct(c)) if approx_distinct else (lambda c: F.countDistinct(c))
-    return (joined.groupBy(*ROLLUP_KEYS)
-            .agg(F.count(F.lit(1)).alias("total_transactions"),
-                 F.sum("quantity").alias("total_quantity"),
-                 F.sum("gross_amount").alias("total_gross_revenue"),
-                 F.sum("net_amount").alias("total_net_revenue"),
-                 F.sum("discount_amt").alias("total_discount_amount"),
-                 dc("customer_id").alias("distinct_customers"),
-                 dc("product_id").alias("distinct_products"),
-                 dc("store_id").alias("distinct_stores"))
+    distinct = {"distinct_customers": "customer_id", "distinct_products": "product_id", "distinct_stores": "store_id"}
+    totals = [F.count(F.lit(1)).alias("total_transactions"),
+              F.sum("quantity").alias("total_quantity"),
+              F.sum("gross_amount").alias("total_gross_revenue"),
+              F.sum("net_amount").alias("total_net_revenue"),
+              F.sum("discount_amt").alias("total_discount_amount")]
+    grouped = (joined.groupBy(*ROLLUP_KEYS).agg(*totals, *[F.approx_count_distinct(c).alias(n) for n, c in distinct.items()])
+               if approx_distinct else grouped_with_distincts(joined, list(ROLLUP_KEYS), totals, distinct))
+    return (grouped
             .withColumnRenamed("transaction_date", "summary_date")
             .withColumn("avg_basket_value",
                         F.col("total_net_revenue").cast("double")
@@ -82,17 +82,12 @@ RANK_PARTITION = ["region_code", "fiscal_year", "fiscal_month"]
 
 def product_rankings(fact: DataFrame) -> DataFrame:
     """D4 + E1 + E2 + E3.  rank / dense_rank by revenue (desc) inside region,
-    year and month are computed by ``distributed_rank`` (no partition is held in
-    one task); the share divides by the partition total from a grouped sum
-    joined back (one row per region-month).  The product aggregate is frozen
-    once, so the fact is scanned once for ranks, totals and the join back."""
+    year and month, and the total of each, are computed by ``distributed_rank`` (no partition is held in
+    one task).  The product aggregate is frozen once, so the fact is scanned once for ranks and the join back."""
     perf = freeze(product_performance(fact))
     ranked = distributed_rank(perf, RANK_PARTITION, "total_revenue", descending=True,
-                              rank_col="revenue_rank", dense_rank_col="revenue_dense_rank")
-    totals = perf.groupBy(*[F.col(c).alias(f"_t_{c}") for c in RANK_PARTITION]).agg(
-        F.sum("total_revenue").alias("_part_total"))
-    same = [ranked[c].eqNullSafe(totals[f"_t_{c}"]) for c in RANK_PARTITION]      # NULL regions rank too
-    return (ranked.join(totals, same).drop(*[f"_t_{c}" for c in RANK_PARTITION])
+                              rank_col="revenue_rank", dense_rank_col="revenue_dense_rank", total_col="_part_total")
+    return (ranked
             .withColumn("revenue_pct_share",
                         F.try_divide(F.col("total_revenue").cast("double"),
                                      F.col("_part_total").cast("double")) * 100)
@@ -106,13 +101,13 @@ def daily_summary(fact: DataFrame, ytd_by_year: bool = False) -> DataFrame:
     window partition holds at most one row per calendar day of the range --
     bounded by the calendar, not by the data volume.  ``ytd_by_year`` restarts
     the running sum each year."""
-    daily = (fact.groupBy("region_code", "transaction_date", "fiscal_year", "fiscal_month")
-             .agg(F.count(F.lit(1)).alias("total_transactions"),
+    daily = (grouped_with_distincts(
+                 fact, ["region_code", "transaction_date", "fiscal_year", "fiscal_month"],
+                 [F.count(F.lit(1)).alias("total_transactions"),
                   F.sum("net_amount").alias("daily_revenue"),
                   F.sum("quantity").alias("daily_units"),
-                  F.sum("discount_amt").alias("total_discounts"),
-                  F.countDistinct("dim_customer_key").alias("unique_customers"),
-                  F.countDistinct("dim_product_key").alias("unique_products"))
+                  F.sum("discount_amt").alias("total_discounts")],
+                 {"unique_customers": "dim_customer_key", "unique_products": "dim_product_key"})
              .withColumn("avg_basket", _avg("daily_revenue", "total_transactions")))
     part = ["region_code", "fiscal_year"] if ytd_by_year else ["region_code"]
     w = Window.partitionBy(*part).orderBy("transaction_date")

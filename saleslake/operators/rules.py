@@ -47,28 +47,59 @@ def apply_category_rules(dim: DataFrame, rules: DataFrame, load_date: _dt.date,
     A rule whose target is not an updatable column of the dimension, or whose
     expression does not analyse against it (unknown column, bad syntax, wrong
     type), is skipped with a warning and the rest continue; so is a rule that
-    fails while it runs: each is evaluated on the rows it would change (the
-    versions of one category and day) before it is applied.
+    fails while it runs.  All rules are compiled into one chain of expressions and tried in one job over the
+    rows they would change (the versions of a category and day); only if that fails, the first failing
+    rule is searched by halving and left out: the number of jobs follows the number of rules that fail, not that of rules.
     A category with no rules is left as it is.
     """
     out = freeze(dim)
     allowed = [c for c in dim.columns if c not in PROTECTED_COLUMNS]
+    good = []
     for r in active_rules(rules).collect():
-        target, expr_text = r["col_target"], r["rule_expr"]
-        if target not in allowed:
-            _note(outcomes, r, False, f"target column {target!r} not updatable")
+        if r["col_target"] not in allowed:
+            _note(outcomes, r, False, f"target column {r['col_target']!r} not updatable")
             continue
-        hit = ((F.col("category_code") == F.lit(r["category_code"])) & (F.col("is_current") == "Y")
-               & (F.col("valid_from") == F.lit(load_date)))
         try:
-            expr = F.expr(expr_text).cast(dim.schema[target].dataType)
-            out.where(hit).agg(F.bit_xor(F.xxhash64(expr))).collect()   # this rule alone
+            _applied(out, [r], load_date).schema                      # analyses alone
+            good.append(r)
         except PySparkException as e:
             _note(outcomes, r, False, f"skipped: {str(e).splitlines()[0][:200]}")
-            continue
-        out = out.withColumn(target, F.when(F.coalesce(hit, F.lit(False)), expr).otherwise(F.col(target)))
+    tried = 0                                                          # rules before this place run together
+    while (error := _failure(out, good, load_date)) is not None:
+        low, high = tried, len(good)                                   # the first low rules run, the first high fail
+        while high - low > 1:
+            middle = (low + high) // 2
+            failed = _failure(out, good[:middle], load_date)
+            low, high, error = (low, middle, failed) if failed is not None else (middle, high, error)
+        _note(outcomes, good.pop(high - 1), False, f"skipped: {str(error).splitlines()[0][:200]}")
+        tried = high - 1
+    for r in good:
         _note(outcomes, r, True, "applied")
-    return out
+    return _applied(out, good, load_date)
+
+
+def _applied(dim: DataFrame, rules: list, load_date: _dt.date) -> DataFrame:
+    """The rules in order, each over the result of those before it."""
+    for r in rules:
+        target = r["col_target"]
+        hit = ((F.col("category_code") == F.lit(r["category_code"])) & (F.col("is_current") == "Y")
+               & (F.col("valid_from") == F.lit(load_date)))
+        new = F.expr(r["rule_expr"]).cast(dim.schema[target].dataType)
+        dim = dim.withColumn(target, F.when(F.coalesce(hit, F.lit(False)), new).otherwise(F.col(target)))
+    return dim
+
+
+def _failure(dim: DataFrame, rules: list, load_date: _dt.date) -> PySparkException | None:
+    """What running the rules raises, from one job over the rows that rules may change."""
+    targets = sorted({r["col_target"] for r in rules})
+    if not targets:
+        return None
+    rows = dim.where((F.col("is_current") == "Y") & (F.col("valid_from") == F.lit(load_date)))
+    try:
+        _applied(rows, rules, load_date).agg(F.bit_xor(F.xxhash64(*targets))).collect()
+    except PySparkException as e:
+        return e
+    return None
 
 
 def _note(outcomes, r, applied: bool, msg: str) -> None:

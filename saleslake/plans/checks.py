@@ -92,7 +92,7 @@ def enrich_sales(t: Tables) -> DataFrame:
 
 
 def join_product_left(t: Tables) -> DataFrame:
-    return joins.join_product_left(enriched(t), fx.dim_product(t))
+    return joins.join_product_left(enriched(t), fx.dim_product(t), joins.heavy_dimension_keys(pending(t)))
 
 
 def unmatched_product(t: Tables) -> DataFrame:
@@ -108,7 +108,8 @@ def summary_column_mapping(t: Tables) -> DataFrame:
 
 
 def fact_load(t: Tables) -> DataFrame:
-    return fact(t)
+    rows = pending(t)
+    return factop.load_fact(rows, fx.dim_product(t), fx.dim_customer(t), fx.dim_store(t), heavy=joins.heavy_dimension_keys(rows))
 
 
 def dropped_by_dims(t: Tables) -> DataFrame:
@@ -282,10 +283,22 @@ def fact_append(t: Tables) -> DataFrame:
 
 
 def analytical_outputs(t: Tables) -> DataFrame:
-    """Rankings, segments and daily summary written; segments read back."""
-    base = scratch_path(t.spark, "analytics")
+    """Rankings, segments and daily summary written and all three read back, stacked
+    (``subject``: customer, product and month, or date)."""
+    spark, base = t.spark, scratch_path(t.spark, "analytics")
     store.write_analytics(product_rankings(t), customer_segments(t), daily_summary(t), base)
-    return t.spark.read.parquet(f"{base}/customer_segments")
+    month = F.concat_ws("-", "dim_product_key", "fiscal_year", "fiscal_month")
+    number = lambda c: F.col(c).cast("double").alias("value")
+    segments = spark.read.parquet(f"{base}/customer_segments").select(
+        F.lit("segments").alias("output"), "region_code", F.col("customer_id").cast("string").alias("subject"),
+        F.concat_ws("/", "clv_segment", "churn_risk").alias("label"), F.lit(None).cast("double").alias("value"))
+    rankings = spark.read.parquet(f"{base}/product_rankings").select(
+        F.lit("rankings").alias("output"), "region_code", month.alias("subject"),
+        F.concat_ws("/", "revenue_rank", "revenue_dense_rank").alias("label"), number("total_revenue"))
+    daily = store.read_packed(spark, f"{base}/daily_summary").select(
+        F.lit("daily").alias("output"), "region_code", F.col("transaction_date").cast("string").alias("subject"),
+        F.concat_ws("/", "total_transactions", "unique_customers", "unique_products").alias("label"), number("running_revenue_ytd"))
+    return segments.unionByName(rankings).unionByName(daily)
 
 
 def staging_reload(t: Tables) -> DataFrame:
@@ -302,7 +315,7 @@ def summary_refresh(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "summary")
     r = regional_summary(t)
     store.refresh_summary(r, path)
-    return t.spark.read.schema(_schema_for(r, ("summary_date", "region_code"))).parquet(path)
+    return store.read_packed(t.spark, path).select(*r.columns)
 
 
 def dq_result_sink(t: Tables) -> DataFrame:
@@ -355,7 +368,7 @@ def _incremental(t: Tables, summary: bool) -> DataFrame:
     runs.append(inc.incremental_load(spark, landing, s.schema, ckpt, process))
     if runs != [1, 1, 0]:
         raise RuntimeError(f"incremental load consumed files more than once: batches per run {runs}")
-    return spark.read.parquet(f"{base}/summary") if summary else spark.read.parquet(fact_path).select(*factop.FACT_COLUMNS)
+    return store.read_packed(spark, f"{base}/summary") if summary else spark.read.parquet(fact_path).select(*factop.FACT_COLUMNS)
 
 
 def incremental_load(t: Tables) -> DataFrame:
@@ -427,6 +440,29 @@ def daily_runs_slices(t: Tables) -> DataFrame:
     return out
 
 
+#: Regions whose jobs run at the same time.
+PARALLEL = ("ASIA", "EUROPE")
+
+
+def parallel_regions(t: Tables) -> DataFrame:
+    """I8 + I9 + I10: the jobs of two regions for the load date run at the same time on one warehouse.  Facts and different
+    surrogate keys of each region."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from . import run
+    spark = t.spark
+    wh = run.Warehouse(scratch_path(spark, "parallel"))
+    run.bootstrap(spark, wh, dim_product=fx.dim_product(t), dim_customer=fx.dim_customer(t),
+                  dim_store=fx.dim_store(t), stg_customer=upserted_customers(t))
+    src = run.Sources(fx.sales_txn(t), fx.src_customer(t), fx.loyalty_profile(t), fx.stg_product(t))
+    with ThreadPoolExecutor(len(PARALLEL)) as pool:
+        list(pool.map(lambda region: run.run_daily(spark, wh, src, LOAD_DATE, region, run_ts=RUN_TS), PARALLEL))
+    n = lambda c, name: F.coalesce(c, F.lit(0)).cast("bigint").alias(name)
+    facts = store.read_table(spark, wh.fact_daily_sales)
+    keys = facts.groupBy("fact_sales_key").agg(F.min("region_code").alias("region_code"), F.count(F.lit(1)).alias("n"))
+    return keys.groupBy("region_code").agg(n(F.sum("n"), "n_rows"), n(F.count(F.lit(1)), "n_keys"))
+
+
 def emptied_slice(t: Tables) -> DataFrame:
     """A12, A13, A6 by the store: the load date's slices are written, then again
     for a source in which one region's sales are void; its old rows are gone."""
@@ -500,6 +536,7 @@ CHECKS = {
     "daily_runs_fact": daily_runs_fact,
     "daily_runs_slices": daily_runs_slices,
     "emptied_slice": emptied_slice,
+    "parallel_regions": parallel_regions,
     "source_availability": source_availability,
 }
 

@@ -602,7 +602,12 @@ CHECK_SQL["staging_reload"] = CHECK_SQL["extract_sales"]
 CHECK_SQL["summary_refresh"] = CHECK_SQL["regional_summary"]
 CHECK_SQL["dq_result_sink"] = "SELECT q.*, DATE '1998-01-02' AS run_date FROM (" + CHECK_SQL["dq_results"] + ") q"
 CHECK_SQL["analytical_outputs"] = """
-SELECT customer_id, clv_segment, churn_risk, region_code FROM (""" + CHECK_SQL["customer_segments"] + ") s"
+SELECT 'segments' AS output, region_code, CAST(customer_id AS VARCHAR) AS subject,
+       concat_ws('/', clv_segment, churn_risk) AS label, CAST(NULL AS DOUBLE) AS value FROM (""" + CHECK_SQL["customer_segments"] + """) s
+UNION ALL SELECT 'rankings', region_code, concat_ws('-', dim_product_key, fiscal_year, fiscal_month),
+       concat_ws('/', revenue_rank, revenue_dense_rank), total_revenue FROM (""" + CHECK_SQL["product_rankings"] + """) r
+UNION ALL SELECT 'daily', region_code, CAST(transaction_date AS VARCHAR),
+       concat_ws('/', total_transactions, unique_customers, unique_products), running_revenue_ytd FROM (""" + CHECK_SQL["daily_summary"] + ") d"
 CHECK_SQL["incremental_load"] = CHECK_SQL["fact_load"]
 CHECK_SQL["source_availability"] = """
 SELECT CAST(txn_datetime AS DATE) AS business_date, CAST(COUNT(*) AS BIGINT) AS source_rows,
@@ -658,6 +663,12 @@ UNION ALL SELECT 'unmatched', region_code, CAST(COUNT(*) AS BIGINT), CAST(0 AS D
           WHERE found IS NULL GROUP BY region_code
 """
 
+EXTRA_CTES["parallel_regions"] = EXTRA_CTES["daily_runs_fact"]
+CHECK_SQL["parallel_regions"] = """
+SELECT region_code, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(*) AS BIGINT) AS n_keys
+FROM day_fact WHERE region_code IN ('ASIA', 'EUROPE') GROUP BY region_code
+"""
+
 CHECK_SQL["emptied_slice"] = """
 SELECT 'staging' AS output, region_code, CAST(COUNT(*) AS BIGINT) AS n_rows FROM staged
 WHERE transaction_date = DATE '1998-01-01' AND region_code <> 'ASIA' GROUP BY region_code

@@ -44,29 +44,36 @@ def load_dimensions(*, dim_product: DataFrame, stg_product: DataFrame, dim_custo
                     stg_customer: DataFrame, supplier_feed: DataFrame | None, category_rules: DataFrame | None,
                     load_date: _dt.date, region: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Next versions of the product and customer dimensions."""
-    dp = scd.load_dim_product(dim_product, stg_product, load_date)               # I1
+    dp = scd.load_dim_product(dim_product, stg_product, load_date, ordered=False)       # I1
+    dp = with_prices_and_rules(dp, supplier_feed, category_rules, load_date)
+    return dp, scd.load_dim_customer(dim_customer, stg_customer, load_date, region, ordered=False)   # I2
+
+
+def with_prices_and_rules(products: DataFrame, supplier_feed: DataFrame | None, category_rules: DataFrame | None,
+                          load_date: _dt.date) -> DataFrame:
+    """I6, then I5: both change open versions only."""
     if supplier_feed is not None:
-        dp = rules.enrich_from_suppliers(dp, supplier_feed, load_date)           # I6
+        products = rules.enrich_from_suppliers(products, supplier_feed, load_date)
     if category_rules is not None:
-        dp = rules.apply_category_rules(dp, category_rules, load_date)           # I5
-    return dp, scd.load_dim_customer(dim_customer, stg_customer, load_date, region)   # I2
+        products = rules.apply_category_rules(products, category_rules, load_date)
+    return products
 
 
 def load_facts(pending: DataFrame, dim_product: DataFrame, dim_customer: DataFrame, dim_store: DataFrame,
-               fact_key_start: int | None = None) -> FactLoad:
+               fact_key_start: int | None = None, heavy=None) -> FactLoad:
     """I9 over the pending rows, and the rows the dimension joins drop (I4)."""
     obs = Observation("fact_rows")
-    fact = factop.load_fact(pending, dim_product, dim_customer, dim_store, key_start=fact_key_start)
+    fact = factop.load_fact(pending, dim_product, dim_customer, dim_store, key_start=fact_key_start, heavy=heavy)
     return FactLoad(fact.observe(obs, F.count(F.lit(1)).alias("n")), obs,
-                    factop.dropped_by_dims(pending, dim_product, dim_customer, dim_store))
+                    factop.dropped_by_dims(pending, dim_product, dim_customer, dim_store, heavy))
 
 
-def slice_outputs(staged: DataFrame, dim_product: DataFrame, run_ts: _dt.datetime) -> SliceOutputs:
+def slice_outputs(staged: DataFrame, dim_product: DataFrame, run_ts: _dt.datetime, heavy=None) -> SliceOutputs:
     """The graph's outputs of whole slices, whatever batch their rows came with."""
     valid, rejects = clean.split_valid(staged)
     enriched = clean.enrich_sales(valid)
-    rollup = rollups.category_rollup(joins.join_product_left(enriched, dim_product))
-    return SliceOutputs(clean.reject_records(rejects, run_ts), joins.unmatched_product(enriched, dim_product),
+    rollup = rollups.category_rollup(joins.join_product_left(enriched, dim_product, heavy))
+    return SliceOutputs(clean.reject_records(rejects, run_ts), joins.unmatched_product(enriched, dim_product, heavy),
                         rollup, rollups.summary_column_mapping(rollup))
 
 

@@ -130,6 +130,7 @@ OPERATORS += [
     ("i9", "daily_runs_fact", None),
     ("i10", "daily_runs_slices", None),
     ("a13", "emptied_slice", None),
+    ("i8", "parallel_regions", None),
 ]
 
 #: Operators that share a check and differ in the rows they answer for (a predicate both engines read).

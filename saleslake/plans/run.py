@@ -1,6 +1,7 @@
 """Store-backed daily run: the job a scheduler starts once per load date
 (products first, then customers, then facts; defect 23).  Every run takes a new
-batch id; a run that died keeps its id when it is started again and completes it.
+batch id; a run that died is completed by a start with its id.  Jobs of
+different regions may run at the same time.
 Late rows of a day are added by the next run of that day: their facts come beside
 the earlier ones, and rollup, rejects, unmatched rows and summary are made again
 from every row of the slice.  A rerun of an unchanged day changes nothing.
@@ -8,12 +9,13 @@ from every row of the slice.  A rerun of an unchanged day changes nothing.
 Layout under ``root``::
 
     stg_sales/                 slices  (transaction_date, region_code)
-    stg_customer/, dim_*/      snapshots  v=<n>-<id> + _versions
-    batches/                   started and finished runs, first free fact key
+    stg_customer/, dim_*/      versions  v=<n>-<id>[/is_current=<flag>] + _versions
+    batches/                   started and finished runs
     fact_daily_sales/          slices  (transaction_date, region_code, load_batch_id)
-    regional_summary/          slices  (summary_date, region_code)
-    category_rollup/           slices  (summary_date, region_code)
-    category_summary/          slices  (summary_date, region_code), the rollup under the summary's column names
+    regional_summary/          slices  (summary_date, region_code), stored by region and month
+    category_rollup/           likewise
+    category_summary/          likewise, the rollup under the summary's column names
+    summary_states/            totals and key bitmaps that regional_summary is merged from, slices  (load_batch_id)
     errors/rejected, errors/unmatched_product   '|' files per slice
     errors/duplicate_sales     slices of staged rows whose transaction id was staged already
     dq_results/, audit/        slices  (load_batch_id)
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..operators import clean, joins, quality, rollups, scd
+from ..operators import clean, joins, quality, rollups, scd, states
 from ..operators.keys import freeze, next_key
 from ..sources import ingest, store
 from . import pipeline
@@ -87,9 +89,30 @@ def staged_products_of(spark: SparkSession, wh: Warehouse, load_date: _dt.date)
 def purge_dimension(spark: SparkSession, table: str, as_of: _dt.date,
                     retention_days: int = S.RETENTION_DAYS) -> int:
     """I7 on a stored dimension: the next snapshot without the closed versions
-    that ended before ``as_of - retention_days``.  Returns the new version."""
-    return store.write_snapshot(spark, scd.purge_expired(store.read_snapshot(spark, table), as_of,
-                                                         retention_days), table)
+    that ended before ``as_of - retention_days``; folders of versions that all ended
+    before it go unread.  Returns the current version."""
+    return store.purge_closed(spark, table, (as_of - _dt.timedelta(days=retention_days)).isoformat())
+
+
+def _product_merge(src: Sources, load_date: _dt.date, bid: int):
+    def merge(current: DataFrame, history: DataFrame) -> tuple[DataFrame, DataFrame]:
+        staged, how = scd.product_load(current, src.stg_product, load_date)
+        opened, closed = scd.scd2_changes(current, history, staged, key_start=_key_start(current, "dim_product_key", bid), **how)
+        return pipeline.with_prices_and_rules(opened, src.supplier_feed, src.category_rules, load_date), closed
+    return merge
+
+
+def _customer_merge(stg_customer: DataFrame, load_date: _dt.date, region: str | None, bid: int):
+    def merge(current: DataFrame, history: DataFrame) -> tuple[DataFrame, DataFrame]:
+        staged, how = scd.customer_load(current, stg_customer, load_date, region)
+        return scd.scd2_changes(current, history, staged, key_start=_key_start(current, "dim_customer_key", bid), **how)
+    return merge
+
+
+def _key_start(current: DataFrame, key_col: str, bid: int) -> int:
+    """The batch's first free key: an earlier attempt of the batch may have committed some."""
+    first = store.first_key(bid)
+    return next_key(current.where(F.col(key_col).between(first, store.first_key(bid + 1) - 1)), key_col, first)
 
 
 def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.date,
@@ -104,41 +127,40 @@ def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.d
 
     # 1. extract the slice into staging (A12: PENDING replaced, LOADED kept; I11 defaults before the write);
     #    a transaction id staged twice breaks the staging key: one row stays, the others are set aside
-    extract = freeze(ingest.apply_defaults(clean.extract_sales(src.sales_txn, load_date, region, bid), "stg_sales"))
+    of_day = src.sales_txn.where(clean.business_day(src.sales_txn, load_date, load_date))
+    spellings = None if region is None else clean.region_spellings(of_day)
+    extract = freeze(ingest.apply_defaults(clean.extract_sales(src.sales_txn, load_date, region, bid, spellings), "stg_sales"))
     unique, doubles = clean.split_duplicates(extract)
     store.reload_staging(spark, unique, wh.stg_sales, load_date, region)
     store.replace_slices(doubles, wh.errors + "/duplicate_sales",
                          store.slice_predicate("transaction_date", load_date, region))
 
     # 2. shared customer staging: upsert the day's buyers
-    buyers = joins.sales_customers(src.sales_txn, load_date, load_date, region)
-    cust_src = joins.customer_source(src.src_customer, src.loyalty, buyers, load_date)
-    store.write_snapshot(spark, scd.upsert(store.read_snapshot(spark, wh.stg_customer), cust_src, "customer_id"),
-                         wh.stg_customer)
-
-    # 3. dimensions: product SCD2 -> supplier prices -> category rules; customer SCD2
-    dp, dc = pipeline.load_dimensions(
-        dim_product=store.read_snapshot(spark, wh.dim_product), stg_product=src.stg_product,
-        dim_customer=store.read_snapshot(spark, wh.dim_customer), stg_customer=store.read_snapshot(spark, wh.stg_customer),
-        supplier_feed=src.supplier_feed, category_rules=src.category_rules, load_date=load_date, region=region)
-    store.write_snapshot(spark, dp, wh.dim_product)
-    store.write_snapshot(spark, dc, wh.dim_customer)
+    buyers = joins.sales_customers(src.sales_txn, load_date, load_date, region, spellings)
+    cust_src = freeze(joins.customer_source(src.src_customer, src.loyalty, buyers, load_date))
+    store.update_snapshot(spark, wh.stg_customer, lambda staged: scd.upsert(staged, cust_src, "customer_id"))
+
+    # 3. dimensions: product SCD2 -> supplier prices -> category rules; customer SCD2.  Only open versions are read and
+    #    written; a job of another region that commits meanwhile is merged upon, not overwritten
+    store.merge_dimension(spark, wh.dim_product, _product_merge(src, load_date, bid))
+    store.merge_dimension(spark, wh.dim_customer, _customer_merge(store.read_snapshot(spark, wh.stg_customer), load_date, region, bid))
     dp, dc = store.read_snapshot(spark, wh.dim_product), store.read_snapshot(spark, wh.dim_customer)
     ds = store.read_snapshot(spark, wh.dim_store)
 
-    # 4. fact load of the slice's PENDING rows (I9); keys go on after the last finished run (I8).  Facts that an
+    # 4. fact load of the slice's PENDING rows (I9); keys hold the batch number in their high bits (I8).  Facts that an
     #    unfinished attempt of this batch has written are read by their partition only
     staging = spark.read.parquet(wh.stg_sales)
     day = freeze(staging.where(store.slice_predicate("transaction_date", load_date, region)))
     pend = freeze(day.where(F.col("etl_status") == S.PENDING))
-    start = store.next_fact_key(spark, wh.batches, S.KEY_START)
+    start = store.first_key(bid)
     existing = store.read_table(spark, wh.fact_daily_sales)
     if existing is not None:
         start = next_key(existing.where((F.col("transaction_date") == F.lit(load_date)) & (F.col("load_batch_id") == bid)),
                          "fact_sales_key", start)
-    loaded = pipeline.load_facts(pend, dp, dc, ds, start)
-    store.append_fact(ingest.apply_defaults(loaded.fact, "fact").withColumn("load_batch_id", F.lit(bid).cast("bigint")),
-                      wh.fact_daily_sales)
+    heavy = joins.heavy_dimension_keys(day)
+    loaded = pipeline.load_facts(pend, dp, dc, ds, start, heavy)
+    facts = ingest.apply_defaults(loaded.fact, "fact").withColumn("load_batch_id", F.lit(bid).cast("bigint"))
+    store.append_fact(facts, wh.fact_daily_sales, frozen=True)
     staged_rows = pend.count()
     fact_rows = _observed(loaded.fact_rows, staged_rows,
                           lambda: spark.read.parquet(wh.fact_daily_sales).where(
@@ -146,23 +168,24 @@ def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.d
 
     # 5. the graph's outputs of whole slices, from every staged row of them: rejects, unmatched products,
     #    category rollup and its form for the summary table
-    out = pipeline.slice_outputs(day, dp, run_ts)
+    out = pipeline.slice_outputs(day, dp, run_ts, heavy)
     rejects = freeze(out.rejects)
     store.write_delimited(rejects, wh.errors + "/rejected", covers=store.slice_predicate("transaction_date", load_date, region))
     store.write_delimited(out.unmatched, wh.errors + "/unmatched_product",
                           covers=store.slice_predicate("transaction_date", load_date, region))
     summary_slices = store.slice_predicate("summary_date", load_date, region)
-    keys = ("summary_date", "region_code")
     rollup = freeze(out.rollup)
-    store.replace_slices(rollup, wh.category_rollup, summary_slices, keys)
-    store.replace_slices(rollups.summary_column_mapping(rollup), wh.category_summary, summary_slices, keys)
+    store.replace_packed(rollup, wh.category_rollup, "summary_date", summary_slices)
+    store.replace_packed(rollups.summary_column_mapping(rollup), wh.category_summary, "summary_date", summary_slices)
 
     # 6. status flip of the whole slice, also rows the dimension joins dropped (I4)
     store.write_slices(scd.mark_loaded(day, bid, load_date, region), wh.stg_sales)
 
-    # 7. regional summary of the slices, from every batch in the fact
+    # 7. regional summary of the slices, merged from the states of every batch (D1, A13): facts of earlier batches are not read
     fact_tbl = spark.read.parquet(wh.fact_daily_sales).where(store.slice_predicate("transaction_date", load_date, region))
-    store.refresh_summary(rollups.regional_summary(fact_tbl), wh.regional_summary, summary_slices)
+    of_batch = facts if start == store.first_key(bid) else fact_tbl.where(F.col("load_batch_id") == bid)
+    states.write_states(of_batch, wh.summary_states, "load_batch_id")
+    store.refresh_summary(states.stored_summary(facts, wh.summary_states, summary_slices), wh.regional_summary, summary_slices)
 
     # 8. audit of the run: rollup rows (A10), constraint violations of the slice (I12), the ratio to the day before
     audit = quality.audit_counts(rollup).select(
@@ -172,9 +195,10 @@ def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.d
     audit = audit.unionByName(broken.select(
         F.concat(F.lit("VIOLATION_"), "constraint_type").alias("audit"), F.lit(None).cast("string").alias("region_code"),
         F.col("column_name").alias("subject"), F.col("violation_rows").alias("value")))
-    two_days = spark.read.parquet(wh.fact_daily_sales).where(
-        F.col("transaction_date").between(F.lit(load_date - _dt.timedelta(days=1)), F.lit(load_date)))
-    gate = freeze(quality.day_ratio_gate(two_days).where(F.col("transaction_date") == F.lit(load_date)))
+    two_days = store.read_packed(spark, wh.regional_summary).where(
+        F.col("summary_date").between(F.lit(load_date - _dt.timedelta(days=1)), F.lit(load_date)))
+    counts = two_days.select("region_code", F.col("summary_date").alias("transaction_date"), F.col("total_transactions").alias("row_count"))
+    gate = freeze(quality.ratio_gate(counts).where(F.col("transaction_date") == F.lit(load_date)))
     audit = audit.unionByName(gate.where("gate_passed = 'N'").select(
         F.lit("DAY_GATE_FAILED").alias("audit"), "region_code", F.lit(None).cast("string").alias("subject"),
         F.col("row_count").alias("value")))
@@ -184,11 +208,11 @@ def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.d
     # 9. data quality of the day (J), a slice per batch
     rules_df = src.dq_rules if src.dq_rules is not None else quality.rules_frame(spark, quality.BUILTIN_RULES)
     dq = freeze(quality.run_checks(quality.load_rules(rules_df, "RETAIL"),
-                                   {"FACT_DAILY_SALES": fact_tbl, "FACT_REGIONAL_SUMMARY": spark.read.parquet(wh.regional_summary)},
+                                   {"FACT_DAILY_SALES": fact_tbl, "FACT_REGIONAL_SUMMARY": store.read_packed(spark, wh.regional_summary)},
                                    {"FACT_DAILY_SALES": "transaction_date", "FACT_REGIONAL_SUMMARY": "summary_date"},
                                    load_date=load_date))
     store.write_dq_results(dq, wh.dq_results, run_ts.date(), bid)
-    store.close_batch(spark, wh.batches, bid, start + fact_rows)
+    store.close_batch(spark, wh.batches, bid, fact_rows)
     return {"batch_id": bid, "staged_rows": staged_rows, "fact_rows": fact_rows,
             "rejected_rows": rejects.count(), "duplicate_rows": doubles.count(),
             "dropped_rows": staged_rows - fact_rows,

@@ -1,13 +1,14 @@
 """Sinks and table layout (A6-A8, A11-A14) on plain Parquet / CSV.
 
-* slice tables (staging, fact, summaries) are partitioned by
-  ``(transaction_date | summary_date, region_code)`` and written with
-  ``partitionOverwriteMode=dynamic``: rerunning a slice replaces exactly that
-  slice, which makes every append idempotent (A8, A12, A13); a write that names
+* slice tables (staging, fact, error files) are partitioned by
+  ``(transaction_date, region_code)``: rerunning a slice replaces exactly that
+  slice, which makes every append idempotent (A8, A12); a write that names
   its slices also empties those that got no rows;
-* dimensions are whole-table snapshots, each in a folder of its own, committed
-  by one record ``<table>/_versions/<n>`` that is created once; readers read
-  the folder the last record names.
+* summaries, a few rows per date and region, are partitioned by region and month;
+  replacing a slice writes its month again (A13);
+* dimensions are split by ``is_current``; a version is one record ``<table>/_versions/<n>``,
+  created once, that names its folders: the open versions, and the closed ones
+  that this and earlier versions have added.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import json
 import os
 import uuid
 from collections.abc import Callable
+from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -38,54 +40,66 @@ def _fs(spark: SparkSession, path: str):
     return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def write_slices(df: DataFrame, path: str, partition_by=("transaction_date", "region_code"),
-                 fmt: str = "parquet", **options) -> None:
-    """Write rows partitioned by slice; existing slices not in ``df`` stay.
+#: What one writer task takes at most: rows of a slice, and slices (a file each).
+ROWS_PER_TASK = 1_000_000
+SLICES_PER_TASK = 64
 
-    ``rebalance`` on the slice columns sends each slice to one writer task (one
-    file per slice instead of one per task and slice) while AQE still splits a
-    hot slice over several tasks and packs small slices together.
 
-    While the table has no data there is no slice to replace, and a plain append
-    gives the same result without one rename per slice (a copy per file on object
-    stores): a first backfill writes every day at once."""
-    first = not _has_slices(df.sparkSession, path)
-    w = df.hint("rebalance", *partition_by).write.mode("append" if first else "overwrite")
-    w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+def deal_to_writers(df: DataFrame, partition_by, rows_per_task: int = ROWS_PER_TASK, slices_per_task: int = SLICES_PER_TASK) -> DataFrame:
+    """``df`` placed for a write partitioned by slice: all rows of a slice in one task (one file), several slices in a
+    task, and a slice of over twice ``rows_per_task`` rows dealt over several tasks.
+
+    The number of tasks comes from the counted rows and slices, so it doesn't depend on the session's
+    shuffle settings.  ``df`` is evaluated twice (count and write): callers freeze what is costly.  The table of
+    large slices has at most 25,000 rows, as each holds 1 / 50,000 of all rows or more.
+    """
+    slices = df.groupBy(F.xxhash64(*partition_by).alias("_slice")).count()
+    rows, n = slices.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
+    each = max(rows_per_task, -(-rows // 50_000))
+    tasks = max(1, -(-rows // each), -(-n // slices_per_task))
+    large = [(r["_slice"], -(-r["count"] // each)) for r in slices.where(F.col("count") > 2 * each).collect()] if rows > 2 * each else []
+    if not large:
+        return df.repartition(tasks, *partition_by)
+    parts = df.sparkSession.createDataFrame(large, "_slice bigint, _parts bigint")
+    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.coalesce(F.col("_parts"), F.lit(1)))
+    return (df.join(F.broadcast(parts), F.xxhash64(*partition_by) == F.col("_slice"), "left")
+            .withColumn("_part", deal).repartition(tasks, *partition_by, "_part").drop("_slice", "_parts", "_part"))
+
+
+def write_slices(df: DataFrame, path: str, partition_by=("transaction_date", "region_code"), fmt: str = "parquet",
+                 frozen: bool = False, covers: Column | None = None,
+                 read: Callable[[SparkSession, str], DataFrame | None] | None = None, **options) -> None:
+    """Replace slices: afterwards those that ``df`` has rows of hold exactly these rows, other slices stay.
+
+    The files that the slices have are noted, the rows are appended, and the noted files are deleted: a reader never
+    finds fewer rows than before and after, no slice is renamed, and a run that dies in between is mended by its rerun.
+    ``covers`` (a predicate on the slice columns): the slices to replace, also those that ``df`` has no row of; ``df``
+    must lie within.  ``frozen``: ``df`` is stored already; else it is frozen first, so that it is evaluated once.
+    ``read``: how the table is read, for other formats than Parquet.  File names of the replaced slices are all that
+    comes to the driver."""
+    spark = df.sparkSession
+    df = df if frozen else freeze(df)
+    table = (read or read_table)(spark, path)
+    old: list = []
+    if table is not None:
+        gone = table.where(covers) if covers is not None else _semi(table, df, partition_by, "left_semi")
+        old = gone.select(F.col("_metadata.file_path").alias("file")).distinct().collect()
+    w = deal_to_writers(df, partition_by).write.mode("append").partitionBy(*partition_by)
     for k, v in options.items():
         w = w.option(k, v)
     w.format(fmt).save(path)
+    _delete_files(spark, old)
 
 
-def _has_slices(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder holds a slice (a folder ``column=value``)."""
-    jpath, fs = _fs(spark, path)
-    return fs.exists(jpath) and any("=" in f.getPath().getName() for f in fs.listStatus(jpath))
-
+def _delete_files(spark: SparkSession, rows: list) -> None:
+    for row in rows:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["file"]))
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, False)
 
-def replace_slices(df: DataFrame, path: str, covers: Column, partition_by=("transaction_date", "region_code"),
-                   fmt: str = "parquet", read: Callable[[SparkSession, str], DataFrame] | None = None, **options) -> None:
-    """Delete-then-insert: afterwards the slices that ``covers`` (a predicate on
-    the slice columns) selects hold exactly the rows of ``df``, also where ``df``
-    has none.  ``df`` must lie within ``covers``.
 
-    Only slice keys and the files of emptied slices come to the driver.  The new
-    slices are written first, so a reader never finds fewer slices than before
-    and after; a run that dies in between is mended by its rerun.
-    """
-    spark = df.sparkSession
-    df = freeze(df)
-    write_slices(df, path, partition_by, fmt, **options)
-    table = read(spark, path) if read else read_table(spark, path)
-    if table is None:
-        return
-    kept = df.select(*[F.col(c).alias(f"_k_{c}") for c in partition_by]).distinct()
-    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in partition_by]
-    stale = (table.where(covers).select(*partition_by, F.col("_metadata.file_path").alias("_file")).distinct()
-             .join(kept, same, "left_anti").select("_file").distinct().collect())
-    for row in stale:
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["_file"]))
-        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, False)
+def replace_slices(df: DataFrame, path: str, covers: Column, partition_by=("transaction_date", "region_code")) -> None:
+    """Delete-then-insert of the slices that ``covers`` selects, also where ``df`` has none."""
+    write_slices(df, path, partition_by, covers=covers)
 
 
 def write_delimited(df: DataFrame, path: str, partition_by=("transaction_date", "region_code"),
@@ -93,14 +107,11 @@ def write_delimited(df: DataFrame, path: str, partition_by=("transaction_date",
     """A6 / A7: '|'-delimited error files, one folder per slice.  With ``covers``
     the slices it selects are replaced, emptied ones included."""
     options = {"sep": "|", "header": "false", "timestampFormat": "yyyy-MM-dd HH:mm:ss", "dateFormat": "yyyy-MM-dd"}
-    if covers is None:
-        write_slices(df, path, partition_by, fmt="csv", **options)
-        return
     slices = T.StructType([df.schema[c] for c in partition_by])
     first = T.StructField("_first", T.StringType())
     read = lambda spark, at: (spark.read.schema(T.StructType([first, *slices.fields])).option("sep", "|").csv(at)
                               if path_exists(spark, at) else None)
-    replace_slices(df, path, covers, partition_by, "csv", read, **options)
+    write_slices(df, path, partition_by, "csv", covers=covers, read=read, **options)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -111,11 +122,11 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType) -> Data
 FACT_PARTITIONS = ("transaction_date", "region_code", "load_batch_id")
 
 
-def append_fact(fact: DataFrame, path: str) -> None:
+def append_fact(fact: DataFrame, path: str, frozen: bool = False) -> None:
     """Fact append, idempotent per (date, region, batch): a rerun of a batch
     replaces that batch's rows, while facts of the same slice loaded by an
     earlier batch (late arrivals) stay."""
-    write_slices(fact, path, FACT_PARTITIONS)
+    write_slices(fact, path, FACT_PARTITIONS, frozen=frozen)
 
 
 def slice_predicate(date_col: str, load_date, region: str | None) -> Column:
@@ -124,13 +135,49 @@ def slice_predicate(date_col: str, load_date, region: str | None) -> Column:
     return covers if region is None else covers & (F.col("region_code") == F.lit(region))
 
 
+#: Partition columns of summary tables: the region and the month of the date.
+PACKED = "slice_month"
+
+
+def replace_packed(df: DataFrame, path: str, date_col: str, covers: Column | None = None, region_col: str = "region_code") -> None:
+    """Delete-then-insert of small slices: a table with few rows per (date, region) is stored by region and month.
+
+    Afterwards the slices that ``covers`` selects (without it: those that ``df`` has) hold exactly the rows of ``df``.
+    The months they lie in are read and written again, other months are not touched.  A month's folder
+    belongs to one region, so jobs of different regions write different folders.
+    """
+    spark = df.sparkSession
+    df = freeze(df.withColumn(PACKED, F.trunc(date_col, "month")))
+    table = read_table(spark, path)
+    out, pack, old = df, (region_col, PACKED), []
+    if table is not None:
+        touched = df.select(*pack)
+        if covers is None:
+            stays = _semi(_semi(table, df, pack, "left_semi"), df, (region_col, date_col), "left_anti")
+        else:
+            touched = touched.unionByName(table.where(covers).select(*pack))
+            stays = _semi(table, touched, pack, "left_semi").where(~F.coalesce(covers, F.lit(False)))
+        out = freeze(df.unionByName(stays.select(*df.columns)))
+        old = _semi(table, touched, pack, "left_semi").select(F.col("_metadata.file_path").alias("file")).distinct().collect()
+    deal_to_writers(out, pack).write.mode("append").partitionBy(*pack).parquet(path)
+    _delete_files(spark, old)
+
+
+def _semi(left: DataFrame, right: DataFrame, on, how: str) -> DataFrame:
+    """A semi or anti join in which NULL keys match each other."""
+    keys = right.select(*[F.col(c).alias(f"_k_{c}") for c in on]).distinct()
+    return left.join(keys, [left[c].eqNullSafe(keys[f"_k_{c}"]) for c in on], how)
+
+
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    """A table that ``replace_packed`` wrote, without the month."""
+    return spark.read.parquet(path).drop(PACKED)
+
+
 def refresh_summary(summary: DataFrame, path: str, covers: Column | None = None) -> None:
     """Delete + re-insert of the summary slices.  With ``covers`` a slice
     that no longer has rows loses its old summary."""
-    if covers is None:
-        write_slices(summary, path, ("summary_date", "region_code"))
-    else:
-        replace_slices(summary, path, covers, ("summary_date", "region_code"))
+    replace_packed(summary, path, "summary_date", covers)
 
 
 def reload_staging(spark: SparkSession, new_rows: DataFrame, path: str, load_date=None,
@@ -157,9 +204,9 @@ def reload_staging(spark: SparkSession, new_rows: DataFrame, path: str, load_dat
         loaded = freeze(loaded.select(*new_rows.columns))
         fresh = new_rows.join(loaded.select("transaction_id", "transaction_date", "region_code"),
                               ["transaction_id", "transaction_date", "region_code"], "left_anti")
-        out = loaded.unionByName(fresh)
+        out = freeze(loaded.unionByName(fresh))
     if load_date is None:
-        write_slices(out, path)
+        write_slices(out, path, frozen=True)
     else:
         replace_slices(out, path, slice_predicate("transaction_date", load_date, region))
 
@@ -176,12 +223,12 @@ def write_dq_results(results: DataFrame, path: str, run_date=None, batch_id: int
 
 def write_analytics(rankings: DataFrame, segments: DataFrame, daily: DataFrame, base: str) -> None:
     """Rankings appended, segments overwritten (4 columns), daily summary
-    appended -- the slices are partition folders, so reruns stay idempotent."""
+    appended; rerun slices are replaced, so reruns stay idempotent."""
     write_slices(rankings, os.path.join(base, "product_rankings"),
                  ("fiscal_year", "fiscal_month", "region_code"))
     (segments.select("customer_id", "clv_segment", "churn_risk", "region_code")
      .write.mode("overwrite").parquet(os.path.join(base, "customer_segments")))
-    write_slices(daily, os.path.join(base, "daily_summary"))
+    replace_packed(daily, os.path.join(base, "daily_summary"), "transaction_date")
 
 
 NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -240,57 +287,96 @@ def _read_record(spark: SparkSession, folder: str, number: int) -> dict:
 
 
 # ---------------------------------------------------------------- batches
+#: Surrogate keys of a batch: its number in the high bits, the position below.  Batches that run at the same time can't
+#: draw the same key, and no counter is shared.
+KEY_BITS = 40
+
+
+class BatchRunning(RuntimeError):
+    """A run of the same day and region has started and not finished."""
+
+
 def open_batch(spark: SparkSession, root: str, load_date, region: str | None) -> int:
-    """The id of a run: the next of a stored sequence, or that of an unfinished
-    earlier run of the same day and region, which this run completes."""
+    """A new id for a run of a day and region (None: all regions).
+
+    A run that has not finished may still be at work, so its id is never taken: the start is refused, and whoever
+    knows that the run has died passes its id to ``run_daily`` to complete it.  Of two starts at once the first stays.
+    """
     started, done = os.path.join(root, "started"), os.path.join(root, "done")
-    what = {"load_date": str(load_date), "region": region}
-    finished = set(_records(spark, done))
-    for n in _records(spark, started):
-        if n not in finished and _read_record(spark, started, n) == what:
-            return n
+
+    def others(below: float) -> list[int]:
+        open_ids = sorted(set(_records(spark, started)) - set(_records(spark, done)))
+        runs = [(n, _read_record(spark, started, n)) for n in open_ids if n < below]
+        return [n for n, r in runs if r["load_date"] == str(load_date) and (r["region"] == region or None in (r["region"], region))]
+
+    def refuse(ids: list[int]) -> None:
+        if ids:
+            raise BatchRunning(f"batch {ids[0]} of {load_date} ({region or 'all regions'}) has not finished; pass its id to complete it")
+
+    refuse(others(float("inf")))
     while True:
         n = max(_records(spark, started), default=0) + 1
-        if _create_record(spark, started, n, what):
-            return n
+        if _create_record(spark, started, n, {"load_date": str(load_date), "region": region}):
+            break
+    if earlier := others(n):
+        close_batch(spark, root, n, 0)
+        refuse(earlier)
+    return n
 
 
-def close_batch(spark: SparkSession, root: str, batch_id: int, next_key: int) -> None:
-    """Record a finished run and the first fact key that is free after it."""
-    _create_record(spark, os.path.join(root, "done"), batch_id, {"next_key": next_key})
+def close_batch(spark: SparkSession, root: str, batch_id: int, rows: int) -> None:
+    """Record a finished run."""
+    _create_record(spark, os.path.join(root, "done"), batch_id, {"rows": rows})
 
 
-def next_fact_key(spark: SparkSession, root: str, start: int) -> int:
-    """The first free fact key after all finished runs (no scan of the fact)."""
-    done = os.path.join(root, "done")
-    finished = len(_records(spark, done))
-    if not finished:
-        return start
-    # every record: a run that died keeps its old id, so the largest key need not stand in the last ones
-    keys = spark.read.schema("next_key long").option("mode", "FAILFAST").json(done)
-    n, largest = keys.agg(F.count("next_key"), F.max("next_key")).first()
-    if n < finished:
-        raise RuntimeError(f"{finished - n} unreadable records in {done}")
-    return max(start, largest)
+def first_key(batch_id: int) -> int:
+    """The first surrogate key of a batch."""
+    return batch_id << KEY_BITS
 
 
 # ---------------------------------------------------------------- snapshots
 KEPT_VERSIONS = 3
+OPEN = "is_current"
+
+
+class StaleVersion(RuntimeError):
+    """Another job has committed since the version that a change was computed from."""
+
+
+class Version(NamedTuple):
+    """A committed version of a table: its number (0: none yet), columns and folders.
+
+    The rows of a dimension are split by ``is_current``; folders of closed versions (``first``, ``last``: the range of ``valid_to``) are
+    shared by the versions after them.
+    """
+    number: int
+    columns: list[str]
+    folders: list[dict]
 
 
 def current_version(spark: SparkSession, table: str) -> int | None:
     return max(_records(spark, os.path.join(table, "_versions")), default=None)
 
 
-def read_snapshot(spark: SparkSession, table: str) -> DataFrame:
-    v = current_version(spark, table)
-    if v is None:
-        raise FileNotFoundError(f"no snapshot in {table}")
-    return spark.read.parquet(_version_folder(spark, table, v))
+def version_of(spark: SparkSession, table: str) -> Version:
+    n = current_version(spark, table)
+    if n is None:
+        return Version(0, [], [])
+    record = _read_record(spark, os.path.join(table, "_versions"), n)
+    return Version(n, record["columns"], record["folders"])
 
 
-def _version_folder(spark: SparkSession, table: str, v: int) -> str:
-    return os.path.join(table, _read_record(spark, os.path.join(table, "_versions"), v)["folder"])
+def _read_folders(spark: SparkSession, table: str, v: Version, folders: list[dict]) -> DataFrame:
+    """Rows of some folders; ``is_current`` is a partition column, so a predicate on it prunes folders."""
+    paths = [os.path.join(table, f["folder"]) for f in folders]
+    return spark.read.option("basePath", table).parquet(*paths).select(*v.columns)
+
+
+def read_snapshot(spark: SparkSession, table: str, version: Version | None = None) -> DataFrame:
+    v = version or version_of(spark, table)
+    if not v.number:
+        raise FileNotFoundError(f"no snapshot in {table}")
+    return _read_folders(spark, table, v, v.folders)
 
 
 def _content(df: DataFrame) -> tuple:
@@ -299,26 +385,126 @@ def _content(df: DataFrame) -> tuple:
     return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*cols).cast("decimal(20,0)"))).first())
 
 
-def write_snapshot(spark: SparkSession, df: DataFrame, table: str) -> int:
-    """Write the next version of a whole table, then commit it; returns the
-    current version.  The new version may be computed from the current one: that
-    folder is not touched.  A version equal to the current one is not committed
-    (a rerun of an unchanged day changes nothing).  If another job has committed
-    meanwhile, the write fails instead of losing that job's version.  The
-    ``KEPT_VERSIONS`` last versions stay readable."""
-    versions = os.path.join(table, "_versions")
-    before = current_version(spark, table)
-    folder = f"v={(before or 0) + 1}-{uuid.uuid4().hex[:8]}"
+def _write_folder(df: DataFrame, table: str, number: int) -> list[dict]:
+    """Write rows into a new folder; of a dimension, open and other versions apart."""
+    spark, folder = df.sparkSession, f"v={number}-{uuid.uuid4().hex[:8]}"
     path = os.path.join(table, folder)
-    df.write.parquet(path)
+    if not {OPEN, "valid_to"} <= set(df.columns):
+        df.write.parquet(path)
+        return [{"folder": folder}]
+    df.hint("rebalance", OPEN).write.partitionBy(OPEN).parquet(path)
     jpath, fs = _fs(spark, path)
-    if before is not None and _content(read_snapshot(spark, table)) == _content(spark.read.schema(df.schema).parquet(path)):
+    names = sorted(n for n in (f.getPath().getName() for f in fs.listStatus(jpath)) if n.startswith(OPEN))
+    out = []
+    for name in names:
+        ends = spark.read.parquet(os.path.join(path, name)).agg(F.min("valid_to").cast("string"), F.max("valid_to").cast("string")).first()
+        out.append({"folder": f"{folder}/{name}", "first": ends[0], "last": ends[1]})
+    return out
+
+
+def _delete_folders(spark: SparkSession, table: str, base: Version, folders: list[dict]) -> None:
+    """Remove what was written for a version that is not committed."""
+    for top in {f["folder"].split("/")[0] for f in folders if f not in base.folders}:
+        jpath, fs = _fs(spark, os.path.join(table, top))
         fs.delete(jpath, True)
-        return before
-    if not _create_record(spark, versions, (before or 0) + 1, {"folder": folder}):
-        fs.delete(jpath, True)
-        raise RuntimeError(f"another job has committed a version of {table}; run again")
-    for old in _records(spark, versions)[:-KEPT_VERSIONS]:
-        fs.delete(_fs(spark, _version_folder(spark, table, old))[0], True)
-        fs.delete(_fs(spark, os.path.join(versions, str(old)))[0], False)
-    return (before or 0) + 1
+
+
+def _is_open(folder: dict) -> bool:
+    return folder["folder"].endswith(f"{OPEN}=Y")
+
+
+def _commit(spark: SparkSession, table: str, base: Version, columns: list[str], folders: list[dict]) -> int:
+    """Make the next version after ``base``; StaleVersion if another job has made it.  Folders that none of the
+    ``KEPT_VERSIONS`` last versions names are deleted."""
+    versions = os.path.join(table, "_versions")
+    if not _create_record(spark, versions, base.number + 1, {"columns": columns, "folders": folders}):
+        _delete_folders(spark, table, base, folders)
+        raise StaleVersion(f"another job has committed version {base.number + 1} of {table}")
+    numbers = _records(spark, versions)
+    named = {f["folder"] for n in numbers[-KEPT_VERSIONS:] for f in _read_record(spark, versions, n)["folders"]}
+    for old in numbers[:-KEPT_VERSIONS]:
+        for f in _read_record(spark, versions, old)["folders"]:
+            if f["folder"] not in named:
+                jpath, fs = _fs(spark, os.path.join(table, f["folder"]))
+                fs.delete(jpath, True)
+        jpath, fs = _fs(spark, os.path.join(versions, str(old)))
+        fs.delete(jpath, False)
+    return base.number + 1
+
+
+def write_snapshot(spark: SparkSession, df: DataFrame, table: str, base: Version | None = None) -> int:
+    """Write the next version of a whole table and commit it; returns the current version.
+
+    ``base``: the version that ``df`` was computed from (default: the current one, for a table that is
+    replaced whatever it held).  If another job has committed after ``base``, StaleVersion is raised and that job's version
+    stays.  A version equal to its base is not committed (a rerun of an unchanged day changes nothing).
+    """
+    base = base or version_of(spark, table)
+    folders = _write_folder(df, table, base.number + 1)
+    new = Version(base.number + 1, df.columns, folders)
+    if base.number and folders and _content(read_snapshot(spark, table, base)) == _content(read_snapshot(spark, table, new)):
+        _delete_folders(spark, table, base, folders)
+        return base.number
+    return _commit(spark, table, base, df.columns, folders)
+
+
+def update_snapshot(spark: SparkSession, table: str, change: Callable[[DataFrame], DataFrame], attempts: int = 5) -> int:
+    """Commit ``change(current rows)``; computed again from the newer version if another job commits meanwhile."""
+    def once() -> int:
+        base = version_of(spark, table)
+        return write_snapshot(spark, change(read_snapshot(spark, table, base)), table, base)
+    return _until_committed(once, attempts)
+
+
+def merge_dimension(spark: SparkSession, table: str, merge: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
+                    attempts: int = 5) -> int:
+    """Commit ``merge(open versions, closed versions)`` = (next open versions, newly closed versions).
+
+    The open versions are read and written again, newly closed ones are added in a folder of their own, and folders closed earlier
+    stay as they are.  Computed again from the newer version if another job commits meanwhile.
+    """
+    def once() -> int:
+        base = version_of(spark, table)
+        rows = read_snapshot(spark, table, base)
+        is_open = F.coalesce(F.col(OPEN) == "Y", F.lit(False))
+        current, history = rows.where(is_open), rows.where(~is_open)
+        opened, closed = merge(current, history)
+        opened, closed = freeze(opened.select(*base.columns)), freeze(closed.select(*base.columns))
+        added = closed.count()
+        if not added and _content(opened) == _content(current):
+            return base.number
+        folders = _write_folder(opened, table, base.number + 1) + (_write_folder(closed, table, base.number + 1) if added else [])
+        kept = [f for f in base.folders if not _is_open(f)]
+        return _commit(spark, table, base, base.columns, kept + folders)
+    return _until_committed(once, attempts)
+
+
+def purge_closed(spark: SparkSession, table: str, cutoff: str, attempts: int = 5) -> int:
+    """I7 on a stored dimension: the next version without closed rows whose ``valid_to`` is before ``cutoff`` (ISO date).
+
+    A folder whose rows all ended before it is left out without being read, a folder whose rows end on both sides is
+    written again, and all others stay.
+    """
+    def once() -> int:
+        base = version_of(spark, table)
+        gone = [f for f in base.folders if not _is_open(f) and f["last"] and f["last"] < cutoff]
+        mixed = [f for f in base.folders if not _is_open(f) and f not in gone and f["first"] and f["first"] < cutoff]
+        if not gone and not mixed:
+            return base.number
+        left = []
+        for f in mixed:
+            rows = _read_folders(spark, table, base, [f])
+            expired = (F.col(OPEN) == "N") & (F.col("valid_to") < F.lit(cutoff).cast("date"))
+            left += _write_folder(rows.where(~F.coalesce(expired, F.lit(False))), table, base.number + 1)
+        kept = [f for f in base.folders if f not in gone and f not in mixed]
+        return _commit(spark, table, base, base.columns, kept + left)
+    return _until_committed(once, attempts)
+
+
+def _until_committed(once: Callable[[], int], attempts: int) -> int:
+    for _ in range(attempts - 1):
+        try:
+            return once()
+        except StaleVersion:
+            continue
+    return once()

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import rollups
+from ..operators import states
 from ..operators.keys import freeze
 from ..sources import store
 
@@ -40,28 +40,26 @@ def incremental_load(spark: SparkSession, landing_dir: str, schema: T.StructType
     return len(batches)
 
 
+LOAD = "batch_epoch"
+
+
 def fact_and_summary(fact_path: str, summary_path: str | None, fact_of: Callable[[DataFrame], DataFrame]):
     """A batch function: staged rows -> fact rows -> touched summary slices.
 
     * the batch's facts go to ``fact_path/batch_epoch=<epoch>`` (dynamic overwrite): a
       replayed epoch rewrites its own folder, nothing doubles.  Files are range-partitioned
       by date and region, so that each holds few dates;
-    * the regional summary of every (date, region) the batch touched is made again from
-      all epochs of those slices, so a slice whose rows arrive over several files is always
-      complete.  Only the span of the touched dates is read: a pushed filter skips the
-      files of other dates by their statistics.  Skipped when ``summary_path`` is None.
+    * the batch's summary states (totals and key bitmaps, ``operators.states``) go to
+      ``<summary_path>_states/*/batch_epoch=<epoch>``, likewise, and the regional summary of every
+      (date, region) the batch touched is merged from the states of all epochs.  Of the facts only this
+      batch's are read, however many epochs a slice has.  Skipped when ``summary_path`` is None.
     """
     def process(batch: DataFrame, epoch: int) -> None:
-        facts = freeze(fact_of(batch).withColumn("batch_epoch", F.lit(epoch).cast("bigint")))
+        facts = freeze(fact_of(batch).withColumn(LOAD, F.lit(epoch).cast("bigint")))
         (facts.repartitionByRange("transaction_date", "region_code").sortWithinPartitions("transaction_date", "region_code")
-         .write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("batch_epoch").parquet(fact_path))
-        table = store.read_table(batch.sparkSession, fact_path)
-        if summary_path is None or table is None:
+         .write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(LOAD).parquet(fact_path))
+        if summary_path is None or facts.isEmpty():
             return
-        touched = facts.select(F.col("transaction_date").alias("_d"), F.col("region_code").alias("_r")).distinct()
-        first, last = facts.agg(F.min("transaction_date"), F.max("transaction_date")).first()
-        of_span = table.where(F.col("transaction_date").between(F.lit(first), F.lit(last)))
-        rows = of_span.join(touched, of_span["transaction_date"].eqNullSafe(F.col("_d"))
-                            & of_span["region_code"].eqNullSafe(F.col("_r")), "left_semi")
-        store.refresh_summary(rollups.regional_summary(rows), summary_path)
+        states.write_states(facts, f"{summary_path}_states", LOAD)
+        store.refresh_summary(states.merged_summary(facts, f"{summary_path}_states"), summary_path)
     return process

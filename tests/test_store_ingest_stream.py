@@ -3,6 +3,7 @@ import os
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from saleslake.sources import ingest, store
 from saleslake.streaming import incremental
@@ -99,14 +100,7 @@ def test_unreadable_table_is_not_a_missing_one(spark, tmp_dir):
         store.table_exists(spark, broken)
 
 
-def test_batches_and_commits(spark, tmp_dir):
-    root = os.path.join(tmp_dir, "batches")
-    assert store.open_batch(spark, root, D1, None) == 1
-    assert store.open_batch(spark, root, D1, None) == 1            # unfinished: the retry keeps its id
-    assert store.open_batch(spark, root, D1, "ASIA") == 2
-    store.close_batch(spark, root, 1, 1040)
-    assert store.open_batch(spark, root, D1, None) == 3
-    assert store.next_fact_key(spark, root, 1000) == 1040
+def test_commits(spark, tmp_dir):
     t = os.path.join(tmp_dir, "dim")
     assert store.write_snapshot(spark, spark.range(3), t) == 1
     assert store.write_snapshot(spark, spark.range(3), t) == 1     # unchanged: no new version
@@ -220,10 +214,113 @@ def test_incremental_load_consumes_each_file_once(spark, tmp_dir):
     assert (s.total_transactions, float(s.total_revenue), s.distinct_customers) == (3, 16.0, 3)
 
 
-def test_next_fact_key_after_an_old_run_ends_late(spark, tmp_dir):
-    root = os.path.join(tmp_dir, "late")
-    assert store.next_fact_key(spark, root, 1000) == 1000
-    for n in range(2, 60):
-        store.close_batch(spark, root, n, 1000 + n)
-    store.close_batch(spark, root, 1, 9000)                         # it kept its old id
-    assert store.next_fact_key(spark, root, 1000) == 9000
+def test_a_load_reads_only_its_own_facts(spark, tmp_dir):
+    """The summary of a date that got two drops is merged from states; facts of the first drop are not read again."""
+    import shutil
+    facts, summary = os.path.join(tmp_dir, "facts"), os.path.join(tmp_dir, "sums")
+    schema = "transaction_date date, region_code string, dim_customer_key bigint, dim_product_key bigint, " \
+             "quantity decimal(8,2), net_amount decimal(16,4)"
+    process = incremental.fact_and_summary(facts, summary, lambda b: b)
+    far = 5 << 40
+    process(spark.createDataFrame([(D1, "ASIA", 1, None, Decimal(1), Decimal(2)), (D1, "ASIA", far, 7, Decimal(1), Decimal(2)),
+                                   (D1, None, 1, 1, None, None)], schema), 0)
+    shutil.rmtree(facts)                                            # what an earlier load wrote is gone
+    second = spark.createDataFrame([(D1, "ASIA", far, 8, Decimal(1), Decimal(3)), (D1, "ASIA", 2, 7, Decimal(1), Decimal(3))], schema)
+    for _ in range(2):                                              # a replayed epoch replaces its states
+        process(second, 1)
+    got = {r.region_code: (r.total_transactions, r.total_revenue, r.distinct_customers, r.distinct_products)
+           for r in store.read_packed(spark, summary).collect()}
+    assert got == {"ASIA": (4, Decimal(10), 3, 2), None: (1, None, 1, 1)}
+
+
+def test_writer_tasks_follow_rows_and_slices(spark, tmp_dir):
+    """The number of files of a slice and of tasks comes from the counts, not from the session's settings."""
+    df = spark.range(4000).selectExpr("id", "if(id % 2 = 0, 0, id % 400) AS s")
+    few = store.deal_to_writers(df, ("s",), rows_per_task=100_000, slices_per_task=64)
+    assert few.rdd.getNumPartitions() == -(-201 // 64)
+    parts_of = lambda df: {r.s: r.n for r in df.select("s", F.spark_partition_id().alias("p")).groupBy("s").agg(
+        F.countDistinct("p").alias("n")).collect()}
+    assert set(parts_of(few).values()) == {1}
+    dealt = store.deal_to_writers(df, ("s",), rows_per_task=500, slices_per_task=64)
+    assert dealt.rdd.getNumPartitions() == 8
+    parts = parts_of(dealt)
+    assert parts[0] > 1 and all(n == 1 for s, n in parts.items() if s)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, df.collect()))
+    assert store.deal_to_writers(df.limit(0), ("s",)).count() == 0
+
+
+def test_summary_months(spark, tmp_dir):
+    """A table stored by region and month loses emptied slices, keeps the others, and reads like the rows written."""
+    path, d2, d3 = os.path.join(tmp_dir, "packed"), dt.date(1998, 1, 2), dt.date(1998, 2, 1)
+    rows = lambda *r: spark.createDataFrame(list(r), "summary_date date, region_code string, n int")
+    read = lambda: sorted(map(tuple, store.read_packed(spark, path).select("summary_date", "region_code", "n").collect()), key=str)
+    store.refresh_summary(rows((D1, "A", 1), (d2, "A", 2), (D1, "B", 3), (d3, "A", 4), (d3, None, 5)), path)
+    store.refresh_summary(rows((D1, "A", 10)), path)
+    assert read() == sorted([(D1, "A", 10), (d2, "A", 2), (D1, "B", 3), (d3, "A", 4), (d3, None, 5)], key=str)
+    store.refresh_summary(rows((d3, None, 6)), path, store.slice_predicate("summary_date", d3, None))
+    assert read() == sorted([(D1, "A", 10), (d2, "A", 2), (D1, "B", 3), (d3, None, 6)], key=str)
+    store.refresh_summary(rows((D1, "A", 0)).limit(0), path, store.slice_predicate("summary_date", D1, "B"))
+    assert read() == sorted([(D1, "A", 10), (d2, "A", 2), (d3, None, 6)], key=str)
+
+
+def test_a_commit_names_the_version_it_was_computed_from(spark, tmp_dir):
+    """Of two jobs that read one version, the second computes again and no rows are lost."""
+    t = os.path.join(tmp_dir, "shared")
+    store.write_snapshot(spark, spark.range(3), t)
+    base = store.version_of(spark, t)
+    mine = store.read_snapshot(spark, t, base).union(spark.range(10, 11))
+    store.update_snapshot(spark, t, lambda rows: rows.union(spark.range(20, 21)))
+    with pytest.raises(store.StaleVersion):
+        store.write_snapshot(spark, mine, t, base)
+    calls = []
+
+    def add(rows):
+        if not calls:                                               # another job commits in between
+            store.write_snapshot(spark, store.read_snapshot(spark, t).union(spark.range(30, 31)), t)
+        calls.append(1)
+        return rows.union(spark.range(10, 11))
+    store.update_snapshot(spark, t, add)
+    assert len(calls) == 2
+    assert sorted(r.id for r in store.read_snapshot(spark, t).collect()) == [0, 1, 2, 10, 20, 30]
+
+
+DIM_SCHEMA = "k bigint, name string, valid_from date, valid_to date, is_current string"
+
+
+def test_dimension_versions_share_closed_folders(spark, tmp_dir):
+    """A merge reads open versions by a partition filter and writes what changed; a purge drops folders unread."""
+    t, high = os.path.join(tmp_dir, "dim"), dt.date(9999, 12, 31)
+    day = lambda n: dt.date(1998, 1, n)
+    rows = lambda *r: spark.createDataFrame(list(r), DIM_SCHEMA)
+    store.write_snapshot(spark, rows((1, "a", day(1), high, "Y"), (2, "b", day(1), high, "Y"), (9, "x", day(1), day(1), "N"),
+                                     (8, "y", day(1), day(20), "N")), t)
+
+    def change(current, history):
+        plan = current._jdf.queryExecution().toString()
+        assert "PartitionFilters: [coalesce((is_current" in plan or "PartitionFilters: [isnotnull(is_current" in plan
+        closed = current.where("k = 1").withColumn("is_current", F.lit("N")).withColumn("valid_to", F.lit(day(9)))
+        return current.where("k <> 1").union(rows((1, "a2", day(10), high, "Y"))), closed
+    assert store.merge_dimension(spark, t, change) == 2
+    before, v = store.version_of(spark, t), store.read_snapshot(spark, t)
+    assert sorted((r.k, r.name, r.is_current) for r in v.collect()) == [
+        (1, "a", "N"), (1, "a2", "Y"), (2, "b", "Y"), (8, "y", "N"), (9, "x", "N")]
+    assert store.merge_dimension(spark, t, lambda c, h: (c, c.limit(0))) == 2          # nothing changed: no version
+    assert store.purge_closed(spark, t, "1998-01-15") == 3
+    after = store.version_of(spark, t)
+    assert sorted(r.name for r in store.read_snapshot(spark, t).collect()) == ["a2", "b", "y"]
+    untouched = {f["folder"] for f in before.folders if f["folder"].endswith("=Y")}
+    assert untouched <= {f["folder"] for f in after.folders}
+    assert store.purge_closed(spark, t, "1998-01-15") == 3
+
+
+def test_a_running_batch_is_not_taken_over(spark, tmp_dir):
+    """A second start for a day and region in work is refused; regions are independent."""
+    root = os.path.join(tmp_dir, "runs")
+    assert store.open_batch(spark, root, D1, "ASIA") == 1
+    assert store.open_batch(spark, root, D1, "EUROPE") == 2
+    for region in ("ASIA", None):
+        with pytest.raises(store.BatchRunning):
+            store.open_batch(spark, root, D1, region)
+    store.close_batch(spark, root, 1, 5)
+    assert store.open_batch(spark, root, D1, "ASIA") == 3
+    assert store.first_key(2) - store.first_key(1) == 1 << 40
