@@ -23,7 +23,7 @@ empty table gives no rows; texts are read whole, whatever their length; further
 
 from __future__ import annotations
 
-import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslake.llm.common import WordHashes, text_of, union_all, written
+from saleslake.llm.common import per_process, text_of, union_all, written
 from saleslake.llm.components import connected_components
 from saleslake.operators.skew import heavy_hitter_join
 
@@ -51,25 +51,69 @@ SETS_HELD = 2000
 KEYS_HELD = 1_000_000
 
 
+#: White space as the contract has it, by byte.
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+A_SPACE = re.compile(rb"[\x09-\x0d\x20]")
+#: Bytes that are hashed together (a longer word is not cut).
+PIECE = 1 << 21
+BASE = 0x9E3779B97F4A7C15 | 1
+
+
 def scramble(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * MIX
     return h ^ (h >> np.uint64(29))
 
 
-def shingle_set(words: list[bytes], n: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of ``n`` words; of fewer words, the one of the whole sequence."""
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    size = min(n, len(h))
-    out = np.full(len(h) - size + 1, size, np.uint64)
-    for i in range(size):
-        out = out * MULTIPLY + h[i: len(h) - size + 1 + i]
-    return np.unique(scramble(out))
-
-
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of BASE and of its inverse modulo 2 ** 64, kept by the worker."""
+    kept = per_process("jaccard-powers", dict)
+    if len(kept.get("up", ())) < n:
+        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
+            steps = np.full(max(n, 1 << 16), base, np.uint64)
+            steps[0] = 1
+            kept[name] = np.cumprod(steps)
+    return kept["up"], kept["down"]
+
+
+def hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first byte of each word.  Sums of bytes times powers up to each place give every word's polynomial at once."""
+    hashes, places, low = [], [], 0
+    while low < len(raw):
+        end = A_SPACE.search(raw, low + PIECE) if low + PIECE < len(raw) else None
+        high = end.start() if end else len(raw)
+        b = np.frombuffer(raw, np.uint8, high - low, low)
+        edges = np.flatnonzero(np.diff(SPACE[b], prepend=True, append=True))
+        starts, ends = edges[::2], edges[1::2]
+        up, down = powers(len(b) + 1)
+        sums = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], out=sums[1:])
+        hashes.append(scramble((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * MULTIPLY))
+        places.append(starts + low)
+        low = high
+    return (np.concatenate(hashes), np.concatenate(places)) if hashes else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def _joined(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of each ``n`` words that follow each other."""
+    out = np.full(max(0, len(words) - n + 1), n, np.uint64)
+    for i in range(n):
+        out = out * MULTIPLY + words[i: len(out) + i]
+    return scramble(out)
+
+
+def shingle_sets(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
+    """Of each text the sorted distinct hashes of its shingles of ``n`` words; of fewer words, the one of the whole sequence."""
+    words, places = hashed_words(b"\n".join(texts))
+    cuts = np.searchsorted(places, np.cumsum([0, *(len(t) + 1 for t in texts)])).tolist()
+    every = _joined(words, n)
+    for a, b in zip(cuts, cuts[1:]):
+        s = np.sort(every[a: b - n + 1] if b - a >= n else _joined(words[a:b], b - a) if b > a else words[a:b])
+        yield s[np.concatenate(([True], s[1:] != s[:-1]))] if len(s) else s
+
+
+def lowered(text: str | None) -> bytes:
+    """UTF-8 with A-Z lower-cased."""
+    return (text or "").encode("utf-8", "surrogatepass").lower()
 
 
 def least_overlap(a, b, part: int, whole: int):
@@ -88,8 +132,7 @@ class Order:
         return self.levels[elements >> self.shift]
 
     def first(self, elements: np.ndarray, n: int) -> np.ndarray:
-        rank = (self.level(elements).astype(np.uint64) << np.uint64(56)) | (scramble(elements) >> np.uint64(8))
-        return elements[np.argsort(rank, kind="stable")[:n]]
+        return elements[np.argsort(self.level(elements), kind="stable")[:n]]        # the elements come sorted
 
 
 def _stored(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
@@ -97,13 +140,12 @@ def _stored(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFr
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"), text_of(text_col).alias("text"))
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, pack, seen = WordHashes(), zstandard.ZstdCompressor(level=1).compress, set()
+        pack, seen = zstandard.ZstdCompressor(level=1).compress, set()
         for whole in batches:
             for batch in (whole.slice(i, 512) for i in range(0, whole.num_rows, 512)):
                 sizes, keys, blobs = [], [], []
-                for text in batch.column(2).to_pylist():
-                    words = words_of(text)
-                    s = shingle_set(words, shingle, hashes)
+                texts = [lowered(t) for t in batch.column(2).to_pylist()]
+                for text, s in zip(texts, shingle_sets(texts, shingle)):
                     key = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
                     fresh = key is not None and key not in seen
                     if fresh:
@@ -112,7 +154,7 @@ def _stored(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFr
                         seen.add(key)
                     sizes.append(len(s))
                     keys.append(key)
-                    blobs.append(pack(b" ".join(words)) if fresh else None)
+                    blobs.append(pack(text) if fresh else None)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
                                                   pa.array(keys, pa.binary()), pa.array(blobs, pa.binary())],
                                                  names=["row", "doc_id", "n", "key", "blob"])
@@ -121,10 +163,10 @@ def _stored(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFr
     return written(rows.mapInArrow(store, schema), "jaccard-texts")
 
 
-def _sets(blobs, shingle: int, hashes: WordHashes) -> Iterator[np.ndarray]:
+def _sets(blobs: list, shingle: int) -> Iterator[np.ndarray]:
     unpack = zstandard.ZstdDecompressor().decompress
-    for blob in blobs:
-        yield shingle_set(unpack(blob).split(), shingle, hashes)
+    for low in range(0, len(blobs), 512):
+        yield from shingle_sets([unpack(blob) for blob in blobs[low: low + 512]], shingle)
 
 
 def _order(sets: DataFrame, elements: int, shingle: int) -> Order:
@@ -133,9 +175,9 @@ def _order(sets: DataFrame, elements: int, shingle: int) -> Order:
     size = 1 << BLOCK_LOG
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total, held, n = WordHashes(), np.zeros(1 << log, np.uint32), [], 0
+        total, held, n = np.zeros(1 << log, np.uint32), [], 0
         for batch in batches:
-            for s in _sets(batch.column(0).to_pylist(), shingle, hashes):
+            for s in _sets(batch.column(0).to_pylist(), shingle):
                 held.append(s >> np.uint64(64 - log))
                 n += len(s)
                 if n > 1 << log:
@@ -172,9 +214,9 @@ def _levels(counts: np.ndarray) -> np.ndarray:
 def _boundary(sets: DataFrame, order, shingle: int, part: int, whole: int) -> int:
     """The size up to which enumerating subsets costs least in all; sizes up to LIGHT_MOST are looked at."""
     def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, order_, out = WordHashes(), Order(order.value), {}
+        order_, out = Order(order.value), {}
         for batch in batches:
-            for s in _sets(batch.column(0).to_pylist(), shingle, hashes):
+            for s in _sets(batch.column(0).to_pylist(), shingle):
                 n = len(s)
                 p = n - -(-part * n // whole) + 1
                 subsets, scan = out.get(n, (0, 0))
@@ -198,25 +240,27 @@ ENTRY = "h long, row long, n int, pos int"
 def _entries(sets: DataFrame, order, boundary: int, shingle: int, part: int, whole: int) -> DataFrame:
     """(h, row, n, pos): elements in inverted lists, at their place in the set's order; subsets of two, at place -1."""
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, order_ = WordHashes(), Order(order.value)
+        order_ = Order(order.value)
         for batch in batches:
             keys, rows, sizes, places = [], [], [], []
-            for row, s in zip(batch.column(0).to_pylist(), _sets(batch.column(1).to_pylist(), shingle, hashes)):
+
+            def add(row: int, n: int, h: np.ndarray, place: np.ndarray) -> None:
+                keys.append(h)
+                rows.append(np.full(len(h), row, np.int64))
+                sizes.append(np.full(len(h), n, np.int32))
+                places.append(place)
+
+            for row, s in zip(batch.column(0).to_pylist(), _sets(batch.column(1).to_pylist(), shingle)):
                 n = len(s)
                 p = n - -(-part * n // whole) + 1
                 if n <= boundary and n > 1:
                     f = order_.first(s, p + 1)
                     i, j = np.triu_indices(len(f), 1)
                     low, high = np.minimum(f[i], f[j]), np.maximum(f[i], f[j])
-                    keys.append(scramble(low * MULTIPLY + high))
-                    places.append(np.full(len(i), -1, np.int32))
+                    add(row, n, scramble(low * MULTIPLY + high), np.full(len(i), -1, np.int32))
                 if n * whole >= part * (boundary + 1):
                     f = order_.first(s, p)
-                    keys.append(f)
-                    places.append(np.arange(len(f), dtype=np.int32))
-                got = sum(map(len, keys)) - sum(map(len, rows))
-                rows.append(np.full(got, row, np.int64))
-                sizes.append(np.full(got, n, np.int32))
+                    add(row, n, f, np.arange(len(f), dtype=np.int32))
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(rows)),
                                                   pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places))],
@@ -224,13 +268,15 @@ def _entries(sets: DataFrame, order, boundary: int, shingle: int, part: int, who
     return sets.select("row", "blob").mapInArrow(enter, ENTRY)
 
 
-def _pairs_of(n: np.ndarray, pos: np.ndarray, boundary: int, part: int, whole: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs within one list that size and position allow."""
-    i, j = np.triu_indices(len(n), 1)
-    need = least_overlap(n[i] + 0, n[j] + 0, part, whole)
-    small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-    ok = (small >= need) & (n[i] - pos[i] >= need) & (n[j] - pos[j] >= need) & ((pos[i] < 0) | (large > boundary))
-    return i[ok], j[ok]
+def _pairs_of(rows: np.ndarray, starts: np.ndarray, k: int, boundary: int, part: int, whole: int) -> np.ndarray:
+    """Pairs (u, v) that size and position allow within the lists of ``k`` rows (h, row, n, pos) that begin at ``starts``."""
+    i, j = np.triu_indices(k, 1)
+    a, b = rows[(starts[:, None] + i).ravel()], rows[(starts[:, None] + j).ravel()]
+    need = least_overlap(a[:, 2], b[:, 2], part, whole)
+    small, large = np.minimum(a[:, 2], b[:, 2]), np.maximum(a[:, 2], b[:, 2])
+    ok = (small >= need) & (a[:, 2] - a[:, 3] >= need) & (b[:, 2] - b[:, 3] >= need) & ((a[:, 3] < 0) | (large > boundary))
+    u, v = a[ok, 1], b[ok, 1]
+    return np.stack([np.minimum(u, v), np.maximum(u, v)], 1)
 
 
 def _may_link(a: str, b: str, boundary: int, part: int, whole: int) -> Column:
@@ -247,22 +293,23 @@ def _linker(most: int, boundary: int, part: int, whole: int):
         held: np.ndarray | None = None                       # rows (h, row, n, pos) of the list that the batch before ended in
         over = False
 
-        def out(pairs: list, long: list) -> pa.RecordBatch:
-            p = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
-            e = np.concatenate(long) if long else np.zeros((0, 4), np.int64)
-            gap, hole = [None] * len(e), [None] * len(p)
-            cols = [pa.array(p[:, 0].tolist() + gap, pa.int64()), pa.array(p[:, 1].tolist() + gap, pa.int64()),
-                    *[pa.array(hole + e[:, c].tolist(), t) for c, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))]]
-            return pa.RecordBatch.from_arrays(cols, names=["u", "v", "h", "row", "n", "pos"])
-
-        def close(group: np.ndarray, pairs: list, long: list) -> None:
-            if len(group) > most:
-                long.append(group)
-            elif len(group) > 1:
-                i, j = _pairs_of(group[:, 2], group[:, 3], boundary, part, whole)
-                if len(i):
-                    u, v = group[i, 1], group[j, 1]
-                    pairs.append(np.stack([np.minimum(u, v), np.maximum(u, v)], 1))
+        def out(pairs: list, long: list) -> Iterator[pa.RecordBatch]:
+            names, kinds = ["u", "v", "h", "row", "n", "pos"], [pa.int64()] * 4 + [pa.int32()] * 2
+            for some, first in ((pairs, 0), (long, 2)):
+                table = np.concatenate(some) if some else np.zeros((0, 0), np.int64)
+                if len(table):
+                    cols = [pa.array(table[:, c - first]).cast(t) if first <= c < first + table.shape[1] else pa.nulls(len(table), t)
+                            for c, t in enumerate(kinds)]
+                    yield pa.RecordBatch.from_arrays(cols, names=names)
+
+        def close(rows: np.ndarray, starts: np.ndarray, ends: np.ndarray, pairs: list, long: list) -> None:
+            """The lists that lie between starts and ends; those of one length together."""
+            size = ends - starts
+            for k in range(2, most + 1):
+                some = starts[size == k]
+                if len(some):
+                    pairs.append(_pairs_of(rows, some, k, boundary, part, whole))
+            long.extend(rows[a:b] for a, b in zip(starts[size > most].tolist(), ends[size > most].tolist()))
 
         for batch in batches:
             if not batch.num_rows:
@@ -279,18 +326,16 @@ def _linker(most: int, boundary: int, part: int, whole: int):
             if len(rows):
                 over = False
                 starts = np.flatnonzero(np.r_[True, rows[1:, 0] != rows[:-1, 0]])
-                ends = np.r_[starts[1:], len(rows)]
-                for g in np.flatnonzero(ends[:-1] - starts[:-1] > 1):
-                    close(rows[starts[g]: ends[g]], pairs, long)
+                close(rows, starts[:-1], starts[1:], pairs, long)
                 held = rows[starts[-1]:]
                 if len(held) > most:
                     long.append(held)
                     held, over = held[:1], True
-            yield out(pairs, long)
+            yield from out(pairs, long)
         pairs, long = [], []
         if held is not None and not over:
-            close(held, pairs, long)
-        yield out(pairs, long)
+            close(held, np.array([0]), np.array([len(held)]), pairs, long)
+        yield from out(pairs, long)
     return link
 
 
@@ -302,25 +347,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, shingle: int, part: int, whole:
     both = heavy_hitter_join(pairs, texts.select(F.col("row").alias("v"), F.col("blob").alias("second")), ["v"], spread=["u"])
     both = heavy_hitter_join(both, texts.select(F.col("row").alias("u"), F.col("blob").alias("first")), ["u"], spread=["v"])
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, unpack = WordHashes(), {}, zstandard.ZstdDecompressor().decompress
+    whole_ = whole
 
-        def of(row: int, blob) -> np.ndarray:
-            if row not in held:
-                if len(held) >= SETS_HELD:
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, unpack = {}, zstandard.ZstdDecompressor().decompress
+        for whole in batches:
+            for batch in (whole.slice(i, 512) for i in range(0, whole.num_rows, 512)):
+                if len(held) > SETS_HELD:
                     held.clear()
-                held[row] = shingle_set(unpack(blob.as_py()).split(), shingle, hashes)
-            return held[row]
-
-        for batch in batches:
-            u, v = batch.column("u").to_pylist(), batch.column("v").to_pylist()
-            first, second = batch.column("first"), batch.column("second")
-            ok = np.zeros(len(u), bool)
-            for i in range(len(u)):
-                a, b = of(u[i], first[i]), of(v[i], second[i])
-                inter = len(np.intersect1d(a, b, assume_unique=True))
-                ok[i] = whole * inter >= part * (len(a) + len(b) - inter)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(u, np.int64)[ok]), pa.array(np.array(v, np.int64)[ok])], names=["u", "v"])
+                u, v = batch.column("u").to_pylist(), batch.column("v").to_pylist()
+                new = {row: blob for rows, blobs in ((u, batch.column("first")), (v, batch.column("second")))
+                       for row, blob in zip(rows, blobs) if row not in held}
+                held |= zip(new, shingle_sets([unpack(blob.as_py()) for blob in new.values()], shingle))
+                ok = np.zeros(len(u), bool)
+                for i, (a, b) in enumerate(zip(map(held.get, u), map(held.get, v))):
+                    inter = len(np.intersect1d(a, b, assume_unique=True))
+                    ok[i] = whole_ * inter >= part * (len(a) + len(b) - inter)
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(u, np.int64)[ok]), pa.array(np.array(v, np.int64)[ok])], names=["u", "v"])
 
     return written(both.select("u", "v", "first", "second").mapInArrow(verify, "u long, v long"), "jaccard-links")
 
@@ -333,9 +376,10 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(moved.select("row", F.coalesce("root", "label").alias("label")), "jaccard-labels")
 
 
-def _long_lists(long: DataFrame, labels: DataFrame, sets: DataFrame, boundary: int, shingle: int, part: int, whole: int,
-                first: int = 4, growth: int = 8) -> DataFrame:
-    """Labels after the pairs of the long lists: in rounds, a growing share of members as pivots."""
+def _long_lists(long: DataFrame, small: DataFrame, labels: DataFrame, sets: DataFrame, boundary: int, shingle: int, part: int, whole: int,
+                first: int = 8, growth: int = 32) -> DataFrame:
+    """Labels after the pairs of the long lists: in rounds, a growing share of members as pivots.  The first round
+    verifies the pairs ``small`` of the short lists too."""
     length = long.groupBy("h").count().agg(F.max("count")).first()[0]
     share, done = first / length, 0.0
     draw = (F.pmod(F.xxhash64("row"), F.lit(1 << 40)) / F.lit(float(1 << 40)))
@@ -344,7 +388,7 @@ def _long_lists(long: DataFrame, labels: DataFrame, sets: DataFrame, boundary: i
         kinds = at.groupBy("h", "label").count().groupBy("h").agg(F.max_by("label", "count").alias("main"), F.count("*").alias("kinds"))
         live = heavy_hitter_join(at, kinds.where("kinds > 1").select("h", "main"), ["h"], spread=["row"])
         live = written(live.where(F.col("draw") >= done).withColumn("other", F.col("label") != F.col("main")).drop("main"), "jaccard-lists")
-        if live.isEmpty():
+        if done and live.isEmpty():
             break
         pivots = live.where(F.col("draw") < share).select("h", *[F.col(c).alias(f"p_{c}") for c in ("row", "n", "pos", "label", "draw", "other")])
         # members of the list's main component meet only pivots outside it
@@ -353,6 +397,7 @@ def _long_lists(long: DataFrame, labels: DataFrame, sets: DataFrame, boundary: i
         met = met.where((F.col("label") != F.col("p_label")) & ((F.col("draw") > F.col("p_draw")) | (F.col("draw") >= share))
                         & _may_link("", "p_", boundary, part, whole))
         pairs = met.select(F.least("row", "p_row").alias("u"), F.greatest("row", "p_row").alias("v"))
+        pairs = pairs if done else pairs.unionByName(small)
         labels = _relabelled(labels, _verified(pairs, sets, shingle, part, whole))
         done, share = share, share * growth
     return labels
@@ -379,11 +424,11 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         entries = _entries(sets, order, boundary, shingle, part, whole).repartition("h").sortWithinPartitions("h")
         found = written(entries.mapInArrow(_linker(most, boundary, part, whole), "u long, v long, h long, row long, n int, pos int"),
                         "jaccard-found")
-        links = _verified(found.where("u is not null").select("u", "v"), sets, shingle, part, whole)
-        labels = _relabelled(labels, links)
-        long = found.where("h is not null").select("h", "row", "n", "pos")
-        if not long.isEmpty():
-            labels = _long_lists(long, labels, sets, boundary, shingle, part, whole)
+        small, long = found.where("u is not null").select("u", "v"), found.where("h is not null").select("h", "row", "n", "pos")
+        if long.isEmpty():
+            labels = _relabelled(labels, _verified(small, sets, shingle, part, whole))
+        else:
+            labels = _long_lists(long, small, labels, sets, boundary, shingle, part, whole)
     of_key = sets.select("row", "key").join(labels, "row").groupBy("key").agg(F.min("label").alias("label"))
     return stored.select("row", "doc_id", "n", "key"), written(of_key, "jaccard-components")
 
