@@ -16,7 +16,7 @@ __all__ = [
     "gross_amount", "net_amount", "tax_amount", "fiscal_year", "fiscal_month",
     "fiscal_week", "fiscal_quarter", "normalise_region", "relabel_currency",
     "basket_tier", "value_segment", "churn_risk", "sentinel_differs",
-    "null_safe_differs", "batch_id_of", "source_tag", "round_half_up_ratio",
+    "null_safe_differs", "batch_id_of", "source_tag",
 ]
 
 
@@ -142,7 +142,3 @@ def source_tag(region: Column | str, d: Column | str) -> Column:
     """B20: '<region>_txn_<yyyy-mm-dd>'."""
     return F.concat(col_(region), F.lit("_txn_"), F.date_format(col_(d), "yyyy-MM-dd"))
 
-
-def round_half_up_ratio(num: Column, den: Column, scale: int = 4) -> Column:
-    """ROUND(num / NULLIF(den,0) * 100, scale) computed exactly in decimal."""
-    return F.round(num.cast("decimal(20,0)") / F.nullif(den, F.lit(0)).cast("decimal(20,0)") * 100, scale)

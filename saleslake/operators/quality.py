@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from .clean import business_day
 from .keys import freeze
 from .states import grouped_with_distincts
 
@@ -353,7 +354,7 @@ def source_availability(src_sales: DataFrame, load_date: _dt.date | None = None)
     """D8 pre-check: source rows per business day (one day when ``load_date``
     is given).  A day with no row is reported with 0 rows and not available."""
     d = F.col("txn_datetime").cast("date")
-    src = src_sales if load_date is None else src_sales.where(d == F.lit(load_date))
+    src = src_sales if load_date is None else src_sales.where(business_day(src_sales, load_date, load_date))
     counts = src.groupBy(d.alias("business_date")).agg(F.count(F.lit(1)).cast("bigint").alias("source_rows"))
     if load_date is not None:   # the requested day appears even when the source has nothing for it
         day = src_sales.sparkSession.createDataFrame([(load_date,)], "business_date date")

@@ -440,6 +440,31 @@ def daily_runs_slices(t: Tables) -> DataFrame:
     return out
 
 
+def region_routed(t: Tables) -> DataFrame:
+    """Each region's extract from its own table where it has one (two regions), else from the shared table."""
+    spark, sales = t.spark, fx.sales_txn(t)
+    own = {r: f"saleslake_a16_sales_{r.lower()}" for r in PARALLEL}
+    for region, name in own.items():
+        sales.where(clean.in_region(region)).createOrReplaceTempView(name)
+    from .run import Sources
+    src = Sources(sales, None, None, None, region_tables="saleslake_a16_sales_{region}")
+    out = None
+    for region in ("ASIA", "EUROPE", "AFRICA"):
+        rows = clean.extract_sales(src.sales(region), None, region).groupBy("region_code", "transaction_date").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum("quantity").alias("quantity"))
+        rows = rows.withColumn("own_table", F.lit("Y" if region in own else "N"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def column_defaults(t: Tables) -> DataFrame:
+    """Declared defaults on rows whose columns are NULL in the source."""
+    raw = fx.sales_txn(t).select(F.col("txn_id").alias("transaction_id"), F.col("disc_amount").alias("discount_amt"),
+                                 F.nullif(F.trim("currency"), F.lit("")).alias("currency_code"),
+                                 F.lit(None).cast("string").alias("etl_status"))
+    return ingest.apply_defaults(raw, "stg_sales")
+
+
 #: Regions whose jobs run at the same time.
 PARALLEL = ("ASIA", "EUROPE")
 
@@ -537,6 +562,8 @@ CHECKS = {
     "daily_runs_slices": daily_runs_slices,
     "emptied_slice": emptied_slice,
     "parallel_regions": parallel_regions,
+    "region_routed": region_routed,
+    "column_defaults": column_defaults,
     "source_availability": source_availability,
 }
 

@@ -663,6 +663,17 @@ UNION ALL SELECT 'unmatched', region_code, CAST(COUNT(*) AS BIGINT), CAST(0 AS D
           WHERE found IS NULL GROUP BY region_code
 """
 
+CHECK_SQL["region_routed"] = """
+SELECT region_code, transaction_date, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(SUM(quantity) AS DOUBLE) AS quantity,
+       CASE WHEN region_code = 'AFRICA' THEN 'N' ELSE 'Y' END AS own_table
+FROM staged WHERE region_code IN ('ASIA', 'EUROPE', 'AFRICA') GROUP BY region_code, transaction_date
+"""
+CHECK_SQL["column_defaults"] = """
+SELECT txn_id AS transaction_id, CAST(COALESCE(disc_amount, 0) AS DOUBLE) AS discount_amt,
+       COALESCE(NULLIF(TRIM(currency), ''), 'GBP') AS currency_code, 'PENDING' AS etl_status
+FROM sales_txn
+"""
+
 EXTRA_CTES["parallel_regions"] = EXTRA_CTES["daily_runs_fact"]
 CHECK_SQL["parallel_regions"] = """
 SELECT region_code, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(*) AS BIGINT) AS n_keys

@@ -131,6 +131,8 @@ OPERATORS += [
     ("i10", "daily_runs_slices", None),
     ("a13", "emptied_slice", None),
     ("i8", "parallel_regions", None),
+    ("a16", "region_routed", None),
+    ("i11", "column_defaults", None),
 ]
 
 #: Operators that share a check and differ in the rows they answer for (a predicate both engines read).

@@ -46,6 +46,13 @@ class Sources:
     supplier_feed: DataFrame | None = None   # I6
     category_rules: DataFrame | None = None  # I5
     dq_rules: DataFrame | None = None        # J; None = built-in rules (J7)
+    region_tables: str | None = None         # A16: name of a region's own sales table, with ``{region}``
+
+    def sales(self, region: str | None) -> DataFrame:
+        """The operational sales of a region: its own table where there is one, else the shared frame."""
+        if self.region_tables is None:
+            return self.sales_txn
+        return ingest.region_table(self.sales_txn.sparkSession, region, self.region_tables, self.sales_txn)
 
 
 class Warehouse:
@@ -121,22 +128,23 @@ def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.d
     run_ts = run_ts or _dt.datetime.combine(load_date + _dt.timedelta(days=1), _dt.time(2, 0))
 
     # 0. pre-check (D8): no source rows for the day -> a successful no-op (batch mode)
-    if quality.source_availability(src.sales_txn, load_date).first()["available"] != "Y":
+    sales = src.sales(region)
+    if quality.source_availability(sales, load_date).first()["available"] != "Y":
         return {"batch_id": batch_id, "skipped": True, "reason": "no source rows for the load date"}
     bid = batch_id if batch_id is not None else store.open_batch(spark, wh.batches, load_date, region)
 
     # 1. extract the slice into staging (A12: PENDING replaced, LOADED kept; I11 defaults before the write);
     #    a transaction id staged twice breaks the staging key: one row stays, the others are set aside
-    of_day = src.sales_txn.where(clean.business_day(src.sales_txn, load_date, load_date))
+    of_day = sales.where(clean.business_day(sales, load_date, load_date))
     spellings = None if region is None else clean.region_spellings(of_day)
-    extract = freeze(ingest.apply_defaults(clean.extract_sales(src.sales_txn, load_date, region, bid, spellings), "stg_sales"))
+    extract = freeze(ingest.apply_defaults(clean.extract_sales(sales, load_date, region, bid, spellings), "stg_sales"))
     unique, doubles = clean.split_duplicates(extract)
     store.reload_staging(spark, unique, wh.stg_sales, load_date, region)
     store.replace_slices(doubles, wh.errors + "/duplicate_sales",
                          store.slice_predicate("transaction_date", load_date, region))
 
     # 2. shared customer staging: upsert the day's buyers
-    buyers = joins.sales_customers(src.sales_txn, load_date, load_date, region, spellings)
+    buyers = joins.sales_customers(sales, load_date, load_date, region, spellings)
     cust_src = freeze(joins.customer_source(src.src_customer, src.loyalty, buyers, load_date))
     store.update_snapshot(spark, wh.stg_customer, lambda staged: scd.upsert(staged, cust_src, "customer_id"))
 

@@ -42,7 +42,6 @@ RETENTION_DAYS = 730
 STALENESS_DAYS = 7
 DQ_DEFAULT_THRESHOLD = 0.01                 # threshold 0 or NULL means 0.01
 ETL_USER = "ETL_PROCESS"
-REGIONS = ("NORTH", "SOUTH", "EAST", "WEST")
 
 # ---------------------------------------------------------------------------
 # Schemas (Spark types for the columns of the source warehouse)
@@ -52,26 +51,6 @@ QTY = T.DecimalType(8, 2)
 PCT = T.DecimalType(5, 2)
 AMOUNT = T.DecimalType(16, 4)
 
-STG_SALES = T.StructType([
-    T.StructField("transaction_id", T.LongType(), False),
-    T.StructField("customer_id", T.LongType(), True),
-    T.StructField("product_id", T.LongType(), True),
-    T.StructField("store_id", T.LongType(), True),
-    T.StructField("transaction_date", T.DateType(), False),
-    T.StructField("quantity", QTY, True),
-    T.StructField("unit_price", MONEY, True),
-    T.StructField("discount_amt", MONEY, True),
-    T.StructField("discount_pct", PCT, True),
-    T.StructField("region_code", T.StringType(), False),
-    T.StructField("currency_code", T.StringType(), True),
-    T.StructField("payment_method", T.StringType(), True),
-    T.StructField("pos_terminal_id", T.StringType(), True),
-    T.StructField("load_date", T.DateType(), True),
-    T.StructField("load_batch_id", T.LongType(), True),
-    T.StructField("source_file_name", T.StringType(), True),
-    T.StructField("etl_status", T.StringType(), True),
-])
-
 STG_PRODUCT = T.StructType([
     T.StructField("product_id", T.LongType(), False),
     T.StructField("product_code", T.StringType(), False),
@@ -104,14 +83,6 @@ STG_CUSTOMER = T.StructType([
     T.StructField("load_date", T.DateType(), True),
 ])
 
-REJECTED_RECORD = T.StructType([
-    T.StructField("transaction_id", T.LongType(), True),
-    T.StructField("region_code", T.StringType(), True),
-    T.StructField("transaction_date", T.DateType(), True),
-    T.StructField("rejection_reason", T.StringType(), True),
-    T.StructField("rejected_at", T.StringType(), True),
-])
-
 # declared widths of VARCHAR2 columns, audited by I12 (Spark does not enforce them)
 DECLARED_WIDTHS = {
     "stg_sales": {"region_code": 10, "currency_code": 3, "payment_method": 20,

@@ -132,14 +132,14 @@ def reconciliation(spark: SparkSession, path: str, res: CsvIngest,
 
 
 # ------------------------------------------------------------------ A16
-def region_table(spark: SparkSession, region: str | None, template: str, default: str) -> DataFrame:
+def region_table(spark: SparkSession, region: str | None, template: str, default: str | DataFrame) -> DataFrame:
     """A region may have its own table (``template`` with ``{region}``);
-    otherwise the shared default table is read."""
+    otherwise the shared default (a table's name, or its rows) is read."""
     if region:
         name = template.format(region=region.lower())
         if spark.catalog.tableExists(name):
             return spark.table(name)
-    return spark.table(default)
+    return spark.table(default) if isinstance(default, str) else default
 
 
 # ------------------------------------------------------------------ I11

@@ -72,3 +72,26 @@ def test_scan_transactions_slice_status_and_lookup_pruning(spark):
         "list_price decimal(12,4), is_current string, valid_from date, valid_to date, cost_price int")
     lk = joins.product_lookup(dim)
     assert lk.columns == list(joins.LOOKUP_COLUMNS) and [r.product_name for r in lk.collect()] == ["a"]
+
+
+def test_region_and_day_reach_the_scan(spark, tmp_dir):
+    """A2, B2: the spellings of a region and the range of a day are pushed filters; the rows are those of the exact test."""
+    rows = [(1, " asia", "1998-01-01 10:00:00"), (2, "ASIA", "1998-01-01 23:59:59.9"), (3, "EUROPE", "1998-01-01 00:00:00"),
+            (4, "Asia ", "1998-01-02 00:00:00"), (5, None, "1998-01-01 12:00:00")]
+    src = spark.createDataFrame(rows, "txn_id long, store_region_cd string, at string").selectExpr(
+        "txn_id", "store_region_cd", "cast(at AS timestamp_ntz) AS txn_datetime", "txn_id AS cust_id", "txn_id AS prod_id", "txn_id AS store_id",
+        "cast(1 AS decimal(8,2)) AS sold_qty", "cast(2 AS decimal(12,4)) AS unit_sell_price", "cast(0 AS decimal(12,4)) AS disc_amount",
+        "'COMPLETED' AS txn_status_cd", "'GBP' AS currency", "'C' AS payment_type_cd", "'T' AS terminal_ref")
+    src.write.parquet(tmp_dir + "/src")
+    src = spark.read.parquet(tmp_dir + "/src")
+    day = dt.date(1998, 1, 1)
+    spellings = clean.region_spellings(src)
+    assert {k: sorted(v) for k, v in spellings.items()} == {"ASIA": [" asia", "ASIA", "Asia "], "EUROPE": ["EUROPE"]}
+    for scan in (clean.extract_sales, clean.scan_transactions):
+        got = scan(src, day, "ASIA", spellings=spellings)
+        plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+        pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+        assert "In(store_region_cd" in pushed and "GreaterThanOrEqual(txn_datetime" in pushed and "LessThan(txn_datetime" in pushed
+        ids = sorted(r.transaction_id for r in got.collect())
+        assert ids == sorted(r.transaction_id for r in scan(src, day, "ASIA").collect()) == [1, 2]
+    assert clean.extract_sales(src, day, "AFRICA", spellings=spellings).count() == 0

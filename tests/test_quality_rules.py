@@ -195,3 +195,45 @@ def test_null_regions_are_kept(spark):
         ("", 3, 3, "OK"), ("ASIA", 2, 2, "BELOW_MINIMUM")]
     empty = quality.row_count_gate(f.where("region_code = 'ASIA'"), f, min_rows=3).where("region_code is null").first()
     assert (empty.staging_gate, empty.fact_gate) == ("EMPTY_NOOP", "FACT_LOADED")
+
+
+def test_subquery_rules_query_the_frames_given(spark):
+    """A view of the rule's table name in the session is neither used nor replaced, and quoted text stays."""
+    spark.createDataFrame([(None,)] * 5, "product_id bigint").createOrReplaceTempView("DIM_PRODUCT")
+    rule = (1, "r", "FACT_DAILY_SALES", "RANGE_CHECK",
+            "product_id IN (SELECT d.product_id FROM DIM_PRODUCT d) AND note <> 'DIM_PRODUCT'", 0.0, "CRITICAL")
+    tables = {"FACT_DAILY_SALES": spark.createDataFrame([(1, "a"), (2, "b")], "product_id bigint, note string"),
+              "DIM_PRODUCT": spark.createDataFrame([(1,), (2,)], "product_id bigint")}
+    rules_df = quality.rules_frame(spark, [rule])
+    r = quality.run_checks(quality.load_rules(rules_df, "RETAIL"), tables, {}).first()
+    assert (r.total_rows, r.failed_rows, r.status) == (2, 0, "PASS")
+    assert spark.table("DIM_PRODUCT").count() == 5
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("dq_")] == []
+    spark.catalog.dropTempView("DIM_PRODUCT")
+
+
+def test_rules_run_together_and_failing_ones_are_found(spark):
+    """The number of jobs doesn't follow the number of rules; a rule that fails while it runs is left out alone."""
+    day = dt.date(1998, 1, 1)
+    dim = spark.createDataFrame([(1, "TOYS", "a", day, "Y"), (2, "FOOD", "b", day, "Y"), (3, "TOYS", "c", day, "N")],
+                                "product_id int, category_code string, product_name string, valid_from date, is_current string")
+
+    def run(exprs):
+        rules_df = spark.createDataFrame([("TOYS", f"r{i:02}", "product_name", e, "Y", i) for i, e in enumerate(exprs)],
+                                         "category_code string, rule_name string, col_target string, rule_expr string, is_active string, "
+                                         "execution_order int")
+        outcomes = []
+        spark.sparkContext.setJobGroup(f"rules{len(exprs)}", "rules")
+        out = rules.apply_category_rules(dim, rules_df, day, outcomes)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rules{len(exprs)}"))
+        return {r.product_id: r.product_name for r in out.collect()}, [o.rule_name for o in outcomes if not o.applied], jobs
+
+    few, _, jobs_of_few = run(["concat(product_name, '0')"] * 2)
+    many, bad, jobs_of_many = run(["concat(product_name, '0')"] * 12)
+    assert few == {1: "a00", 2: "b", 3: "c"} and many[1] == "a" + "0" * 12 and not bad
+    assert jobs_of_many <= jobs_of_few + 2                    # sorting the rules themselves may take a job more
+    broken = ["concat(product_name, '0')"] * 9
+    broken[2] = broken[6] = "cast(raise_error('x') AS string)"
+    broken[4] = "no_such_column"
+    got, bad, _ = run(broken)
+    assert got[1] == "a" + "0" * 6 and sorted(bad) == ["r02", "r04", "r06"]

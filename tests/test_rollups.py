@@ -133,3 +133,14 @@ def test_customer_segments_and_dq_result_append(spark, tmp_dir):
     store.write_dq_results(res, path)
     store.write_dq_results(res, path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_distinct_counts_copy_no_rows(spark):
+    """No Expand in the plans; NULL keys are not counted, NULL groups are."""
+    from saleslake.operators.states import grouped_with_distincts
+    rows = [("A", 1, 1), ("A", 1, None), ("A", 2, None), (None, 5, 5), (None, 5, 6), ("B", None, None)]
+    df = spark.createDataFrame(rows, "g string, x int, y int")
+    got = grouped_with_distincts(df, ["g"], [F.count(F.lit(1)).alias("n"), F.sum("x").alias("s")], {"dx": "x", "dy": "y"})
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("A", 3, 4, 2, 1), (None, 2, 10, 1, 2), ("B", 1, None, 0, 0)], key=str)
+    assert grouped_with_distincts(df.limit(0), ["g"], [F.count(F.lit(1)).alias("n")], {"dx": "x"}).count() == 0

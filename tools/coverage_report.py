@@ -70,10 +70,10 @@ TESTS = {
           "test_store_ingest_stream::test_reconciliation_over_part_files",
     "A6": "test_store_ingest_stream::test_delimited_error_files_replace_a_rerun_slice",
     "A7": "test_store_ingest_stream::test_delimited_error_files_replace_a_rerun_slice",
-    "A8": "test_store_ingest_stream::test_slice_writes_are_idempotent",
+    "A8": "test_store_ingest_stream::test_slice_writes_are_idempotent; test_store_ingest_stream::test_writer_tasks_follow_rows_and_slices",
     "A11": "test_store_ingest_stream::test_analytics_rerun_is_idempotent",
     "A12": "test_store_ingest_stream::test_staging_reload_keeps_loaded_rows",
-    "A13": "test_store_ingest_stream::test_summary_refresh_replaces_only_touched_slices",
+    "A13": "test_store_ingest_stream::test_summary_refresh_replaces_only_touched_slices; test_store_ingest_stream::test_summary_months",
     "A16": "test_store_ingest_stream::test_jdbc_options_region_table_defaults",
     "B3": "test_functions", "B5": "test_clean::test_split_is_total; test_invariants",
     "B18": "test_functions::test_full_name_keeps_stray_space", "B11": "test_functions",
@@ -84,16 +84,16 @@ TESTS = {
     "E5": "test_rollups::test_daily_windows_running_total_and_previous_day",
     "E1": "test_keys::test_distributed_rank_matches_window_with_ties_and_hot_group",
     "E2": "test_keys::test_distributed_rank_matches_window_with_ties_and_hot_group",
-    "I1": "test_scd; test_invariants", "I2": "test_scd::test_customer_scd2_and_upsert",
-    "I3": "test_scd::test_customer_scd2_and_upsert", "I4": "test_scd::test_mark_loaded_and_purge",
-    "I5": "test_quality_rules::test_category_rules_ordered_isolated_and_cross_category",
-    "I6": "test_quality_rules::test_supplier_enrichment_latest_effective", "I7": "test_scd::test_mark_loaded_and_purge",
-    "I8": "test_keys", "I10": "test_run::test_daily_run_is_idempotent",
+    "I1": "test_scd; test_invariants; test_store_ingest_stream::test_dimension_versions_share_closed_folders", "I2": "test_scd::test_customer_scd2_and_upsert",
+    "I3": "test_scd::test_customer_scd2_and_upsert; test_store_ingest_stream::test_a_commit_names_the_version_it_was_computed_from", "I4": "test_scd::test_mark_loaded_and_purge",
+    "I5": "test_quality_rules::test_category_rules_ordered_isolated_and_cross_category; test_quality_rules::test_rules_run_together_and_failing_ones_are_found",
+    "I6": "test_quality_rules::test_supplier_enrichment_latest_effective", "I7": "test_scd::test_mark_loaded_and_purge; test_store_ingest_stream::test_dimension_versions_share_closed_folders",
+    "I8": "test_keys", "I10": "test_run::test_daily_run_is_idempotent; test_store_ingest_stream::test_a_running_batch_is_not_taken_over",
     "I11": "test_store_ingest_stream::test_jdbc_options_region_table_defaults; test_run::test_daily_run_is_idempotent",
     "J6": "test_quality_rules", "J8": "test_quality_rules", "D7": "test_quality_rules::test_staging_metrics_and_gates",
     "D9": "test_quality_rules::test_staging_metrics_and_gates",
     "B1": "test_clean::test_extract_filters_and_defaults",
-    "B2": "test_clean::test_extract_slice_parameters",
+    "B2": "test_clean::test_extract_slice_parameters; test_clean::test_region_and_day_reach_the_scan",
     "B6": "test_clean::test_split_is_total",
     "B9": "test_functions::test_tax_rounds_unrounded_net",
     "B10": "test_functions::test_iso_week_at_year_end_and_quarter",
@@ -106,7 +106,7 @@ TESTS = {
     "C10": "test_scd::test_customer_scd2_and_upsert",
     "C11": "test_scd::test_new_changed_same_absent_and_inactive; test_invariants",
     "C12": "test_scd::test_new_changed_same_absent_and_inactive; test_functions::test_sentinel_vs_null_safe",
-    "D1": "test_invariants::test_split_and_summary_totals",
+    "D1": "test_invariants::test_split_and_summary_totals; test_rollups::test_distinct_counts_copy_no_rows",
     "D8": "test_quality_rules::test_staging_metrics_and_gates",
     "G1": "test_quality_rules::test_staging_metrics_and_gates",
     "A15": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
@@ -116,7 +116,7 @@ TESTS = {
     "J2": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
     "J4": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
     "J7": "test_quality_rules::test_dq_rules_one_scan_bad_rule_isolated_thresholds",
-    "J3": "test_quality_rules::test_referential_and_generic_rules",
+    "J3": "test_quality_rules::test_referential_and_generic_rules; test_quality_rules::test_subquery_rules_query_the_frames_given",
     "J5": "test_quality_rules::test_referential_and_generic_rules",
     "I12": "test_quality_rules::test_constraint_and_foreign_key_audits",
     "D2": "test_rollups::test_category_rollup_exact_distincts_and_average",
@@ -125,7 +125,7 @@ TESTS = {
     "C8": "test_rollups::test_ytd_spend_sums_every_version_of_a_customer_within_the_year",
     "D6": "test_rollups::test_ytd_spend_sums_every_version_of_a_customer_within_the_year",
     "I9": "test_fact::test_fact_inner_joins_product_and_customer_left_joins_store",
-    "C1": "test_fact::test_fact_inner_joins_product_and_customer_left_joins_store",
+    "C1": "test_fact::test_fact_inner_joins_product_and_customer_left_joins_store; test_skew",
     "C2": "test_fact::test_fact_inner_joins_product_and_customer_left_joins_store",
     "C3": "test_fact::test_fact_inner_joins_product_and_customer_left_joins_store",
     "B7": "test_fact::test_fact_inner_joins_product_and_customer_left_joins_store",
@@ -139,14 +139,14 @@ TESTS = {
     "A9": "test_rollups::test_summary_mapping_audit_counts_and_cursor_suppliers",
     "A10": "test_rollups::test_summary_mapping_audit_counts_and_cursor_suppliers",
     "D11": "test_rollups::test_summary_mapping_audit_counts_and_cursor_suppliers",
-    "A2": "test_clean::test_scan_transactions_slice_status_and_lookup_pruning",
+    "A2": "test_clean::test_scan_transactions_slice_status_and_lookup_pruning; test_clean::test_region_and_day_reach_the_scan",
     "B4": "test_clean::test_scan_transactions_slice_status_and_lookup_pruning",
     "A3": "test_clean::test_scan_transactions_slice_status_and_lookup_pruning",
     "A14": "test_rollups::test_customer_segments_and_dq_result_append",
     "B15": "test_rollups::test_customer_segments_and_dq_result_append",
     "B23": "test_rollups::test_customer_segments_and_dq_result_append",
-    "K1": "test_store_ingest_stream::test_incremental_load_consumes_each_file_once",
-    "C4": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
+    "K1": "test_store_ingest_stream::test_incremental_load_consumes_each_file_once; test_store_ingest_stream::test_a_load_reads_only_its_own_facts",
+    "C4": "test_invariants::test_product_join_matched_plus_unmatched_is_input; test_skew",
     "C5": "test_invariants::test_product_join_matched_plus_unmatched_is_input",
 }
 
