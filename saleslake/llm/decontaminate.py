@@ -5,17 +5,19 @@ occur with up to k = m // ``chars_per_error`` edits.  It is split into k + 1 pie
 least one piece untouched, so exact hits of the pieces (Aho-Corasick, one pass over the whole text) find every candidate
 place, and Myers' bit-parallel distance verifies the window around each hit.
 
-The items are a stated query set, not a growing side: they are taken in blocks of ``block_items``, each
+Windows that overlap are merged, so a text with many hits of an item is verified once over.
+
+The items are a stated query set, not a growing side: they are taken in blocks of ``block_items`` (fewer of long ones), each
 block one pass over all texts, so that what is sent to the tasks is bounded by the block.
 
 Defined results: null text counts as empty and matches nothing; items without text are no queries; repeated items
 count once; a text with several occurrences of an item reports the best (fewest edits, then the first); empty
-tables give no matches; other columns are ignored by ``contamination`` and returned unchanged by ``drop_contaminated``.
+tables give no matches; very long texts are read whole; other columns are ignored by ``contamination`` and returned unchanged by ``drop_contaminated``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import pandas as pd
@@ -27,6 +29,8 @@ from saleslake.llm.common import fresh, text_of, union_all
 
 CHARS_PER_ERROR = 16
 BLOCK_ITEMS = 20_000
+#: A block holds so many characters an item at most, on average.
+CHARS_PER_ITEM = 1000
 
 
 def canonical(text: str | None) -> str:
@@ -60,6 +64,21 @@ def best_match(pattern: str, text: str) -> tuple[int, int, int]:
     return distance, end - back[1], end
 
 
+def windows(starts: Iterable[int], size: int, k: int) -> Iterator[tuple[int, int]]:
+    """The parts of a text around candidate places, merged where they overlap: each character is verified once."""
+    low = high = None
+    for start in sorted(starts):
+        a, b = max(0, start - k), start + size + k
+        if high is not None and a <= high:
+            high = max(high, b)
+        else:
+            if high is not None:
+                yield low, high
+            low, high = a, b
+    if high is not None:
+        yield low, high
+
+
 class Matcher:
     """The items of one block, ready to be found in texts.  Pickles as its items; the automaton is built where it is used."""
 
@@ -92,36 +111,41 @@ class Matcher:
         if not text or not self.items:
             return []
         best: dict[int, tuple[int, int, int]] = {}
-        seen: dict[int, list[tuple[int, int]]] = {}
+        starts: dict[int, set[int]] = {}
         for last, (size, places) in self.automaton().iter(text):
             for n, offset in places:
-                pattern = self.items[n][1]
-                k, start = self.budget(pattern), last + 1 - size - offset
-                if best.get(n, (1,))[0] == 0 or any(a <= start <= b for a, b in seen.get(n, ())):
+                if n in best:
+                    continue
+                pattern, start = self.items[n][1], last + 1 - size - offset
+                if start in starts.setdefault(n, set()):
                     continue
                 if start >= 0 and text.startswith(pattern, start):
-                    found = (0, start, start + len(pattern))
+                    best[n] = (0, start, start + len(pattern))
                 else:
-                    low = max(0, start - k)
-                    distance, a, b = best_match(pattern, text[low: start + len(pattern) + k])
-                    found = (distance, low + a, low + b)
-                    seen.setdefault(n, []).append((start, start))
-                if found[0] <= k:
+                    starts[n].add(start)
+        for n, places in starts.items():
+            if n in best:
+                continue
+            pattern, k = self.items[n][1], self.budget(self.items[n][1])
+            for low, high in windows(places, len(pattern), k):
+                distance, a, b = best_match(pattern, text[low:high])
+                found = (distance, low + a, low + b)
+                if distance <= k:
                     best[n] = min(best.get(n, found), found)
         return [(self.items[n][0], *found) for n, found in best.items()]
 
 
-def matchers(benchmark: DataFrame, id_col: str, text_col: str, chars_per_error: int, block_items: int) -> list[Matcher]:
-    """The items in blocks.  The number of blocks follows the number of items, not that of the texts."""
+def matchers(benchmark: DataFrame, id_col: str, text_col: str, chars_per_error: int, block_items: int) -> Iterator[Matcher]:
+    """The items in blocks, read one after the other.  The number of blocks follows the number of items and of their
+    characters, not that of the texts."""
     items = benchmark.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text")).distinct()
-    blocks = max(1, -(-items.count() // block_items))
-    out = []
+    n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    blocks = max(1, -(-n // block_items), -(-chars // (block_items * CHARS_PER_ITEM)))
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block).collect()
         pairs = sorted({(r["id"], canonical(r["text"])) for r in rows} - {(r["id"], "") for r in rows},
                        key=lambda p: (p[0] is None, p[0] or 0, p[1]))
-        out.append(Matcher(pairs, chars_per_error))
-    return out
+        yield Matcher(pairs, chars_per_error)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -35,7 +35,7 @@ INLINE = set("a abbr b bdi bdo cite code data del dfn em font i ins kbd label ma
 #: Elements without an end tag.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
-SILENT = set("script style head noscript template svg textarea select iframe object".split())
+SILENT = set("script style head title noscript template svg textarea select iframe object".split())
 #: Those of them whose content is raw text: up to the end tag, else up to the page's end.
 RAW = set("script style textarea iframe".split())
 #: Elements that may stand in a head; any other, or text, ends it.
@@ -51,7 +51,7 @@ CONTENT = set("article main .content .article .post .entry #content #main #artic
 CONTENT_WRAPS = ["article", "main", "main article", "div.content", "div#content", "div.post", "div.entry-content",
                  "section.article-body", "div#main div.article", "div.page article.post", "section", "div"]
 BOILERPLATE_WRAPS = {
-    "start": ["nav ul li a", "div.menu ul li a", "ul.nav li a", "div#nav a", "header", "header h1", "header p", "div.header p",
+    "start": ["nav ul li a", "nav a", "div.menu ul li a", "ul.nav li a", "div#nav a", "header", "header h1", "header p", "div.header p",
               "div#masthead", "div.breadcrumb a", "div.cookie-notice p", "div.notice", "div.alert p", "div.banner"],
     "inside": ["aside p", "div.ad", "div.ad p", "aside.ad p", "div.advert", "div.sponsored p", "div.promo p", "form p",
                "form label", "form button", "div.share a", "nav ul li a", "div.related ul li a", "div.sidebar p"],
@@ -61,10 +61,13 @@ BOILERPLATE_WRAPS = {
 }
 # -------------------------------------------------------------------------------------------------------------------
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+# attributes hold no bare "<" and are never tried again, so that tags without their end cost no second look
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/><]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^<>]*+>", re.S)
 NAMED = re.compile(r"\b(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 
-PATH_DIMS, WORD_DIMS, SIZES = 64, 32, 4
+PATH_DIMS, WORD_DIMS, SIZES = 192, 32, 4
+#: Innermost elements that a block's path keeps.
+DEPTH = 64
 DIMS, HIDDEN = PATH_DIMS + WORD_DIMS + SIZES, 16
 
 
@@ -87,6 +90,15 @@ def blocks(page: str | None) -> list[tuple[tuple, str, int]]:
     linked, at, page = 0, 0, page or ""
     ended: dict[str, set[int]] = {}
 
+    inside: list[tuple[bool, bool]] = [(False, False)]      # for each depth: within a silent element, within a link
+
+    def push(e: tuple) -> None:
+        path.append(e)
+        inside.append((inside[-1][0] or e[0] in SILENT, inside[-1][1] or e[0] == "a"))
+
+    def cut(depth: int) -> None:
+        del path[depth:], inside[depth + 1:]
+
     def has_end(tag: str, start: int) -> bool:
         """The element that starts there has an end tag of its own."""
         if tag not in ended:
@@ -101,8 +113,8 @@ def blocks(page: str | None) -> list[tuple[tuple, str, int]]:
     def flush() -> None:
         nonlocal linked
         joined = " ".join("".join(text).split())
-        if joined and not any(e[0] in SILENT for e in path):
-            out.append((tuple(e for e in path if e[0] not in INLINE or e[0] == "a"), joined, min(linked, len(joined))))
+        if joined and not inside[-1][0]:
+            out.append((tuple(e for e in path[-DEPTH:] if e[0] not in INLINE or e[0] == "a"), joined, min(linked, len(joined))))
         text.clear()
         linked = 0
 
@@ -110,10 +122,10 @@ def blocks(page: str | None) -> list[tuple[tuple, str, int]]:
         nonlocal linked
         if raw:
             if path and path[-1][0] == "head" and raw.strip():
-                path.pop()
+                cut(len(path) - 1)
             piece = entities.unescape(raw) if "&" in raw else raw
             text.append(piece)
-            if any(e[0] == "a" for e in path):
+            if inside[-1][1]:
                 linked += len(piece)
 
     while m := TOKEN.search(page, at):
@@ -127,19 +139,19 @@ def blocks(page: str | None) -> list[tuple[tuple, str, int]]:
         if closing:
             for i in range(len(path) - 1, -1, -1):
                 if path[i][0] == tag:
-                    del path[i:]
+                    cut(i)
                     break
                 if path[i][0] in SILENT and path[i][0] != "head" and path[i][1]:
                     break                                   # a stray end tag within it
             continue
-        for i, e in enumerate(path):
+        for i, e in enumerate(path) if inside[-1][0] else ():
             if e[0] == "head" and (tag == "body" or i == len(path) - 1 and tag not in IN_HEAD) or \
                     e[0] in SILENT and tag in BREAKS and not e[1]:
-                del path[i:]
+                cut(i)
                 break
         if tag in SILENT and tag not in RAW:
             if not m[3].endswith("/"):
-                path.append((tag, has_end(tag, m.start())))
+                push((tag, has_end(tag, m.start())))
         elif tag in RAW:
             if not m[3].endswith("/"):
                 end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
@@ -148,11 +160,11 @@ def blocks(page: str | None) -> list[tuple[tuple, str, int]]:
             if tag not in INLINE:
                 for i in range(len(path) - 1, -1, -1):      # a block ends an open paragraph
                     if path[i][0] == "p":
-                        del path[i:]
+                        cut(i)
                         break
                     if path[i][0] not in INLINE:
                         break
-            path.append(element(tag, m[3]))
+            push(element(tag, m[3]))
     add(page[at:])
     flush()
     return out
@@ -247,7 +259,7 @@ class Labeller:
             g |= {f"x{d}": np.einsum("ptd,ptk->dk", x, dz), f"h{d}": g_h, f"c{d}": dz.sum((0, 1))}
         return g
 
-    def fit(self, pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = 10, batch: int = 32, rate: float = 0.01, seed: int = 7) -> None:
+    def fit(self, pages: list[tuple[np.ndarray, np.ndarray]], epochs: int = 20, batch: int = 32, rate: float = 0.01, seed: int = 7) -> None:
         """Adam over batches of pages of like length."""
         order, rng = sorted(range(len(pages)), key=lambda i: len(pages[i][0])), np.random.default_rng(seed)
         batches = [order[i: i + batch] for i in range(0, len(order), batch)]
@@ -285,6 +297,12 @@ def _wrap(spec: str) -> tuple:
                                         for n in re.findall(r"[.#][\w-]+", p[2]))) for p in parts)
 
 
+def _placed(spec: str, rng: np.random.Generator) -> tuple:
+    """The wrapping of a boilerplate block; at times text stands in it without a paragraph, and a link ends before its block."""
+    path = _wrap(spec)
+    return path[:-1] if len(path) > 1 and path[-1][0] in ("a", "p") and rng.random() < 0.6 else path
+
+
 def rewrapped(leaves: list, labels: np.ndarray, other: list[str], rng: np.random.Generator) -> tuple[list, np.ndarray]:
     """The page with its content in another wrapping, and with boilerplate blocks of other pages' texts around and in it."""
     top = (("html",), ("body",)) if rng.random() < 0.8 else ()
@@ -298,7 +316,7 @@ def rewrapped(leaves: list, labels: np.ndarray, other: list[str], rng: np.random
             text = other[rng.integers(len(other))]
             if spec.endswith((" a", "label", "button")):
                 text = " ".join(text.split()[: rng.integers(1, 5)])
-            out.append(((*top, *inside, *_wrap(spec)), text, len(text) if spec.endswith(" a") else 0, 0.0))
+            out.append(((*top, *inside, *_placed(spec, rng)), text, len(text) if spec.endswith(" a") else 0, 0.0))
 
     for _ in range(rng.integers(0, 4)):
         boilerplate("start")
@@ -312,17 +330,44 @@ def rewrapped(leaves: list, labels: np.ndarray, other: list[str], rng: np.random
     return [o[:3] for o in out], np.array([o[3] for o in out])
 
 
+#: Short pages made of each page.
+SHORT_COPIES = 6
+#: Wrappings of short pages; a dot alone stands for a class without a meaning.
+SHORT_WRAPS = ["", "body", "html body", "body div", "body div.", "div.", "table tr td", "body table tr td", "body section.", "body article",
+               "body div. div.", "body main"]
+
+
+def shortened(leaves: list, labels: np.ndarray, other: list[str], rng: np.random.Generator) -> tuple[list, np.ndarray]:
+    """A page of one or two content blocks, bare or in a wrapping without a known name, at times beside one block of boilerplate."""
+    content = [leaf for leaf, y in zip(leaves, labels) if y]
+    if not content:
+        return [], np.zeros(0)
+    at = rng.integers(len(content))
+    spec = re.sub(r"\.(?= |$)", lambda m: f".c{rng.integers(10 ** 6)}", SHORT_WRAPS[rng.integers(len(SHORT_WRAPS))])
+    wrap = _wrap(spec) if spec else ()
+    leaf = (("p",),) if rng.random() < 0.5 else ()
+    out = [((*wrap, *leaf), text, linked, 1.0) for _, text, linked in content[at: at + rng.integers(1, 3)]]
+    if rng.random() < 0.6:
+        where = ("start", "end")[rng.integers(2)]
+        spec = BOILERPLATE_WRAPS[where][rng.integers(len(BOILERPLATE_WRAPS[where]))]
+        text = " ".join(other[rng.integers(len(other))].split()[: rng.integers(1, 9)])
+        extra = (_placed(spec, rng), text, len(text) if spec.endswith(" a") else 0, 0.0)
+        out = [extra, *out] if where == "start" else [*out, extra]
+    return [o[:3] for o in out], np.array([o[3] for o in out])
+
+
 def fit_labeller(pages: list[str], seed: int = 7) -> Labeller:
-    """A labeller trained on the pages as they are and rewrapped."""
+    """A labeller trained on the pages as they are, rewrapped, and cut to one or two blocks."""
     rng, vectors, model = np.random.default_rng(seed), Vectors(), Labeller()
     parsed = [p for p in map(blocks, pages) if p]
     labels = [meaning(p) for p in parsed]
     texts = [text[:400] for p in parsed for _, text, _ in p]    # words for made-up boilerplate only
     seen = [(vectors(p), y) for p, y in zip(parsed, labels)]
     for p, y in zip(parsed, labels):
-        moved, of = rewrapped(p, y, texts, rng)
-        if moved:
-            seen.append((vectors(moved), of))
+        for made in (rewrapped, *[shortened] * SHORT_COPIES):
+            moved, of = made(p, y, texts, rng)
+            if moved:
+                seen.append((vectors(moved), of))
     if seen:
         model.fit(seen, seed=seed)
     return model

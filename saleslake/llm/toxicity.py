@@ -79,10 +79,10 @@ def fit(rows: list[tuple[str, int, float]], bits: int = BITS, epochs: int = 3) -
 
 
 def class_weights(counts: dict[int, int], took: dict[int, int]) -> list[float]:
-    """Weights of the sampled clean and toxic rows that restore the classes' true shares, however rare toxic ones are."""
+    """Weights of the sampled clean and toxic rows that restore the classes' true shares, whichever class was cut more."""
     if not took[0] or not took[1]:
         return [1.0, 1.0]
-    return [max(1.0, counts[0] / took[0] * took[1] / counts[1]), 1.0]
+    return [counts[0] / took[0] * took[1] / counts[1], 1.0]
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -103,8 +103,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = marked.where("label = 1").orderBy(order, "id").limit(most[1]).unionByName(
         marked.where("label = 0").orderBy(order, "id").limit(most[0]))
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
-    # at most sample_rows ids: the side that is sent to all tasks is bounded by that
-    chosen = texts.join(F.broadcast(sample), "id").limit(sample_rows).repartition(1)
+    # at most sample_rows ids: the side that is sent to all tasks is bounded by that; of rows that share an id one text counts
+    chosen = (texts.join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+              .select("id", "text", "label").repartition(1))
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [r for b in batches for r in zip(b["id"], b["text"], b["label"])]

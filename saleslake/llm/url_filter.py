@@ -43,13 +43,19 @@ def host_key(host: Column) -> Column:
     return F.when(host == "", "").otherwise(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit(".")))
 
 
-def rule_table(spark, rules: list[tuple[str, str]]) -> DataFrame:
-    """rule (``host/path``) and verdict; of a rule given twice, block wins.  rules: (verdict, rule)."""
-    rows = sorted({r: v for v, r in sorted(rules, key=lambda x: x[0] == "block")}.items())
-    if not rows:
-        return spark.range(0).select(F.lit("").alias("rule"), F.lit("").alias("verdict"))
-    return spark.range(1).select(F.explode(F.array(*[
-        F.struct(F.lit(r).alias("rule"), F.lit(v).alias("verdict")) for r, v in rows])).alias("r")).select("r.*")
+def rule_table(spark, rules: list[tuple[str, str]] | DataFrame) -> DataFrame:
+    """rule (``host/path``, A-Z of the host lower-cased), rule_host, rule_path and verdict; of a rule given twice, also with its
+    host in another case, block wins.  rules: (verdict, rule) pairs, or a table with these columns."""
+    if not isinstance(rules, DataFrame):
+        rows = F.array(*[F.struct(F.lit(v).alias("verdict"), F.lit(r).alias("rule")) for v, r in sorted(set(rules))])
+        rules = (spark.range(1).select(F.explode(rows).alias("r")).select("r.*") if rules
+                 else spark.range(0).select(F.lit("").alias("verdict"), F.lit("").alias("rule")))
+    slash = F.instr("rule", "/")
+    host = lower_ascii(F.when(slash > 0, F.substr("rule", F.lit(1), slash - 1)).otherwise(F.col("rule")))
+    path = F.when(slash > 0, F.substr("rule", slash)).otherwise("")
+    parts = rules.where("rule is not null and verdict is not null").select("verdict", host.alias("rule_host"), path.alias("rule_path"))
+    once = parts.groupBy("rule_host", "rule_path").agg(F.max(F.struct(F.col("verdict") == "block", "verdict")).alias("v"))
+    return once.select(F.concat("rule_host", "rule_path").alias("rule"), "rule_host", "rule_path", F.col("v.verdict").alias("verdict"))
 
 
 def stacks(nodes: DataFrame) -> DataFrame:
@@ -80,14 +86,11 @@ def sweep(points: DataFrame, nodes: DataFrame) -> DataFrame:
     return swept.select("key", F.filter(F.coalesce("own", "handed"), lambda s: F.col("key").startswith(s["key"])).alias("open"))
 
 
-def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], default: str = "allow", id_col: str = "page_id",
+def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] | DataFrame, default: str = "allow", id_col: str = "page_id",
                url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict for every row of ``pages``."""
     table = rule_table(pages.sparkSession, rules)
-    slash = F.instr("rule", "/")
-    rule_host = lower_ascii(F.when(slash > 0, F.substr("rule", F.lit(1), slash - 1)).otherwise(F.col("rule")))
-    rule_path = F.when(slash > 0, F.substr("rule", slash)).otherwise("")
-    table = table.select("rule", "verdict", host_key(rule_host).alias("host_key"), rule_path.alias("rule_path"))
+    table = table.select("rule", "verdict", host_key(F.col("rule_host")).alias("host_key"), "rule_path")
     host, path = host_and_path(F.col(f"`{url_col}`"))
     parts = pages.select(F.col(f"`{id_col}`").alias("page_id"), host.alias("host"), path.alias("path"))
     # hosts under rule hosts

@@ -6,6 +6,7 @@ import textwrap
 import zlib
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -231,3 +232,59 @@ def test_class_weights_restore_rare_shares():
         clean, one = toxicity.class_weights(counts, took)
         assert abs(took[0] * clean / (took[1] * one) / (counts[0] / counts[1]) - 1) < 1e-9
     assert toxicity.class_weights({0: 5}, {0: 5, 1: 0}) == [1.0, 1.0]
+
+
+def test_many_hits_of_an_item_cost_one_look(spark):
+    """20,000 hits of pieces of one item in one text are verified once over the text."""
+    import time
+
+    from saleslake.llm.decontaminate import Matcher
+    item = "".join(f"{c}{i % 7}" for i, c in enumerate("abcdefghijklmnopqrstuvwxyz" * 2))
+    matcher = Matcher([(1, item)])
+    text = (item[:15] + " ") * 20_000
+    t = time.perf_counter()
+    assert matcher.matches(text) == []
+    assert matcher.matches(text + item[:50] + "#" + item[51:])[0][:2] == (1, 1)
+    assert time.perf_counter() - t < 8
+
+
+def test_a_rule_in_two_cases_and_rules_from_a_table(spark):
+    rules = [("block", "NET/"), ("allow", "net/"), ("allow", "Example.net/en/")]
+    pages = spark.createDataFrame([(1, "http://a.net/x"), (2, "http://example.NET/en/x")], "page_id int, url string")
+    table = spark.createDataFrame(rules, "verdict string, rule string")
+    for given in (rules, table):
+        got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(pages, given).collect()}
+        assert got == {1: ("net/", "block"), 2: ("example.net/en/", "allow")}
+
+
+def test_class_weights_restore_shares_both_ways():
+    assert toxicity.class_weights({0: 8000, 1: 8000}, {0: 8000, 1: 5333})[0] == pytest.approx(5333 / 8000)
+
+
+def test_repeated_ids_are_learnt_alike(spark):
+    """Of texts that share an id one counts, whatever the order of the rows."""
+    rows = [(1, "good words here"), (1, "a second text"), (2, "bad bad words"), (3, "nice"), (3, "nice"), (4, "bad thing")]
+    labels = spark.createDataFrame([(1, 0, 0), (2, 0, 1), (3, 1, 0), (4, 0, 1), (4, 0, 1)], "doc_id long, quality int, toxic int")
+    learnt = [toxicity.train(spark.createDataFrame(r, "doc_id long, text string").repartition(n), labels)
+              for r, n in ((rows, 1), (rows[::-1], 4))]
+    assert learnt[0] == learnt[1] and learnt[0]
+
+
+def test_ftrl_is_that_of_plain_floats():
+    """Per-coordinate updates against FTRL-proximal written out coordinate by coordinate."""
+    import math
+    model, z, n = toxicity.Ftrl(16, l1=0.3), {}, {}
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        at, label = np.unique(rng.integers(0, 16, 5)), int(rng.integers(2))
+        w = {}
+        for i in at.tolist():
+            zi, ni = z.get(i, 0.0), n.get(i, 0.0)
+            w[i] = 0.0 if abs(zi) <= model.l1 else -(zi - math.copysign(model.l1, zi)) / ((model.beta + math.sqrt(ni)) / model.alpha + model.l2)
+        assert np.allclose(model.weights(at), [w[i] for i in at.tolist()])
+        p = 1 / (1 + math.exp(-(sum(w.values()) + model.bias)))
+        model.learn(at, label, 1.0)
+        for i in at.tolist():
+            g = p - label
+            s = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / model.alpha
+            z[i], n[i] = z.get(i, 0.0) + g - s * w[i], n.get(i, 0.0) + g * g

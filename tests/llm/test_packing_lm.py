@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -125,8 +126,8 @@ def test_lm_scores_match_brute_force(spark):
             score += math.log10((pair + 1000 * (about(counts[w]) + 1) / size) / (about(counts[v]) + 1000))
         base = sum(math.log10((counts[w] + 1) / size) for w in words)
         expected[i, out(i), len(words), sum(counts[w] > 0 for w in words), round(base, 4), round(score, 1)] += 1
-    for heavy in (200_000, 20, 0):
-        got = lm.score_texts(df, heavy_words=heavy).collect()
+    for heavy, block in ((200_000, lm.BLOCK_BITS), (20, 1 << 18), (0, 1 << lm.SEG_LOG)):         # one block, two, four
+        got = lm.score_texts(df, heavy_words=heavy, block_bits=block).collect()
         assert {r.train_tokens for r in got} == {sum(counts.values())}
         # the filter has no false hit at this size, so that the scores are those of the quantised counts
         assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, round(r.base_score, 4), round(r.score, 1)) for r in got) == expected
@@ -139,13 +140,32 @@ def test_lm_empty_table_and_no_training_rows(spark):
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (True, 3, 0, 0, 0.0, 0.0)
 
 
-def test_bloom_levels_are_never_too_low():
-    grams = lm.scramble(np.arange(1, 2001, dtype=np.uint64))
-    level = (np.arange(2000) % 9 + 1)
-    bits = np.zeros((lm.SEGMENTS, 1 << 10), bool)
-    for j in range(1, 10):
+def _bits(grams, level, log):
+    bits = np.zeros((1 << log, 1 << lm.SEG_LOG), bool)
+    for j in range(1, int(level.max()) + 1):
         some = grams[level >= j]
-        for at in lm.LogBloom.places(some, np.full(len(some), j), 10):
-            bits[(some >> np.uint64(52)).astype(int), at.astype(int)] = True
-    found = lm.LogBloom(np.packbits(bits.ravel(), bitorder="little"), 10).levels(grams)
-    assert (found >= level).all() and (found == level).mean() > 0.99
+        for at in lm.LogBloom.places(some, np.full(len(some), j)):
+            bits[(some >> np.uint64(64 - log)).astype(int), at.astype(int)] = True
+    return np.packbits(bits.ravel(), bitorder="little")
+
+
+def test_bloom_levels_are_never_too_low():
+    grams, level = lm.scramble(np.arange(1, 100_001, dtype=np.uint64)), np.arange(100_000) % 9 + 1
+    found = lm.LogBloom(_bits(grams, level, 5), 5, 0, 9).levels(grams)
+    assert (found >= level).all() and (found == level).mean() > 0.95
+
+
+def test_a_full_filter_ends():
+    grams = lm.scramble(np.arange(1, 1001, dtype=np.uint64))
+    full = lm.LogBloom(np.full(4 << lm.SEG_LOG >> 3, 255, np.uint8), 2, 0, 12)
+    assert (full.levels(grams) == 12).all()
+
+
+@pytest.mark.parametrize("entries", [40_000, 400_000])
+def test_false_hits_do_not_grow_with_the_corpus(entries):
+    """Unseen n-grams that seem known: the filter has the same bits per entry at both sizes."""
+    log = max(2, (lm.BITS_PER_ENTRY * entries - 1).bit_length() - lm.SEG_LOG)
+    grams = lm.scramble(np.arange(1, entries + 1, dtype=np.uint64))
+    bloom = lm.LogBloom(_bits(grams, np.ones(entries), log), log, 0, 9)
+    unseen = lm.scramble(np.arange(1 << 40, (1 << 40) + 50_000, dtype=np.uint64))
+    assert (bloom.levels(unseen) > 0).mean() < 0.04

@@ -181,3 +181,26 @@ def test_addresses_of_a_full_shape_get_longer():
     new = {pii.surrogate("email", f, KEY, pii.WIDEN) for f in forms}
     assert len(new) == len(forms) and not new & forms
     assert pii.written_like("email", "A@b.de", min(new)).lower() == min(new)
+
+
+@pytest.fixture(scope="module")
+def labeller():
+    import pyarrow.parquet as pq
+    return html_blocks.fit_labeller(sorted(pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"])["html"].to_pylist()))
+
+
+def test_pages_of_one_or_two_blocks_and_stray_titles(labeller):
+    """Bare text, one block in an unknown element, two blocks, and a title without a head."""
+    prose = "The harbour was quiet when the first boats came in, and the men on the pier spoke of the weather and the price of fish."
+    for page in (prose, f"<div class=zz>{prose}</div>", f"<table><tr><td>{prose}</td></tr></table>", f"<article><p>{prose}</p></article>",
+                 f"<div class=qq><p>{prose}</p><p>{prose}</p></div>"):
+        assert prose in html_blocks.main_texts(labeller, html_blocks.Vectors(), [page])[0], page
+    assert "Stray" not in html_blocks.main_texts(labeller, html_blocks.Vectors(), [f"<title>Stray</title><p>{prose}</p>"])[0]
+
+
+def test_long_broken_pages_take_linear_time():
+    import time
+    for piece in ("<a ", "<!", "<a '", '<p class="', "<div>"):
+        t = time.perf_counter()
+        html_blocks.blocks(piece * (1_000_000 // len(piece)) if piece != "<div>" else piece * 20_000)
+        assert time.perf_counter() - t < 10, piece
