@@ -11,10 +11,11 @@ o elements share j of them among the first (size - o + j) of each.
 ``boundary`` is the one of least cost: subsets enumerated against elements listed and met in lists, summed over the sets of each size.
 
 A list of up to ``most`` sets gives its pairs that size and position allow.  Longer ones give pairs in rounds: a growing share
-of the members, chosen by hash, are pivots and are paired with the members outside their component, found so far; the
+of the members, chosen by hash, are pivots and are paired with the members outside their component, as far as found; the
 last round takes all, so no pair between different components is left out, and a group of near copies costs about
-one comparison per member and pivot.  Pairs are verified on their whole sets, whose shingles are hashed again from the
-stored (compressed) texts.  Equal sets count once.  Components come from all verified links.
+one comparison per member and pivot.  Pairs whose sets differ in too many of 1,024 parities can't be similar; the others are
+verified on their whole sets, whose shingles are hashed again from the stored (compressed) texts.  Equal sets count once.
+Components come from all verified links.
 
 Defined results: null text counts as empty; a text without words has an empty set and no link; with fewer words than a shingle
 the whole sequence is its one element; a null id is never the smallest of its component; repeated rows are texts of their own; an
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from saleslake.llm.common import per_process, text_of, union_all, written
 from saleslake.llm.components import connected_components
-from saleslake.operators.skew import heavy_hitter_join
+from saleslake.operators.skew import heavy_hitter_join, heavy_hitters, heavy_keys
 
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -47,6 +48,8 @@ EXACT = 160
 LIGHT_MOST = 64
 #: Sets a task remembers while it verifies.
 SETS_HELD = 2000
+#: Row numbers of the texts to verify that are sent to all tasks at most; more are joined by a shuffle.
+ENDS_SENT = 1 << 21
 #: Distinct texts a task remembers while it stores them.
 KEYS_HELD = 1_000_000
 
@@ -111,6 +114,16 @@ def shingle_sets(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
         yield s[np.concatenate(([True], s[1:] != s[:-1]))] if len(s) else s
 
 
+#: Words of 64 bits of a set's parities.
+PARITY_WORDS = 16
+
+
+def parities(s: np.ndarray) -> np.ndarray:
+    """For each of 1,024 parts of the hashes whether the set has an odd number there: two sets that differ in d elements differ in at most d bits."""
+    counts = np.bincount((s & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS)
+    return np.packbits(counts & 1, bitorder="little").view(np.int64)
+
+
 def lowered(text: str | None) -> bytes:
     """UTF-8 with A-Z lower-cased."""
     return (text or "").encode("utf-8", "surrogatepass").lower()
@@ -136,14 +149,15 @@ class Order:
 
 
 def _stored(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """row, doc_id, n (size of the set), key (digest of the set; null without words), blob (the words; once per task and key)."""
+    """row, doc_id, n (size of the set), key (digest of the set; null without words), blob and bits (the text and the set's
+    parities; once per task and key)."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"), text_of(text_col).alias("text"))
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack, seen = zstandard.ZstdCompressor(level=1).compress, set()
         for whole in batches:
             for batch in (whole.slice(i, 512) for i in range(0, whole.num_rows, 512)):
-                sizes, keys, blobs = [], [], []
+                sizes, keys, blobs, bits = [], [], [], []
                 texts = [lowered(t) for t in batch.column(2).to_pylist()]
                 for text, s in zip(texts, shingle_sets(texts, shingle)):
                     key = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
@@ -155,11 +169,13 @@ def _stored(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFr
                     sizes.append(len(s))
                     keys.append(key)
                     blobs.append(pack(text) if fresh else None)
+                    bits.append(parities(s) if fresh else None)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
-                                                  pa.array(keys, pa.binary()), pa.array(blobs, pa.binary())],
-                                                 names=["row", "doc_id", "n", "key", "blob"])
+                                                  pa.array(keys, pa.binary()), pa.array(blobs, pa.binary()),
+                                                  pa.array(bits, pa.list_(pa.int64()))],
+                                                 names=["row", "doc_id", "n", "key", "blob", "bits"])
 
-    schema = f"row long, doc_id {dict(rows.dtypes)['doc_id']}, n long, key binary, blob binary"
+    schema = f"row long, doc_id {dict(rows.dtypes)['doc_id']}, n long, key binary, blob binary, bits array<long>"
     return written(rows.mapInArrow(store, schema), "jaccard-texts")
 
 
@@ -340,12 +356,25 @@ def _linker(most: int, boundary: int, part: int, whole: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, shingle: int, part: int, whole: int) -> DataFrame:
-    """The pairs (u, v) whose sets are similar enough: whole * intersection >= part * union."""
-    pairs = written(pairs.distinct(), "jaccard-pairs")
+    """The pairs (u, v) whose sets are similar enough: whole * intersection >= part * union.
+
+    Pairs whose parities differ in more bits than linked sets may differ in elements are left out before texts are joined.
+    """
+    pairs = written(pairs.distinct(), "jaccard-met")
+    bits, heavy_of = sets.select("row", "n", "bits"), dict(zip("uv", heavy_keys(pairs, ["u"], ["v"])))
+    for end in ("u", "v"):
+        pairs = heavy_hitter_join(pairs, bits.withColumnsRenamed(
+            {"row": end, "n": f"n_{end}", "bits": f"bits_{end}"}), [end], spread=["u", "v"], heavy=heavy_of[end])
+    differ = F.aggregate(F.zip_with("bits_u", "bits_v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    both_sizes = F.col("n_u") + F.col("n_v")
+    need = -F.floor(-(part * both_sizes) / F.lit(whole + part))
+    pairs = written(pairs.where(differ <= both_sizes - 2 * need).select("u", "v"), "jaccard-pairs")
     ends = pairs.select(F.explode(F.array("u", "v")).alias("row")).distinct()
+    ends = F.broadcast(ends) if ends.count() <= ENDS_SENT else ends
     texts = written(sets.select("row", "blob").join(ends, "row", "left_semi"), "jaccard-candidates")
     both = heavy_hitter_join(pairs, texts.select(F.col("row").alias("v"), F.col("blob").alias("second")), ["v"], spread=["u"])
-    both = heavy_hitter_join(both, texts.select(F.col("row").alias("u"), F.col("blob").alias("first")), ["u"], spread=["v"])
+    both = heavy_hitter_join(both, texts.select(F.col("row").alias("u"), F.col("blob").alias("first")), ["u"], spread=["v"],
+                             heavy=heavy_hitters(pairs, ["u"]))
 
     whole_ = whole
 
@@ -376,10 +405,20 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(moved.select("row", F.coalesce("root", "label").alias("label")), "jaccard-labels")
 
 
+def _nearer(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (row, label) with the least label of a row's links: rows of one label stay connected, but not all connected rows get one."""
+    both = links.select(F.explode(F.array(F.struct(F.col("u").alias("row"), F.col("v").alias("to")),
+                                          F.struct(F.col("v").alias("row"), F.col("u").alias("to")))).alias("l")).select("l.*")
+    least = both.join(labels.withColumnsRenamed({"row": "to", "label": "near"}), "to").groupBy("row").agg(F.min("near").alias("near"))
+    return written(labels.join(least, "row", "left").select("row", F.least("label", "near").alias("label")), "jaccard-labels")
+
+
 def _long_lists(long: DataFrame, small: DataFrame, labels: DataFrame, sets: DataFrame, boundary: int, shingle: int, part: int, whole: int,
                 first: int = 8, growth: int = 32) -> DataFrame:
-    """Labels after the pairs of the long lists: in rounds, a growing share of members as pivots.  The first round
-    verifies the pairs ``small`` of the short lists too."""
+    """Links of the long lists' pairs: in rounds, a growing share of members as pivots.  The first round verifies the
+    pairs ``small`` of the short lists too.  Between rounds labels follow one step of the links found: what they merge is
+    connected, and what they don't is only compared once more."""
+    every = []
     length = long.groupBy("h").count().agg(F.max("count")).first()[0]
     share, done = first / length, 0.0
     draw = (F.pmod(F.xxhash64("row"), F.lit(1 << 40)) / F.lit(float(1 << 40)))
@@ -398,9 +437,11 @@ def _long_lists(long: DataFrame, small: DataFrame, labels: DataFrame, sets: Data
                         & _may_link("", "p_", boundary, part, whole))
         pairs = met.select(F.least("row", "p_row").alias("u"), F.greatest("row", "p_row").alias("v"))
         pairs = pairs if done else pairs.unionByName(small)
-        labels = _relabelled(labels, _verified(pairs, sets, shingle, part, whole))
+        every.append(_verified(pairs, sets, shingle, part, whole))
         done, share = share, share * growth
-    return labels
+        if done < 1:
+            labels = _nearer(labels, every[-1])
+    return union_all(every)
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: tuple[int, int] = (80, 100),
@@ -425,10 +466,9 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         found = written(entries.mapInArrow(_linker(most, boundary, part, whole), "u long, v long, h long, row long, n int, pos int"),
                         "jaccard-found")
         small, long = found.where("u is not null").select("u", "v"), found.where("h is not null").select("h", "row", "n", "pos")
-        if long.isEmpty():
-            labels = _relabelled(labels, _verified(small, sets, shingle, part, whole))
-        else:
-            labels = _long_lists(long, small, labels, sets, boundary, shingle, part, whole)
+        links = (_verified(small, sets, shingle, part, whole) if long.isEmpty()
+                 else _long_lists(long, small, labels, sets, boundary, shingle, part, whole))
+        labels = _relabelled(labels, links)
     of_key = sets.select("row", "key").join(labels, "row").groupBy("key").agg(F.min("label").alias("label"))
     return stored.select("row", "doc_id", "n", "key"), written(of_key, "jaccard-components")
 
