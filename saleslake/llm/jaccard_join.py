@@ -405,19 +405,10 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return written(moved.select("row", F.coalesce("root", "label").alias("label")), "jaccard-labels")
 
 
-def _nearer(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """labels (row, label) with the least label of a row's links: rows of one label stay connected, but not all connected rows get one."""
-    both = links.select(F.explode(F.array(F.struct(F.col("u").alias("row"), F.col("v").alias("to")),
-                                          F.struct(F.col("v").alias("row"), F.col("u").alias("to")))).alias("l")).select("l.*")
-    least = both.join(labels.withColumnsRenamed({"row": "to", "label": "near"}), "to").groupBy("row").agg(F.min("near").alias("near"))
-    return written(labels.join(least, "row", "left").select("row", F.least("label", "near").alias("label")), "jaccard-labels")
-
-
 def _long_lists(long: DataFrame, small: DataFrame, labels: DataFrame, sets: DataFrame, boundary: int, shingle: int, part: int, whole: int,
                 first: int = 8, growth: int = 32) -> DataFrame:
     """Links of the long lists' pairs: in rounds, a growing share of members as pivots.  The first round verifies the
-    pairs ``small`` of the short lists too.  Between rounds labels follow one step of the links found: what they merge is
-    connected, and what they don't is only compared once more."""
+    pairs ``small`` of the short lists too.  Between rounds the components found become the labels."""
     every = []
     length = long.groupBy("h").count().agg(F.max("count")).first()[0]
     share, done = first / length, 0.0
@@ -440,7 +431,7 @@ def _long_lists(long: DataFrame, small: DataFrame, labels: DataFrame, sets: Data
         every.append(_verified(pairs, sets, shingle, part, whole))
         done, share = share, share * growth
         if done < 1:
-            labels = _nearer(labels, every[-1])
+            labels = _relabelled(labels, every[-1])
     return union_all(every)
 
 
