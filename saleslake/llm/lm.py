@@ -77,9 +77,13 @@ def level_of(count: np.ndarray) -> np.ndarray:
     return np.frexp(count.astype(np.float64))[1]             # 1 + floor(log2 count)
 
 
+#: The middle of the counts that share a level; 0 for level 0, 1 for level 1.  Doubles: numpy's powers of the bytes that
+#: levels come as are half floats, infinite from level 16 on.
+MIDDLES = np.concatenate(([0.0, 1.0], 0.75 * np.exp2(np.arange(2.0, 256.0))))
+
+
 def count_of(level: np.ndarray) -> np.ndarray:
-    """The middle of the counts that share a level; 0 for level 0, 1 for level 1."""
-    return np.where(level > 1, 0.75 * np.exp2(level), level.astype(np.float64))
+    return MIDDLES[level]
 
 
 class LogBloom:
@@ -147,21 +151,25 @@ def _counted(train: DataFrame, grams_of) -> DataFrame:
 def _segments(counts: DataFrame, log: int) -> DataFrame:
     """counts: h, c, partitioned so that each segment's n-grams are together.  seg, bits."""
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made: dict[int, np.ndarray] = {}
+        row, segs = np.full(1 << log, -1, np.int64), []      # where a segment's bits are held
+        made = np.zeros((0, 1 << SEG_LOG), bool)
         for batch in batches:
             grams = batch.column(0).to_numpy().view(np.uint64)
             top = level_of(batch.column(1).to_numpy())
+            seg = (grams >> np.uint64(64 - log)).astype(np.int64)
+            new = np.unique(seg[row[seg] < 0])
+            row[new] = np.arange(len(segs), len(segs) + len(new))
+            segs += new.tolist()
+            if len(segs) > len(made):
+                made = np.concatenate((made, np.zeros((max(len(segs) // 4, len(segs) - len(made)), 1 << SEG_LOG), bool)))
+            flat, start = made.reshape(-1), row[seg] << SEG_LOG
             for level in range(1, int(top.max(initial=0)) + 1):
-                some = grams[top >= level]
-                seg = (some >> np.uint64(64 - log)).astype(np.int64)
-                order = np.argsort(seg, kind="stable")
-                cuts = np.flatnonzero(np.diff(seg[order], prepend=-1))
-                for at in LogBloom.places(some, np.full(len(some), level)):
-                    for part in np.split(order, cuts[1:]) if len(order) else ():
-                        s = int(seg[part[0]])
-                        made.setdefault(s, np.zeros(1 << SEG_LOG, bool))[at[part]] = True
-        for s in sorted(made):
-            bits = np.packbits(made.pop(s), bitorder="little").tobytes()
+                has = top >= level
+                first = start[has]
+                for at in LogBloom.places(grams[has], np.full(len(first), level)):
+                    flat[at.astype(np.int64) + first] = True
+        for s in sorted(segs):
+            bits = np.packbits(made[row[s]], bitorder="little").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([bits], pa.binary())], names=["seg", "bits"])
     return counts.mapInArrow(fill, "seg long, bits binary")
 
@@ -174,16 +182,14 @@ class Model:
         self.tokens, self.words, self.mu = tokens, words, mu
 
     @staticmethod
-    def probe(bloom: LogBloom, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The levels of all tokens and of all pairs as far as they lie in the block."""
-        of, kinds = pd.factorize(tokens)
+    def probe(bloom: LogBloom, tokens: np.ndarray, sizes: np.ndarray, of: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The levels of all tokens and of all pairs as far as they lie in the block; ``of``, ``kinds``: the tokens, factorized."""
         return bloom.levels(scramble(kinds))[of], bloom.levels(pair_hashes(before(tokens, sizes), tokens))
 
-    def score(self, tokens: np.ndarray, sizes: np.ndarray, single: np.ndarray, pair: np.ndarray) -> Iterator[tuple]:
+    def score(self, tokens: np.ndarray, sizes: np.ndarray, of: np.ndarray, kinds: np.ndarray, single: np.ndarray, pair: np.ndarray) -> Iterator[tuple]:
         """For each text: tokens, frequent tokens, their sum of log10(count + 1), model's log10 probability, other tokens."""
         ends = np.cumsum(sizes)
         starts = np.concatenate(([0], ends[:-1]))
-        of, kinds = pd.factorize(tokens)
         at = np.minimum(np.searchsorted(self.heavy, kinds), max(0, len(self.heavy) - 1))
         is_heavy = self.heavy[at] == kinds if len(self.heavy) else np.zeros(len(kinds), bool)
         log_count = np.zeros(len(kinds))
@@ -258,13 +264,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = dict(rows.dtypes)["doc_id"]
 
     def probed(some: pa.RecordBatch, hashes: WordHashes, bloom: LogBloom) -> tuple:
-        """Tokens, sizes and the levels found in this block or noted from those before."""
+        """Tokens, sizes, the tokens factorized and the levels found in this block or noted from those before."""
         tokens, sizes = token_hashes(some.column(3).to_pylist(), hashes)
-        levels = Model.probe(bloom, tokens, sizes)
+        of, kinds = pd.factorize(tokens)
+        levels = Model.probe(bloom, tokens, sizes, of, kinds)
         for found, notes in zip(levels, (some.column(4), some.column(5))):
             if notes.null_count == 0 and len(notes):
                 found += np.frombuffer(b"".join(notes.to_pylist()), np.uint8)
-        return tokens, sizes, *levels
+        return tokens, sizes, of, kinds, *levels
 
     for first in range(0, 1 << log, size):
         block, last = spark.sparkContext.broadcast(_block(segments, log, first, size)), first + size >= 1 << log
@@ -273,7 +280,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             hashes, bloom = WordHashes(), LogBloom(np.frombuffer(block.value, np.uint8), log, first, top)
             for batch in batches:
                 for some in (batch.slice(low, ROWS) for low in range(0, batch.num_rows, ROWS)):
-                    _, sizes, *levels = probed(some, hashes, bloom)
+                    _, sizes, _, _, *levels = probed(some, hashes, bloom)
                     cuts = np.cumsum(sizes)[:-1]
                     notes = [pa.array([x.tobytes() for x in np.split(found, cuts)], pa.binary()) for found in levels]
                     yield pa.RecordBatch.from_arrays([*some.columns[:4], *notes], names=some.schema.names)

@@ -133,6 +133,14 @@ def test_lm_scores_match_brute_force(spark):
         assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, round(r.base_score, 4), round(r.score, 1)) for r in got) == expected
 
 
+def test_lm_scores_of_very_frequent_words_are_finite(spark):
+    """Over 2^15 occurrences: the level is 16 or more."""
+    rows = [(i, "the of " * 20_000 + f"w{i % 3}") for i in range(8)]
+    got = lm.score_texts(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(got) == 8 and all(math.isfinite(r.score) and r.base_score < r.score < 0 for r in got)
+    assert lm.count_of(np.arange(40, dtype=np.uint8))[-1] == 0.75 * 2.0 ** 39
+
+
 def test_lm_empty_table_and_no_training_rows(spark):
     assert lm.score_texts(spark.createDataFrame([], DOCS)).collect() == []
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
