@@ -157,7 +157,7 @@ def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.d
 
     # 4. fact load of the slice's PENDING rows (I9); keys hold the batch number in their high bits (I8).  Facts that an
     #    unfinished attempt of this batch has written are read by their partition only
-    staging = spark.read.parquet(wh.stg_sales)
+    staging = store.read_table(spark, wh.stg_sales)
     day = freeze(staging.where(store.slice_predicate("transaction_date", load_date, region)))
     pend = freeze(day.where(F.col("etl_status") == S.PENDING))
     start = store.first_key(bid)
@@ -190,7 +190,7 @@ def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.d
     store.write_slices(scd.mark_loaded(day, bid, load_date, region), wh.stg_sales)
 
     # 7. regional summary of the slices, merged from the states of every batch (D1, A13): facts of earlier batches are not read
-    fact_tbl = spark.read.parquet(wh.fact_daily_sales).where(store.slice_predicate("transaction_date", load_date, region))
+    fact_tbl = store.read_table(spark, wh.fact_daily_sales).where(store.slice_predicate("transaction_date", load_date, region))
     of_batch = facts if start == store.first_key(bid) else fact_tbl.where(F.col("load_batch_id") == bid)
     states.write_states(of_batch, wh.summary_states, "load_batch_id")
     store.refresh_summary(states.stored_summary(facts, wh.summary_states, summary_slices), wh.regional_summary, summary_slices)

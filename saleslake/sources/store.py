@@ -20,7 +20,7 @@ from collections.abc import Callable
 from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,7 +67,7 @@ def deal_to_writers(df: DataFrame, partition_by, rows_per_task: int = ROWS_PER_T
 
 
 def write_slices(df: DataFrame, path: str, partition_by=("transaction_date", "region_code"), fmt: str = "parquet",
-                 frozen: bool = False, covers: Column | None = None,
+                 frozen: bool = False, covers: Column | None = None, rows_per_task: int = ROWS_PER_TASK,
                  read: Callable[[SparkSession, str], DataFrame | None] | None = None, **options) -> None:
     """Replace slices: afterwards those that ``df`` has rows of hold exactly these rows, other slices stay.
 
@@ -84,13 +84,24 @@ def write_slices(df: DataFrame, path: str, partition_by=("transaction_date", "re
     if table is not None:
         gone = table.where(covers) if covers is not None else _semi(table, df, partition_by, "left_semi")
         old = gone.select(F.col("_metadata.file_path").alias("file")).distinct().collect()
-    w = deal_to_writers(df, partition_by).write.mode("append").partitionBy(*partition_by)
-    for k, v in options.items():
-        w = w.option(k, v)
-    w.format(fmt).save(path)
+    _append(deal_to_writers(df, partition_by, rows_per_task), path, partition_by, fmt, **options)
     _delete_files(spark, old)
 
 
+def _append(df: DataFrame, path: str, partition_by, fmt: str = "parquet", **options) -> None:
+    """Add files to a table that other jobs may add to at the same time.
+
+    Hadoop's committer keeps uncommitted files in ``_temporary/<attempt>`` and the first job to end removes ``_temporary`` with the
+    files of all others; so each write has an attempt number of its own and removes that folder alone."""
+    attempt = uuid.uuid4().int >> 97
+    options |= {"mapreduce.job.application.attempt.id": attempt, "mapreduce.fileoutputcommitter.cleanup.skipped": "true"}
+    try:
+        df.write.mode("append").partitionBy(*partition_by).options(**options).format(fmt).save(path)
+    finally:
+        jpath, fs = _fs(df.sparkSession, os.path.join(path, "_temporary", str(attempt)))
+        fs.delete(jpath, True)
+
+
 def _delete_files(spark: SparkSession, rows: list) -> None:
     for row in rows:
         jpath = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row["file"]))
@@ -159,7 +170,7 @@ def replace_packed(df: DataFrame, path: str, date_col: str, covers: Column | Non
             stays = _semi(table, touched, pack, "left_semi").where(~F.coalesce(covers, F.lit(False)))
         out = freeze(df.unionByName(stays.select(*df.columns)))
         old = _semi(table, touched, pack, "left_semi").select(F.col("_metadata.file_path").alias("file")).distinct().collect()
-    deal_to_writers(out, pack).write.mode("append").partitionBy(*pack).parquet(path)
+    _append(deal_to_writers(out, pack), path, pack)
     _delete_files(spark, old)
 
 
@@ -237,13 +248,18 @@ NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table at ``path``, or None where there is none yet (no folder,
     or a folder without data files).  Any other failure is raised: a table that
-    can't be read is not a missing one."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in NO_TABLE:
-            return None
-        raise
+    can't be read is not a missing one.  A file that another job replaces between
+    the listing and the reading of its schema makes the table be listed again."""
+    for last in (False, False, True):
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() in NO_TABLE:
+                return None
+            raise
+        except PySparkException as e:
+            if last or "FILE_NOT_EXIST" not in (e.getCondition() or "") and "FileNotFound" not in str(e):
+                raise
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

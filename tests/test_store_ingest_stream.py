@@ -324,3 +324,18 @@ def test_a_running_batch_is_not_taken_over(spark, tmp_dir):
     store.close_batch(spark, root, 1, 5)
     assert store.open_batch(spark, root, D1, "ASIA") == 3
     assert store.first_key(2) - store.first_key(1) == 1 << 40
+
+
+def test_appends_to_one_table_at_the_same_time(spark, tmp_dir):
+    """The first writer to end leaves the uncommitted files of the others alone."""
+    from concurrent.futures import ThreadPoolExecutor
+    path = os.path.join(tmp_dir, "t")
+
+    def write(k: int) -> None:
+        for day in range(3):
+            store.write_slices(spark.range(k * 100 + 20).select("id", F.lit(day).alias("d"), F.lit(f"r{k}").alias("r")), path, ("d", "r"))
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(write, range(6)))
+    rows = {(r.d, r.r): r["count"] for r in spark.read.parquet(path).groupBy("d", "r").count().collect()}
+    assert rows == {(d, f"r{k}"): k * 100 + 20 for d in range(3) for k in range(6)}
+    assert not os.listdir(os.path.join(path, "_temporary"))
