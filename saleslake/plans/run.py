@@ -15,7 +15,7 @@ Layout under ``root``::
     regional_summary/          slices  (summary_date, region_code), stored by region and month
     category_rollup/           likewise
     category_summary/          likewise, the rollup under the summary's column names
-    summary_states/            totals and key bitmaps that regional_summary is merged from, slices  (load_batch_id)
+    summary_states/            totals and key sets that regional_summary is merged from, slices  (load_batch_id)
     errors/rejected, errors/unmatched_product   '|' files per slice
     errors/duplicate_sales     slices of staged rows whose transaction id was staged already
     dq_results/, audit/        slices  (load_batch_id)
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators import clean, joins, quality, rollups, scd, states
-from ..operators.keys import freeze, next_key
+from ..operators.keys import freeze, next_key, stored
 from ..sources import ingest, store
 from . import pipeline
 
@@ -127,16 +127,16 @@ def run_daily(spark: SparkSession, wh: Warehouse, src: Sources, load_date: _dt.d
               run_ts: _dt.datetime | None = None, fail_on_critical: bool = False) -> dict:
     run_ts = run_ts or _dt.datetime.combine(load_date + _dt.timedelta(days=1), _dt.time(2, 0))
 
-    # 0. pre-check (D8): no source rows for the day -> a successful no-op (batch mode)
+    # 0. the day's sales are fetched from the source once; pre-check (D8): no rows for the day -> a successful no-op (batch mode)
     sales = src.sales(region)
+    sales = stored(sales.where(clean.business_day(sales, load_date, load_date)))
     if quality.source_availability(sales, load_date).first()["available"] != "Y":
         return {"batch_id": batch_id, "skipped": True, "reason": "no source rows for the load date"}
     bid = batch_id if batch_id is not None else store.open_batch(spark, wh.batches, load_date, region)
 
     # 1. extract the slice into staging (A12: PENDING replaced, LOADED kept; I11 defaults before the write);
     #    a transaction id staged twice breaks the staging key: one row stays, the others are set aside
-    of_day = sales.where(clean.business_day(sales, load_date, load_date))
-    spellings = None if region is None else clean.region_spellings(of_day)
+    spellings = None if region is None else clean.region_spellings(sales)
     extract = freeze(ingest.apply_defaults(clean.extract_sales(sales, load_date, region, bid, spellings), "stg_sales"))
     unique, doubles = clean.split_duplicates(extract)
     store.reload_staging(spark, unique, wh.stg_sales, load_date, region)
