@@ -86,6 +86,15 @@ def load_rules(rules: DataFrame, domain: str) -> list[dict]:
     return active(rules) or active(rules_frame(rules.sparkSession, BUILTIN_RULES, domain))
 
 
+def named_columns(df: DataFrame, rules: list[dict], also: tuple[str, ...] = ()) -> list[str]:
+    """The columns of ``df`` that the fragments and parent keys of the rules can refer to, and ``also``; all of them where
+    a fragment has a star beside COUNT(*)."""
+    text = " ".join(str(r.get(k) or "") for r in rules for k in ("sql_fragment", "parent_key"))
+    if "*" in re.sub(r"count\s*\(\s*\*\s*\)", "", text, flags=re.I):
+        return df.columns
+    return [c for c in df.columns if c in also or re.search(rf"\b{re.escape(c)}\b", text, re.I)]
+
+
 @dataclass
 class _TablePlan:
     frame: DataFrame
@@ -299,7 +308,8 @@ STAGING_METRICS = ("TOTAL_ROWS", "NULL_PRODUCT_ID", "NULL_CUSTOMER_ID", "ZERO_AM
 def staging_metrics(staged: DataFrame) -> DataFrame:
     """D7 + G1: the six staging metrics per (date, region) slice from the
     stacked aggregates of ``grouped_with_distincts``, as (metric, value) rows."""
-    agg = grouped_with_distincts(staged, ["transaction_date", "region_code"], [
+    columns = ("transaction_date", "region_code", "product_id", "customer_id", "unit_price", "store_id")
+    agg = grouped_with_distincts(staged.select(*columns), ["transaction_date", "region_code"], [
         F.count(F.lit(1)).alias("TOTAL_ROWS"),
         F.count_if(F.col("product_id").isNull()).alias("NULL_PRODUCT_ID"),
         F.count_if(F.col("customer_id").isNull()).alias("NULL_CUSTOMER_ID"),

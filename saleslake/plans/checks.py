@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import clean, fact as factop, joins, quality, rollups, rules, scd
+from ..operators.keys import stored
 from ..session import scratch_path
 from ..sources import ingest, store
 from ..sources.tables import Tables
@@ -205,20 +206,22 @@ def audit_counts(t: Tables) -> DataFrame:
 DQ_DATE_COLUMNS = {"FACT_DAILY_SALES": "transaction_date", "FACT_REGIONAL_SUMMARY": "summary_date"}
 
 
-def _dq_tables(t: Tables) -> dict[str, DataFrame]:
+def _dq_tables(t: Tables, dq_rules: list[dict]) -> dict[str, DataFrame]:
+    """The tables under check; the fact is made once, with the columns that the rules and the summary use."""
     f = fact(t)
-    return {"FACT_DAILY_SALES": f, "FACT_REGIONAL_SUMMARY": rollups.regional_summary(f),
+    f = stored(f.select(*quality.named_columns(f, dq_rules, rollups.SUMMARY_COLUMNS)))
+    return {"FACT_DAILY_SALES": f, "FACT_REGIONAL_SUMMARY": rollups.regional_summary(f, is_stored=True),
             "DIM_PRODUCT": fx.dim_product(t), "DIM_STORE": fx.dim_store(t)}
 
 
 def dq_results(t: Tables) -> DataFrame:
-    rules_df = quality.rules_frame(t.spark, fx.dq_rule_rows())
-    return quality.run_checks(quality.load_rules(rules_df, "RETAIL"), _dq_tables(t), DQ_DATE_COLUMNS)
+    dq_rules = quality.load_rules(quality.rules_frame(t.spark, fx.dq_rule_rows()), "RETAIL")
+    return quality.run_checks(dq_rules, _dq_tables(t, dq_rules), DQ_DATE_COLUMNS)
 
 
 def dq_referential(t: Tables) -> DataFrame:
-    rules_df = quality.rules_frame(t.spark, fx.dq_referential_rows())
-    return quality.run_checks(quality.load_rules(rules_df, "RETAIL"), _dq_tables(t), DQ_DATE_COLUMNS)
+    dq_rules = quality.load_rules(quality.rules_frame(t.spark, fx.dq_referential_rows()), "RETAIL")
+    return quality.run_checks(dq_rules, _dq_tables(t, dq_rules), DQ_DATE_COLUMNS)
 
 
 def dq_summary(t: Tables) -> DataFrame:
@@ -286,7 +289,10 @@ def analytical_outputs(t: Tables) -> DataFrame:
     """Rankings, segments and daily summary written and all three read back, stacked
     (``subject``: customer, product and month, or date)."""
     spark, base = t.spark, scratch_path(t.spark, "analytics")
-    store.write_analytics(product_rankings(t), customer_segments(t), daily_summary(t), base)
+    f = fact(t)
+    f = stored(f.select(*rollups.DAILY_KEYS, "dim_product_key", "dim_customer_key", "net_amount", "quantity", "discount_amt"))
+    segments = rollups.customer_segments(upserted_customers(t), joins.ytd_spend(f, fx.dim_customer(t), LOAD_DATE.year), LOAD_DATE)
+    store.write_analytics(rollups.product_rankings(f), segments, rollups.daily_summary(f, is_stored=True), base)
     month = F.concat_ws("-", "dim_product_key", "fiscal_year", "fiscal_month")
     number = lambda c: F.col(c).cast("double").alias("value")
     segments = spark.read.parquet(f"{base}/customer_segments").select(
@@ -492,7 +498,7 @@ def emptied_slice(t: Tables) -> DataFrame:
     """A12, A13, A6 by the store: the load date's slices are written, then again
     for a source in which one region's sales are void; its old rows are gone."""
     spark, base = t.spark, scratch_path(t.spark, "emptied")
-    day = staged(t).where(F.col("transaction_date") == F.lit(LOAD_DATE))
+    day = stored(staged(t).where(F.col("transaction_date") == F.lit(LOAD_DATE)))
     for rows in (day, day.where("region_code <> 'ASIA'")):
         store.reload_staging(spark, rows, f"{base}/staging", LOAD_DATE)
         store.refresh_summary(rollups.regional_summary(factop.load_fact(rows, fx.dim_product(t), fx.dim_customer(t), fx.dim_store(t))),
