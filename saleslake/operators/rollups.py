@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import columns as C
-from .keys import distributed_rank, freeze
+from .keys import distributed_rank, stored
 from .states import grouped_with_distincts
 
 
@@ -23,14 +23,17 @@ def _avg(sum_col: str, count_col: str):
     return F.try_divide(F.col(sum_col).cast("double"), F.col(count_col).cast("double"))
 
 
-def regional_summary(fact: DataFrame) -> DataFrame:
-    """Per region and day (TOTAL_REVENUE = sum of net, defect 3)."""
+SUMMARY_COLUMNS = ("region_code", "transaction_date", "quantity", "net_amount", "dim_customer_key", "dim_product_key")
+
+
+def regional_summary(fact: DataFrame, is_stored: bool = False) -> DataFrame:
+    """Per region and day (TOTAL_REVENUE = sum of net, defect 3).  ``is_stored``: reading ``fact`` again costs no join."""
     return (grouped_with_distincts(
-                fact, ["region_code", F.col("transaction_date").alias("summary_date")],
+                fact.select(*SUMMARY_COLUMNS), ["region_code", F.col("transaction_date").alias("summary_date")],
                 [F.count(F.lit(1)).alias("total_transactions"),
                  F.sum("quantity").alias("total_quantity"),
                  F.sum("net_amount").alias("total_revenue")],
-                {"distinct_customers": "dim_customer_key", "distinct_products": "dim_product_key"})
+                {"distinct_customers": "dim_customer_key", "distinct_products": "dim_product_key"}, is_stored)
             .withColumn("avg_basket_size", _avg("total_revenue", "total_transactions")))
 
 
@@ -48,7 +51,9 @@ def category_rollup(joined: DataFrame, approx_distinct: bool = False) -> DataFra
               F.sum("net_amount").alias("total_net_revenue"),
               F.sum("discount_amt").alias("total_discount_amount")]
     grouped = (joined.groupBy(*ROLLUP_KEYS).agg(*totals, *[F.approx_count_distinct(c).alias(n) for n, c in distinct.items()])
-               if approx_distinct else grouped_with_distincts(joined, list(ROLLUP_KEYS), totals, distinct))
+               if approx_distinct else grouped_with_distincts(joined.select(*ROLLUP_KEYS, "quantity", "gross_amount", "net_amount",
+                                                                            "discount_amt", *distinct.values()),
+                                                              list(ROLLUP_KEYS), totals, distinct))
     return (grouped
             .withColumnRenamed("transaction_date", "summary_date")
             .withColumn("avg_basket_value",
@@ -83,8 +88,8 @@ RANK_PARTITION = ["region_code", "fiscal_year", "fiscal_month"]
 def product_rankings(fact: DataFrame) -> DataFrame:
     """D4 + E1 + E2 + E3.  rank / dense_rank by revenue (desc) inside region,
     year and month, and the total of each, are computed by ``distributed_rank`` (no partition is held in
-    one task).  The product aggregate is frozen once, so the fact is scanned once for ranks and the join back."""
-    perf = freeze(product_performance(fact))
+    one task).  The product aggregate is stored once, so the fact is scanned once for ranks and the join back."""
+    perf = stored(product_performance(fact))
     ranked = distributed_rank(perf, RANK_PARTITION, "total_revenue", descending=True,
                               rank_col="revenue_rank", dense_rank_col="revenue_dense_rank", total_col="_part_total")
     return (ranked
@@ -94,7 +99,10 @@ def product_rankings(fact: DataFrame) -> DataFrame:
             .drop("_part_total"))
 
 
-def daily_summary(fact: DataFrame, ytd_by_year: bool = False) -> DataFrame:
+DAILY_KEYS = ("region_code", "transaction_date", "fiscal_year", "fiscal_month")
+
+
+def daily_summary(fact: DataFrame, ytd_by_year: bool = False, is_stored: bool = False) -> DataFrame:
     """D5 + E4 + E5: daily measures, running revenue and delta to the previous day.
 
     The windows run on the aggregated rows (one per region and day), so a
@@ -102,12 +110,13 @@ def daily_summary(fact: DataFrame, ytd_by_year: bool = False) -> DataFrame:
     bounded by the calendar, not by the data volume.  ``ytd_by_year`` restarts
     the running sum each year."""
     daily = (grouped_with_distincts(
-                 fact, ["region_code", "transaction_date", "fiscal_year", "fiscal_month"],
+                 fact.select(*DAILY_KEYS, "net_amount", "quantity", "discount_amt", "dim_customer_key", "dim_product_key"),
+                 list(DAILY_KEYS),
                  [F.count(F.lit(1)).alias("total_transactions"),
                   F.sum("net_amount").alias("daily_revenue"),
                   F.sum("quantity").alias("daily_units"),
                   F.sum("discount_amt").alias("total_discounts")],
-                 {"unique_customers": "dim_customer_key", "unique_products": "dim_product_key"})
+                 {"unique_customers": "dim_customer_key", "unique_products": "dim_product_key"}, is_stored)
              .withColumn("avg_basket", _avg("daily_revenue", "total_transactions")))
     part = ["region_code", "fiscal_year"] if ytd_by_year else ["region_code"]
     w = Window.partitionBy(*part).orderBy("transaction_date")

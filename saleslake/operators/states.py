@@ -1,10 +1,11 @@
 """Exact distinct counts without copying rows, and summary states that merge.
 
 ``grouped_with_distincts`` makes the totals and each distinct count as aggregates of their own over the pruned columns and stacks
-them, so no row is copied once per distinct column, and the pairs (group, key) are combined map-side.
+them, so no row is copied once per distinct column, and the pairs (group, key) are combined map-side.  The rows are stored first, so
+that the joins they come from run once and not once per aggregate.
 
 A state holds what a summary of one group and one load can be merged from: totals, and per counted key the set of its
-dense dimension keys as bitmaps, one for each 32,768 keys.  Sets merge by OR, so the summary of a slice after several loads comes
+values, a row each.  Sets merge by union, so the summary of a slice after several loads comes
 from their states alone; no fact is read again.
 """
 
@@ -14,13 +15,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import store
+from .keys import stored
 
 
-def grouped_with_distincts(df: DataFrame, keys: list[Column | str], totals: list[Column], distinct: dict[str, str]) -> DataFrame:
+def grouped_with_distincts(df: DataFrame, keys: list[Column | str], totals: list[Column], distinct: dict[str, str],
+                           is_stored: bool = False) -> DataFrame:
     """``df.groupBy(keys).agg(totals..., countDistinct(column) AS name ...)``; ``distinct``: name -> column.
 
     ``keys`` must be named columns (aliases allowed); NULL keys are a group, NULL values are not counted.
+    ``df`` should hold the columns needed and no more, as it is stored unless it ``is_stored`` already.
     """
+    df = df if is_stored else stored(df)
     out = df.groupBy(*keys).agg(*totals)
     names = out.columns[:len(keys)]
     measures = out.columns[len(keys):]
@@ -45,22 +50,21 @@ def total_state(fact: DataFrame, load: str) -> DataFrame:
 
 
 def key_state(fact: DataFrame, load: str, counted: dict[str, str] = COUNTED) -> DataFrame:
-    """Per slice, load, counted key and bucket of 32,768 key values: the bitmap of the keys that occur."""
+    """Per slice, load and counted key: the values that occur."""
     pairs = None
     for name, column in counted.items():
         one = fact.where(F.col(column).isNotNull()).select(
             "region_code", F.col("transaction_date").alias("summary_date"), load, F.lit(name).alias("counted"),
-            F.col(column).cast("bigint").alias("_key")).distinct()
+            F.col(column).cast("bigint").alias("value")).distinct()
         pairs = one if pairs is None else pairs.unionByName(one)
-    return (pairs.groupBy(*SLICE, load, "counted", F.bitmap_bucket_number("_key").alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_key")).alias("bits")))
+    return pairs
 
 
 def summary_of(totals: DataFrame, keys: DataFrame, counted: dict[str, str] = COUNTED) -> DataFrame:
     """D1 from the states of all loads of some slices."""
     merged = totals.groupBy(*SLICE).agg(*[F.sum(m).alias(m) for m in ("total_transactions", "total_quantity", "total_revenue")])
-    sets = (keys.groupBy(*SLICE, "counted", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
-            .groupBy(*SLICE).agg(*[F.sum(F.when(F.col("counted") == name, F.col("n"))).alias(name) for name in counted]))
+    sets = (keys.select(*SLICE, "counted", "value").distinct()
+            .groupBy(*SLICE).agg(*[F.count_if(F.col("counted") == name).alias(name) for name in counted]))
     stacked = merged.unionByName(sets, allowMissingColumns=True)
     measures = merged.columns[len(SLICE):]
     out = stacked.groupBy(*SLICE).agg(*[F.max(m).alias(m) for m in measures],

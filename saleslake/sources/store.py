@@ -67,7 +67,7 @@ def deal_to_writers(df: DataFrame, partition_by, rows_per_task: int = ROWS_PER_T
 
 
 def write_slices(df: DataFrame, path: str, partition_by=("transaction_date", "region_code"), fmt: str = "parquet",
-                 frozen: bool = False, covers: Column | None = None, rows_per_task: int = ROWS_PER_TASK,
+                 frozen: bool = False, covers: Column | None = None,
                  read: Callable[[SparkSession, str], DataFrame | None] | None = None, **options) -> None:
     """Replace slices: afterwards those that ``df`` has rows of hold exactly these rows, other slices stay.
 
@@ -84,7 +84,7 @@ def write_slices(df: DataFrame, path: str, partition_by=("transaction_date", "re
     if table is not None:
         gone = table.where(covers) if covers is not None else _semi(table, df, partition_by, "left_semi")
         old = gone.select(F.col("_metadata.file_path").alias("file")).distinct().collect()
-    _append(deal_to_writers(df, partition_by, rows_per_task), path, partition_by, fmt, **options)
+    _append(deal_to_writers(df, partition_by), path, partition_by, fmt, **options)
     _delete_files(spark, old)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import states
-from ..operators.keys import freeze
+from ..operators.keys import stored
 from ..sources import store
 
 
@@ -49,13 +49,13 @@ def fact_and_summary(fact_path: str, summary_path: str | None, fact_of: Callable
     * the batch's facts go to ``fact_path/batch_epoch=<epoch>`` (dynamic overwrite): a
       replayed epoch rewrites its own folder, nothing doubles.  Files are range-partitioned
       by date and region, so that each holds few dates;
-    * the batch's summary states (totals and key bitmaps, ``operators.states``) go to
+    * the batch's summary states (totals and key sets, ``operators.states``) go to
       ``<summary_path>_states/*/batch_epoch=<epoch>``, likewise, and the regional summary of every
       (date, region) the batch touched is merged from the states of all epochs.  Of the facts only this
       batch's are read, however many epochs a slice has.  Skipped when ``summary_path`` is None.
     """
     def process(batch: DataFrame, epoch: int) -> None:
-        facts = freeze(fact_of(batch).withColumn(LOAD, F.lit(epoch).cast("bigint")))
+        facts = stored(fact_of(batch).withColumn(LOAD, F.lit(epoch).cast("bigint")))
         (facts.repartitionByRange("transaction_date", "region_code").sortWithinPartitions("transaction_date", "region_code")
          .write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(LOAD).parquet(fact_path))
         if summary_path is None or facts.isEmpty():

@@ -144,3 +144,25 @@ def test_distinct_counts_copy_no_rows(spark):
     assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, got.collect()), key=str) == sorted([("A", 3, 4, 2, 1), (None, 2, 10, 1, 2), ("B", 1, None, 0, 0)], key=str)
     assert grouped_with_distincts(df.limit(0), ["g"], [F.count(F.lit(1)).alias("n")], {"dx": "x"}).count() == 0
+
+
+def test_grouped_distincts_evaluate_their_input_once(spark):
+    from saleslake.operators.states import grouped_with_distincts
+    seen = spark.sparkContext.accumulator(0)
+
+    def see(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+    df = spark.range(100).selectExpr("id % 3 AS g", "id % 7 AS x").mapInPandas(see, "g bigint, x bigint")
+    got = grouped_with_distincts(df, ["g"], [F.count(F.lit(1)).alias("n")], {"dx": "x", "dy": "x"}).collect()
+    assert {(r.g, r.n, r.dx, r.dy) for r in got} == {(0, 34, 7, 7), (1, 33, 7, 7), (2, 33, 7, 7)}
+    assert seen.value == 100
+
+
+def test_named_columns_of_rules(spark):
+    from saleslake.operators.quality import named_columns
+    df = spark.createDataFrame([(1, 2, 3, 4)], "a int, b int, ab int, d int")
+    rule = lambda sql: {"sql_fragment": sql, "parent_key": None}
+    assert named_columns(df, [rule("COUNT(*)"), rule("A > 0")], ("d",)) == ["a", "d"]
+    assert named_columns(df, [rule("a * b > 0")]) == df.columns
