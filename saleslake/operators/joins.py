@@ -43,6 +43,16 @@ def heavy_dimension_keys(staged: DataFrame) -> Heavy:
     return dict(zip(keys, skew.heavy_keys(staged, *[[k] for k in keys])))
 
 
+#: Current versions of a dimension whose keys are sent to all tasks at most: two numbers each, some 50 MB in all.
+KEYS_SENT = 1 << 21
+
+
+def sent_if_small(dim: DataFrame) -> DataFrame:
+    """The dimension, marked for broadcast where it is counted to have up to ``KEYS_SENT`` current versions, so that a lookup of
+    its keys doesn't shuffle the sales.  For ``dimension_keys``, which takes two columns of it; a larger one is joined as before."""
+    return F.broadcast(dim) if current(dim).count() <= KEYS_SENT else dim
+
+
 def _lookup(rows: DataFrame, dim: DataFrame, key: str, how: str, heavy: Heavy | None) -> DataFrame:
     """Join with one dimension row per key: plain (AQE picks the strategy and splits skew), or with the heavy
     values known, which also deals rows without a key evenly."""

@@ -34,12 +34,13 @@ def freeze(df: DataFrame) -> DataFrame:
 _freeze = freeze
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Evaluate ``df`` once, as a Parquet table in the shared scratch folder that is read as often as wanted.
 
-    Smaller than ``freeze`` (columns are compressed, and a reader takes the ones it needs), but rows lose their placement."""
+    Smaller than ``freeze`` (columns are compressed, and a reader takes the ones it needs), but rows lose their placement.
+    ``compression``: the Parquet codec (default: the session's)."""
     path = scratch_path(df.sparkSession, "stored")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

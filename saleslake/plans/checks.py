@@ -208,8 +208,9 @@ DQ_DATE_COLUMNS = {"FACT_DAILY_SALES": "transaction_date", "FACT_REGIONAL_SUMMAR
 
 def _dq_tables(t: Tables, dq_rules: list[dict]) -> dict[str, DataFrame]:
     """The tables under check; the fact is made once, with the columns that the rules and the summary use."""
-    f = fact(t)
-    f = stored(f.select(*quality.named_columns(f, dq_rules, rollups.SUMMARY_COLUMNS)))
+    dims = [joins.sent_if_small(dim) for dim in (fx.dim_product(t), fx.dim_customer(t), fx.dim_store(t))]
+    f = factop.load_fact(pending(t), *dims)
+    f = stored(f.select(*quality.named_columns(f, dq_rules, rollups.SUMMARY_COLUMNS)), "zstd")
     return {"FACT_DAILY_SALES": f, "FACT_REGIONAL_SUMMARY": rollups.regional_summary(f, is_stored=True),
             "DIM_PRODUCT": fx.dim_product(t), "DIM_STORE": fx.dim_store(t)}
 
