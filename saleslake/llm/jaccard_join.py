@@ -25,7 +25,7 @@ empty table gives no rows; texts are read whole, whatever their length; further
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -185,22 +185,21 @@ def _sets(blobs: list, shingle: int) -> Iterator[np.ndarray]:
         yield from shingle_sets([unpack(blob) for blob in blobs[low: low + 512]], shingle)
 
 
+def cell_counts(sets: Iterable[np.ndarray], log: int) -> np.ndarray:
+    """Elements by their first ``log`` bits.  Counted in place: a task holds the table and one set."""
+    total = np.zeros(1 << log, np.uint32)
+    for s in sets:
+        np.add.at(total, (s >> np.uint64(64 - log)).astype(np.int64), np.uint32(1))
+    return total
+
+
 def _order(sets: DataFrame, elements: int, shingle: int) -> Order:
     """The order from the counts of all elements of all stored sets."""
     log = min(MOST_LOG, max(LEAST_LOG, (elements // PER_CELL).bit_length()))
     size = 1 << BLOCK_LOG
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, held, n = np.zeros(1 << log, np.uint32), [], 0
-        for batch in batches:
-            for s in _sets(batch.column(0).to_pylist(), shingle):
-                held.append(s >> np.uint64(64 - log))
-                n += len(s)
-                if n > 1 << log:
-                    total += np.bincount(np.concatenate(held).astype(np.int64), minlength=1 << log).astype(np.uint32)
-                    held, n = [], 0
-        if held:
-            total += np.bincount(np.concatenate(held).astype(np.int64), minlength=1 << log).astype(np.uint32)
+        total = cell_counts((s for batch in batches for s in _sets(batch.column(0).to_pylist(), shingle)), log)
         pack = zstandard.ZstdCompressor(level=1).compress
         for at, part in enumerate(total.reshape(-1, size)):
             if part.any():

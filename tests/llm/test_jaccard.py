@@ -2,7 +2,9 @@
 
 import random
 import re
+import tracemalloc
 
+import numpy as np
 import pytest
 
 from saleslake.llm import jaccard_join
@@ -111,3 +113,15 @@ def test_least_overlap_is_the_exact_threshold():
 def test_extra_columns_with_clashing_names(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", 5, 6, b"k"), (2, "a b c d e f", 5, 6, b"k")], "doc_id long, text string, n long, row long, key binary")
     assert [tuple(r) for r in jaccard_components(docs).orderBy("doc_id").collect()] == [(1, 2, 1), (2, 2, 1)]
+
+
+def test_cell_counts_hold_the_table_only():
+    """More elements than cells are counted without being held (before: they and three more tables of their size)."""
+    log, draw = 16, np.random.default_rng(5)
+    sets = [draw.integers(0, 2 ** 64, 300, dtype=np.uint64) for _ in range(1000)]
+    tracemalloc.start()
+    counts = jaccard_join.cell_counts(iter(sets), log)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts.tolist() == np.bincount((np.concatenate(sets) >> np.uint64(64 - log)).astype(np.int64), minlength=1 << log).tolist()
+    assert peak < 1.5 * counts.nbytes
