@@ -13,7 +13,7 @@ o elements share j of them among the first (size - o + j) of each.
 A list of up to ``most`` sets gives its pairs that size and position allow.  Longer ones give pairs in rounds: a growing share
 of the members, chosen by hash, are pivots and are paired with the members outside their component, as far as found; the
 last round takes all, so no pair between different components is left out, and a group of near copies costs about
-one comparison per member and pivot.  Pairs whose sets differ in too many of 1,024 parities can't be similar; the others are
+one comparison per member and pivot.  Pairs whose sets differ in too many of 1,024 (512) parities can't be similar; the others are
 verified on their whole sets, whose shingles are hashed again from the stored (compressed) texts.  Equal sets count once.
 Components come from all verified links.
 
@@ -48,7 +48,7 @@ EXACT = 160
 LIGHT_MOST = 64
 #: Sets a task remembers while it verifies.
 SETS_HELD = 2000
-#: Row numbers of the texts to verify that are sent to all tasks at most; more are joined by a shuffle.
+#: Row numbers of the sets and texts to verify that are sent to all tasks at most; more are joined by a shuffle.
 ENDS_SENT = 1 << 21
 #: Distinct texts a task remembers while it stores them.
 KEYS_HELD = 1_000_000
@@ -114,16 +114,25 @@ def shingle_sets(texts: list[bytes], n: int) -> Iterator[np.ndarray]:
         yield s[np.concatenate(([True], s[1:] != s[:-1]))] if len(s) else s
 
 
-#: Words of 64 bits of a set's parities.
-PARITY_WORDS = 16
+#: Words of 64 bits of a set's parities; half of them for sets of up to so many elements.
+PARITY_WORDS, HALF_PARITIES = 16, 400
 
 
 def parities(s: np.ndarray) -> np.ndarray:
-    """For each of 1,024 parts of the hashes whether the set has an odd number there: two sets that differ in d elements differ in at most d bits."""
-    counts = np.bincount((s & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS)
+    """For each of 1,024 (or 512) parts of the hashes whether the set has an odd number there: two sets that differ in d elements differ in at most d bits."""
+    bits = 64 * PARITY_WORDS // (2 if len(s) <= HALF_PARITIES else 1)
+    counts = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(counts & 1, bitorder="little").view(np.int64)
 
 
+def _differing(a: str, b: str) -> Column:
+    """Bits in which two sets' parities differ; of different lengths, the halves of the longer one are added up first."""
+    words = F.least(F.size(a), F.size(b))
+    folded = [F.when(F.size(c) > words, F.zip_with(F.slice(c, F.lit(1), words), F.slice(c, words + 1, words), lambda x, y: x.bitwiseXOR(y)))
+              .otherwise(F.col(c)) for c in (a, b)]
+    return F.aggregate(F.zip_with(*folded, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+
+
 def lowered(text: str | None) -> bytes:
     """UTF-8 with A-Z lower-cased."""
     return (text or "").encode("utf-8", "surrogatepass").lower()
@@ -193,6 +202,19 @@ def cell_counts(sets: Iterable[np.ndarray], log: int) -> np.ndarray:
     return total
 
 
+def planes_of(counts: np.ndarray) -> bytes:
+    """Counts (uint32) by planes, the eight low bits, then the other bytes: most counts are 0 or 1, so that this compresses well."""
+    by_byte = counts.view(np.uint8).reshape(-1, 4)
+    return np.packbits(np.unpackbits(by_byte[:, :1], axis=1).T, axis=1).tobytes() + by_byte[:, 1:].T.tobytes()
+
+
+def counts_of(planes: bytes) -> np.ndarray:
+    """The counts (a multiple of eight) that ``planes_of`` took."""
+    raw = np.frombuffer(planes, np.uint8).reshape(4, -1)
+    low = np.packbits(np.unpackbits(raw[0].reshape(8, -1), axis=1).T, axis=1)
+    return np.ascontiguousarray(np.concatenate([low, raw[1:].T], axis=1)).view(np.uint32)[:, 0]
+
+
 def _order(sets: DataFrame, elements: int, shingle: int) -> Order:
     """The order from the counts of all elements of all stored sets."""
     log = min(MOST_LOG, max(LEAST_LOG, (elements // PER_CELL).bit_length()))
@@ -203,14 +225,14 @@ def _order(sets: DataFrame, elements: int, shingle: int) -> Order:
         pack = zstandard.ZstdCompressor(level=1).compress
         for at, part in enumerate(total.reshape(-1, size)):
             if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([pack(part.tobytes())], pa.binary())],
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([pack(planes_of(part))], pa.binary())],
                                                  names=["block", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack, total = zstandard.ZstdDecompressor().decompress, {}
         for batch in batches:
             for at, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[at] = total.get(at, 0) + np.frombuffer(unpack(raw), np.uint32).astype(np.uint64)
+                total[at] = total.get(at, 0) + counts_of(unpack(raw)).astype(np.uint64)
         levels = [_levels(t).tobytes() for t in total.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(levels, pa.binary())], names=["block", "levels"])
 
@@ -354,25 +376,28 @@ def _linker(most: int, boundary: int, part: int, whole: int):
     return link
 
 
+def _of_ends(rows: DataFrame, pairs: DataFrame, ends: str = "uv") -> DataFrame:
+    """The rows that occur in a pair, at one of ``ends``."""
+    ends = union_all([pairs.select(F.col(end).alias("row")).distinct() for end in ends]).distinct()
+    return rows.join(F.broadcast(ends) if ends.count() <= ENDS_SENT else ends, "row", "left_semi")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, shingle: int, part: int, whole: int) -> DataFrame:
     """The pairs (u, v) whose sets are similar enough: whole * intersection >= part * union.
 
     Pairs whose parities differ in more bits than linked sets may differ in elements are left out before texts are joined.
     """
     pairs = written(pairs.distinct(), "jaccard-met")
-    bits, heavy_of = sets.select("row", "n", "bits"), dict(zip("uv", heavy_keys(pairs, ["u"], ["v"])))
+    bits, heavy_of = _of_ends(sets.select("row", "n", "bits"), pairs), dict(zip("uv", heavy_keys(pairs, ["u"], ["v"])))
     for end in ("u", "v"):
         pairs = heavy_hitter_join(pairs, bits.withColumnsRenamed(
             {"row": end, "n": f"n_{end}", "bits": f"bits_{end}"}), [end], spread=["u", "v"], heavy=heavy_of[end])
-    differ = F.aggregate(F.zip_with("bits_u", "bits_v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
     both_sizes = F.col("n_u") + F.col("n_v")
     need = -F.floor(-(part * both_sizes) / F.lit(whole + part))
-    pairs = written(pairs.where(differ <= both_sizes - 2 * need).select("u", "v"), "jaccard-pairs")
-    ends = pairs.select(F.explode(F.array("u", "v")).alias("row")).distinct()
-    ends = F.broadcast(ends) if ends.count() <= ENDS_SENT else ends
-    texts = written(sets.select("row", "blob").join(ends, "row", "left_semi"), "jaccard-candidates")
-    both = heavy_hitter_join(pairs, texts.select(F.col("row").alias("v"), F.col("blob").alias("second")), ["v"], spread=["u"])
-    both = heavy_hitter_join(both, texts.select(F.col("row").alias("u"), F.col("blob").alias("first")), ["u"], spread=["v"],
+    pairs = written(pairs.where(_differing("bits_u", "bits_v") <= both_sizes - 2 * need).select("u", "v"), "jaccard-pairs")
+    texts = written(_of_ends(sets.select("row", "blob"), pairs), "jaccard-candidates")
+    both = heavy_hitter_join(pairs, _of_ends(texts, pairs, "v").select(F.col("row").alias("v"), F.col("blob").alias("second")), ["v"], spread=["u"])
+    both = heavy_hitter_join(both, _of_ends(texts, pairs, "u").select(F.col("row").alias("u"), F.col("blob").alias("first")), ["u"], spread=["v"],
                              heavy=heavy_hitters(pairs, ["u"]))
 
     whole_ = whole

@@ -6,6 +6,7 @@ import tracemalloc
 
 import numpy as np
 import pytest
+import zstandard
 
 from saleslake.llm import jaccard_join
 from saleslake.llm.jaccard_join import jaccard_components, least_overlap
@@ -125,3 +126,37 @@ def test_cell_counts_hold_the_table_only():
     tracemalloc.stop()
     assert counts.tolist() == np.bincount((np.concatenate(sets) >> np.uint64(64 - log)).astype(np.int64), minlength=1 << log).tolist()
     assert peak < 1.5 * counts.nbytes
+
+
+def test_planes_hold_all_counts_and_pack_small_ones():
+    draw = np.random.default_rng(6)
+    counts = draw.poisson(0.3, 1 << 14).astype(np.uint32)
+    packed = len(zstandard.ZstdCompressor(level=1).compress(jaccard_join.planes_of(counts)))
+    assert packed < 0.5 * len(zstandard.ZstdCompressor(level=1).compress(counts.tobytes()))
+    counts[:8] = [0, 1, 255, 256, 65536, 1 << 24, (1 << 32) - 1, 7]
+    assert jaccard_join.counts_of(jaccard_join.planes_of(counts)).tolist() == counts.tolist()
+
+
+def test_parities_of_two_lengths_never_leave_out_a_link(spark):
+    """Sets on both sides of HALF_PARITIES: the bits that differ are no more than the elements that do; unrelated sets differ in more
+    than linked ones may."""
+    draw = np.random.default_rng(7)
+    whole = draw.integers(0, 2 ** 64, 500, dtype=np.uint64)
+    sets = [whole[:420], whole[:400], whole[20:430], whole[:350], draw.integers(0, 2 ** 64, 390, dtype=np.uint64)]
+    rows = [(i, j, jaccard_join.parities(a).tolist(), jaccard_join.parities(b).tolist())
+            for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j]
+    df = spark.createDataFrame(rows, "i int, j int, bits_u array<long>, bits_v array<long>")
+    assert {len(r[2]) for r in rows} == {8, 16}
+    for r in df.select("i", "j", jaccard_join._differing("bits_u", "bits_v").alias("bits")).collect():
+        a, b = set(sets[r.i].tolist()), set(sets[r.j].tolist())
+        assert r.bits <= len(a ^ b) and (r.bits - len(a ^ b)) % 2 == 0
+        need = least_overlap(len(a), len(b), 80, 100)
+        left_out = r.bits > len(a) + len(b) - 2 * need
+        assert not (left_out and len(a & b) >= need) and (left_out or r.j < 4)
+
+
+def test_pairs_read_their_ends_only(spark):
+    rows = spark.createDataFrame([(i, i * 10) for i in range(6)], "row long, n long")
+    pairs = spark.createDataFrame([(1, 4), (4, 5), (None, 2)], "u long, v long")
+    assert sorted(r.row for r in jaccard_join._of_ends(rows, pairs).collect()) == [1, 2, 4, 5]
+    assert sorted(r.row for r in jaccard_join._of_ends(rows, pairs, "v").collect()) == [2, 4, 5]
