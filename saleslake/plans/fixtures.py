@@ -15,6 +15,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import sent_if_few
 from ..schemas import HIGH_DATE
 from ..sources.tables import Tables
 
@@ -51,14 +52,15 @@ def customer_region(t: Tables) -> DataFrame:
 
 
 def sales_txn(t: Tables) -> DataFrame:
-    """Source sales (SOURCE_OPS.SALES_TXN): one row per line item."""
+    """Source sales (SOURCE_OPS.SALES_TXN): one row per line item.  The regions of suppliers are sent, whatever their size is
+    estimated at, so that looking them up doesn't shuffle the line items."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                            "l_quantity", "l_discount")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     p = t.part.select("p_partkey", "p_retailprice")
     j = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
          .join(p, F.col("l_partkey") == F.col("p_partkey"))
-         .join(supplier_region(t), F.col("l_suppkey") == F.col("s_suppkey")))
+         .join(sent_if_few(supplier_region(t), t.supplier), F.col("l_suppkey") == F.col("s_suppkey")))
     price = _dec("p_retailprice", 12, 4)
     status = (F.when(F.col("o_orderkey") % 31 == 0, "VOID")
               .when(F.col("o_orderkey") % 37 == 0, "CANCELLED")
