@@ -92,9 +92,13 @@ def _append(df: DataFrame, path: str, partition_by, fmt: str = "parquet", **opti
     """Add files to a table that other jobs may add to at the same time.
 
     Hadoop's committer keeps uncommitted files in ``_temporary/<attempt>`` and the first job to end removes ``_temporary`` with the
-    files of all others; so each write has an attempt number of its own and removes that folder alone."""
+    files of all others; so each write has an attempt number of its own and removes that folder alone.  Its first algorithm renames
+    whole folders that the table doesn't have yet, into the folder of that name if another job has made it meanwhile; the second one
+    makes folders and moves files.  With it a write that fails may leave files of tasks that ended, as one that dies while it commits
+    does with the first: its rerun replaces them."""
     attempt = uuid.uuid4().int >> 97
-    options |= {"mapreduce.job.application.attempt.id": attempt, "mapreduce.fileoutputcommitter.cleanup.skipped": "true"}
+    options |= {"mapreduce.job.application.attempt.id": attempt, "mapreduce.fileoutputcommitter.cleanup.skipped": "true",
+                "mapreduce.fileoutputcommitter.algorithm.version": "2"}
     try:
         df.write.mode("append").partitionBy(*partition_by).options(**options).format(fmt).save(path)
     finally:
